@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import sentences
+from foliant.llm import markup, sentences
 from foliant.session import table
 
 
@@ -25,5 +25,41 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return once.select("src", "record_key", sentences.exploded("spans"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found,)}
+def fields(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
+    """(field_name, (src, record_key, body)) of every field that may hold markup."""
+    n = table(spark, sf, "nodes")
+    key = [F.lit("nodes").alias("src"), F.concat("pub_id", F.lit("/"), "id").alias("record_key")]
+    para = n.where(F.col("type").isin("paragraph", "list_item"))
+    d = table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").cast("string").alias("record_key"), F.col("text").alias("body"))
+    return [
+        ("text", d),
+        ("text", para.select(*key, F.col("text").alias("body"))),
+        ("plain", para.select(*key, F.col("plain").alias("body"))),
+        ("rows", n.where(F.col("type") == "table").select(*key, F.col("rows").alias("body"))),
+    ]
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    out: DataFrame | None = None
+    for name, df in fields(spark, sf):
+        rows = name == "rows"
+        text = F.array_join(F.flatten("body"), "\n") if rows else F.col("body")
+        # only fields that can hold markup leave the JVM
+        held = df.where(markup.may_hold(text))
+        found = (markup.row_labels if rows else markup.element_labels)(F.col("body"))
+        got = held.select("src", "record_key", F.lit(name).alias("field_name"), F.explode(found).alias("x"))
+        out = got if out is None else out.unionByName(got)
+    assert out is not None
+    two = F.split("x", " ")
+    return out.select("src", "record_key", "field_name", two[0].alias("markup"), two[1].alias("element_kind")).distinct()
+
+
+def p3_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's text without markup."""
+    d = table(spark, sf, "documents")
+    text = F.when(markup.may_hold(F.col("text")), markup.clean_text(F.col("text"))).otherwise(F.trim("text"))
+    return d.select("doc_id", "source", "stage", F.length("text").alias("n_before"), F.coalesce(text, F.lit("")).alias("clean"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_clean)}
 SQL: dict[str, str] = {}
