@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import markup, sentences
+from foliant.llm import markup, reading, sentences
 from foliant.session import table
 
 
@@ -61,5 +61,39 @@ def p3_clean(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", "source", "stage", F.length("text").alias("n_before"), F.coalesce(text, F.lit("")).alias("clean"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_clean)}
+def p4_formula(spark: SparkSession, sf: str) -> reading.Formula:
+    """Fitted to slide_readability: a slide's grade is the mean over its statements of
+    eight words and more. The sample is bounded by ``reading.MAX_LABELS`` slides."""
+    docs = table(spark, sf, "documents").where((F.col("stage") == "clean") & F.col("text").isNotNull())
+    shares = reading.frequent_words(docs.where(reading.english(F.col("text"))))
+    slides = table(spark, sf, "slide_readability").where(F.col("grade").isNotNull()).select("pub_id", "slide_id", "grade", "statements").distinct()
+    # the same sample wherever the rows lie
+    slides = slides.orderBy(F.xxhash64("pub_id", "slide_id"), "pub_id", "slide_id", "grade").limit(reading.MAX_LABELS)
+    said = table(spark, sf, "claims").where(~F.col("in_notes") & F.col("text").isNotNull()).select("pub_id", "slide_id", "claim_id", "text").distinct()
+    said = said.where(F.regexp_count("text", F.lit(reading.JAVA_WORD)) >= 8)
+    got = said.join(slides, ["pub_id", "slide_id"]).groupBy("pub_id", "slide_id", "grade", "statements").agg(F.sort_array(F.collect_list("text")).alias("ts"))
+    rows = got.where(F.size("ts") == F.col("statements")).orderBy("pub_id", "slide_id", "grade").collect()
+    return reading.fit(shares, [(r.grade, list(r.ts)) for r in rows])
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    formula = p4_formula(spark, sf)
+    said = table(spark, sf, "claims").where(~F.col("in_notes") & F.col("text").isNotNull())
+    said = said.select(F.lit("claims").alias("src"), F.concat("pub_id", F.lit("/"), "claim_id").alias("record_key"), "text").distinct()
+    docs = table(spark, sf, "documents").where((F.col("stage") == "clean") & F.col("text").isNotNull())
+    docs = docs.select(F.lit("documents").alias("src"), F.col("doc_id").cast("string").alias("record_key"), "text")
+    a = reading.graded(said, "text", formula, 8)
+    b = reading.graded(docs, "text", formula, 40).where("english")
+    out = a.unionByName(b).where(F.col("grade").isNotNull())
+    return out.select("src", "record_key", reading.band(F.col("grade")).cast("int").alias("band"))
+
+
+def p4_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """How demanding each source's English documents are: documents and words by band."""
+    docs = table(spark, sf, "documents").where((F.col("stage") == "clean") & F.col("text").isNotNull())
+    g = reading.graded(docs.select("source", "text"), "text", p4_formula(spark, sf), 40).where("english and grade is not null")
+    return g.groupBy("source", reading.band(F.col("grade")).alias("band")).agg(F.count("*").alias("documents"), F.sum("words").alias("words"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_clean, p4_found, p4_profile)}
 SQL: dict[str, str] = {}
