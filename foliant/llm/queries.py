@@ -65,7 +65,7 @@ def p4_formula(spark: SparkSession, sf: str) -> reading.Formula:
     """Fitted to slide_readability: a slide's grade is the mean over its statements of
     eight words and more. The sample is bounded by ``reading.MAX_LABELS`` slides."""
     docs = table(spark, sf, "documents").where((F.col("stage") == "clean") & F.col("text").isNotNull())
-    shares = reading.frequent_words(docs.where(reading.english(F.col("text"))))
+    shares = reading.frequent_words(docs)
     slides = table(spark, sf, "slide_readability").where(F.col("grade").isNotNull()).select("pub_id", "slide_id", "grade", "statements").distinct()
     # the same sample wherever the rows lie
     slides = slides.orderBy(F.xxhash64("pub_id", "slide_id"), "pub_id", "slide_id", "grade").limit(reading.MAX_LABELS)
@@ -83,7 +83,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").where((F.col("stage") == "clean") & F.col("text").isNotNull())
     docs = docs.select(F.lit("documents").alias("src"), F.col("doc_id").cast("string").alias("record_key"), "text")
     a = reading.graded(said, "text", formula, 8)
-    b = reading.graded(docs, "text", formula, 40).where("english")
+    b = reading.graded(docs, "text", formula, 40, only_english=True)
     out = a.unionByName(b).where(F.col("grade").isNotNull())
     return out.select("src", "record_key", reading.band(F.col("grade")).cast("int").alias("band"))
 
@@ -91,7 +91,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 def p4_profile(spark: SparkSession, sf: str) -> DataFrame:
     """How demanding each source's English documents are: documents and words by band."""
     docs = table(spark, sf, "documents").where((F.col("stage") == "clean") & F.col("text").isNotNull())
-    g = reading.graded(docs.select("source", "text"), "text", p4_formula(spark, sf), 40).where("english and grade is not null")
+    g = reading.graded(docs.select("source", "text"), "text", p4_formula(spark, sf), 40, only_english=True).where(F.col("grade").isNotNull())
     return g.groupBy("source", reading.band(F.col("grade")).alias("band")).agg(F.count("*").alias("documents"), F.sum("words").alias("words"))
 
 

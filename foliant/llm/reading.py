@@ -15,6 +15,8 @@ apostrophes. Null texts and texts without a word have no grade.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,32 +43,53 @@ MAX_LABELS = 5000
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text)
+    """Lower-case words of the text."""
+    return _WORD.findall(text.lower())
 
 
 def is_english(ws: list[str]) -> bool:
-    return len(ws) > 0 and sum(w.lower() in _FUNCTION for w in ws) >= ENGLISH * len(ws)
-
-
-def english(col: Column) -> Column:
-    """``is_english`` in the JVM."""
-    hits = F.regexp_count(col, F.lit(r"(?i)(?<![\p{L}'’])(?:" + "|".join(FUNCTION_WORDS) + r")(?![\p{L}'’])"))
-    return hits >= ENGLISH * F.greatest(F.lit(1), F.regexp_count(col, F.lit(JAVA_WORD)))
+    return len(ws) > 0 and list(map(_FUNCTION.__contains__, ws)).count(True) >= ENGLISH * len(ws)
 
 
 def frequent_words(texts: DataFrame, col: str = "text", least: float = LEAST) -> dict[str, float]:
-    """Words in at least a share ``least`` of the texts, with their shares.
+    """Words in at least a share ``least`` of the English texts, with their shares.
 
-    Counts cover all texts and are combined before the shuffle. What reaches the driver
-    is bounded: the shares add up to the mean number of distinct words per text, so no
-    more than that mean divided by ``least`` words can qualify.
+    Every text counts; each task adds up its own words before the shuffle. What reaches
+    the driver is bounded: the shares add up to the mean number of distinct words per
+    text, so no more than that mean divided by ``least`` words can qualify.
     """
-    each = texts.where(F.col(col).isNotNull()).select(F.array_distinct(F.regexp_extract_all(F.lower(F.col(col)), F.lit(JAVA_WORD), F.lit(0))).alias("ws"))
-    n = each.count()
-    if not n:
-        return {}
-    df = each.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least * n)
-    return {r.w: r.n / n for r in df.collect()}
+
+    def count(batches):
+        n: Counter[str] = Counter()
+        for b in batches:
+            for t in b["t"]:
+                ws = words(t)
+                if is_english(ws):
+                    n.update(set(ws))
+                    n[""] += 1
+            if len(n) > 1_000_000:
+                yield pd.DataFrame({"w": list(n), "n": list(n.values())})
+                n.clear()
+        yield pd.DataFrame({"w": list(n), "n": list(n.values())}).astype({"w": object, "n": "int64"})
+
+    schema = T.StructType([T.StructField("w", T.StringType()), T.StructField("n", T.LongType())])
+    df = texts.where(F.col(col).isNotNull()).select(F.col(col).alias("t")).mapInPandas(count, schema).groupBy("w").agg(F.sum("n").alias("n"))
+    # the empty word counts the texts
+    all_ = df.where(F.col("w") == "").select(F.col("n").alias("all"))
+    rows = df.join(F.broadcast(all_)).where(F.col("n") >= least * F.col("all")).collect()
+    total = next((r.n for r in rows if r.w == ""), 0)
+    return {r.w: r.n / total for r in rows if r.w}
+
+
+class _Rated(dict):
+    """Weights of the listed words; any other has ``rare`` and isn't kept."""
+
+    def __init__(self, weight: dict[str, float], rare: float) -> None:
+        super().__init__(weight)
+        self.rare = rare
+
+    def __missing__(self, word: str) -> float:
+        return self.rare
 
 
 @dataclass(frozen=True)
@@ -82,9 +105,8 @@ class Formula:
         ws = words(text) if text else []
         if not ws:
             return None
-        get, rare = self.weight.get, self.rare
         n = len(ws)
-        return sum(get(w.lower(), rare) for w in ws) / n + self.pace * n / max(1, len(spans(text)) // 2)
+        return sum(map(_Rated(self.weight, self.rare).__getitem__, ws)) / n + self.pace * n / max(1, len(spans(text)) // 2)
 
 
 def features(text: str, tier: dict[str, int]) -> np.ndarray:
@@ -92,7 +114,7 @@ def features(text: str, tier: dict[str, int]) -> np.ndarray:
     ws = words(text)
     v = np.zeros(len(CUTS) + 2)
     for w in ws:
-        v[tier.get(w.lower(), 0)] += 1
+        v[tier.get(w, 0)] += 1
     v /= max(1, len(ws))
     v[-1] = len(ws) / max(1, len(spans(text)) // 2)
     return v
@@ -133,25 +155,26 @@ def band_of(grade: float | None) -> int | None:
 _OUT = T.StructType([T.StructField("words", T.IntegerType()), T.StructField("english", T.BooleanType()), T.StructField("grade", T.DoubleType())])
 
 
-def graded(df: DataFrame, col: str, formula: Formula, least_words: int) -> DataFrame:
-    """``df`` with ``words``, ``english`` and ``grade`` (null under ``least_words``)."""
+def graded(df: DataFrame, col: str, formula: Formula, least_words: int, only_english: bool = False) -> DataFrame:
+    """``df`` with ``words``, ``english`` and ``grade`` (null under ``least_words``, and with
+    ``only_english`` where the text is in another language)."""
     held = df.sparkSession.sparkContext.broadcast(formula)
 
     @F.pandas_udf(_OUT)
-    def score(s: pd.Series) -> pd.DataFrame:
-        rows = []
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         f = held.value
-        get, rare, pace = f.weight.get, f.rare, f.pace
-        for t in s:
-            ws = [w.lower() for w in _WORD.findall(t)] if t else []
-            n = len(ws)
-            if n < least_words or not n:
-                rows.append((n, False, None))
-                continue
-            english_ = sum(w in _FUNCTION for w in ws) >= ENGLISH * n
-            g = sum([get(w, rare) for w in ws]) / n + pace * n / max(1, len(spans(t)) // 2)
-            rows.append((n, english_, g))
-        return pd.DataFrame(rows, columns=["words", "english", "grade"])
+        rate, pace = _Rated(f.weight, f.rare).__getitem__, f.pace
+        for s in batches:
+            rows = []
+            for t in s:
+                ws = words(t) if t else []
+                n = len(ws)
+                known = is_english(ws)
+                if n < max(1, least_words) or only_english and not known:
+                    rows.append((n, known, None))
+                else:
+                    rows.append((n, known, sum(map(rate, ws)) / n + pace * n / max(1, len(spans(t)) // 2)))
+            yield pd.DataFrame(rows, columns=["words", "english", "grade"])
 
     keep = [c for c in df.columns if c not in ("words", "english", "grade", "_g")]
     return df.withColumn("_g", score(F.col(col))).select(*[F.col(f"`{c}`") for c in keep], "_g.words", "_g.english", "_g.grade")
