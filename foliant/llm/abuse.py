@@ -125,7 +125,13 @@ def _runs(word: str) -> str:
 
 
 # Words too common to call for a closer look.
-_DULL = frozenset("the a an and or of to in on is are be by it you your we i my his her their they all us do that at for get has had so not no if as will".split())
+_DULL = frozenset(
+    """
+    the a an and or of to in on is are be by it you your we i my his her their they all us do that at for get has had so not no if as will
+    should under every cannot lost night drop where but am go make down me out back off up over into
+    la de es ll et den die du halt des un une val os ed ta ke ma king ée
+    """.split()
+)
 
 
 def _literals(pattern: str) -> set[str]:
@@ -204,8 +210,9 @@ class Scorer:
 
     KEPT = 200_000
 
-    def __init__(self, lexicon: dict[str, dict[str, float]] | None = None) -> None:
+    def __init__(self, lexicon: dict[str, dict[str, float]] | None = None, plain: list[str] | None = None) -> None:
         self.trie = Trie(lexicon or LEXICON)
+        self.plain = frozenset(plain or ())
         self.seen: dict[str, tuple[str, int] | None] = {}
         self.phrases = {k: [(re.compile(p), w) for p, w in ps] for k, ps in PHRASES.items()}
         # words of which each phrase that can decide a case holds one
@@ -219,7 +226,10 @@ class Scorer:
         except KeyError:
             if len(self.seen) > self.KEPT:
                 self.seen.clear()
-            hit = self.seen[token] = self.trie.lookup(token)
+            hit = self.trie.lookup(token)
+            if hit is not None and hit[1] and token in self.plain:
+                hit = None
+            self.seen[token] = hit
             return hit
 
     def window(self, sentence: str) -> dict[str, float]:
@@ -305,12 +315,31 @@ def _sentences(text: str) -> Iterator[str]:
 _SCORES = T.StructType([T.StructField(k, T.DoubleType()) for k in KINDS])
 
 
-def scored(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with a score of each kind (columns of these names are replaced)."""
+#: At most so many judged documents are read for ``plain_words``.
+MAX_JUDGED = 5000
+
+
+def plain_words(judged: DataFrame, text: str, least: int = 2) -> list[str]:
+    """Tokens that look like misspelt terms but stand in ``least`` and more of the texts
+    that were judged free of all kinds. ``judged`` is a bounded sample (``MAX_JUDGED``)."""
+
+    def near(batches):
+        s = Scorer()
+        for b in batches:
+            yield pd.DataFrame({"t": [t for x in b["x"] for t in set(_TOKEN.findall(fold(x))) if (s.term(t) or ("", 0))[1]]}, dtype=object)
+
+    d = judged.where(F.col(text).isNotNull()).select(F.col(text).alias("x"))
+    got = d.mapInPandas(near, T.StructType([T.StructField("t", T.StringType())]))
+    return [r.t for r in got.groupBy("t").count().where(F.col("count") >= least).collect()]
+
+
+def scored(df: DataFrame, text: str, plain: list[str] | None = None) -> DataFrame:
+    """``df`` with a score of each kind (columns of these names are replaced). ``plain``:
+    words that are never taken for misspelt terms."""
 
     @F.pandas_udf(_SCORES)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        s = Scorer()
+        s = Scorer(plain=plain)
         for b in batches:
             yield pd.DataFrame([s.text(t) for t in b], columns=list(KINDS))
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import markup, reading, sentences
-from foliant.session import table
+from foliant.llm import abuse, leakage, markup, mixing, reading, sentences
+from foliant.session import table, written
 
 
 def units(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,5 +95,53 @@ def p4_profile(spark: SparkSession, sf: str) -> DataFrame:
     return g.groupBy("source", reading.band(F.col("grade")).alias("band")).agg(F.count("*").alias("documents"), F.sum("words").alias("words"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_clean, p4_found, p4_profile)}
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaked(table(spark, sf, "documents"), table(spark, sf, "eval_items"), "doc_id", "text", "item_id", "text")
+
+
+def p7_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Per suite: items, items that leaked and the documents that hold them."""
+    found = p7_found(spark, sf)
+    items = table(spark, sf, "eval_items").select("item_id", "suite").distinct()
+    per = items.join(found, "item_id", "left").groupBy("suite", "item_id").agg(F.count("doc_id").alias("n"))
+    return per.groupBy("suite").agg(F.count("*").alias("items"), F.count_if(F.col("n") > 0).alias("leaked"), F.sum("n").alias("hits"))
+
+
+def _tokenizer() -> tuple[str, str]:
+    """Path of the ranks and the pattern that goes with them."""
+    import public_tokenizers as P
+
+    return P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+
+
+def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """Every use of a document in the mixture, with its slot."""
+    ranks, pattern = _tokenizer()
+    counted = mixing.token_counts(table(spark, sf, "documents").select("source", "doc_id", "text"), "text", ranks, pattern)
+    # the counts are dear and used twice
+    return mixing.mix(written(counted.select("source", "doc_id", "n_tokens")), table(spark, sf, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.shares(p8_mixture(spark, sf), table(spark, sf, "mix_targets"))
+
+
+def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's scores."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    labels = table(spark, sf, "content_labels").groupBy("doc_id").agg(F.max(F.col("label") != "none").alias("bad")).where(~F.col("bad"))
+    sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(abuse.MAX_JUDGED).select("doc_id")
+    plain = abuse.plain_words(docs.join(F.broadcast(sample), "doc_id", "left_semi"), "text")
+    return abuse.scored(docs, "text", plain).drop("text")
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return abuse.cases(p9_scores(spark, sf), "doc_id")
+
+
+def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return abuse.rates(p9_scores(spark, sf), "source")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_clean, p4_found, p4_profile, p7_found, p7_report, p8_mixture, p8_shares, p9_found, p9_scores, p9_rates)}
 SQL: dict[str, str] = {}
