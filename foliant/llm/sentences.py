@@ -80,10 +80,10 @@ _LAST = re.compile(r"((?:[^\W_]|[.’'ऀ-ःऺ-ॏะ-๎-])+)$", re.U)
 
 _MARK = "。！？｡।॥؟۔։።။។"
 _CAND = re.compile(
-    r"(?P<h>\n[^\S\n]*\n\s*)"
-    r"|(?P<t>[.!?…]+|[" + _MARK + r"]+)(?P<c>(?:[^\S\n]?»|[\"”’“」』〉》)\]}*_~`]|'(?!\w)|</\w+>)*)(?P<w>\s*)"
-    r"|(?P<n>\n\s*)"
-    r"|(?<=[฀-๿຀-໿ក-៿])(?P<s>[^\S\n]+)(?=[฀-๿຀-໿ក-៿])"
+    r"(\n[^\S\n]*\n\s*)"
+    r"|([.!?…]+|[" + _MARK + r"]+)((?:[^\S\n]?»|[\"”’“」』〉》)\]}*_~`]|'(?!\w)|</\w+>)*)(\s*)"
+    r"|(\n\s*)"
+    r"|(?<=[฀-๿຀-໿ក-៿])([^\S\n]+)(?=[฀-๿຀-໿ក-៿])"
 )
 _QUOTE = re.compile(r"[\"„“”«»‹›「」『』]")
 _PAIR = {'"': '"', "„": "“”", "“": "”", "”": "”", "«": "»", "»": "«", "‹": "›", "›": "‹", "「": "」", "『": "』"}
@@ -98,7 +98,7 @@ QUOTED = 1000
 def _opening(text: str, at: int, on: bool) -> float:
     """How well a sentence begins at ``at``. ``on``: a quotation or a mere space comes before."""
     n = len(text)
-    while at < n:
+    while at < n and not text[at].isalnum():
         m = _LEAD.match(text, at)
         if not m:
             break
@@ -129,6 +129,9 @@ def _closing(text: str, start: int, at: int, mark: str, after: int) -> float:
     if mark != ".":
         return 2.0 if "!" in mark or "?" in mark else 0.5
     head = text[max(start, at - 24) : at]
+    tail = head.rsplit(None, 1)
+    if tail and len(tail[-1]) > 4 and tail[-1].isalpha() and tail[-1].lower() not in _KIND:
+        return 2.0
     m = _LAST.search(head)
     if not m:
         return 2.0
@@ -165,7 +168,7 @@ def _closing(text: str, start: int, at: int, mark: str, after: int) -> float:
 
 def _heading(line: str) -> bool:
     """A short line without a stop whose words are in capitals or title case."""
-    words = line.split()
+    words = line.strip("#=*_ \t").split()
     if not words or len(words) > 9 or line.rstrip()[-1:] in ".,;:!?":
         return False
     big = sum(w[0].isupper() or not w[0].isalpha() for w in words)
@@ -241,55 +244,62 @@ def spans(text: str | None) -> list[int]:
         return out
     cands: list[tuple[int, int, float]] = []
     line = a
+    add = cands.append
     for m in _CAND.finditer(text, a, end):
-        kind = m.lastgroup
-        if kind == "h":
+        kind = m.lastindex
+        nx = m.end()
+        if kind == 1:  # a blank line
             _block(text, a, m.start(), cands, out)
-            a = line = m.end()
+            a = line = nx
             cands = []
-            continue
-        nx = m.end()
-        if kind == "w":
+            add = cands.append
+        elif kind == 4:  # a terminator, closing marks, white space
             if nx >= end:
                 continue
-            mark, gap, e = m.group("t"), m.group("w"), m.start("w")
+            at = m.start()
+            mark, closers, gap = m.group(2, 3, 4)
+            e = nx - len(gap)
             if not gap and mark[0] not in _MARK:
                 # a stop without a space ends a sentence only between a word and a capital
-                up, before = text[nx], text[m.start() - 1 : m.start()]
-                if not (up.isupper() or up in "\"“«¿¡„" and e == m.end("t")) or not (before.islower() or mark != "." or m.group("c")):
+                up = text[nx]
+                if not (up.isupper() or up in "\"“«¿¡„" and not closers) or not (text[at - 1 : at].islower() or mark != "." or closers):
                     continue
-                tail = text[max(a, m.start() - 40) : m.start()].rsplit(None, 1)[-1]
+                tail = text[max(a, at - 40) : at].rsplit(None, 1)[-1]
                 if "://" in tail or "@" in tail or "\\" in tail or "/" in tail:
                     continue
                 if up in "\"“«„" and not text[nx + 1 : nx + 2].isupper():
                     continue
-            closers = m.group("c")
-            quoted = any(c in "\"”’“»」』" for c in closers)
-            opening = _opening(text, nx, quoted or mark[0] == "." and text[nx] > "\u08ff" and _NO_STOP.match(text, nx) is not None)
-            item = "\n" in gap and _ITEM.match(text, nx)
-            score = 4.0 if item else opening if opening <= -5.0 else opening + _closing(text, a, m.start(), mark, nx)
-            if item is None or not item:
-                if "\n" in gap and opening > 0 and score > 0:
-                    score += 0.5
+            on = False
+            if closers:
+                on = any(c in "\"”’“»」』" for c in closers)
+            if not on and mark[0] == "." and text[nx] > "\u08ff":
+                on = _NO_STOP.match(text, nx) is not None
+            opening = _opening(text, nx, on)
+            score = opening if opening <= -5.0 else opening + _closing(text, a, at, mark, nx)
             if "\n" in gap:
                 line = nx
-            cands.append((e, nx, score))
-        elif kind == "n":
+                if _ITEM.match(text, nx):
+                    score = 4.0
+                elif opening > 0 and score > 0:
+                    score += 0.5
+            add((e, nx, score))
+        elif kind == 5:  # a single line break
             e = m.start()
             if _ITEM.match(text, nx):
                 score = 4.0
             else:
                 opening = _opening(text, nx, True)
-                own = text[line:e]
-                score = 4.0 if opening > -5.0 and _heading(own) and len(own) < 70 else -3.0 if opening > -5.0 else -5.0
-                stop = text.find("\n", nx, end)
-                if score < 0 and opening > -5.0 and _heading(text[nx : stop if stop > 0 else end]) and stop > 0:
-                    score = 1.0
-            cands.append((e, nx, score))
+                score = -5.0
+                if opening > -5.0:
+                    own = text[line:e]
+                    score = 4.0 if len(own) < 70 and _heading(own) else -3.0
+                    stop = text.find("\n", nx, end)
+                    if score < 0 and stop > 0 and _heading(text[nx:stop]):
+                        score = 1.0
+            add((e, nx, score))
             line = nx
-        else:
-            score = 2.0 if _opening(text, nx, True) > 0 else -5.0
-            cands.append((m.start(), nx, score))
+        else:  # a space in a script that writes no stop
+            add((m.start(), nx, 2.0 if _opening(text, nx, True) > 0 else -5.0))
     _block(text, a, end, cands, out)
     return out
 
