@@ -232,6 +232,13 @@ class Scorer:
             self.seen[token] = hit
             return hit
 
+    def joined(self, m: re.Match) -> str:
+        """A spelt-out word in one piece; a first letter that is a word of its own stays apart."""
+        word = m.group().replace(m.group(1), "")
+        if m.group(1) == " " and not self.term(fold(word)) and self.term(fold(word[1:])):
+            return word[0] + " " + word[1:]
+        return word
+
     def window(self, sentence: str) -> dict[str, float]:
         raw = _TOKEN.findall(fold(sentence))
         words, score = [], dict.fromkeys(KINDS, 0.0)
@@ -291,7 +298,7 @@ class Scorer:
         if any(c in text for c in "<&[{_`\\") or "*" in text or "''" in text:
             text = scan(text)[1]
         if spelt:
-            text = _SPELT.sub(lambda m: m.group().replace(m.group(1), ""), text)
+            text = _SPELT.sub(self.joined, text)
         top = dict.fromkeys(KINDS, 0.0)
         for part in _sentences(text):
             if not other and not self.calls(_TOKEN.findall(fold(part))):

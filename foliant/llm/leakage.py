@@ -108,7 +108,8 @@ def longest(a: list[str], b: list[str]) -> int:
     change in ``PER_EDIT`` words (a replaced, added, dropped or misspelt word is one).
 
     A least-cost alignment lets ``b``'s ends go free; along its path a match counts 1, a
-    change ``1 - PER_EDIT``, and the longest stretch with a sum of 0 or more is taken."""
+    change ``1 - PER_EDIT``, and the longest stretch with a sum of 0 or more that begins and ends
+    with a match is taken."""
     n, m = len(a), len(b)
     cost = [[0] * (m + 1)]
     for i in range(1, n + 1):
@@ -136,12 +137,16 @@ def longest(a: list[str], b: list[str]) -> int:
         else:
             break
     best = 0
-    seen: list[tuple[int, int]] = [(0, 0)]  # (sum, words) of prefixes, sums falling
+    seen: list[tuple[int, int]] = []  # (sum, words) before a match, sums falling
     s = w = 0
     for of_a, same in steps:
+        if same and (not seen or s < seen[-1][0]):
+            seen.append((s, w))
         s += 1 if same else 1 - PER_EDIT
         w += of_a
-        # the earliest prefix with a sum not above this one
+        if not same:
+            continue
+        # the earliest start with a sum not above this one
         lo, hi = 0, len(seen)
         while lo < hi:
             mid = (lo + hi) // 2
@@ -151,8 +156,6 @@ def longest(a: list[str], b: list[str]) -> int:
                 lo = mid + 1
         if lo < len(seen):
             best = max(best, w - seen[lo][1])
-        if s < seen[-1][0]:
-            seen.append((s, w))
     return best
 
 
@@ -239,7 +242,7 @@ def leaked(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: s
                     for k in leaks(tokens(t), ix, memo):
                         ids.append(d)
                         found.append(ix.ids[k])
-                yield pd.DataFrame({doc_id: pd.Series(ids, dtype=pdf[doc_id].dtype), item_id: found})
+                yield pd.DataFrame({doc_id: pd.Series(ids, dtype=object), item_id: pd.Series(found, dtype=object)})
 
         got = docs.select(doc_id, text).where(F.col(text).isNotNull()).mapInPandas(find, schema)
         out = got if out is None else out.unionByName(got)

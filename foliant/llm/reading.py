@@ -62,6 +62,9 @@ def frequent_words(texts: DataFrame, col: str = "text", least: float = LEAST) ->
     text, so no more than that mean divided by ``least`` words can qualify.
     """
 
+    def frame(n: Counter[str]) -> pd.DataFrame:
+        return pd.DataFrame({"w": pd.Series(list(n), dtype=object), "n": pd.Series(list(n.values()), dtype="int64")})
+
     def count(batches):
         n: Counter[str] = Counter()
         for b in batches:
@@ -71,9 +74,9 @@ def frequent_words(texts: DataFrame, col: str = "text", least: float = LEAST) ->
                     n.update(set(ws))
                     n[""] += 1
             if len(n) > 1_000_000:
-                yield pd.DataFrame({"w": list(n), "n": list(n.values())})
+                yield frame(n)
                 n.clear()
-        yield pd.DataFrame({"w": list(n), "n": list(n.values())}).astype({"w": object, "n": "int64"})
+        yield frame(n)
 
     schema = T.StructType([T.StructField("w", T.StringType()), T.StructField("n", T.LongType())])
     df = written(texts.where(F.col(col).isNotNull()).select(F.col(col).alias("t")).mapInPandas(count, schema).groupBy("w").agg(F.sum("n").alias("n")))

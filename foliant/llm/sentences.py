@@ -190,7 +190,7 @@ def _block(text: str, a: int, b: int, cands: list[tuple[int, int, float]], out:
                 if p - since <= QUOTED:
                     toggles += (since, p)
                 want = ""
-            elif not want or p - since > QUOTED:
+            elif ch in _PAIR and (not want or p - since > QUOTED):
                 want, since = _PAIR[ch], p
     else:
         # without quotations only the length ties the spans together, and it never
@@ -249,7 +249,11 @@ def spans(text: str | None) -> list[int]:
         kind = m.lastindex
         nx = m.end()
         if kind == 1:  # a blank line
-            _block(text, a, m.start(), cands, out)
+            e = m.start()
+            while e > a and text[e - 1].isspace():
+                e -= 1
+            if e > a:
+                _block(text, a, e, [c for c in cands if c[0] < e], out)
             a = line = nx
             cands = []
             add = cands.append
@@ -285,6 +289,10 @@ def spans(text: str | None) -> list[int]:
             add((e, nx, score))
         elif kind == 5:  # a single line break
             e = m.start()
+            while e > a and text[e - 1].isspace():
+                e -= 1
+            if e <= (cands[-1][1] if cands else a):
+                continue
             if _ITEM.match(text, nx):
                 score = 4.0
             else:
@@ -300,7 +308,8 @@ def spans(text: str | None) -> list[int]:
             line = nx
         else:  # a space in a script that writes no stop
             add((m.start(), nx, 2.0 if _opening(text, nx, True) > 0 else -5.0))
-    _block(text, a, end, cands, out)
+    if a < end:
+        _block(text, a, end, cands, out)
     return out
 
 
