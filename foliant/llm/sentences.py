@@ -268,7 +268,7 @@ def spans(text: str | None) -> list[int]:
                 up = text[nx]
                 if not (up.isupper() or up in "\"“«¿¡„" and not closers) or not (text[at - 1 : at].islower() or mark != "." or closers):
                     continue
-                tail = text[max(a, at - 40) : at].rsplit(None, 1)[-1]
+                tail = (text[max(a, at - 40) : at].rsplit(None, 1) or [""])[-1]
                 if "://" in tail or "@" in tail or "\\" in tail or "/" in tail:
                     continue
                 if up in "\"“«„" and not text[nx + 1 : nx + 2].isupper():
