@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.plans import records
+from foliant.plans import index, records
 
-MODULES = [records]
+MODULES = [records, index]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
