@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.plans import index, records
+from foliant.plans import index, records, structure
 
-MODULES = [records, index]
+MODULES = [records, index, structure]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
