@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.plans import index, records, structure
+from foliant.plans import index, planning, records, structure
 
-MODULES = [records, index, structure]
+MODULES = [records, index, structure, planning]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
