@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.plans import checks, index, planning, records, structure
+from foliant.plans import checks, convert, index, planning, records, structure
 
-MODULES = [records, index, structure, planning, checks]
+MODULES = [records, index, structure, planning, checks, convert]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
