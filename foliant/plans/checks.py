@@ -429,7 +429,7 @@ SQL = {
     "rev_packet": f"""select pub_id, claim_id, rank, id, sentence from (select *, row_number() over (partition by pub_id, claim_id order by ord, sentence_no) as rank from (
       select distinct c.pub_id, c.claim_id, n.id, n.ord, d.sentence_no, d.sentence from {_CITES} c join (select pub_id, id, ord, unnest(list_append(path, id)) as anc from {nodes_sql("ord, path", TEXTS)}) n on n.pub_id = c.pub_id and n.anc = c.node_id
       join ({ix.DIRECTIVES_SQL}) d on d.pub_id = n.pub_id and d.node_id = n.id and d.strength <> 'permissive')) where rank <= 8""",
-    "rep_title_runs": f"""select pub_id, run, title, min(slide_ord) as first, max(slide_ord) as last, count(*) as slides from (select *, sum(new) over (partition by pub_id order by slide_ord, slide_id) as run from (
+    "rep_title_runs": f"""select pub_id, cast(run as bigint) as run, title, min(slide_ord) as first, max(slide_ord) as last, count(*) as slides from (select *, sum(new) over (partition by pub_id order by slide_ord, slide_id) as run from (
       select *, case when lag(title) over (partition by pub_id order by slide_ord, slide_id) is not distinct from title and row_number() over (partition by pub_id order by slide_ord, slide_id) > 1 then 0 else 1 end as new from (
         select distinct pub_id, slide_ord, slide_id, trim(regexp_replace(title, '\\s*\\(\\d+ of \\d+\\)$', '')) as title from {_SLIDES}))) group by pub_id, run, title""",
     "spec_tree_check": f"""select n.pub_id, count(*) as nodes, count(*) filter (n.parent_id is not null and p.id is null) as lost, count(*) filter (r.id is null) as unreached from {nodes_sql('parent_id')} n

@@ -66,7 +66,7 @@ def lay_wrap_merge(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("page", "no", "tier", F.array_join(F.transform("ls", lambda x: x["text"]), " ").alias("text"))
 
 
-_WRAP = f"""select page, no, tier, string_agg(text, ' ' order by y, line_no) as text from (
+_WRAP = f"""select page, cast(no as bigint) as no, tier, string_agg(text, ' ' order by y, line_no) as text from (
     select *, sum(new) over (partition by page order by y, line_no) as no from (
       select *, case when lag(tier) over w = tier and y - lag(y) over w > 0 and y - lag(y) over w <= 1.6 * size then 0 else 1 end as new
       from {_TIERS_SQL} where y >= {HEADER_Y} and tier is not null and tier not in ('LBL', 'T2+') window w as (partition by page order by y, line_no))) group by page, no, tier"""
@@ -231,15 +231,15 @@ def conv_report(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (lay_tier, lay_page_label, lay_wrap_merge, lay_drop_runin, meta_title, blk_levels, blk_zones, blk_join_pages, tbl_score, tbl_rebuild_select, tbl_grid, tbl_merge_continued, tbl_clean, tbl_legend_source, wrd_joined_fixes, wrd_apply, gls_format, conv_report)}
 _D = "(select distinct pub_id, node_id, sentence, md5(sentence) as k from directives)"
 SQL = {
-    "lay_tier": f"select tier, count(*) as n, min(y) as top from {_TIERS_SQL} group by tier",
+    "lay_tier": f"select tier, count(*) as n, cast(min(y) as double) as top from {_TIERS_SQL} group by tier",
     "lay_page_label": f"select page, arg_max(text, line_no) as label from {_LINES_SQL} where y > {FOOTER_Y - 50} and regexp_matches(text, {rx.sql(PAGE_LABEL)}) group by page",
     "lay_wrap_merge": _WRAP,
-    "lay_drop_runin": f"select tier, count(*) as n, sum(length(text)) as chars from ({_WRAP}) where tier in ('T1', 'T2') or (length(text) <= 150 and not ends_with(text, '.')) group by tier",
+    "lay_drop_runin": f"select tier, count(*) as n, cast(sum(length(text)) as bigint) as chars from ({_WRAP}) where tier in ('T1', 'T2') or (length(text) <= 150 and not ends_with(text, '.')) group by tier",
     "meta_title": f"select page, arg_min(text, (y, line_no)) as title from {_TIERS_SQL} where tier = 'T1' and not regexp_matches(text, '(?i)^([A-Z]{{2,4}} \\d|Contents$|Figures$|Tables$)|DISTRIBUTION') group by page",
     "blk_levels": f"select pub_id, id, 1 + dense_rank() over (partition by pub_id, division_id order by level) as level from {nodes_sql('division_id, level', ('heading',))}",
     "blk_zones": f"""select n.pub_id, n.id, d.title as zone from {nodes_sql('ord, division_id')} n left join {nodes_sql('title', ('division',))} d on d.pub_id = n.pub_id and d.id = n.division_id
       where n.ord < coalesce((select min(ord) from nodes s where s.pub_id = n.pub_id and s.type = 'division' and s.kind = 'glossary'), 9223372036854775807)""",
-    "blk_join_pages": f"""select pub_id, no, count(*) as parts, min(ord) as ord, sum(length(plain)) as chars from (select *, sum(new) over (partition by pub_id order by ord) as no from (
+    "blk_join_pages": f"""select pub_id, cast(no as bigint) as no, count(*) as parts, min(ord) as ord, cast(sum(length(plain)) as bigint) as chars from (select *, sum(new) over (partition by pub_id order by ord) as no from (
       select *, case when page > lag(page) over w and regexp_matches(lag(trim(plain)) over w, {rx.sql(OPEN)}) and regexp_matches(trim(plain), {rx.sql(CONTINUES)}) then 0 else 1 end as new
       from {nodes_sql("ord, page, plain", ("paragraph", "text"), "plain <> ''")} window w as (partition by pub_id order by ord))) group by pub_id, no""",
     "tbl_score": f"""with j as (select d.pub_id, d.node_id, d.k, d.sentence, n.plain from {_D} d join {nodes_sql('plain', TEXTS)} n on n.pub_id = d.pub_id and n.id = d.node_id),
