@@ -250,8 +250,8 @@ SQL = {
     "tbl_rebuild_select": f"""with t as (select pub_id, id, page, list_distinct({_tokens_sql("array_to_string(flatten(rows), ' ')")}) as ts from {nodes_sql('page, rows', ('table',))} where len(rows) > 0),
       j as (select a.pub_id, a.id, b.id as cand, round(len(list_intersect(a.ts, b.ts)) / greatest(1, len(list_distinct(list_concat(a.ts, b.ts)))), 6) as sim from t a join t b on a.pub_id = b.pub_id and a.page = b.page and a.id <> b.id)
       select pub_id, id, cand, sim, sim >= 0.4 as accepted from (select *, row_number() over (partition by pub_id, id order by sim desc, cand desc) as k from j) where k = 1""",
-    "tbl_grid": f"""select page, band, count(*) as n, min(line_no) as first from (select l.page, l.line_no, l.y, l.font, l.size, l.text, min(b.k) as band from {_LINES_SQL} l join (select unnest(generate_series(0, 20)) as k) b
-      on l.y between 50 + 40 * b.k - 1 and 50 + 40 * (b.k + 1) + 1 where l.y between 49 and 690 group by all) group by page, band""",
+    "tbl_grid": f"""select page, band, count(*) as n, min(line_no) as first from (select l.page, l.line_no,
+      (select min(k) from (select unnest(generate_series(0, 20)) as k) b where l.y between 50 + 40 * b.k - 1 and 50 + 40 * (b.k + 1) + 1) as band from {_LINES_SQL} l where l.y between 49 and 690) group by page, band""",
     "tbl_merge_continued": f"""select pub_id, number, count(*) as parts, cast(sum(len(rs)) as int) as n_rows, md5(array_to_string(list_transform(flatten(flatten(list(rs order by ord))), lambda x: coalesce(x, '')), '|')) as digest from (
       select t.*, list_filter(coalesce(rows, []), lambda r: r is distinct from first_columns) as rs from (select *, first_value(columns) over (partition by pub_id, number order by ord) as first_columns from {nodes_sql('ord, number, columns, rows', ('table',), 'number is not null')}) t) group by pub_id, number""",
     "tbl_legend_source": f"select pub_id, id, array_to_string(list_sort(list_distinct(regexp_extract_all(key, '\\b([A-Z][A-Z0-9/]+)\\s*[–-]\\s*[a-zA-Z]', 1))), ',') as abbreviations from {nodes_sql('key', ('table',), 'key is not null')}",
