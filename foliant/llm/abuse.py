@@ -112,7 +112,7 @@ REPORTED, TECHNICAL, NOBODY = 0.25, 0.4, 0.3
 _LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "il", "*": "*"}
 _TOKEN = re.compile(r"(?:[@$!](?=\w))?[^\W_]+(?:(?:[@$!*]+|['’](?=\w))[^\W_]*)*")
 _SPELT = re.compile(r"(?<![^\W_])(?:[^\W_]([ .·-]))(?:[^\W_]\1){1,}[^\W_](?![^\W_])")
-_END = re.compile(r"[.!?。！？।؟…]+[\"'”’»」)]*(?:\s|$)|\n\s*\n|[。！？।]")
+_END = re.compile(r"[.!?。！？।؟…]+[\"'”’»」)]*(?:\s|$)|\n\s*\n|(?<=[a-z])[.!?](?=[A-Z][a-z ])|[。！？।]")
 
 
 def fold(word: str) -> str:
