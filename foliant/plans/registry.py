@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.plans import checks, convert, index, intake, planning, records, render, structure
+from foliant.plans import checks, convert, index, intake, pages, planning, records, render, structure
 from foliant.streaming import ingest
 
-MODULES = [records, index, structure, planning, checks, convert, intake, render, ingest]
+MODULES = [records, index, structure, planning, checks, convert, intake, render, pages, ingest]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
