@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import rx, text as tx
+from foliant.operators.ordered import last_before
 from foliant.plans import index as ix
 from foliant.plans.index import TEXTS, nodes, nodes_sql
 from foliant.plans.structure import CONTAINERS, SQL as STRUCTURE_SQL, _OWN_COLS, _OWN_SQL, cited, own_text
@@ -141,9 +142,8 @@ def chk_callout(spark: SparkSession, sf: str) -> DataFrame:
     n = nodes(spark, sf, "ord", "type", "plain")
     # islands of text nodes: the label node opens one and any other node that isn't text ends it
     is_label = F.coalesce(label.isin("CAUTION", "WARNING", "DANGER", "NOTE"), F.lit(False))
-    w = Window.partitionBy("pub_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     event = F.when(is_label, label).when((F.col("type") != "text") | F.coalesce(F.trim("plain") == "", F.lit(True)), F.lit(""))
-    n = n.withColumn("under", F.last(event, ignorenulls=True).over(w)).select("pub_id", F.col("id").alias("node_id"), label.alias("own"), F.coalesce("under", F.lit("")).alias("under"))
+    n = last_before(n, ["pub_id"], "ord", event, "under").select("pub_id", F.col("id").alias("node_id"), label.alias("own"), F.coalesce("under", F.lit("")).alias("under"))
     s = slides(spark, sf).where("callout is not null").select("pub_id", "slide_id", F.upper("callout").alias("label"))
     c = claims(spark, sf).where(~F.col("in_notes")).select("pub_id", "slide_id", "claim_id").distinct().join(s, ["pub_id", "slide_id"])
     j = c.join(cites(spark, sf), ["pub_id", "claim_id"], "left").join(n, ["pub_id", "node_id"], "left")

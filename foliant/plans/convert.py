@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import rx, text as tx
-from foliant.operators import tables as tb
+from foliant.operators import ordered, tables as tb
 from foliant.plans.index import TEXTS, nodes, nodes_sql
 from foliant.session import table
 
@@ -103,11 +103,10 @@ def blk_join_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Text that a page break cut: a text node that ends open (a connector, hyphen, comma or
     bare word) and the next on a later page that begins in lower case or with a digit."""
     n = nodes(spark, sf, "ord", "page", "plain", types=("paragraph", "text")).where("plain <> ''")
-    w = Window.partitionBy("pub_id").orderBy("ord")
     t = F.trim("plain")
-    n = n.withColumn("a", F.lag(t).over(w)).withColumn("a_page", F.lag("page").over(w))
-    joined = (F.col("page") > F.col("a_page")) & F.col("a").rlike(OPEN) & t.rlike(CONTINUES)
-    n = n.withColumn("new", F.when(joined, 0).otherwise(1)).withColumn("no", F.sum("new").over(w))
+    n = ordered.neighbour(n.withColumn("t", t), ["pub_id"], "ord", ["t", "page"], "a")
+    joined = (F.col("page") > F.col("a.page")) & F.col("a.t").rlike(OPEN) & t.rlike(CONTINUES)
+    n = ordered.running_sum(n, ["pub_id"], "ord", F.when(joined, 0).otherwise(1), "no")
     return n.groupBy("pub_id", "no").agg(F.count("*").alias("parts"), F.min("ord").alias("ord"), F.sum(F.length("plain")).alias("chars"))
 
 

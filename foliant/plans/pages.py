@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.functions import text as tx
-from foliant.operators import tables as tb
+from foliant.operators import ordered, tables as tb
 from foliant.plans import index as ix
 from foliant.plans.checks import _CLAIMS, _SLIDES, STRUCTURAL, claims, slides
 from foliant.plans.index import TEXTS, nodes, nodes_sql
@@ -66,8 +66,7 @@ def tbl_overflow(spark: SparkSession, sf: str) -> DataFrame:
     """Tables and the text right after them: whether it takes up a cell of the last row
     (from 40 letters on)."""
     n = nodes(spark, sf, "ord", "type", "plain", "rows")
-    w = Window.partitionBy("pub_id").orderBy("ord")
-    n = n.withColumn("after", F.lead("plain").over(w)).withColumn("after_id", F.lead("id").over(w)).where("type = 'table' and size(rows) > 0 and after is not null")
+    n = ordered.neighbour(n, ["pub_id"], "ord", ["plain", "id"], "next", after=True).withColumn("after", F.col("next.plain")).withColumn("after_id", F.col("next.id")).where("type = 'table' and size(rows) > 0 and after is not null")
     last = F.element_at("rows", -1)
     hit = F.exists(last, lambda c: (F.length(_bare(c)) >= 40) & F.startswith(_bare(F.col("after")), _bare(c)))
     return n.select("pub_id", "id", "after_id", F.coalesce(hit, F.lit(False)).alias("overflow"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
-from foliant.operators import markdown
+from foliant.operators import markdown, ordered
 from foliant.plans.index import TEXTS, nodes, nodes_sql
 from foliant.session import table
 
@@ -202,21 +202,12 @@ def md_block_kinds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def md_page_asof(spark: SparkSession, sf: str) -> DataFrame:
-    """The page in force at each node: the last one named at or before it. Two levels, so
-    that no publication has to stand in one task: within runs of ``RUN`` ordinals, and the
-    last page of the runs before."""
-    run = 256
-    n = nodes(spark, sf, "ord", "page", "page_label").withColumn("run", F.floor(F.col("ord") / run))
+    """The page in force at each node: the last one named at or before it (label and page as
+    one value, so that a page without a label resets it)."""
+    n = nodes(spark, sf, "ord", "page", "page_label")
     # every fifth node is taken to print its page; the others take the last one printed
-    mark = F.when(F.col("ord") % 5 == 0, F.struct("page", "page_label"))
-    n = n.withColumn("mark", mark)
-    tails = n.where("mark is not null").groupBy("pub_id", "run").agg(F.max_by("mark", "ord").alias("tail"))
-    every = n.select("pub_id", "run").distinct().join(tails, ["pub_id", "run"], "left")
-    before = every.withColumn("before", F.last("tail", ignorenulls=True).over(Window.partitionBy("pub_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))).drop("tail")
-    inside = F.last("mark", ignorenulls=True).over(Window.partitionBy("pub_id", "run").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))
-    got = n.withColumn("here", inside).join(before, ["pub_id", "run"], "left")
-    at = F.coalesce("here", "before")
-    return got.select("pub_id", "id", at["page"].alias("page"), at["page_label"].alias("page_label"))
+    n = ordered.last_before(n, ["pub_id"], "ord", F.when(F.col("ord") % 5 == 0, F.struct("page", "page_label")), "at", here=True)
+    return n.select("pub_id", "id", F.col("at.page").alias("page"), F.col("at.page_label").alias("page_label"))
 
 
 def md_terms(spark: SparkSession, sf: str) -> DataFrame:
