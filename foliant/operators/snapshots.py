@@ -50,10 +50,9 @@ class SnapshotIndex:
     def __init__(self, spark: SparkSession, key: list[str], compared: list[str], latest: str | None = None, buckets: int | None = None):
         self.spark, self.key, self.compared, self.latest = spark, key, compared, latest
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name: str | None = None
-        self._old: list[tuple[str, str]] = []
+        self.held: DataFrame | None = None
 
-    def _write(self, frame: DataFrame) -> str:
+    def _write(self, frame: DataFrame) -> DataFrame:
         name = f"snapshot_index_{uuid.uuid4().hex}"
         path = f"{shared_dir(self.spark)}/{name}"
         # by key within as many partitions as buckets: one file per bucket
@@ -61,11 +60,14 @@ class SnapshotIndex:
             frame.repartition(self.buckets, *self.key).write.format("parquet").option("path", path)
             .bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(name)
         )
-        return name
+        out = self.spark.table(name)
+        # the frame knows its files and buckets: the catalogue needs no entry, and the files stay
+        self.spark.sql(f"DROP TABLE {name}")
+        return out
 
     def load(self, snapshot: DataFrame) -> None:
         """Take ``snapshot`` as the last one, without a report."""
-        self._swap(self._write(self._keyed(snapshot)))
+        self.held = self._write(self._keyed(snapshot))
 
     def _keyed(self, snapshot: DataFrame) -> DataFrame:
         # null parts must meet: they are held as a marked string beside the value
@@ -78,35 +80,24 @@ class SnapshotIndex:
         kept = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(self.compared)]
         return kept + ([F.col(f"`{self.latest}`").alias("_t")] if self.latest else [])
 
-    def _swap(self, name: str) -> None:
-        if self.name:
-            self._old.append((self.name, ""))
-        self.name = name
-
     def apply(self, snapshot: DataFrame) -> DataFrame:
         """Rows of ``key`` and ``change_kind`` (added, removed, changed) against the
         last snapshot; the index then holds ``snapshot``."""
         fresh = self._write(self._keyed(snapshot))
-        new = self.spark.table(fresh).withColumnRenamed("_h", "_new")
-        if self.name is None:
+        new = fresh.withColumnRenamed("_h", "_new")
+        if self.held is None:
             out = new.select(*self._plain(), F.lit("added").alias(KIND))
         else:
-            old = self.spark.table(self.name).withColumnRenamed("_h", "_was")
+            old = self.held.withColumnRenamed("_h", "_was")
             kind = F.when(F.col("_was").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed")
             met = old.join(new, self.key, "full_outer").where(~F.col("_was").eqNullSafe(F.col("_new")))
             out = met.select(*self._plain(), kind.alias(KIND))
-        self._swap(fresh)
+        self.held = fresh
         return out
 
     def _plain(self) -> list[Column]:
         return [F.when(F.col(k) != "-", F.expr(f"substring(`{k}`, 2)")).alias(k) for k in self.key]
 
-    def drop_old(self) -> None:
-        """Drop the tables of replaced indexes (once no report reads them)."""
-        for name, _ in self._old:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self._old.clear()
-
 
 def with_values(changes: DataFrame, old: DataFrame, new: DataFrame, key: list[str], compared: list[str]) -> DataFrame:
     """``changes`` with structs ``old`` and ``new`` of the compared values, fetched for
