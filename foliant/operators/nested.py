@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,17 +165,18 @@ def _kids_type(fields: dict[str, str]) -> str:
     return f"array<struct<path:array<int>,{inner},held:string>>"
 
 
-def numbered(nodes: DataFrame, key: list[str]) -> DataFrame:
+def numbered(nodes: DataFrame, key: list[str], depth: int) -> DataFrame:
     """``nodes`` with ``ord`` (depth-first from 1) and ``parent_ord`` (0 at the first
-    level) within ``key``. One document is one group, so a group is no larger than a
-    row of the input was."""
-    from pyspark.sql import Window
-
+    level) within ``key``: a node's parent is the last node before it that is one level
+    higher, and ``depth`` running maxima know the last node of each level. One document is
+    one group, so a group is no larger than a row of the input was."""
     w = Window.partitionBy(*key).orderBy("path")
+    level = F.size("path")
     n = nodes.withColumn("ord", F.row_number().over(w))
-    parent = n.withColumn("_up", F.when(F.size("path") > 1, F.slice("path", F.lit(1), F.size("path") - 1)))
-    ids = parent.select(*key, F.col("path").alias("_up"), F.col("ord").alias("parent_ord"))
-    return parent.join(ids, [*key, "_up"], "left").withColumn("parent_ord", F.coalesce("parent_ord", F.lit(0))).drop("_up")
+    upto = w.rowsBetween(Window.unboundedPreceding, -1)
+    last = [F.max(F.when(level == k, F.col("ord"))).over(upto) for k in range(1, max(1, depth))]
+    up = F.get(F.array(*last), level - 2) if last else F.lit(None).cast("int")
+    return n.withColumn("parent_ord", F.when(level > 1, up).otherwise(0))
 
 
 def latest_readable(df: DataFrame, key: str, order: str, col: str, lists: tuple[str, str], wrappers: tuple[str, ...]) -> DataFrame:

@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.operators import nested, orphans, snapshots
-from foliant.session import table
+from foliant.session import table, written
 
 #: How a tree's levels are named, and the keys under which a tree may be wrapped.
 LEVELS, WRAPPERS = ("divisions", "children"), ("tree", "doc_tree", "document", "data", "payload")
 
 
 def p2_nodes(spark: SparkSession, sf: str, fields: dict[str, str]) -> DataFrame:
-    trees = nested.latest_readable(table(spark, sf, "doc_trees"), "pub_id", "received_at", "tree", LEVELS, WRAPPERS)
+    # unpacked once: the depth and the nodes both come from what is written
+    trees = written(nested.latest_readable(table(spark, sf, "doc_trees"), "pub_id", "received_at", "tree", LEVELS, WRAPPERS))
     deep = trees.agg(F.max("_deep")).first()[0] or 1
     flat = nested.flatten_recursive(trees, "_first", ["pub_id"], fields, "children", deep)
-    return nested.numbered(flat, ["pub_id"])
+    return nested.numbered(flat, ["pub_id"], deep)
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     n = p2_nodes(spark, sf, {"type": "string"})
-    return n.select("pub_id", F.col("ord").cast("int").alias("ord"), F.col("parent_ord").cast("int").alias("parent_ord"), F.col("type").alias("node_type")).distinct()
+    return n.select("pub_id", F.col("ord").cast("int").alias("ord"), F.col("parent_ord").cast("int").alias("parent_ord"), F.col("type").alias("node_type"))
 
 
 def p2_node_table(spark: SparkSession, sf: str) -> DataFrame:

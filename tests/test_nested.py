@@ -34,7 +34,7 @@ def flat(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     t = nested.latest_readable(df, "pub_id", "received_at", "tree", LISTS, WRAP)
     deep = t.agg(F.max("_deep")).first()[0] or 1
-    n = nested.numbered(nested.flatten_recursive(t, "_first", ["pub_id"], {"type": "string"}, "children", deep), ["pub_id"])
+    n = nested.numbered(nested.flatten_recursive(t, "_first", ["pub_id"], {"type": "string"}, "children", deep), ["pub_id"], deep)
     return sorted((r.pub_id, r.ord, r.parent_ord, r.type) for r in n.collect())
 
 
