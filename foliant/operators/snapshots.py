@@ -9,6 +9,7 @@ old one's place.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,14 +53,13 @@ class SnapshotIndex:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.held: DataFrame | None = None
 
-    def _write(self, frame: DataFrame) -> DataFrame:
+    def _write(self, frame: DataFrame, period: str | None = None) -> DataFrame:
         name = f"snapshot_index_{uuid.uuid4().hex}"
         path = f"{shared_dir(self.spark)}/{name}"
         # by key within as many partitions as buckets: one file per bucket
-        (
-            frame.repartition(self.buckets, *self.key).write.format("parquet").option("path", path)
-            .bucketBy(self.buckets, *self.key).sortBy(*self.key).saveAsTable(name)
-        )
+        w = frame.repartition(self.buckets, *self.key).write.format("parquet").option("path", path)
+        # within a bucket by period, so that a period's rows are row groups of their own
+        w.bucketBy(self.buckets, *self.key).sortBy(*(["_p"] if period else []), *self.key).saveAsTable(name)
         out = self.spark.table(name)
         # the frame knows its files and buckets: the catalogue needs no entry, and the files stay
         self.spark.sql(f"DROP TABLE {name}")
@@ -69,9 +69,10 @@ class SnapshotIndex:
         """Take ``snapshot`` as the last one, without a report."""
         self.held = self._write(self._keyed(snapshot))
 
-    def _keyed(self, snapshot: DataFrame) -> DataFrame:
+    def _keyed(self, snapshot: DataFrame, period: str | None = None) -> DataFrame:
         # null parts must meet: they are held as a marked string beside the value
-        return keyed(snapshot.select(*self._parts(), *self._values(snapshot)), self.key, [f"_c{i}" for i in range(len(self.compared))], "_t" if self.latest else None)
+        at = [F.col(f"`{period}`").cast("string").alias("_p")] if period else []
+        return keyed(snapshot.select(*at, *self._parts(), *self._values(snapshot)), ["_p", *self.key] if period else self.key, [f"_c{i}" for i in range(len(self.compared))], "_t" if self.latest else None)
 
     def _parts(self) -> list[Column]:
         return [F.coalesce(F.concat(F.lit("="), F.col(f"`{k}`").cast("string")), F.lit("-")).alias(k) for k in self.key]
@@ -84,17 +85,19 @@ class SnapshotIndex:
         """Rows of ``key`` and ``change_kind`` (added, removed, changed) against the
         last snapshot; the index then holds ``snapshot``."""
         fresh = self._write(self._keyed(snapshot))
-        new = fresh.withColumnRenamed("_h", "_new")
-        if self.held is None:
-            out = new.select(*self._plain(), F.lit("added").alias(KIND))
-        else:
-            old = self.held.withColumnRenamed("_h", "_was")
-            kind = F.when(F.col("_was").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed")
-            met = old.join(new, self.key, "full_outer").where(~F.col("_was").eqNullSafe(F.col("_new")))
-            out = met.select(*self._plain(), kind.alias(KIND))
+        out = self._probe(fresh)
         self.held = fresh
         return out
 
+    def _probe(self, fresh: DataFrame) -> DataFrame:
+        new = fresh.withColumnRenamed("_h", "_new")
+        if self.held is None:
+            return new.select(*self._plain(), F.lit("added").alias(KIND))
+        old = self.held.withColumnRenamed("_h", "_was")
+        kind = F.when(F.col("_was").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed")
+        met = old.join(new, self.key, "full_outer").where(~F.col("_was").eqNullSafe(F.col("_new")))
+        return met.select(*self._plain(), kind.alias(KIND))
+
     def _plain(self) -> list[Column]:
         return [F.when(F.col(k) != "-", F.expr(f"substring(`{k}`, 2)")).alias(k) for k in self.key]
 
@@ -117,17 +120,21 @@ def with_values(changes: DataFrame, old: DataFrame, new: DataFrame, key: list[st
 
 def changes_over(df: DataFrame, period: str, key: list[str], compared: list[str], latest: str | None = None) -> DataFrame:
     """``period``, ``key`` and ``change_kind`` for every period but the first, each
-    against the one just before. The periods (one per delivery) are the only rows
-    that reach the driver; each snapshot is read once and written once as hashes."""
-    periods = [r[0] for r in df.select(period).where(F.col(period).isNotNull()).distinct().orderBy(period).collect()]
+    against the one just before.
+
+    The indexes of all periods are built in one pass (one scan, one shuffle) as stretches
+    of one bucketed table; each then probes the next, bucket by bucket, without a shuffle.
+    The periods (one per delivery) are the only rows that reach the driver. Rows without a
+    period are left out.
+    """
     index = SnapshotIndex(df.sparkSession, key, compared, latest)
+    all_ = index._write(index._keyed(df.where(F.col(period).isNotNull()), period), period)
+    periods = [r[0] for r in all_.select("_p").distinct().orderBy("_p").collect()]
+    back = df.schema[period].dataType
     out: DataFrame | None = None
-    for i, p in enumerate(periods):
-        part = df.where(F.col(period) == F.lit(p))
-        if i == 0:
-            index.load(part)
-            continue
-        got = index.apply(part).select(F.lit(p).alias(period), *key, KIND)
+    for before, now in itertools.pairwise(periods):
+        index.held = all_.where(F.col("_p") == F.lit(before)).drop("_p")
+        got = index._probe(all_.where(F.col("_p") == F.lit(now)).drop("_p")).select(F.lit(now).cast(back).alias(period), *key, KIND)
         out = got if out is None else out.unionByName(got)
     if out is None:
         return df.select(period, *[F.col(k).cast("string").alias(k) for k in key], F.lit("").alias(KIND)).where(F.lit(False))
