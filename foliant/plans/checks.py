@@ -218,8 +218,7 @@ def qa_uncited(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def syllables(word: F.Column) -> F.Column:
-    """Groups of vowels, a silent last e apart, one at least (a documented rule: the
-    reference's own syllable counts aren't at hand)."""
+    """Groups of vowels, a silent last e apart, one at least."""
     n = F.regexp_count(word, F.lit("[aeiouy]+"))
     return F.greatest(F.lit(1), n - F.when((n > 1) & word.rlike("[^l]e$"), 1).otherwise(0))
 

@@ -113,7 +113,7 @@ def guard_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 def guard_tree_current(spark: SparkSession, sf: str) -> DataFrame:
     """Delivered trees beside the record of their publication: current, stale or unknown."""
-    t = table(spark, sf, "doc_trees").where("tree is not null").select(F.get_json_object("tree", "$.pub.pub_id").alias("pub_id"), F.get_json_object("tree", "$.pub.source_sha256").alias("tree_sha")).where("pub_id is not null").distinct()
+    t = table(spark, sf, "doc_trees").where("try_parse_json(tree) is not null").select(F.get_json_object("tree", "$.pub.pub_id").alias("pub_id"), F.get_json_object("tree", "$.pub.source_sha256").alias("tree_sha")).where("pub_id is not null").distinct()
     j = t.join(latest(spark, sf).select("pub_id", "sha256").withColumn("known", F.lit(True)), "pub_id", "left")
     return j.select("pub_id", "tree_sha", F.when(F.col("known").isNull(), "unknown").when(F.col("sha256") == F.col("tree_sha"), "current").otherwise("stale").alias("state"))
 
@@ -181,6 +181,9 @@ SQL = {
     "src_pub_list": f"""select pub_id, source, lines, cast(sum(lines) over (partition by pub_id) as bigint) as listed from (select pub_id, source, count(*) as lines from (
       select {_NORM.format(f"regexp_replace(t, {rx.sql(_START)}, '')")} as pub_id, nullif(trim(regexp_extract(t, {rx.sql(_START)}, 1)), '') as source from (select {_LINE} as t from (select distinct pub_id, source_url from publications))) group by all)""",
     "guard_gate": f"select n.pub_id, count(*) as nodes from {nodes_sql('type')} n where exists (select 1 from {_LATEST} p where p.pub_id = n.pub_id and p.gate.status = 'pass' and p.gate.distribution = 'A') group by n.pub_id",
+    "guard_tree_current": f"""select t.pub_id, t.tree_sha, case when p.pub_id is null then 'unknown' when p.sha256 = t.tree_sha then 'current' else 'stale' end as state from (
+      select distinct json_extract_string(tree, '$.pub.pub_id') as pub_id, json_extract_string(tree, '$.pub.source_sha256') as tree_sha from (select tree from doc_trees where json_valid(tree))) t
+      left join {_LATEST} p on p.pub_id = t.pub_id where t.pub_id is not null""",
     "bat_fetch_decision": _DECIDE,
     "bat_counts": f"select snapshot_on, step, count(*) as n from ({_DECIDE}) group by all",
     "bat_incremental": f"""select pub_id, sha256 from {_KEYED} x where sha256 is not null and snapshot_on = (select max(snapshot_on) from publications where sha256 is not null)

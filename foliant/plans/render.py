@@ -119,10 +119,14 @@ def rnd_contrast(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("ink", "ground", r.alias("contrast"), (r >= 4.5).alias("ok"))
 
 
+# Patterns and the kind of layout that each is drawn on.
+PATTERNS = "title at_a_glance takeaways whats_new divider key_idea checklist big_numbers comparison closing process_flow cycle roles timeline do_dont table decision_tree key_terms acronyms".split()
+LAYOUTS = {p: {"title": "title", "closing": "title", "divider": "section"}.get(p, "content") for p in PATTERNS}
+
+
 def rnd_registry(spark: SparkSession, sf: str) -> DataFrame:
     """Patterns in use with their layout and how many slides have it."""
-    layouts = {p: ("title" if p in ("title", "closing") else "section" if p == "divider" else "content") for p in "title at_a_glance takeaways whats_new divider key_idea checklist big_numbers comparison closing process_flow cycle roles timeline do_dont table decision_tree key_terms acronyms".split()}
-    m = spark.createDataFrame(list(layouts.items()), "pattern string, layout string")
+    m = spark.createDataFrame(list(LAYOUTS.items()), "pattern string, layout string")
     s = slides(spark, sf).groupBy("pattern").agg(F.countDistinct("pub_id", "slide_id").alias("slides"))
     return F.broadcast(m).join(s, "pattern", "left").fillna(0, ["slides"])
 
@@ -149,6 +153,8 @@ SQL = {
       where not exists (select 1 from c u where u.pub_id = h.pub_id and u.slide_id = h.slide_id and list_contains(h.path, u.node_id)) group by h.pub_id, h.slide_id""",
     "rnd_fit": f"select * from {_FIT_SQL}",
     "rnd_equalize": f"select pub_id, slide_id, max(shrink) as shrink, count(*) as boxes, count(*) filter (warned) as warned from {_FIT_SQL} group by pub_id, slide_id",
+    "rnd_registry": f"""select m.pattern, m.layout, count(distinct s.pub_id || '/' || s.slide_id) as slides from (values {", ".join(f"('{p}', '{k}')" for p, k in LAYOUTS.items())}) m(pattern, layout)
+      left join slides s on s.pattern = m.pattern group by all""",
     "rnd_split": f"""with recursive p as (select pub_id, slide_id, cast(count(*) as int) as n, '1' as place from {_CLAIMS} where not in_notes group by pub_id, slide_id
       union all select pub_id, slide_id, case when h = 0 then (n + 1) // 2 else n // 2 end, place || '.' || (h + 1) from p, (select unnest([0, 1]) as h) where n > 3 and n >= 4)
       select pub_id, slide_id, place, n from p where not (n > 3 and n >= 4)""",

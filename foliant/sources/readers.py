@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 from foliant.operators import markdown
 from foliant.plans.intake import norm_pub_id
 
-#: Hosts from which a publication may come.
-HOSTS = ("armypubs.army.mil", "www.armypubs.army.mil")
-
 
 def pub_list(spark: SparkSession, path: str) -> DataFrame:
     """A list file: ``ID``, ``ID path`` or ``ID url`` a line, ``#`` begins a comment. Gives
@@ -30,8 +27,9 @@ def pub_list(spark: SparkSession, path: str) -> DataFrame:
     return g.select("pub_id", F.when(~url, F.col("src")).alias("path"), F.when(url, F.col("src")).alias("url"))
 
 
-def allowed(urls: DataFrame, col: str = "url") -> DataFrame:
-    return urls.where(F.expr(f"parse_url({col}, 'HOST')").isin(*HOSTS))
+def allowed(urls: DataFrame, hosts: list[str], col: str = "url") -> DataFrame:
+    """Sources on one of ``hosts``; an address without a host is out."""
+    return urls.where(F.expr(f"try_parse_url({col}, 'HOST')").isin(*hosts))
 
 
 def files(spark: SparkSession, glob: str) -> DataFrame:
