@@ -44,25 +44,28 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
-def _word_hash(w: str, memo: dict[str, int]) -> int:
-    h = memo.get(w)
-    if h is None:
+class Hashes(dict):
+    """64-bit hashes of words, kept for the words seen (up to ``KEPT``)."""
+
+    KEPT = 500_000
+
+    def __missing__(self, word: str) -> int:
         h = 14695981039346656037
-        for b in w.encode():
+        for b in word.encode():
             h = ((h ^ b) * 1099511628211) & _MASK
         h ^= h >> 29
-        if len(memo) > 500_000:
-            memo.clear()
-        memo[w] = h
-    return h
+        if len(self) >= self.KEPT:
+            self.clear()
+        self[word] = h
+        return h
 
 
-def winnow(ws: list[str], memo: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+def winnow(ws: list[str], memo: Hashes) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes kept by winnowing (the right-most least of each window)."""
     n = len(ws) - GRAM + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = np.fromiter((_word_hash(w, memo) for w in ws), np.uint64, len(ws))
+    h = np.fromiter(map(memo.__getitem__, ws), np.uint64, len(ws))
     g = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(GRAM):
@@ -89,7 +92,7 @@ class Index:
 
 
 def build(items: list[tuple[str, str]]) -> Index:
-    memo: dict[str, int] = {}
+    memo = Hashes()
     texts = [tokens(t) for _, t in items]
     hs, it, pl = [], [], []
     for k, ws in enumerate(texts):
@@ -178,7 +181,7 @@ def covered(a: list[str], b: list[str]) -> int:
     return int(hold.sum())
 
 
-def leaks(ws: list[str], ix: Index, memo: dict[str, int]) -> list[int]:
+def leaks(ws: list[str], ix: Index, memo: Hashes) -> list[int]:
     """Numbers of the items that the words repeat wholly or in a long enough passage."""
     if not len(ix.hashes):
         return []
@@ -234,7 +237,7 @@ def leaked(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: s
         held = spark.sparkContext.broadcast(build(block))
 
         def find(batches, held=held):
-            memo: dict[str, int] = {}
+            memo = Hashes()
             ix = held.value
             for pdf in batches:
                 ids, found = [], []

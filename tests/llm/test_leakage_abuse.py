@@ -43,7 +43,7 @@ def test_every_long_passage_is_found():
     rng = random.Random(3)
     item = [f"word{i}" for i in range(40)]
     ix = L.build([("t", " ".join(item))])
-    memo = {}
+    memo = L.Hashes()
     for i in range(15):
         for j in range(i + 1, 15):
             part = item[10:25]
