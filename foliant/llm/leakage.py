@@ -89,6 +89,8 @@ class Index:
     hashes: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    vocabulary: frozenset[str]
+    least: int
 
 
 def build(items: list[tuple[str, str]]) -> Index:
@@ -103,7 +105,16 @@ def build(items: list[tuple[str, str]]) -> Index:
     h = np.concatenate(hs) if hs else np.empty(0, np.uint64)
     order = np.argsort(h, kind="stable")
     cat = lambda x: np.concatenate(x)[order] if x else np.empty(0, np.int64)
-    return Index([i for i, _ in items], texts, h[order], cat(it), cat(pl))
+    return Index([i for i, _ in items], texts, h[order], cat(it), cat(pl), frozenset(w for ws in texts for w in ws), min(map(_least_words, filter(None, texts)), default=0))
+
+
+def _least_words(ws: list[str]) -> int:
+    """Different words of the item that any text which repeats it long enough must hold.
+    Some ``LEAST`` running words of a passage have at most two changes more than their share:
+    a passage of 24 to 29 words can have its four changes in every such stretch, a longer one
+    holds two stretches apart, and the one with fewer changes has three at most."""
+    n = min(len(ws), LEAST)
+    return min(len(set(ws[i : i + n])) for i in range(len(ws) - n + 1)) - n // PER_EDIT - 2
 
 
 def longest(a: list[str], b: list[str]) -> int:
@@ -183,7 +194,7 @@ def covered(a: list[str], b: list[str]) -> int:
 
 def leaks(ws: list[str], ix: Index, memo: Hashes) -> list[int]:
     """Numbers of the items that the words repeat wholly or in a long enough passage."""
-    if not len(ix.hashes):
+    if not len(ix.hashes) or len(ix.vocabulary.intersection(ws)) < ix.least:
         return []
     at, h = winnow(ws, memo)
     lo = np.searchsorted(ix.hashes, h, "left")
