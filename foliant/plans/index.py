@@ -11,13 +11,17 @@ from foliant.session import table
 TEXTS = ("paragraph", "list_item", "text")
 
 
-def nodes(spark: SparkSession, sf: str, *cols: str, types: tuple[str, ...] = ()) -> DataFrame:
+def nodes(spark: SparkSession, sf: str, *cols: str, types: tuple[str, ...] = (), derived: dict[str, Column] | None = None, where: Column | None = None) -> DataFrame:
     """Distinct node rows (a key's repeats are equal but for when they were loaded), with
-    the columns asked for only."""
+    the columns asked for only. ``derived`` columns are computed, and rows without ``where``
+    dropped, before repeats are: what is derived from a text travels, not the text."""
     n = table(spark, sf, "nodes")
     if types:
         n = n.where(F.col("type").isin(*types))
-    return n.select("pub_id", "id", *cols).distinct()
+    n = n.select("pub_id", "id", *cols, *[c.alias(k) for k, c in (derived or {}).items()])
+    if where is not None:
+        n = n.where(where)
+    return n.distinct()
 
 
 def nodes_sql(cols: str, types: tuple[str, ...] = (), where: str = "true") -> str:
@@ -43,8 +47,11 @@ def sentence_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def directives(spark: SparkSession, sf: str) -> DataFrame:
     """One row per sentence with a directive: its verbs, the first one's strength."""
-    verbs = F.transform(tx.found(F.col("sentence"), rx.DIRECTIVE), lambda v: F.lower(v))
-    d = sentence_rows(spark, sf).withColumn("verbs", verbs).where(F.size("verbs") > 0)
+    verbs = lambda x: F.transform(tx.found(x, rx.DIRECTIVE), lambda v: F.lower(v))
+    each = F.transform(tx.sentences(F.col("plain")), lambda x, i: F.struct(i.alias("sentence_no"), x.alias("sentence"), verbs(x).alias("verbs")))
+    hits = F.filter(each, lambda h: F.size(h["verbs"]) > 0)
+    n = nodes(spark, sf, "cite", "page", types=TEXTS, derived={"hits": hits}, where=F.size("hits") > 0)
+    d = n.select("pub_id", F.col("id").alias("node_id"), "cite", "page", F.inline("hits"))
     return d.withColumn("verb", F.get("verbs", F.lit(0))).withColumn("strength", tx.strength(F.col("verb"))).withColumn("possibly_historical", F.col("sentence").rlike(rx.HISTORICAL))
 
 
@@ -68,13 +75,14 @@ def idx_directive_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- deadlines -----------------------------------------------------------------
 def idx_deadlines(spark: SparkSession, sf: str) -> DataFrame:
-    s = F.col("sentence")
-    marks = F.concat(F.transform(tx.found(s, rx.MARKER), lambda m: F.lower(m)), F.transform(tx.found(s, rx.MARKER_ABBR), lambda m: F.lower(m)))
-    d = sentence_rows(spark, sf).select("pub_id", "node_id", "sentence_no", "sentence", tx.found(s, rx.DURATION).alias("du"), tx.found(s, rx.TIME_REF).alias("re"), marks.alias("ma"))
-    strong = F.exists("ma", lambda m: m.isin(*rx.STRONG, "nlt", "net"))
-    has = lambda c: F.size(c) > 0
-    kind = F.when(has("re") & ~has("du") & ~strong, "time_reference").when(strong | (has("du") & has("ma")), "deadline").otherwise("duration")
-    d = d.where(has("du") | has("re") | strong)
+    """Sentences with a duration, a time reference or a strong marker, and their kind."""
+    marks = lambda s: F.concat(F.transform(tx.found(s, rx.MARKER), lambda m: F.lower(m)), F.transform(tx.found(s, rx.MARKER_ABBR), lambda m: F.lower(m)))
+    each = F.transform(tx.sentences(F.col("plain")), lambda s, i: F.struct(i.alias("sentence_no"), tx.found(s, rx.DURATION).alias("du"), tx.found(s, rx.TIME_REF).alias("re"), marks(s).alias("ma")))
+    strong = lambda ma: F.exists(ma, lambda m: m.isin(*rx.STRONG, "nlt", "net"))
+    hits = F.filter(each, lambda h: (F.size(h["du"]) > 0) | (F.size(h["re"]) > 0) | strong(h["ma"]))
+    d = nodes(spark, sf, types=TEXTS, derived={"hits": hits}, where=F.size("hits") > 0).select("pub_id", F.col("id").alias("node_id"), F.inline("hits"))
+    has, is_strong = lambda c: F.size(c) > 0, strong(F.col("ma"))
+    kind = F.when(has("re") & ~has("du") & ~is_strong, "time_reference").when(is_strong | (has("du") & has("ma")), "deadline").otherwise("duration")
     return d.select("pub_id", "node_id", "sentence_no", kind.alias("kind"), tx.joined(F.col("du")).alias("durations"), tx.joined(F.col("re")).alias("time_references"), tx.joined(F.array_sort("ma")).alias("markers"))
 
 
@@ -95,15 +103,21 @@ def _with_before(pattern: str) -> str:
     return "(?is)(.{0,12}?)(" + pattern.removeprefix("(?i)") + ")"
 
 
-def reference_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """(pub_id, node_id, body): text nodes with the short forms of reference words written
-    out, and what each publication supersedes."""
-    body = F.col("plain")
-    for short, full in rx.SHORT.items():
-        body = F.regexp_replace(body, rf"(?i)\b{short}\.", full)
-    n = nodes(spark, sf, "plain", types=TEXTS).where(F.col("plain").isNotNull()).select("pub_id", F.col("id").alias("node_id"), body.alias("body"))
-    p = table(spark, sf, "publications").where(F.col("supersedes").isNotNull()).select("pub_id", F.lit("supersedes").alias("node_id"), F.col("supersedes").alias("body")).distinct()
-    return n.unionByName(p)
+def reference_matches(spark: SparkSession, sf: str, pattern: str, masked: str | None = None) -> DataFrame:
+    """(pub_id, node_id, ref_no, m): matches in text nodes, with the short forms of reference
+    words written out, and in what each publication supersedes. Matches of ``masked`` are
+    blotted out first."""
+
+    def hits(body: Column) -> Column:
+        for short, full in rx.SHORT.items():
+            body = F.regexp_replace(body, rf"(?i)\b{short}\.", full)
+        return tx.found(F.regexp_replace(body, masked, "\x01") if masked else body, pattern, 0)
+
+    n = nodes(spark, sf, types=TEXTS, derived={"ms": hits(F.col("plain"))}, where=F.size("ms") > 0).withColumnRenamed("id", "node_id")
+    own = F.col("supersedes")
+    own = tx.found(F.regexp_replace(own, masked, "\x01") if masked else own, pattern, 0)
+    p = table(spark, sf, "publications").where(F.col("supersedes").isNotNull()).select("pub_id", F.lit("supersedes").alias("node_id"), "supersedes").distinct().select("pub_id", "node_id", own.alias("ms"))
+    return n.unionByName(p).select("pub_id", "node_id", F.posexplode("ms").alias("ref_no", "m"))
 
 
 def _expanded(col: str) -> str:
@@ -116,7 +130,7 @@ _REF_TEXTS = f"(select pub_id, id as node_id, {_expanded('plain')} as body from
 
 
 def idx_crossrefs_ext(spark: SparkSession, sf: str) -> DataFrame:
-    m = reference_texts(spark, sf).select("pub_id", "node_id", F.posexplode(tx.found(F.col("body"), _with_before(rx.EXTERNAL), 0)).alias("ref_no", "m"))
+    m = reference_matches(spark, sf, _with_before(rx.EXTERNAL))
     g = lambda k: F.regexp_extract("m", _with_before(rx.EXTERNAL), k)
     kind = F.regexp_replace(F.regexp_replace(F.upper(g(3)), r"\s+", " "), "DA PAM", "DA Pam")
     vol = F.regexp_extract(g(5), r"(\w+)$", 1)
@@ -140,8 +154,7 @@ CROSSREFS_EXT_SQL = f"""
 def idx_crossrefs_int(spark: SparkSession, sf: str) -> DataFrame:
     """References inside the publication; a publication's own number is no such reference.
     Tables, figures and paragraphs are looked up; elsewhere ``target_exists`` is null."""
-    masked = F.regexp_replace("body", rx.EXTERNAL, "\x01")
-    m = reference_texts(spark, sf).select("pub_id", "node_id", F.posexplode(tx.found(masked, _with_before(rx.INTERNAL), 0)).alias("ref_no", "m"))
+    m = reference_matches(spark, sf, _with_before(rx.INTERNAL), rx.EXTERNAL)
     g = lambda k: F.regexp_extract("m", _with_before(rx.INTERNAL), k)
     kind = F.lower(g(3))
     kind = F.when(kind == "para", "paragraph").otherwise(kind)
@@ -177,8 +190,8 @@ def idx_acronyms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def idx_inline_defs(spark: SparkSession, sf: str) -> DataFrame:
-    n = nodes(spark, sf, "text", types=TEXTS)
-    m = n.select("pub_id", F.col("id").alias("node_id"), F.posexplode(tx.found(F.col("text"), rx.INLINE_DEFINITION, 0)).alias("def_no", "m"))
+    n = nodes(spark, sf, types=TEXTS, derived={"ms": tx.found(F.col("text"), rx.INLINE_DEFINITION, 0)}, where=F.size("ms") > 0)
+    m = n.select("pub_id", F.col("id").alias("node_id"), F.posexplode("ms").alias("def_no", "m"))
     strip = lambda c: F.trim(F.regexp_replace(c, "[*_]", ""))
     term = strip(F.regexp_extract("m", rx.INLINE_DEFINITION, 1))
     d = m.select("pub_id", "node_id", "def_no", term.alias("term"), F.concat(term, F.regexp_replace(F.regexp_extract("m", rx.INLINE_DEFINITION, 2), "[*_]", "")).alias("definition"))

@@ -50,10 +50,10 @@ def cls_node_signals(spark: SparkSession, sf: str) -> DataFrame:
 
 def unit_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Every unit's counts, summed over its nodes (no unit's text is put together)."""
-    n = nodes(spark, sf, "type", "plain", "caption", "depth", "grid", "rows", "parent_id").where(~F.col("type").isin(*CONTAINERS))
     t = F.coalesce("plain", "caption", F.lit(""))
-    cols = [F.size(F.filter(F.split(t, r"\s+"), lambda x: x != "")).alias("words")] + [F.size(tx.found(t, p)).alias(k) for k, p in COUNTED.items()]
-    n = n.select("pub_id", "id", "type", "depth", "parent_id", (F.col("grid") & (F.size("rows") > 0)).alias("is_grid"), t.rlike(SAFETY).alias("is_safe"), *cols)
+    counts = {"words": F.size(F.filter(F.split(t, r"\s+"), lambda x: x != ""))} | {k: F.size(tx.found(t, p)) for k, p in COUNTED.items()}
+    flags = {"is_grid": F.col("grid") & (F.size("rows") > 0), "is_safe": t.rlike(SAFETY)}
+    n = nodes(spark, sf, "type", "depth", "parent_id", derived=counts | flags, where=~F.col("type").isin(*CONTAINERS))
     sig = cls_node_signals(spark, sf).withColumnRenamed("node_id", "id")
     j = n.join(descend(spark, sf), ["pub_id", "id"]).join(sig, ["pub_id", "id"], "left")
     names = [f"dir_{s}" for s in _S] + [f"time_{k}" for k in _K] + ["definition"]

@@ -74,8 +74,10 @@ def node_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def node_words(spark: SparkSession, sf: str) -> DataFrame:
-    """Words and nodes of every subtree: sums, so that no subtree is gathered."""
-    n = own_text(spark, sf).withColumn("w", F.size(F.filter(F.split(F.coalesce("t", F.lit("")), r"\s+"), lambda x: x != "")))
+    """Words and nodes of every subtree: sums, so that no subtree is gathered and no text
+    is shuffled."""
+    w = F.size(F.filter(F.split(F.coalesce(F.trim(_own()), F.lit("")), r"\s+"), lambda x: x != ""))
+    n = nodes(spark, sf, "path", derived={"w": w})
     each = n.select("pub_id", F.explode(F.concat("path", F.array("id"))).alias("id"), "w")
     return each.groupBy("pub_id", "id").agg(F.sum("w").alias("words"), F.count("*").alias("nodes"))
 
