@@ -158,7 +158,7 @@ def idx_crossrefs_int(spark: SparkSession, sf: str) -> DataFrame:
     g = lambda k: F.regexp_extract("m", _with_before(rx.INTERNAL), k)
     kind = F.lower(g(3))
     kind = F.when(kind == "para", "paragraph").otherwise(kind)
-    m = m.select("pub_id", "node_id", "ref_no", kind.alias("kind"), F.regexp_replace(g(4), "[^A-Za-z0-9.-]+$", "").alias("number"), g(1).rlike(rx.SEE).alias("see"))
+    m = m.select("pub_id", "node_id", "ref_no", kind.alias("kind"), F.regexp_replace(g(4), "^([A-Za-z])[^A-Za-z0-9]$", "$1").alias("number"), g(1).rlike(rx.SEE).alias("see"))
     m = m.where((F.col("kind") != "paragraph") | F.col("number").rlike(r"\d"))
     held = nodes(spark, sf, "type", "number", types=("table", "figure", "paragraph")).where(F.col("number").isNotNull()).select("pub_id", F.col("type").alias("kind"), "number").distinct().withColumn("is_there", F.lit(True))
     j = m.join(held, ["pub_id", "kind", "number"], "left")
@@ -170,7 +170,7 @@ _INT = _with_before(rx.INTERNAL)
 CROSSREFS_INT_SQL = f"""
   with m as (
     select pub_id, node_id, ref_no, case when lower({_g_sql(3, _INT)}) = 'para' then 'paragraph' else lower({_g_sql(3, _INT)}) end as kind,
-      regexp_replace({_g_sql(4, _INT)}, '[^A-Za-z0-9.-]+$', '') as number, regexp_matches({_g_sql(1, _INT)}, {rx.sql(rx.SEE)}) as see
+      regexp_replace({_g_sql(4, _INT)}, '^([A-Za-z])[^A-Za-z0-9]$', '\\1') as number, regexp_matches({_g_sql(1, _INT)}, {rx.sql(rx.SEE)}) as see
     from (select pub_id, node_id, unnest(ms) as m, generate_subscripts(ms, 1) - 1 as ref_no
       from (select pub_id, node_id, {tx.found_sql(f"regexp_replace(body, {rx.sql(rx.EXTERNAL)}, chr(1), 'g')", _INT, 0)} as ms from {_REF_TEXTS}))),
   held as (select distinct pub_id, type as kind, number from nodes where type in ('table', 'figure', 'paragraph') and number is not null)
