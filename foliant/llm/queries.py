@@ -85,7 +85,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     a = reading.graded(said, "text", formula, 8)
     b = reading.graded(docs, "text", formula, 40, only_english=True)
     out = a.unionByName(b).where(F.col("grade").isNotNull())
-    return out.select("src", "record_key", reading.band(F.col("grade")).cast("int").alias("band"))
+    return out.select("src", "record_key", reading.band(F.col("grade")).cast("int").alias("band")).distinct()
 
 
 def p4_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,7 +136,7 @@ def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
-    return abuse.cases(p9_scores(spark, sf), "doc_id")
+    return abuse.cases(p9_scores(spark, sf), "doc_id").distinct()
 
 
 def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
