@@ -145,10 +145,14 @@ def fit(shares: dict[str, float], graded: list[tuple[float, list[str]]]) -> Form
         def solve(x_, y_, lam):
             return np.linalg.solve(x_.T @ x_ + lam * len(x_) * np.eye(x_.shape[1]), x_.T @ y_)
 
-        def error(lam):
-            return sum(np.abs(x[fold == k] @ solve(x[fold != k], y[fold != k], lam) - y[fold == k]).sum() for k in range(5))
-
-        w = solve(x, y, min((1e-6, 1e-5, 1e-4, 1e-3, 1e-2), key=error))
+        def error(x_, lam):
+            return sum(np.abs(x_[fold == k] @ solve(x_[fold != k], y[fold != k], lam) - y[fold == k]).sum() for k in range(5))
+
+        # few graded texts bear few lists: neighbouring tiers may share a weight
+        shared = [np.r_[np.arange(len(CUTS) + 1) // g, [len(CUTS) // g + 1]] for g in (1, 2, 4, 8, 16)]
+        merges = [np.eye(m.max() + 1)[m] for m in shared]
+        _, i, lam = min((error(x @ m, lam), i, lam) for i, m in enumerate(merges) for lam in (1e-6, 1e-5, 1e-4, 1e-3, 1e-2))
+        w = merges[i] @ solve(x @ merges[i], y, lam)
     return Formula({k: float(w[t]) for k, t in tier.items()}, float(w[0]), float(w[-1]))
 
 
