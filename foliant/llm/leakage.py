@@ -36,11 +36,11 @@ _MASK = (1 << 64) - 1
 
 
 def tokens(text: str | None) -> list[str]:
-    """Lower-case words of the text without markup."""
+    """Lower-case words of the text without markup (formulas count as markup)."""
     if not text:
         return []
     if _MARKED.search(text):
-        text = scan(text)[1]
+        text = scan(text, formulas=False)[1]
     return _TOKEN.findall(text.lower())
 
 

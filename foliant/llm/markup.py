@@ -198,10 +198,10 @@ def _wiki_page(t: str) -> bool:
     return wiki > md
 
 
-def scan(text: str | None) -> tuple[set[tuple[str, str]], str]:
+def scan(text: str | None, formulas: bool = True) -> tuple[set[tuple[str, str]], str]:
     """The elements of a text, and it without markup in one plain notation: ``# `` before
     headings, ``- `` before list items, tabs between cells, fences round code and
-    dollar signs round formulas."""
+    dollar signs round formulas (which are left out without ``formulas``)."""
     if not text or not _ANY.search(text):
         return set(), text or ""
     found: set[tuple[str, str]] = set()
@@ -302,7 +302,7 @@ def scan(text: str | None) -> tuple[set[tuple[str, str]], str]:
         if kind == "plain":
             return body
         if kind == "formula":
-            return f"${body.strip()}$"
+            return f"${body.strip()}$" if formulas else " "
         return f"\n```\n{body.strip(chr(10))}\n```\n" if "\n" in body else f"`{body}`"
 
     t = _HOLD.sub(back, t)
