@@ -20,18 +20,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Seconds of a run: a key's rows are put in order within runs, not all at once.
+RUN = 30 * 86400
+
+
 def presence(targets: DataFrame, key: list[str], since: str, until: str) -> DataFrame:
     """Per key the disjoint spans in which some row stands (``_spans``) and the last
     ``since`` (``_last``). Rows of one key and start are merged before the shuffle;
     overlapping rows melt into one span, so repeats and reloads of a hot key leave one.
+    The order is taken within runs of ``RUN`` seconds, each of which hands the latest end
+    and the number of its spans to the next, so that no key has to stand in one task.
     A null ``since`` means from ever; rows with ``until`` not after ``since`` stand at
-    no time but count as existing."""
+    no time but count as existing. Keys must not be null."""
     ever, never = F.lit("0001-01-01 00:00:00").cast("timestamp"), F.lit("9999-12-31 00:00:00").cast("timestamp")
     t = targets.select(*key, F.coalesce(since, ever).alias("_a"), F.coalesce(until, never).alias("_b"))
-    t = t.groupBy(*key, "_a").agg(F.max("_b").alias("_b"))
-    w = Window.partitionBy(*key).orderBy("_a")
-    t = t.withColumn("_m", F.max("_b").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    t = t.withColumn("_i", F.sum(F.when(F.col("_m") >= F.col("_a"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    t = t.groupBy(*key, "_a").agg(F.max("_b").alias("_b")).withColumn("_run", F.floor(F.unix_timestamp("_a") / RUN))
+    runs = Window.partitionBy(*key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*key, "_run").orderBy("_a")
+    upto, before = inner.rowsBetween(Window.unboundedPreceding, 0), inner.rowsBetween(Window.unboundedPreceding, -1)
+
+    ends = t.groupBy(*key, "_run").agg(F.max("_b").alias("_e")).withColumn("_c", F.max("_e").over(runs)).drop("_e")
+    t = t.join(ends, [*key, "_run"])
+    t = t.withColumn("_m", F.greatest(F.max("_b").over(before), F.col("_c"))).withColumn("_n", F.when(F.col("_m") >= F.col("_a"), 0).otherwise(1)).drop("_c", "_m")
+    begun = t.groupBy(*key, "_run").agg(F.sum("_n").alias("_k")).withColumn("_o", F.coalesce(F.sum("_k").over(runs), F.lit(0))).drop("_k")
+    t = t.join(begun, [*key, "_run"]).withColumn("_i", F.sum("_n").over(upto) + F.col("_o"))
+
     t = t.groupBy(*key, "_i").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.max(F.when(F.col("_a") > ever, F.col("_a"))).alias("_l"))
     return t.groupBy(*key).agg(F.collect_list(F.struct("_a", "_b")).alias("_spans"), F.max("_l").alias("_last"))
 
