@@ -34,6 +34,13 @@ def presence(targets: DataFrame, key: list[str], since: str, until: str) -> Data
     no time but count as existing. Keys must not be null."""
     ever, never = F.lit("0001-01-01 00:00:00").cast("timestamp"), F.lit("9999-12-31 00:00:00").cast("timestamp")
     t = targets.select(*key, F.coalesce(since, ever).alias("_a"), F.coalesce(until, never).alias("_b"))
+    started = F.max(F.when(F.col("_a") > ever, F.col("_a")))
+
+    # most keys have one row: it is their span, and only the other keys are put in order
+    g = t.groupBy(*key).agg(F.count("*").alias("_n"), F.min("_a").alias("_a"), F.max("_b").alias("_b"), started.alias("_last"))
+    single = g.where("_n = 1").select(*key, F.array(F.struct("_a", "_b")).alias("_spans"), "_last")
+    t = t.join(g.where("_n > 1").select(*key), key, "left_semi")
+
     t = t.groupBy(*key, "_a").agg(F.max("_b").alias("_b")).withColumn("_run", F.floor(F.unix_timestamp("_a") / RUN))
     runs = Window.partitionBy(*key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     inner = Window.partitionBy(*key, "_run").orderBy("_a")
@@ -45,8 +52,9 @@ def presence(targets: DataFrame, key: list[str], since: str, until: str) -> Data
     begun = t.groupBy(*key, "_run").agg(F.sum("_n").alias("_k")).withColumn("_o", F.coalesce(F.sum("_k").over(runs), F.lit(0))).drop("_k")
     t = t.join(begun, [*key, "_run"]).withColumn("_i", F.sum("_n").over(upto) + F.col("_o"))
 
-    t = t.groupBy(*key, "_i").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.max(F.when(F.col("_a") > ever, F.col("_a"))).alias("_l"))
-    return t.groupBy(*key).agg(F.collect_list(F.struct("_a", "_b")).alias("_spans"), F.max("_l").alias("_last"))
+    t = t.groupBy(*key, "_i").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), started.alias("_l"))
+    several = t.groupBy(*key).agg(F.collect_list(F.struct("_a", "_b")).alias("_spans"), F.max("_l").alias("_last"))
+    return single.unionByName(several)
 
 
 def orphans(
