@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Slots of one period, and documents in one bucket of a source's running sum.
-GRID, BUCKET = 1000, 500_000
+#: Slots of one period; documents in one bucket of a source's running sum, and most
+#: buckets (their totals are broadcast; beyond that buckets grow).
+GRID, BUCKET, BUCKETS = 1000, 500_000, 65_536
 
 
 def token_counts(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame:
@@ -122,11 +123,11 @@ def mix(docs: DataFrame, targets: DataFrame, source: str = "source", doc_id: str
     d = d.withColumn("_h", F.xxhash64("source", "doc_id"))
     n = d.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("size")).collect()
     got = plan({r.source: r["size"] for r in n}, {s: r.weight for s, r in t.items()}, {s: int(r.max_repeats or 0) for s, r in t.items()})
-    buckets = max([16, *(-(-r.n // BUCKET) for r in n)])
+    buckets = min(BUCKETS, max([16, *(-(-r.n // BUCKET) for r in n)]))
     d = d.withColumn("_b", F.pmod(F.shiftright("_h", 20), F.lit(buckets)).cast("int"))
 
     spark = docs.sparkSession
-    # at most sources x buckets rows
+    # at most sources x BUCKETS rows
     before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = d.groupBy("source", "_b").agg(F.sum("n_tokens").alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
     inside = Window.partitionBy("source", "_b").orderBy("_h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
