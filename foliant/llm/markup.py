@@ -6,7 +6,8 @@ line and inline rules of Markdown, wiki text and LaTeX all end as *elements*
 them counts. ``clean`` turns the elements into one plain notation in which
 headings, list items, tables, code and formulas can still be told apart, and for
 pages keeps only the content regions: the text-to-tag ratio of each line, smoothed
-with a Gaussian, is split in two clusters and the lower one is dropped.
+with a Gaussian, is split in two clusters, and of the lower one the lines that hold
+nothing but links or boilerplate are dropped.
 
 Signs in their plain sense (``2 < 6``, ``range_log_9``, ``C:\\stores``, ``R&D;``,
 ``$5 to $9``) are no markup. Null and empty texts have no elements and clean to ''.
@@ -350,12 +351,99 @@ def _md_lists(t: str, text: str, found: set[tuple[str, str]]) -> str:
 
 # --- content regions of pages -------------------------------------------------
 _ANY_TAG = re.compile(r"<[^<>\n]{1,300}>")
+_MARK = re.compile(r"(?P<note><!--.*?(?:-->|\Z))|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9]*)\b(?P<rest>[^<>]*)>|(?P<gap>\n[ \t]*(?=\n))", re.S)
+# Elements whose text leads elsewhere, and those round a page's own text.
+_LINKED, _ROUND = {"a", "button", "select", "option"}, {"nav", "footer"}
+_HELD = (_FENCE, _OPEN_FENCE, _TICK, _TEX_CODE, _TEX_MATH, _TEX_TABLE, _TEX_HEAD, _TEX_ITEM, _W_TABLE, _W_HEAD, _W_LINE, _M_HEAD, _M_SETEXT, _M_LIST, _M_TABLE)
+
+
+def _spare_lines(page: str) -> list[bool]:
+    """For each line whether it may go: all its text stands in blocks of which most is
+    links, or in a page's nav or footer, and it neither holds nor continues a heading,
+    list, table, code or formula (the lists of a nav or footer apart). Lines without
+    text stay, as a tag, comment or blank line that is lost would join what it parts."""
+    n = page.count("\n") + 1
+    keep, texts = [False] * n, [False] * n
+    at = pos = 0
+    shell: list[str] = []  # code, formula, script and style: up to the end tag all is theirs
+    deep = dict.fromkeys(("heading", "list_item", "table"), 0)
+    link, round_ = "", 0
+    block: list[int] = [0, 0]  # characters in links, and others
+    lines: set[int] = set()
+
+    def close() -> None:
+        if block[1] and block[1] >= block[0]:
+            for i in lines:
+                keep[i] = True
+        block[:] = [0, 0]
+        lines.clear()
+
+    def put(s: str) -> None:
+        nonlocal at
+        for k, x in enumerate(s.split("\n")):
+            at += k > 0
+            held = bool(shell or deep["heading"] or deep["table"] or deep["list_item"] and not round_)
+            keep[at] |= held
+            if c := len(x.strip()):
+                texts[at] = True
+                block[0 if link or round_ else 1] += c
+                lines.add(at)
+
+    for m in _MARK.finditer(page):
+        put(page[pos : m.start()])
+        pos = m.end()
+        tag, end = (m["tag"] or "").lower(), m["end"] == "/"
+        if m["note"] is not None or m["gap"] is not None:
+            span = m.group().count("\n")
+            for i in range(at, at + span + 1) if m["note"] else ():
+                keep[i] = True
+            at += span
+            if m["gap"] is not None:
+                close()
+            continue
+        kind = _TAG.get(tag)
+        span = m.group().count("\n")
+        if shell:
+            if end and tag == shell[-1]:
+                shell.pop()
+        elif kind in ("code", "formula") or tag in _HIDE:
+            keep[at] = True
+            if not end and not m["rest"].endswith("/"):
+                shell.append(tag)
+        elif kind in deep:
+            keep[at] |= kind != "list_item" or not round_
+            close()
+            link = ""
+            if kind == "heading" or tag in ("table", "ul", "ol", "dl", "menu", "dir"):
+                deep[kind] = max(0, deep[kind] - 1) if end else deep[kind] + 1
+        elif tag in _ROUND:
+            close()
+            round_ = max(0, round_ - 1) if end else round_ + (page.find(f"</{tag}", pos) >= 0)
+        elif tag in _BLOCK and tag != "br":
+            close()
+            link = ""
+        elif tag in _LINKED:
+            if end:
+                link = "" if link == tag else link
+            elif tag != "a" or "href" in m["rest"].lower():
+                link = tag
+        at += span
+    put(page[pos:])
+    close()
+    for p in _HELD:
+        for m in p.finditer(page):
+            first = page.count("\n", 0, m.start())
+            for i in range(first, first + m.group().rstrip("\n").count("\n") + 1):
+                keep[i] = True
+    return [t and not k for t, k in zip(texts, keep)]
 
 
 def content_lines(page: str, sigma: float = 1.0) -> list[bool]:
     """For each line whether it belongs to the page's content: characters of text per
     tag, smoothed over neighbouring lines, split by two-means into a high and a low
-    cluster. A page whose lines all read alike is kept whole."""
+    cluster. Of the low one only links and boilerplate go: short headings, items, rows,
+    code and formulas, dense of tags as they are, are content (``_spare_lines``). A page
+    whose lines all read alike is kept whole."""
     lines = page.split("\n")
     ratio = []
     for x in lines:
@@ -386,7 +474,10 @@ def content_lines(page: str, sigma: float = 1.0) -> list[bool]:
             break
         lo, hi = la, lb
     # the low cluster is dropped only where its lines are next to bare of text
-    return [v >= (lo + hi) / 2 or r >= 10 for v, r in zip(smooth, ratio)]
+    keep = [v >= (lo + hi) / 2 or r >= 10 for v, r in zip(smooth, ratio)]
+    if all(k or not x.strip() for k, x in zip(keep, lines)):
+        return [True] * n
+    return [k or not s for k, s in zip(keep, _spare_lines(page))]
 
 
 def clean(text: str | None) -> str:

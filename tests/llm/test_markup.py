@@ -40,6 +40,32 @@ def test_content_regions():
     assert "x3" not in M.clean(nav + "\n" + body) and "running text" in M.clean(nav + "\n" + body)
 
 
+LONG = "<p>" + "A long line of running text that carries the content of the page. " * 3 + "</p>"
+DENSE = [
+    ("<h2 id=a>Short</h2>", "# Short"),
+    ("<table><tr><td>Item</td><td>Count</td></tr><tr><td>nets</td><td>46</td></tr></table>", "Item\tCount\n\n\tnets\t46"),
+    ("<ul>\n<li><i>a</i></li>\n<li><a href=x>b</a></li>\n</ul>", "- b"),
+    ("<pre><code>count=0\nlimit=$count\n}</code></pre>", "```\ncount=0\nlimit=$count\n}\n```"),
+    ("<syntaxhighlight lang=text>\ncount=0\n}\n</syntaxhighlight>", "```\ncount=0\n}\n```"),
+    ("<math>x_1</math>", "$x_1$"),
+    ("{| class=x\n| a || b\n|-\n| 1 || <b>2</b>\n|}", "a\tb\n1\t2"),
+    ("```\n<a href=x>k</a>\n```", "<a href=x>k</a>"),
+    ("<p><b>O</b> <i>n</i> <a href=x>e</a> <b>t</b><i>w</i><b>o</b></p>", "O n e two"),
+    ("<p>See\n<a href=x>Annex</a>\nto all.</p>", "See\nAnnex\nto all."),
+    ("<script>\nvar gone = 1;\n</script>", ""),
+]
+
+
+@pytest.mark.parametrize("part,want", DENSE)
+def test_content_regions_keep_dense_elements(part, want):
+    nav = "\n".join(f'<a href="/{i}">x{i}</a><a href="/b">y</a><a href="/c">z</a>' for i in range(6))
+    menu = "<nav><ul>\n<li><a href=m>Menu</a></li>\n</ul></nav>"
+    got = M.clean("\n".join([nav, menu, LONG, *[part] * 3, LONG, LONG]))
+    squeeze = lambda x: " ".join(x.split())
+    assert "x3" not in got and "Menu" not in got and "gone" not in got
+    assert got.count("running text") == 9 and squeeze(got).count(squeeze(want)) >= (3 if want else 0)
+
+
 def test_rows_and_columns(spark):
     df = spark.createDataFrame([([["a & b", "**x**"], [None]],), (None,), ([],), ([["<ul><li>q</ul>"], None],)], "r array<array<string>>")
     got = [r[0] for r in df.select(M.row_labels("r")).collect()]
