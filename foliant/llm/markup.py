@@ -480,17 +480,23 @@ def content_lines(page: str, sigma: float = 1.0) -> list[bool]:
     return [k or not s for k, s in zip(keep, _spare_lines(page))]
 
 
-def clean(text: str | None) -> str:
-    """The text without markup; of an HTML page only its content regions."""
+def clean(text: str | None, page: bool = True) -> str:
+    """The text without markup; of an HTML page only its content regions. A text that
+    is part of a page's content already (``page`` false) is kept whole."""
     if not text:
         return ""
-    if "<" in text and len(_ANY_TAG.findall(text)) >= 4:
+    if page and "<" in text and len(_ANY_TAG.findall(text)) >= 4:
         keep = content_lines(text)
         if not all(keep):
             text = "\n".join(x for x, k in zip(text.split("\n"), keep) if k)
     return re.sub(r"\n{3,}", "\n\n", scan(text)[1]).strip()
 
 
+def clean_rows(rows) -> list[list[str] | None] | None:
+    """A table's cells without markup; a cell stands alone, and rows and cells keep their places."""
+    return None if rows is None else [None if row is None else [clean(c, page=False) for c in row] for row in rows]
+
+
 def labels(text: str | None) -> list[str]:
     """'markup kind' of each element, sorted."""
     return sorted(f"{a} {b}" for a, b in scan(text)[0])
@@ -525,6 +531,16 @@ def _clean_udf(s: pd.Series) -> pd.Series:
     return s.map(clean)
 
 
+@F.pandas_udf(T.StringType())
+def _clean_part_udf(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: clean(x, page=False))
+
+
+@F.pandas_udf(T.ArrayType(_LIST))
+def _clean_rows_udf(s: pd.Series) -> pd.Series:
+    return s.map(clean_rows)
+
+
 def element_labels(col: Column) -> Column:
     """array<string> of 'markup kind'."""
     return _labels_udf(col)
@@ -535,8 +551,20 @@ def row_labels(col: Column) -> Column:
     return _rows_udf(col)
 
 
-def clean_text(col: Column) -> Column:
-    return _clean_udf(col)
+def clean_text(col: Column, page: bool = True) -> Column:
+    return (_clean_udf if page else _clean_part_udf)(col)
+
+
+def clean_cells(col: Column) -> Column:
+    """The same for array<array<string>>, cell by cell."""
+    return _clean_rows_udf(col)
+
+
+def table_text(rows: Column) -> Column:
+    """A table in the plain notation: a line for each row, tabs between cells, and in a
+    cell blanks for line breaks and tabs. Null rows and cells are empty."""
+    cell = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+    return F.array_join(F.transform(rows, lambda r: F.coalesce(F.array_join(F.transform(r, cell), "\t"), F.lit(""))), "\n")
 
 
 def may_hold(col: Column) -> Column:

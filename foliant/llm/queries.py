@@ -30,7 +30,7 @@ def fields(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
     n = table(spark, sf, "nodes")
     key = [F.lit("nodes").alias("src"), F.concat("pub_id", F.lit("/"), "id").alias("record_key")]
     para = n.where(F.col("type").isin("paragraph", "list_item"))
-    d = table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").cast("string").alias("record_key"), F.col("text").alias("body"))
+    d = table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").cast("string").alias("record_key"), F.col("text").alias("body"), "source", "stage")
     return [
         ("text", d),
         ("text", para.select(*key, F.col("text").alias("body"))),
@@ -55,10 +55,25 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document's text without markup."""
-    d = table(spark, sf, "documents")
-    text = F.when(markup.may_hold(F.col("text")), markup.clean_text(F.col("text"))).otherwise(F.trim("text"))
-    return d.select("doc_id", "source", "stage", F.length("text").alias("n_before"), F.coalesce(text, F.lit("")).alias("clean"))
+    """The text of every field without markup. A table's ``clean`` is a line for each row
+    with tabs between the cells; ``cells`` holds them as they stood, as JSON."""
+    about = table(spark, sf, "documents").select("source", "stage").schema
+    out: DataFrame | None = None
+    for name, df in fields(spark, sf):
+        body, doc, none = F.col("body"), "stage" in df.columns, F.lit(None).cast("string")
+        # nodes may repeat
+        df = df if doc else df.distinct().select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in about])
+        if name == "rows":
+            n_before = F.length(F.array_join(F.flatten(F.transform("body", lambda r: F.coalesce(r, F.array().cast("array<string>")))), ""))
+            got = df.select("*", n_before.alias("n_before"), markup.clean_cells(body).alias("got"))
+            text, cells = markup.table_text(F.col("got")), F.to_json("got")
+        else:
+            got, cells = df.select("*", F.length(body).alias("n_before")), none
+            text = F.when(markup.may_hold(body), markup.clean_text(body, page=doc)).otherwise(F.trim(body))
+        got = got.select("src", "record_key", F.lit(name).alias("field_name"), "source", "stage", "n_before", F.coalesce(text, F.lit("")).alias("clean"), cells.alias("cells"))
+        out = got if out is None else out.unionByName(got)
+    assert out is not None
+    return out
 
 
 def p4_formula(spark: SparkSession, sf: str) -> reading.Formula:

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from foliant.llm import markup as M
@@ -78,3 +80,29 @@ def test_rows_and_columns(spark):
 def test_long_text_is_linear():
     t = "word *em* <b>x</b> $a$ \\emph{y} " * 20000
     assert M.labels(t) == ["html other", "latex formula", "latex other", "markdown other"]
+
+
+def test_query_cleans_every_field(spark, tmp_path):
+    from foliant.llm import queries as Q
+
+    node = "pub_id string, id string, type string, text string, plain string, rows array<array<string>>"
+    nav = "\n".join(f'<a href="/{i}">x{i}</a>' for i in range(4))
+    nodes = [
+        ("p", "1", "paragraph", "a **b** <i>c</i>", None, None),
+        ("p", "1", "paragraph", "a **b** <i>c</i>", None, None),
+        ("p", "2", "list_item", nav + "\n" + LONG, "x &amp; y", None),
+        ("p", "3", "table", None, None, [["<b>h</b>", "**k**"], None, [None, "<ul><li>q<li>r</ul>"]]),
+        ("p", "4", "table", None, None, None),
+        ("p", "5", "heading", "# no", None, None),
+    ]
+    spark.createDataFrame(nodes, node).write.parquet(f"{tmp_path}/nodes.parquet")
+    spark.createDataFrame([(7, "<b>d</b>", "s", "raw"), (8, None, "s", "clean")], "doc_id long, text string, source string, stage string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = Q.p3_clean(spark, str(tmp_path)).collect()
+    got = {(r.src, r.record_key, r.field_name): r.clean for r in rows}
+    assert len(rows) == len(got) == 8
+    assert got["nodes", "p/1", "text"] == "a b c" and got["nodes", "p/1", "plain"] == "" and got["nodes", "p/2", "plain"] == "x & y"
+    assert got["nodes", "p/2", "text"].startswith("x0\nx1\nx2\nx3\n") and got["nodes", "p/4", "rows"] == ""
+    assert got["nodes", "p/3", "rows"] == "h\tk\n\n\t- q - r" and got["documents", "7", "text"] == "d" and got["documents", "8", "text"] == ""
+    cells = {r.record_key: r.cells and json.loads(r.cells) for r in rows if r.field_name == "rows"}
+    assert cells == {"p/3": [["h", "k"], None, ["", "- q\n- r"]], "p/4": None}
+    assert {(r.source, r.stage, r.n_before) for r in rows if r.record_key == "7"} == {("s", "raw", 8)}
