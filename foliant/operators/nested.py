@@ -27,6 +27,25 @@ def merged_schema(df: DataFrame, col: str) -> T.DataType:
     return T._parse_datatype_string(ddl) if ddl not in ("VOID", "VARIANT") else T.NullType()
 
 
+def held_type(t: T.DataType) -> T.DataType:
+    """``t`` as a column can hold it: what has several types, none or no fields is JSON text."""
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(held_type(t.elementType), True)
+    if isinstance(t, T.StructType) and t.fields:
+        return T.StructType([T.StructField(f.name, held_type(f.dataType), True) for f in t.fields])
+    return T.StringType() if isinstance(t, (T.StructType, T.VariantType, T.NullType)) else t
+
+
+def _free(base: str, taken: set[str]) -> str:
+    """``base``, or with a number where that is taken in any letter case; taken from now on."""
+    n, at = 1, base
+    while at.lower() in taken:
+        n += 1
+        at = f"{base}_{n}"
+    taken.add(at.lower())
+    return at
+
+
 # --- arrays of structs, statically typed -------------------------------------
 def relate(df: DataFrame, key: list[str], name: str = "root") -> dict[str, DataFrame]:
     """Flat tables of a nested DataFrame: ``name`` plus one table per array level,
@@ -54,11 +73,7 @@ def relate(df: DataFrame, key: list[str], name: str = "root") -> dict[str, DataF
             elif isinstance(t, T.ArrayType):
                 arrays.append((label, v, t))
             else:
-                base, n, at = label or "value", 1, label or "value"
-                while at in taken:
-                    n += 1
-                    at = f"{base}_{n}"
-                taken.add(at)
+                at = _free(label or "value", taken)
                 cols.append(v.alias(at))
 
         walk(value, dtype, "")
@@ -111,6 +126,35 @@ def _unpack(text: str | None, lists: tuple[str, ...], wrappers: tuple[str, ...])
     return json.dumps(top, ensure_ascii=False), deep
 
 
+def _objects(text: str | None, kids: str) -> list[str]:
+    """Every node object of a first level as JSON, without its children."""
+    out, stack = [], [text]
+    while stack:
+        held = stack.pop()
+        if isinstance(held, str):
+            try:
+                held = json.loads(held)
+            except ValueError:
+                continue
+        for x in [held] if isinstance(held, dict) else held if isinstance(held, list) else []:
+            if isinstance(x, dict):
+                stack.append(x.pop(kids, None))
+                out.append(json.dumps(x, ensure_ascii=False))
+    return out
+
+
+def merged_fields(df: DataFrame, first: str, kids: str) -> dict[str, T.DataType]:
+    """The fields (``kids`` apart) of all node objects, of every level and document, by
+    ``merged_schema``; ``held_type`` gives types for columns."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def objects(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: _objects(x, kids))
+
+    got = merged_schema(df.select(F.explode(objects(F.col(first))).alias("x")), "x")
+    return {f.name: f.dataType for f in got.fields} if isinstance(got, T.StructType) else {}
+
+
 def readable(df: DataFrame, col: str, lists: tuple[str, str], wrappers: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with ``_first`` (the first level as a JSON array, null if unreadable)
     and ``_deep``. A document may be a JSON object, one in a list of one, under one
@@ -125,44 +169,51 @@ def readable(df: DataFrame, col: str, lists: tuple[str, str], wrappers: tuple[st
     )
 
 
-def flatten_recursive(df: DataFrame, first: str, key: list[str], fields: dict[str, str], kids: str, depth: int) -> DataFrame:
+def flatten_recursive(df: DataFrame, first: str, key: list[str], fields: dict[str, str | T.DataType], kids: str, depth: int) -> DataFrame:
     """One row per node object: ``key``, ``path`` (ordinals of the objects from 1,
-    one per level) and ``fields`` (name to type).
+    one per level) and ``fields`` (name to type; ``merged_fields`` infers them). A field
+    whose name is taken, also by ``ord`` or ``parent_ord``, becomes ``name_2``.
 
-    Level by level, the text of the ``kids`` field is read with the merged schema
+    Level by level, the text of the ``kids`` field is read with ``fields`` as its schema
     and exploded: an array, one object in its place and a JSON string of either all
     count. Nulls and things that are not objects are skipped and take no ordinal.
     ``depth`` is the deepest level (``readable`` measures it); the plan is one scan
     with ``depth`` generators.
     """
-    row = T.StructType([T.StructField(f, T._parse_datatype_string(t), True) for f, t in fields.items()] + [T.StructField(kids, T.StringType(), True)])
+    # fields whose names differ by letter case only are read by schemas of their own
+    kinds = {f: T._parse_datatype_string(t) if isinstance(t, str) else t for f, t in fields.items()}
+    groups: list[list[str]] = [[kids]]
+    for f in fields:
+        g = next((g for g in groups if f.lower() not in {x.lower() for x in g}), None)
+        if g is None:
+            groups.append(g := [])
+        g.append(f)
+    rows = [T.StructType([T.StructField(f, kinds.get(f, T.StringType()) if f != kids else T.StringType(), True) for f in g]) for g in groups]
+    place = {f: (k, f"f{i}") for i, (f, k) in enumerate((f, k) for k, g in enumerate(groups) for f in g if f != kids)}
     texts = T.ArrayType(T.StringType(), True)
 
     def children(text: Column, path: Column) -> Column:
         # elements as text first: one that is no object would void a typed array
         each = F.from_json(F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text), texts)
-        got = F.transform(F.filter(each, lambda x: F.ltrim(x).startswith("{")), lambda x: F.from_json(x, row))
+        got = F.transform(F.filter(each, lambda x: F.ltrim(x).startswith("{")), lambda x: F.struct(*[F.from_json(x, r).alias(f"g{k}") for k, r in enumerate(rows)]))
         return F.transform(
             got,
             lambda x, i: F.struct(
                 F.concat(path, F.array((i + 1).cast("int"))).alias("path"),
-                *[x[f].alias(f) for f in fields],
-                F.when(F.trim(x[kids]).rlike(r"^[\[{]"), x[kids]).alias("held"),
+                *[x[f"g{k}"].getField(f).alias(at) for f, (k, at) in place.items()],
+                F.when(F.trim(x["g0"].getField(kids)).rlike(r"^[\[{]"), x["g0"].getField(kids)).alias("held"),
             ),
         )
 
     keys = [F.col(f"`{k}`") for k in key]
     at = df.select(*keys, F.explode(children(F.col(first), F.array().cast("array<int>"))).alias("n"))
     for _ in range(depth - 1):
-        self_ = F.struct(F.col("n.path").alias("path"), *[F.col(f"n.{f}").alias(f) for f in fields], F.lit(None).cast("string").alias("held"))
+        self_ = F.struct(F.col("n.path").alias("path"), *[F.col(f"n.{a}").alias(a) for _, a in place.values()], F.lit(None).cast("string").alias("held"))
         kids_of = F.when(F.col("n.held").isNotNull(), children(F.col("n.held"), F.col("n.path")))
-        at = at.select(*keys, F.explode(F.concat(F.array(self_), F.coalesce(kids_of, F.array().cast(_kids_type(fields))))).alias("n"))
-    return at.select(*keys, F.col("n.path").alias("path"), *[F.col(f"n.{f}").alias(f) for f in fields])
-
-
-def _kids_type(fields: dict[str, str]) -> str:
-    inner = ",".join(f"`{f}`:{t}" for f, t in fields.items())
-    return f"array<struct<path:array<int>,{inner},held:string>>"
+        none = T.ArrayType(T.StructType([T.StructField("path", T.ArrayType(T.IntegerType())), *[T.StructField(a, kinds[f]) for f, (_, a) in place.items()], T.StructField("held", T.StringType())]))
+        at = at.select(*keys, F.explode(F.concat(F.array(self_), F.coalesce(kids_of, F.array().cast(none)))).alias("n"))
+    taken = {k.lower() for k in key} | {"path", "ord", "parent_ord"}
+    return at.select(*keys, F.col("n.path").alias("path"), *[F.col(f"n.{place[f][1]}").alias(_free(f, taken)) for f in fields if f in place])
 
 
 def numbered(nodes: DataFrame, key: list[str], depth: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.operators import nested, orphans, snapshots
 from foliant.session import table, written
@@ -12,24 +13,57 @@ from foliant.session import table, written
 LEVELS, WRAPPERS = ("divisions", "children"), ("tree", "doc_tree", "document", "data", "payload")
 
 
-def p2_nodes(spark: SparkSession, sf: str, fields: dict[str, str]) -> DataFrame:
-    # unpacked once: the depth and the nodes both come from what is written
-    trees = written(nested.latest_readable(table(spark, sf, "doc_trees"), "pub_id", "received_at", "tree", LEVELS, WRAPPERS))
+def p2_trees(spark: SparkSession, sf: str) -> DataFrame:
+    # unpacked once: the depth, the fields and the nodes all come from what is written
+    return written(nested.latest_readable(table(spark, sf, "doc_trees"), "pub_id", "received_at", "tree", LEVELS, WRAPPERS))
+
+
+def p2_nodes(trees: DataFrame, fields: dict[str, str | T.DataType]) -> DataFrame:
     deep = trees.agg(F.max("_deep")).first()[0] or 1
     flat = nested.flatten_recursive(trees, "_first", ["pub_id"], fields, "children", deep)
     return nested.numbered(flat, ["pub_id"], deep)
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    n = p2_nodes(spark, sf, {"type": "string"})
+    n = p2_nodes(p2_trees(spark, sf), {"type": "string"})
     return n.select("pub_id", F.col("ord").cast("int").alias("ord"), F.col("parent_ord").cast("int").alias("parent_ord"), F.col("type").alias("node_type"))
 
 
+#: Fields that are columns whether or not a tree has them. The texts among them stay texts
+#: (of another value its JSON); the others have the type that is inferred.
+P2_TEXTS = ("type", "id", "cite", "page_label", "kind", "number", "title", "text", "plain", "caption", "term", "definition", "key", "source", "abbreviation", "meaning")
+P2_OTHERS = {"page": "bigint", "level": "bigint", "depth": "bigint", "grid": "boolean", "proponent": "boolean", "columns": "array<string>", "rows": "array<array<string>>"}
+
+
+def p2_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The related tables of the trees: ``nodes``, and one per array in a node. Their
+    fields are those of the schema merged over all nodes of all trees."""
+    trees = p2_trees(spark, sf)
+    seen = nested.merged_fields(trees, "_first", LEVELS[1])
+    fields = dict.fromkeys(P2_TEXTS, "string") | P2_OTHERS
+    n = p2_nodes(trees, fields | {f: nested.held_type(t) for f, t in seen.items() if f not in fields or f in P2_OTHERS and not isinstance(t, T.NullType)})
+    path = F.array_join(F.col("path").cast("array<string>"), ".").alias("path")
+    return nested.relate(n.select("pub_id", "ord", "parent_ord", path, *[F.col(f"`{c}`") for c in n.columns if c not in ("pub_id", "path", "ord", "parent_ord")]), ["pub_id", "ord"], "nodes")
+
+
 def p2_node_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The flat node rows with their fields and the parent's id."""
-    kept = {c: "string" for c in ("type", "id", "cite", "page_label", "kind", "number", "title", "text", "plain", "caption", "term", "definition")} | {"page": "int", "level": "int", "depth": "int"}
-    n = p2_nodes(spark, sf, kept)
-    return n.select("pub_id", "ord", "parent_ord", F.array_join(F.col("path").cast("array<string>"), ".").alias("path"), *kept)
+    """The flat node rows with all their fields but arrays, and the parent's ordinal."""
+    return p2_tables(spark, sf)["nodes"]
+
+
+def p2_node_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """The elements of the arrays in nodes, one child table under the other: ``_parent_id`` is
+    the ``_id`` of the node, or of the outer element for an array in an array, which has no
+    value of its own; an element with several fields has them as JSON."""
+    out: DataFrame | None = None
+    for path, t in p2_tables(spark, sf).items():
+        if path == "nodes":
+            continue
+        own = [c for c in t.columns if c not in ("_id", "_parent_id", "_pos")]
+        value = F.lit(None) if not own else F.col("value") if own == ["value"] else F.to_json(F.struct(*[F.col(f"`{c}`") for c in own]))
+        got = t.select(F.lit(path).alias("array_path"), "_id", "_parent_id", "_pos", value.cast("string").alias("value"))
+        out = got if out is None else out.unionByName(got)
+    return out if out is not None else spark.createDataFrame([], "array_path string, _id string, _parent_id string, _pos int, value string")
 
 
 P5 = {
@@ -88,7 +122,7 @@ def p6_report(spark: SparkSession, sf: str) -> DataFrame:
     return orphans.rates(p6_found(spark, sf).drop("reason"), all_refs, ["ref_table", "ref_month"])
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_node_table, p5_found, p6_found, p6_report)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_node_table, p2_node_arrays, p5_found, p6_found, p6_report)}
 
 _FOLD = "nullif(trim(regexp_replace(lower(cast({0} as varchar)), '\\s+', ' ', 'g')), '')"
 

@@ -105,3 +105,29 @@ def test_merged_schema(spark):
     s = nested.merged_schema(df, "j").simpleString()
     assert "a:bigint" in s and "c:string" in s and "d:decimal" in s
     assert nested.merged_schema(df.limit(0), "j").simpleString() == "void"
+
+
+def test_node_table_holds_every_field(spark, tmp_path):
+    from foliant.plans import records
+
+    kid = {"type": "table", "columns": ["a", None], "rows": [["1", "2"], [], None, ["3"]], "grid": True, "Type": "other case", "ord": 9, "x_mix": 1, "x_list": [{"k": 1, "m": ["u"]}]}
+    note = {"type": "acronym", "abbreviation": "AB", "meaning": "a b", "proponent": False, "page": 4, "x_note": {"by": "me", "seen": [1, {"type": "no"}]}, "x_mix": {"q": 2}, "key": None, "title": ["odd"]}
+    doc = {"divisions": [{"type": "division", "children": json.dumps([kid])}, {"type": "division", "children": note}]}
+    spark.createDataFrame([("p", "1", json.dumps(doc))], SCHEMA).write.parquet(f"{tmp_path}/doc_trees.parquet")
+    n = {r.ord: r for r in records.p2_node_table(spark, str(tmp_path)).collect()}
+    assert [(n[i].parent_ord, n[i].type, n[i].path) for i in sorted(n)] == [(0, "division", "1"), (1, "table", "1.1"), (0, "division", "2"), (3, "acronym", "2.1")]
+    assert (n[2].grid, n[2].Type_2, n[2].ord_2, n[2].x_mix, n[2].page) == (True, "other case", 9, "1", None)
+    assert (n[4].abbreviation, n[4].meaning, n[4].proponent, n[4].page, n[4].x_note_by, n[4].x_mix, n[4].title) == ("AB", "a b", False, 4, "me", '{"q":2}', '["odd"]')
+    a = {(r.array_path, r._parent_id, r._pos, r.value) for r in records.p2_node_arrays(spark, str(tmp_path)).collect()}
+    assert {x[1:] for x in a if x[0] == "nodes.columns"} == {("p/2", 0, "a"), ("p/2", 1, None)}
+    assert {x[1:] for x in a if x[0] == "nodes.rows"} == {("p/2", i, None) for i in range(4)}
+    assert {x[1:] for x in a if x[0] == "nodes.rows.items"} == {("p/2/rows:0", 0, "1"), ("p/2/rows:0", 1, "2"), ("p/2/rows:3", 0, "3")}
+    assert {x[1:] for x in a if x[0] == "nodes.x_note_seen"} == {("p/4", 0, "1"), ("p/4", 1, '{"type":"no"}')}
+    assert {x[1:] for x in a if x[0].startswith("nodes.x_list")} == {("p/2", 0, '{"k":1}'), ("p/2/x_list:0", 0, "u")}
+
+
+def test_node_table_without_trees(spark, tmp_path):
+    from foliant.plans import records
+
+    spark.createDataFrame([("p", "1", "bad")], SCHEMA).write.parquet(f"{tmp_path}/doc_trees.parquet")
+    assert records.p2_node_table(spark, str(tmp_path)).collect() == [] == records.p2_node_arrays(spark, str(tmp_path)).collect()
