@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from re import _parser as parser
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -97,7 +98,7 @@ UNSPACED: list[tuple[str, str, float]] = [
 ]
 
 # Who is spoken to or of, and contexts in which a word is not meant.
-_YOU = re.compile(r"\b(?:you|your|yours|yourself|u|ur|du|dich|dir|dein|ihr|euch|tu|te|toi|vous|eres|sois|tú|usted|ты|тебя|вы|तू|तुम|आप|أنت|انت|너|당신)\b|\b(?:whoever|cállate|ferme|halt)\b|\bis a\b|what kind of")
+_YOU = re.compile(r"\b(?:you|your|yours|yourself|u|ur|du|dich|dir|dein|ihr|euch|tu|te|toi|vous|eres|sois|tú|usted|ты|тебя|вы|तुम|आप|أنت|انت|너|당신)\b|\b(?:whoever|cállate|ferme|halt)\b|\bis a\b|what kind of|(?<!\S)तू(?!\S)")
 _PEOPLE = re.compile(r"\b(?:they|their|them|those|these people|all|every last one|people|peoples|folk|settlers|tribes?|clans?|race|foreigners|immigrants|natives|refugees|born)\b")
 _SAID = re.compile(
     r"\bcalls? (?:a|an|any|another|some)|\bremoved by\b|\bharassment\b|\bremarks\b|\bblocks\b|\bweb filter|\bforbid|\bprohibit|\bbanned\b|\brules?\b|\bpolicy\b|\bthe words?\b|\binsults? such as\b|\breport (?:any|all|sexual|abus|hate)"
@@ -110,8 +111,16 @@ _TECHNICAL = {
 REPORTED, TECHNICAL, NOBODY = 0.25, 0.4, 0.3
 
 _LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "il", "*": "*"}
-_TOKEN = re.compile(r"(?:[@$!](?=\w))?[^\W_]+(?:(?:[@$!*]+|['’](?=\w))[^\W_]*)*")
-_SPELT = re.compile(r"(?<![^\W_])(?:[^\W_]([ .·-]))(?:[^\W_]\1){1,}[^\W_](?![^\W_])")
+# marks that stand on letters (vowel signs and the like), which \\w leaves out
+_ON = "".join(re.escape(chr(i)) for i in range(0x300, 0x10000) if unicodedata.category(chr(i)) in ("Mn", "Mc"))
+_MORE = rf"[^\W_]*(?:[{_ON}]+[^\W_]*)*"
+_TOKEN = re.compile(rf"(?:[@$!](?=\w))?[^\W_]{_MORE}(?:(?:[@$!*]+|['’](?=\w)){_MORE})*")
+_SPELT = re.compile(rf"(?<![^\W_])(?<![{_ON}])(?:[^\W_]([ .·-]))(?:[^\W_]\1){{1,}}[^\W_](?![^\W_]|[{_ON}])")
+# markup that may part a word: inline tags, marks, commands, entities
+_PARTED = re.compile(
+    r"\w(?:<(?!/?(?:p|div|br|li|ul|ol|dl|dt|dd|tr|td|th|table|h[1-6r]|pre|html|body|section|article)\b)[^<>\n]*>|''+|[*`~]+|[\[\]{}]+|\\[a-zA-Z]+\*?\{)+\w"
+    r"|&(?:#\w+|[A-Za-z]{1,8}(?:acute|grave|uml|circ|tilde|cedil|lig|ring|slash|caron));"
+)
 _END = re.compile(r"[.!?。！？।؟…]+[\"'”’»」)]*(?:\s|$)|\n\s*\n|(?<=[a-z])[.!?](?=[A-Z][a-z ])|[。！？।]")
 
 
@@ -124,20 +133,31 @@ def _runs(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", word)
 
 
-# Words too common to call for a closer look.
-_DULL = frozenset(
-    """
-    the a an and or of to in on is are be by it you your we i my his her their they all us do that at for get has had so not no if as will
-    should under every cannot lost night drop where but am go make down me out back off up over into
-    la de es ll et den die du halt des un une val os ed ta ke ma king ée
-    """.split()
-)
-
+def _needed(pattern: str) -> list[str]:
+    """Strings of which every match of the pattern, with what it looks at, holds one."""
 
-def _literals(pattern: str) -> set[str]:
-    """The plain words of a pattern (its alternatives too)."""
-    flat = re.sub(r"\\[a-zA-Z]", " ", re.sub(r"\(\?(?:[:=!]|<[=!])", " ", pattern))
-    return {w for w in re.findall(r"[^\W\d_]{2,}", flat)}
+    def best(items) -> list[str]:
+        runs, sets = [""], []
+        for op, arg in items:
+            if op == parser.LITERAL:
+                runs[-1] += chr(arg)
+                continue
+            if op == parser.AT:
+                continue
+            runs.append("")
+            if op == parser.BRANCH:
+                each = [best(b) for b in arg[1]]
+                sets.append([w for ws in each for w in ws] if all(each) else [])
+            elif op == parser.SUBPATTERN:
+                sets.append(best(arg[3]))
+            elif op == parser.MAX_REPEAT and arg[0]:
+                sets.append(best(arg[2]))
+            elif op == parser.ASSERT:
+                sets.append(best(arg[1]))
+        sets = [x for x in sets if x] + [[r] for r in runs if r]
+        return max(sets, key=lambda ws: min(map(len, ws)), default=[])
+
+    return best(parser.parse(pattern))
 
 
 class Trie:
@@ -215,8 +235,9 @@ class Scorer:
         self.plain = frozenset(plain or ())
         self.seen: dict[str, tuple[str, int] | None] = {}
         self.phrases = {k: [(re.compile(p), w) for p, w in ps] for k, ps in PHRASES.items()}
-        # words of which each phrase that can decide a case holds one
-        self.cues = frozenset(w for ps in PHRASES.values() for p, x in ps if x >= 0.4 for w in _literals(p)) - _DULL
+        # what a line must hold for a phrase to count, and the phrase's weight
+        self.needed = [[(_needed(p) or [""], re.compile(p), w) for p, w in ps] for ps in PHRASES.values()]
+        self.parts = [[([w.split() for w in ws], x) for ws, _, x in ps] for ps in self.needed]
         self.unspaced = [(k, re.compile(p), w) for k, p, w in UNSPACED]
         self.unspaced_any = re.compile("|".join(p for _, p, _ in UNSPACED))
 
@@ -279,29 +300,69 @@ class Scorer:
                     score[k] *= TECHNICAL
         return score
 
-    def calls(self, tokens: list[str]) -> bool:
-        """Whether a window with these tokens can score."""
-        term, cues = self.term, self.cues
+    def live(self, tokens: list[str], among: list | None = None) -> list:
+        """By kind the phrases that the tokens hold, where their weights are enough for a
+        case. ``among``: what a larger text gave."""
+        among = self.needed if among is None else among
+        if not among:
+            return []
+        line = " ".join([re.split("['’]", t)[-1] if "'" in t or "’" in t else t for t in tokens])
+        got = [[(ws, p, x) for ws, p, x in ps if any([w in line for w in ws]) and p.search(line)] for ps in among]
+        return [ps for ps in got if sum([x for *_, x in ps]) > CASE - 0.001]
+
+    def termed(self, tokens) -> bool:
+        term = self.term
         for t in tokens:
-            if t in cues or term(t) is not None:
+            if term(t) is not None or ("'" in t or "’" in t) and term(re.split("['’]", t)[-1]) is not None:
+                return True
+        return False
+
+    def calls(self, tokens: list[str], among: list | None = None) -> bool:
+        """Whether a window with these tokens can be a case: one is a term, or they hold
+        phrases of enough weight."""
+        return self.termed(tokens) or bool(self.live(tokens, among))
+
+    def may(self, tokens: set[str], text: str) -> bool:
+        """The same of a whole (folded) text with markup between its words, but coarser:
+        the words that a phrase needs may stand anywhere."""
+        if self.termed(tokens):
+            return True
+        for ps in self.parts:
+            most = 0.0
+            for each, x in ps:
+                for words in each:
+                    if all(w in text for w in words):
+                        most += x
+                        break
+            if most > CASE - 0.001:
                 return True
         return False
 
     def text(self, text: str | None) -> tuple[float, float, float]:
         if not text:
             return 0.0, 0.0, 0.0
-        distinct = set(_TOKEN.findall(fold(text)))
-        spelt = sum(len(t) == 1 for t in distinct) > 2 and _SPELT.search(text) is not None
+        marked = any(c in text for c in "<&[{_`\\") or "*" in text or "''" in text
+        if marked and _PARTED.search(text):
+            text, marked = scan(text)[1], False
+        low = fold(text)
+        raw = _TOKEN.findall(low)
+        distinct = set(raw)
+        spelt = sum([len(t) == 1 for t in distinct]) > 2 and _SPELT.search(text) is not None
         other = self.unspaced_any.search(text) is not None if not text.isascii() else False
-        if not (spelt or other or self.calls(distinct)):
+        if not (spelt or other or (self.may(distinct, low) if marked else self.termed(distinct) or self.live(raw))):
             return 0.0, 0.0, 0.0
-        if any(c in text for c in "<&[{_`\\") or "*" in text or "''" in text:
+        if marked:
             text = scan(text)[1]
         if spelt:
             text = _SPELT.sub(self.joined, text)
+        if marked or spelt:
+            raw = _TOKEN.findall(fold(text))
+        live = self.live(raw)
+        if not (other or live or self.termed(set(raw))):
+            return 0.0, 0.0, 0.0
         top = dict.fromkeys(KINDS, 0.0)
         for part in _sentences(text):
-            if not other and not self.calls(_TOKEN.findall(fold(part))):
+            if not other and not self.calls(_TOKEN.findall(fold(part)), live):
                 continue
             s = self.window(part)
             for k in KINDS:

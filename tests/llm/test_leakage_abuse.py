@@ -131,3 +131,28 @@ def test_tables(spark):
     assert [tuple(r) for r in A.cases(got, "doc_id").collect()] == [(1, "abuse")]
     assert A.rates(got.withColumn("s", got.doc_id), "s").count() == 2
     assert A.plain_words(spark.createDataFrame([("the crown", ), ("a crown",), (None,)], "t string"), "t") == ["crown"]
+
+
+def test_terms_of_scripts_with_vowel_signs():
+    s = A.Scorer()
+    for word in A.LEXICON["abuse"]:
+        assert s.window(word)["abuse"] > 0, word
+    assert s.text("तुम मूर्ख हो।")[0] >= A.CASE and s.text("तू मूर्ख और बेवकूफ है।")[0] >= A.CASE
+    assert s.text("चालक को सुबह पानी की जाँच करनी चाहिए।") == (0.0, 0.0, 0.0)
+
+
+def test_gate_leaves_out_no_case():
+    """Whatever a window brings to a case is looked at."""
+    s = A.Scorer()
+    for t in ["You are a joke, go die.", "I want you in here, both scream, her shirt off, send me your", "you <b>i</b>diot, you id<i>iot</i>", "Vous l'idiot et d'imbécile", "They belong in jail and breed like cats"]:
+        want = s.window(A.scan(t)[1])
+        assert max(want.values()) >= A.CASE and max(s.text(t)) >= A.CASE, (t, want, s.text(t))
+    rng = random.Random(3)
+    plain = [w for ps in A.PHRASES.values() for p, _ in ps for ws in [A._needed(p)] for w in ws]
+    seen = 0
+    for _ in range(3000):
+        t = " ".join(rng.choice(plain + ["you", "are", "a", "they", "her"]) for _ in range(6))
+        got = max(s.window(t).values())
+        seen += got >= A.CASE
+        assert got < A.CASE or s.calls(A._TOKEN.findall(A.fold(t))) and s.may(set(A._TOKEN.findall(A.fold(t))), A.fold(t)), t
+    assert seen > 300
