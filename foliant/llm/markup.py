@@ -47,7 +47,7 @@ _BLOCK = set("p div br tr table ul ol dl pre section article header footer nav a
 _HIDE = {"script", "style"}
 
 #: What a text must hold to be looked at; also used as a Spark filter.
-ANY = r"""[<&`~\\$|]|\*\S|\S\*|_\S|''|\[\[|\]\(|\{\{|\{\||(?m)^\s*(?:[-+*#:;>=|]+|\d{1,3}[.)])\s|(?m)^=+|(?m)^-{3,}\s*$"""
+ANY = r"""[<&`~\\$|]|\*\S|\S\*|_\S|''|\[\[|\]\(|\{\{|\{\||(?m)^\s*(?:[-+*#:;>=|]+|\d{1,3}[.)])\s|(?m)^=+|(?m)^-{3,}\s*$|\[(?:https?|ftp)://|(?m)^\[[^\]\n]+\]:\s"""
 _ANY = re.compile(ANY.replace("(?m)", ""), re.M)
 
 _FENCE = re.compile(r"^[ ]{0,3}(?P<f>`{3,}|~{3,})[^\n`]*\n(?:.*?\n)??[ ]{0,3}(?P=f)[`~]*[ \t]*$", re.M | re.S)

@@ -43,7 +43,7 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     out: DataFrame | None = None
     for name, df in fields(spark, sf):
         rows = name == "rows"
-        text = F.array_join(F.flatten("body"), "\n") if rows else F.col("body")
+        text = F.array_join(F.flatten(F.transform("body", lambda r: F.coalesce(r, F.array().cast("array<string>")))), "\n") if rows else F.col("body")
         # only fields that can hold markup leave the JVM
         held = df.where(markup.may_hold(text))
         found = (markup.row_labels if rows else markup.element_labels)(F.col("body"))

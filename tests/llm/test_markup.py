@@ -106,3 +106,14 @@ def test_query_cleans_every_field(spark, tmp_path):
     cells = {r.record_key: r.cells and json.loads(r.cells) for r in rows if r.field_name == "rows"}
     assert cells == {"p/3": [["h", "k"], None, ["", "- q\n- r"]], "p/4": None}
     assert {(r.source, r.stage, r.n_before) for r in rows if r.record_key == "7"} == {("s", "raw", 8)}
+
+
+def test_query_filter_holds_what_the_operator_finds(spark, tmp_path):
+    from foliant.llm import queries as Q
+
+    node = "pub_id string, id string, type string, text string, plain string, rows array<array<string>>"
+    nodes = [("p", "1", "table", None, None, [["a", "<b>x</b>"], None]), ("p", "2", "paragraph", "See [http://x.org label] here", "See\n[id]: http://x.org/a", None), ("p", "3", "table", None, None, [["a"], None])]
+    spark.createDataFrame(nodes, node).write.parquet(f"{tmp_path}/nodes.parquet")
+    spark.createDataFrame([], "doc_id long, text string, source string, stage string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.record_key, r.field_name, r.markup, r.element_kind) for r in Q.p3_found(spark, str(tmp_path)).collect()}
+    assert got == {("p/1", "rows", "html", "other"), ("p/2", "text", "wiki", "other"), ("p/2", "plain", "markdown", "other")}
