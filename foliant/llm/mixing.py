@@ -5,8 +5,12 @@ takes (``max_repeats`` at most), and are cut into blocks of ``block_tokens``. Pf
 scheduling interleaves the blocks: block ``i`` of a source with weight ``w`` is released
 at slot ``floor(i / w)`` and due before slot ``ceil((i + 1) / w)``, and the earliest
 deadline goes first, which keeps every source less than one block from its share at any
-point. With weights as multiples of ``1 / GRID`` the schedule repeats after ``GRID``
-slots; one period is computed once and looked up by every block.
+point. Weights are taken as the decimal fractions they are written as, so the schedule
+repeats after their common denominator (equal weights of 1,500 sources: 1,500 slots); one
+period is computed once and looked up by every block. Where that is more than ``GRID``
+slots, weights are rounded to multiples of ``1 / GRID`` (or of a sixteenth of a source's
+even share), which bends the order of the blocks by less than one in ``GRID``, never the
+tokens that a source gives: these are whole numbers reckoned from the exact weights.
 
 The running sum over a source, which may hold a third of all rows, is taken in two
 levels: within hash buckets of a source, and over the buckets' totals.
@@ -15,24 +19,29 @@ levels: within hash buckets of a source, and over the buckets' totals.
 from __future__ import annotations
 
 import heapq
+import math
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Slots of one period; documents in one bucket of a source's running sum, and most
-#: buckets (their totals are broadcast; beyond that buckets grow).
-GRID, BUCKET, BUCKETS = 1000, 500_000, 65_536
+#: Most slots of a period with exact weights; documents in one bucket of a source's running
+#: sum, and most buckets of a source (beyond that buckets grow).
+GRID, BUCKET, BUCKETS = 100_000, 500_000, 65_536
 
 
 def token_counts(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame:
     """``df`` with ``n_tokens`` under the byte-pair ranks at ``ranks_path`` (one base64
-    token and its rank per line). A null text has none; marks of special tokens are
-    ordinary text."""
+    token and its rank per line), a file of the driver's that is shipped to the executors.
+    A null text has none; marks of special tokens are ordinary text."""
+    df.sparkSession.sparkContext.addFile(ranks_path)
+    name = os.path.basename(ranks_path)
 
     @F.pandas_udf(T.LongType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -40,7 +49,7 @@ def token_counts(df: DataFrame, text: str, ranks_path: str, pattern: str) -> Dat
 
         import tiktoken
 
-        with open(ranks_path, "rb") as f:
+        with open(SparkFiles.get(name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for s in batches:
@@ -50,19 +59,33 @@ def token_counts(df: DataFrame, text: str, ranks_path: str, pattern: str) -> Dat
     return df.select(*keep, count(F.col(text)).alias("n_tokens"))
 
 
-def quotas(weights: dict[str, float], grid: int = GRID) -> dict[str, int]:
-    """Blocks of each source in one period, by largest remainder; each source with a
-    weight has one at least."""
-    live = {s: w for s, w in weights.items() if w > 0}
+def exact(w: float) -> Fraction:
+    """The decimal fraction that ``w`` is written as."""
+    return Fraction(repr(float(w)))
+
+
+def quotas(weights: dict[str, float | Fraction], grid: int = GRID) -> dict[str, int]:
+    """Blocks of each source in one period: exact where the weights' common denominator is
+    within ``grid``, otherwise by largest remainder over ``grid`` slots (sixteen and more per
+    source), where each source with a weight has one at least."""
+    live = {s: w if isinstance(w, Fraction) else exact(w) for s, w in weights.items() if w > 0}
     total = sum(live.values())
-    exact = {s: w / total * grid for s, w in live.items()}
-    n = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(live, key=lambda s: (n[s] - exact[s], s)):
-        if sum(n.values()) >= grid:
-            break
-        n[s] += 1
-    while sum(n.values()) > grid:
-        n[max(n, key=lambda s: (n[s] - exact[s], s))] -= 1
+    part = {s: w / total for s, w in live.items()}
+    whole = math.lcm(*(f.denominator for f in part.values()))
+    if whole <= grid:
+        return {s: int(f * whole) for s, f in part.items()}
+    grid = max(grid, 16 * len(part))
+    n = {s: max(1, int(f * grid)) for s, f in part.items()}
+    over = sum(n.values()) - grid
+    # sources with the least (or, to take slots away, the most) against their weight first
+    order = sorted(part, key=lambda s: (n[s] - part[s] * grid, s), reverse=over > 0)
+    at = 0
+    while over:
+        s = order[at % len(order)]
+        if over < 0 or n[s] > 1:
+            n[s] -= 1 if over > 0 else -1
+            over -= 1 if over > 0 else -1
+        at += 1
     return n
 
 
@@ -91,20 +114,23 @@ def period(n: dict[str, int]) -> list[str]:
 
 @dataclass(frozen=True)
 class Plan:
-    """What each source gives: ``need`` tokens out of ``size``, at most ``repeats`` times."""
+    """What each source gives: ``need`` tokens (whole, never more than ``repeats * size``)
+    of ``size``, and its exact share."""
 
-    total: float
-    need: dict[str, float]
+    need: dict[str, int]
     size: dict[str, int]
+    part: dict[str, Fraction]
 
 
 def plan(sizes: dict[str, int], weights: dict[str, float], repeats: dict[str, int]) -> Plan:
     """The largest mixture that meets the weights within the repeats. Sources without a
     token or a weight are left out and the other weights scaled up."""
-    live = {s: w for s, w in weights.items() if w and w > 0 and sizes.get(s, 0) > 0 and repeats.get(s, 0) > 0}
+    live = {s: exact(w) for s, w in weights.items() if w and w > 0 and sizes.get(s, 0) > 0 and repeats.get(s, 0) > 0}
     scale = sum(live.values())
-    total = min((repeats[s] * sizes[s] / (w / scale) for s, w in live.items()), default=0.0)
-    return Plan(total, {s: w / scale * total for s, w in live.items()}, {s: sizes[s] for s in live})
+    part = {s: w / scale for s, w in live.items()}
+    total = min((repeats[s] * sizes[s] / p for s, p in part.items()), default=Fraction(0))
+    # rounded down: a need is at most repeats * size, so no document is used once too often
+    return Plan({s: math.floor(p * total) for s, p in part.items()}, {s: sizes[s] for s in live}, part)
 
 
 def mix(docs: DataFrame, targets: DataFrame, source: str = "source", doc_id: str = "doc_id", block_tokens: int = 20_000) -> DataFrame:
@@ -127,26 +153,26 @@ def mix(docs: DataFrame, targets: DataFrame, source: str = "source", doc_id: str
     d = d.withColumn("_b", F.pmod(F.shiftright("_h", 20), F.lit(buckets)).cast("int"))
 
     spark = docs.sparkSession
-    # at most sources x BUCKETS rows
     before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = d.groupBy("source", "_b").agg(F.sum("n_tokens").alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
     inside = Window.partitionBy("source", "_b").orderBy("_h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_off", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(F.broadcast(sums), ["source", "_b"])
+    d = d.withColumn("_off", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(sums, ["source", "_b"])
 
-    rows = [(s, float(got.need[s]), int(got.size[s]), int(got.need[s] // got.size[s]) + 1) for s in got.need]
-    share = spark.createDataFrame(rows, "source string, need double, size long, copies int") if rows else spark.createDataFrame([], "source string, need double, size long, copies int")
+    rows = [(s, got.need[s], got.size[s], -(-got.need[s] // got.size[s])) for s in got.need if got.need[s]]
+    share = spark.createDataFrame(rows, "source string, need long, size long, copies int")
     d = d.join(F.broadcast(share), "source").withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     d = d.withColumn("start", F.col("_k") * F.col("size") + F.col("_base") + F.col("_off")).where(F.col("start") < F.col("need"))
     d = d.withColumn("block_no", F.floor(F.col("start") / block_tokens).cast("long"))
 
-    slots: dict[str, list[int]] = {s: [] for s in got.need}
-    if got.need:
-        for at, s in enumerate(period(quotas(got.need))):
-            slots[s].append(at)
-    table = spark.createDataFrame([(s, v) for s, v in slots.items()], "source string, slots array<int>")
+    slots: dict[str, list[int]] = {s: [] for s in got.part}
+    per = quotas(got.part) if got.part else {}
+    for at, s in enumerate(period(per)):
+        slots[s].append(at)
+    grid = sum(per.values())
+    table = spark.createDataFrame(list(slots.items()), "source string, slots array<int>")
     d = d.join(F.broadcast(table), "source")
     k = F.size("slots")
-    slot = F.floor(F.col("block_no") / k).cast("long") * GRID + F.get("slots", (F.col("block_no") % k).cast("int"))
+    slot = F.floor(F.col("block_no") / k).cast("long") * grid + F.get("slots", (F.col("block_no") % k).cast("int"))
     return d.select("source", "doc_id", slot.alias("slot"), "block_no", "start", (F.col("_k") + 1).cast("int").alias("copy_no"), "n_tokens")
 
 
