@@ -67,11 +67,13 @@ def slug_sql(s: str) -> str:
     return f"case when {t} = '' then 'x' else {t} end"
 
 
-def plain(s: Column) -> Column:
-    """Without emphasis marks, tags and heading marks."""
-    t = F.regexp_replace(s, r"<[^>]+>", " ")
-    t = F.regexp_replace(t, r"[*_#]+", "")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+def bare(s: Column) -> Column:
+    """A key without blanks, tabs and line ends around it."""
+    return F.regexp_replace(s, r"^\s+|\s+$", "")
+
+
+def bare_sql(s: str) -> str:
+    return f"regexp_replace({s}, '^\\s+|\\s+$', '', 'g')"
 
 
 def joined(a: Column, sep: str = "|") -> Column:

@@ -34,18 +34,18 @@ def claims(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CLAIMS = "(select distinct pub_id, slide_id, claim_id, pattern, text, parts, directive, in_notes from claims)"
-_SLIDES = "(select distinct pub_id, slide_ord, slide_id, pattern, title, chapter, callout, trim(source_table) as source_table from slides)"
+_SLIDES = f"(select distinct pub_id, slide_ord, slide_id, pattern, title, chapter, callout, {tx.bare_sql('source_table')} as source_table from slides)"
 
 
 def slides(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "slides").select("pub_id", "slide_ord", "slide_id", "pattern", "title", "chapter", "callout", F.trim("source_table").alias("source_table")).distinct()
+    return table(spark, sf, "slides").select("pub_id", "slide_ord", "slide_id", "pattern", "title", "chapter", "callout", tx.bare(F.col("source_table")).alias("source_table")).distinct()
 
 
 def cites(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "claim_cites").where("node_id is not null").select("pub_id", "claim_id", F.trim("node_id").alias("node_id")).distinct()
+    return table(spark, sf, "claim_cites").where("node_id is not null").select("pub_id", "claim_id", tx.bare(F.col("node_id")).alias("node_id")).distinct()
 
 
-_CITES = "(select distinct pub_id, claim_id, trim(node_id) as node_id from claim_cites where node_id is not null)"
+_CITES = f"(select distinct pub_id, claim_id, {tx.bare_sql('node_id')} as node_id from claim_cites where node_id is not null)"
 
 
 def directive_words(c: F.Column) -> F.Column:
@@ -297,7 +297,7 @@ def qa_summary(spark: SparkSession, sf: str) -> DataFrame:
 def rev_check(spark: SparkSession, sf: str) -> DataFrame:
     """Findings of the review by verdict and status, those on unknown claims, and how many
     open ones block."""
-    f = table(spark, sf, "review_findings").distinct().withColumn("claim", F.trim("claim"))
+    f = table(spark, sf, "review_findings").distinct().withColumn("claim", tx.bare(F.col("claim")))
     known = claims(spark, sf).select("pub_id", F.col("claim_id").alias("claim")).distinct().withColumn("k", F.lit(1))
     j = f.join(known, ["pub_id", "claim"], "left")
     return j.groupBy("verdict", "status").agg(F.count("*").alias("findings"), F.count_if(F.col("claim").isNotNull() & F.col("k").isNull()).alias("unknown"), F.count_if((F.col("status") == "open") & F.col("verdict").isin("major", "critical")).alias("blocking"))
@@ -306,7 +306,7 @@ def rev_check(spark: SparkSession, sf: str) -> DataFrame:
 def rev_unreviewed(spark: SparkSession, sf: str) -> DataFrame:
     """Claims without a finding and findings without a claim (full outer anti join)."""
     c = claims(spark, sf).select("pub_id", "claim_id").distinct()
-    f = table(spark, sf, "review_findings").where("claim is not null").select("pub_id", F.trim("claim").alias("claim_id")).distinct()
+    f = table(spark, sf, "review_findings").where("claim is not null").select("pub_id", tx.bare(F.col("claim")).alias("claim_id")).distinct()
     j = c.withColumn("a", F.lit(1)).join(f.withColumn("b", F.lit(1)), ["pub_id", "claim_id"], "full_outer").where("a is null or b is null")
     return j.select("pub_id", "claim_id", F.when(F.col("a").isNull(), "unknown").otherwise("unreviewed").alias("state"))
 
@@ -422,9 +422,9 @@ SQL = {
     "qa_summary": f"""select c."check", coalesce(g.errors, 0) as errors, coalesce(g.warnings, 0) as warnings from (select unnest(['cites', 'directives', 'numbers', 'callouts', 'readability', 'coverage']) as "check") c
       left join (select "check", count(*) filter (level = 'error') as errors, count(*) filter (level = 'warning') as warnings from ({_DEDUPE}) group by all) g on g."check" = c."check" """,
     "rev_check": f"""select verdict, status, count(*) as findings, count(*) filter (claim is not null and not known) as unknown, count(*) filter (status = 'open' and verdict in ('major', 'critical')) as blocking from (
-      select *, exists (select 1 from claims c where c.pub_id = f.pub_id and c.claim_id = trim(f.claim)) as known from (select distinct * from review_findings) f) group by verdict, status""",
-    "rev_unreviewed": """select coalesce(c.pub_id, f.pub_id) as pub_id, coalesce(c.claim_id, f.claim_id) as claim_id, case when c.claim_id is null then 'unknown' else 'unreviewed' end as state
-      from (select distinct pub_id, claim_id from claims) c full join (select distinct pub_id, trim(claim) as claim_id from review_findings where claim is not null) f on f.pub_id = c.pub_id and f.claim_id = c.claim_id where c.claim_id is null or f.claim_id is null""",
+      select *, exists (select 1 from claims c where c.pub_id = f.pub_id and c.claim_id = {tx.bare_sql("f.claim")}) as known from (select distinct * from review_findings) f) group by verdict, status""",
+    "rev_unreviewed": f"""select coalesce(c.pub_id, f.pub_id) as pub_id, coalesce(c.claim_id, f.claim_id) as claim_id, case when c.claim_id is null then 'unknown' else 'unreviewed' end as state
+      from (select distinct pub_id, claim_id from claims) c full join (select distinct pub_id, {tx.bare_sql("claim")} as claim_id from review_findings where claim is not null) f on f.pub_id = c.pub_id and f.claim_id = c.claim_id where c.claim_id is null or f.claim_id is null""",
     "rev_packet": f"""select pub_id, claim_id, rank, id, sentence from (select *, row_number() over (partition by pub_id, claim_id order by ord, sentence_no) as rank from (
       select distinct c.pub_id, c.claim_id, n.id, n.ord, d.sentence_no, d.sentence from {_CITES} c join (select pub_id, id, ord, unnest(list_append(path, id)) as anc from {nodes_sql("ord, path", TEXTS)}) n on n.pub_id = c.pub_id and n.anc = c.node_id
       join ({ix.DIRECTIVES_SQL}) d on d.pub_id = n.pub_id and d.node_id = n.id and d.strength <> 'permissive')) where rank <= 8""",

@@ -97,9 +97,9 @@ def descend(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cited(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct (pub_id, id) that some claim cites, blanks put right."""
+    """Distinct (pub_id, id) that some claim cites, blanks and tabs around it put right."""
     c = table(spark, sf, "claim_cites").where("node_id is not null")
-    return c.select("pub_id", F.trim("node_id").alias("id")).distinct()
+    return c.select("pub_id", tx.bare(F.col("node_id")).alias("id")).distinct()
 
 
 def subtree_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,7 +231,7 @@ def md_table_cells(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (walk, walk_recursive, text_nodes, section_title, node_text, node_words, units, descend, subtree_ids, drop_covered, uid, containment, md_render, md_parse, md_counts, md_blocks, md_block_kinds, md_page_asof, md_terms, md_table_cells)}
 
 _EACH = f"(select pub_id, id, ord, type, unnest(list_append(path, id)) as anc, own as t from (select *, trim({_OWN_SQL}) as own from {nodes_sql(_OWN_COLS)}))"
-_CITED = "(select distinct pub_id, trim(node_id) as id from claim_cites where node_id is not null)"
+_CITED = f"(select distinct pub_id, {tx.bare_sql('node_id')} as id from claim_cites where node_id is not null)"
 SQL = {
     "walk": f"select pub_id, ord, id, type, len(path) as depth, array_to_string(path, '/') as ancestors from {nodes_sql('ord, type, path')}",
     "walk_recursive": f"""with recursive t as (select pub_id, id, id as root, 0 as depth from {nodes_sql('parent_id')} where parent_id is null
