@@ -1,15 +1,20 @@
 """Nested records to related flat tables.
 
-``relate`` turns a DataFrame with arrays of structs into one table per array
-level; ``flatten_recursive`` does the same for JSON documents whose levels
-repeat (a node holds nodes). Both keep the parent's surrogate key and the
-ordinal in the array. Everything runs inside one row at a time: no shuffle, so
-a document's size, not a key's frequency, bounds a task's memory.
+``relate`` turns a DataFrame with arrays of structs into one table per array level.
+JSON documents whose levels repeat (a node holds nodes) are first brought into one shape,
+then read once with the schema merged over all of them (``shape``, ``typed``), and each
+array level is exploded into a child table of the one above (``child_tables``). Both
+carry the parent's surrogate key and the ordinal in the array. Exploding runs inside one
+row at a time, so a document's size, not a key's frequency, bounds a task's memory.
 """
 
 from __future__ import annotations
 
+import functools
 import json
+import re
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -89,13 +94,91 @@ def relate(df: DataFrame, key: list[str], name: str = "root") -> dict[str, DataF
 
 
 # --- documents that nest in themselves ----------------------------------------
-def _unpack(text: str | None, lists: tuple[str, ...], wrappers: tuple[str, ...]) -> tuple[str | None, int]:
-    """The document's first level as a JSON array and the depth of its nesting."""
+#: Levels that one piece of a document holds; deeper nodes are pieces of their own, so no
+#: plan and no schema is deeper than this, however deep a document is.
+LEVELS = 8
+#: Deepest value of a field; a deeper one comes out as null.
+FIELD_DEPTH = 400
+_TOKEN = re.compile(r'\s*([{}\[\],:]|"(?:[^"\\]|\\.)*"|[^\s{}\[\],:"]+)', re.S)
+
+
+def loads(text: str):
+    """``json.loads`` for values of any depth."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        pass
+    top: list = []
+    held, at, end = [top], 0, len(text.rstrip())
+    name, after, comma = [None], False, False  # after: a value has just ended; comma: one must follow
+    while at < end:
+        m = _TOKEN.match(text, at)
+        if m is None:
+            raise ValueError(f"at {at}")
+        at, tok, box = m.end(), m[1], held[-1]
+        if tok in "]}":
+            if len(held) == 1 or comma or isinstance(box, list) != (tok == "]") or name[-1] is not None:
+                raise ValueError(tok)
+            held.pop()
+            name.pop()
+            after = True
+            continue
+        if tok in ",:":
+            if (tok == ",") != after or tok == "," and len(held) == 1 or tok == ":" and not (isinstance(box, dict) and comma is None):
+                raise ValueError(tok)
+            after, comma = False, tok == ","
+            continue
+        if after or comma is None:
+            raise ValueError(tok)
+        if isinstance(box, dict) and name[-1] is None:
+            name[-1], comma = json.loads(tok), None
+            if not isinstance(name[-1], str):
+                raise ValueError(tok)
+            continue
+        value = {} if tok == "{" else [] if tok == "[" else json.loads(tok)
+        if isinstance(box, dict):
+            box[name[-1]], name[-1] = value, None
+        else:
+            box.append(value)
+        after, comma = tok not in "{[", False
+        if not after:
+            held.append(value)
+            name.append(None)
+    if len(held) != 1 or len(top) != 1:
+        raise ValueError("not ended")
+    return top[0]
+
+
+def _objects(held) -> list[dict]:
+    """The node objects among the children as given: an array, one object in its place and a
+    JSON string of either count; what is no object doesn't."""
+    if isinstance(held, str):
+        try:
+            held = loads(held)
+        except ValueError:
+            return []
+    return [x for x in ([held] if isinstance(held, dict) else held if isinstance(held, list) else []) if isinstance(x, dict)]
+
+
+def _shallow(value) -> bool:
+    level, n = [value], 0
+    while level:
+        n += 1
+        level = [y for x in level for y in (x.values() if isinstance(x, dict) else x) if isinstance(y, (dict, list))]
+        if n > FIELD_DEPTH:
+            return False
+    return True
+
+
+def pieces(text: str | None, lists: tuple[str, str], wrappers: tuple[str, ...]) -> list[tuple[list[int], str]] | None:
+    """A document's nodes in one shape: (ordinals of the parent, JSON array of node objects)
+    for the first level and for each array of children below every ``LEVELS`` levels. Children
+    are arrays of objects throughout. None if the text isn't such a document."""
     try:
-        doc = json.loads(text) if text else None
-        for _ in range(8):
+        doc = loads(text) if text else None
+        while True:  # every step goes one layer in
             if isinstance(doc, str):
-                doc = json.loads(doc)
+                doc = loads(doc)
             elif isinstance(doc, list) and len(doc) == 1 and isinstance(doc[0], dict):
                 doc = doc[0]
             elif isinstance(doc, dict) and lists[0] not in doc and (w := next((w for w in wrappers if w in doc), None)):
@@ -103,136 +186,137 @@ def _unpack(text: str | None, lists: tuple[str, ...], wrappers: tuple[str, ...])
             else:
                 break
         if not isinstance(doc, dict) or lists[0] not in doc:
-            return None, 0
+            return None
         top = doc[lists[0]]
-        if isinstance(top, str):
-            top = json.loads(top) if top.strip() else []
-    except (ValueError, RecursionError):
-        return None, 0
-    top = [top] if isinstance(top, dict) else top if isinstance(top, list) else []
-    deep, stack = 0, [(top, 1)]
-    while stack:
-        held, at = stack.pop()
-        if isinstance(held, str):
-            try:
-                held = json.loads(held)
-            except ValueError:
-                continue
-        for x in [held] if isinstance(held, dict) else held if isinstance(held, list) else []:
-            if isinstance(x, dict):
-                deep = max(deep, at)
-                if x.get(lists[1]):
-                    stack.append((x[lists[1]], at + 1))
-    return json.dumps(top, ensure_ascii=False), deep
-
-
-def _objects(text: str | None, kids: str) -> list[str]:
-    """Every node object of a first level as JSON, without its children."""
-    out, stack = [], [text]
-    while stack:
-        held = stack.pop()
-        if isinstance(held, str):
-            try:
-                held = json.loads(held)
-            except ValueError:
-                continue
-        for x in [held] if isinstance(held, dict) else held if isinstance(held, list) else []:
-            if isinstance(x, dict):
-                stack.append(x.pop(kids, None))
-                out.append(json.dumps(x, ensure_ascii=False))
+        if isinstance(top, str) and top.strip():
+            loads(top)  # a first level that can't be read makes the document unreadable
+    except ValueError:
+        return None
+    out: list[tuple[list[int], str]] = []
+    roots: list[tuple[list[int], list[dict]]] = [([], _objects(top))]
+    while roots:
+        prefix, nodes = roots.pop()
+        level = [(prefix, nodes)]
+        for k in range(LEVELS):
+            below = []
+            for at, group in level:
+                for i, x in enumerate(group, 1):
+                    kids = _objects(x.pop(lists[1], None))
+                    for f, v in x.items():
+                        if isinstance(v, (dict, list)) and not _shallow(v):
+                            x[f] = None
+                    if kids:
+                        below.append(([*at, i], kids))
+                        if k + 1 < LEVELS:
+                            x[lists[1]] = kids
+            level = below
+        roots += level
+        out.append((prefix, json.dumps(nodes, ensure_ascii=False)))
     return out
 
 
-def merged_fields(df: DataFrame, first: str, kids: str) -> dict[str, T.DataType]:
-    """The fields (``kids`` apart) of all node objects, of every level and document, by
-    ``merged_schema``; ``held_type`` gives types for columns."""
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def objects(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: _objects(x, kids))
-
-    got = merged_schema(df.select(F.explode(objects(F.col(first))).alias("x")), "x")
-    return {f.name: f.dataType for f in got.fields} if isinstance(got, T.StructType) else {}
-
-
 def readable(df: DataFrame, col: str, lists: tuple[str, str], wrappers: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` with ``_first`` (the first level as a JSON array, null if unreadable)
-    and ``_deep``. A document may be a JSON object, one in a list of one, under one
-    of the keys ``wrappers``, or any of these encoded again as a JSON string."""
-
-    @F.pandas_udf("first string, deep int")
-    def unpack(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_unpack(x, lists, wrappers) for x in s], columns=["first", "deep"])
-
-    return df.withColumn("_u", unpack(F.col(col).cast("string"))).select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in ("_first", "_deep")], F.col("_u.first").alias("_first"), F.col("_u.deep").alias("_deep")
-    )
+    """``df`` with ``_pieces`` (null if unreadable): see ``pieces``. A document may be a JSON
+    object, one in a list of one, under one of the keys ``wrappers``, or any of these encoded
+    again as a JSON string."""
 
+    @F.pandas_udf("array<struct<prefix:array<int>,body:string>>")
+    def unpack(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if (got := pieces(x, lists, wrappers)) is None else [{"prefix": a, "body": b} for a, b in got])
 
-def flatten_recursive(df: DataFrame, first: str, key: list[str], fields: dict[str, str | T.DataType], kids: str, depth: int) -> DataFrame:
-    """One row per node object: ``key``, ``path`` (ordinals of the objects from 1,
-    one per level) and ``fields`` (name to type; ``merged_fields`` infers them). A field
-    whose name is taken, also by ``ord`` or ``parent_ord``, becomes ``name_2``.
-
-    Level by level, the text of the ``kids`` field is read with ``fields`` as its schema
-    and exploded: an array, one object in its place and a JSON string of either all
-    count. Nulls and things that are not objects are skipped and take no ordinal.
-    ``depth`` is the deepest level (``readable`` measures it); the plan is one scan
-    with ``depth`` generators.
-    """
-    # fields whose names differ by letter case only are read by schemas of their own
-    kinds = {f: T._parse_datatype_string(t) if isinstance(t, str) else t for f, t in fields.items()}
-    groups: list[list[str]] = [[kids]]
-    for f in fields:
-        g = next((g for g in groups if f.lower() not in {x.lower() for x in g}), None)
-        if g is None:
-            groups.append(g := [])
-        g.append(f)
-    rows = [T.StructType([T.StructField(f, kinds.get(f, T.StringType()) if f != kids else T.StringType(), True) for f in g]) for g in groups]
-    place = {f: (k, f"f{i}") for i, (f, k) in enumerate((f, k) for k, g in enumerate(groups) for f in g if f != kids)}
-    texts = T.ArrayType(T.StringType(), True)
-
-    def children(text: Column, path: Column) -> Column:
-        # elements as text first: one that is no object would void a typed array
-        each = F.from_json(F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text), texts)
-        got = F.transform(F.filter(each, lambda x: F.ltrim(x).startswith("{")), lambda x: F.struct(*[F.from_json(x, r).alias(f"g{k}") for k, r in enumerate(rows)]))
-        return F.transform(
-            got,
-            lambda x, i: F.struct(
-                F.concat(path, F.array((i + 1).cast("int"))).alias("path"),
-                *[x[f"g{k}"].getField(f).alias(at) for f, (k, at) in place.items()],
-                F.when(F.trim(x["g0"].getField(kids)).rlike(r"^[\[{]"), x["g0"].getField(kids)).alias("held"),
-            ),
-        )
-
-    keys = [F.col(f"`{k}`") for k in key]
-    at = df.select(*keys, F.explode(children(F.col(first), F.array().cast("array<int>"))).alias("n"))
-    for _ in range(depth - 1):
-        self_ = F.struct(F.col("n.path").alias("path"), *[F.col(f"n.{a}").alias(a) for _, a in place.values()], F.lit(None).cast("string").alias("held"))
-        kids_of = F.when(F.col("n.held").isNotNull(), children(F.col("n.held"), F.col("n.path")))
-        none = T.ArrayType(T.StructType([T.StructField("path", T.ArrayType(T.IntegerType())), *[T.StructField(a, kinds[f]) for f, (_, a) in place.items()], T.StructField("held", T.StringType())]))
-        at = at.select(*keys, F.explode(F.concat(F.array(self_), F.coalesce(kids_of, F.array().cast(none)))).alias("n"))
-    taken = {k.lower() for k in key} | {"path", "ord", "parent_ord"}
-    return at.select(*keys, F.col("n.path").alias("path"), *[F.col(f"n.{place[f][1]}").alias(_free(f, taken)) for f in fields if f in place])
-
-
-def numbered(nodes: DataFrame, key: list[str], depth: int) -> DataFrame:
-    """``nodes`` with ``ord`` (depth-first from 1) and ``parent_ord`` (0 at the first
-    level) within ``key``: a node's parent is the last node before it that is one level
-    higher, and ``depth`` running maxima know the last node of each level. One document is
-    one group, so a group is no larger than a row of the input was."""
-    w = Window.partitionBy(*key).orderBy("path")
-    level = F.size("path")
-    n = nodes.withColumn("ord", F.row_number().over(w))
-    upto = w.rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.max(F.when(level == k, F.col("ord"))).over(upto) for k in range(1, max(1, depth))]
-    up = F.get(F.array(*last), level - 2) if last else F.lit(None).cast("int")
-    return n.withColumn("parent_ord", F.when(level > 1, up).otherwise(0))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != "_pieces"], unpack(F.col(col).cast("string")).alias("_pieces"))
 
 
 def latest_readable(df: DataFrame, key: str, order: str, col: str, lists: tuple[str, str], wrappers: tuple[str, ...]) -> DataFrame:
     """Of each ``key`` the readable document with the greatest ``order`` (ties: the
-    greater text). Rows with a null key or order are kept (a null order is least)."""
-    got = readable(df.select(key, order, col), col, lists, wrappers).where(F.col("_first").isNotNull())
-    return got.groupBy(key).agg(F.max_by(F.struct("_first", "_deep"), F.struct(order, "_first")).alias("m")).select(key, "m._first", "m._deep")
+    greater pieces). Rows with a null key or order are kept (a null order is least)."""
+    got = readable(df.select(key, order, col), col, lists, wrappers).where(F.col("_pieces").isNotNull())
+    return got.groupBy(key).agg(F.max_by("_pieces", F.struct(order, "_pieces")).alias("_pieces"))
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type for the values of both; JSON text where there is none."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(_wider(a.elementType, b.elementType))
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        got = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            got[f.name] = _wider(got[f.name], f.dataType) if f.name in got else f.dataType
+        return T.StructType([T.StructField(n, t) for n, t in got.items()])
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+@dataclass(frozen=True)
+class Shape:
+    """What ``merged_schema`` tells of self-nesting documents: the node fields of all levels
+    (``kids`` apart), and how many levels a piece has."""
+
+    fields: dict[str, T.DataType]
+    levels: int
+
+
+def shape(docs: DataFrame, kids: str) -> Shape:
+    """The merged schema over all pieces of all documents, its levels laid over one another."""
+    at = merged_schema(docs.select(F.explode("_pieces.body").alias("b")), "b")
+    fields: T.DataType = T.NullType()
+    n = 0
+    while isinstance(at, T.ArrayType) and isinstance(at.elementType, T.StructType):
+        n += 1
+        own = {f.name: f.dataType for f in at.elementType.fields}
+        at = own.pop(kids, T.NullType())
+        fields = _wider(fields, T.StructType([T.StructField(f, t) for f, t in own.items()]))
+    return Shape({f.name: f.dataType for f in fields.fields} if isinstance(fields, T.StructType) else {}, n)
+
+
+def typed(docs: DataFrame, key: list[str], kids: str, fields: dict[str, T.DataType], levels: int) -> DataFrame:
+    """``key``, ``prefix`` and ``v``: each piece as nested arrays of structs, read once with the
+    merged schema. Fields go by place (f0, f1, ..), as names may differ by letter case only."""
+    named, placed = None, None
+    for _ in range(levels):
+        own = [T.StructField(f, t) for f, t in fields.items()] + ([T.StructField(kids, named)] if named else [])
+        at = [T.StructField(f"f{i}", t) for i, t in enumerate(fields.values())] + ([T.StructField("kids", placed)] if placed else [])
+        named, placed = T.ArrayType(T.StructType(own)), T.ArrayType(T.StructType(at))
+    each = docs.select(*[F.col(f"`{k}`") for k in key], F.inline("_pieces"))
+    return each.select(*[F.col(f"`{k}`") for k in key], "prefix", F.from_json("body", named).cast(placed).alias("v"))
+
+
+def child_tables(pieces_: DataFrame, key: list[str], n_fields: int, levels: int) -> list[DataFrame]:
+    """One table per array level of ``typed`` pieces, each exploded from the one above: ``key``,
+    ``_id`` (with the key a node's surrogate: the ordinals from 1 on the way to it),
+    ``_parent_id``, carried from the parent (empty for the first level), ``_pos`` (ordinal in
+    its array from 0) and the fields f0, f1, .."""
+    keys = [F.col(f"`{k}`") for k in key]
+    out: list[DataFrame] = []
+    at = pieces_.select(*keys, F.col("prefix").alias("_parent_id"), F.posexplode("v").alias("_pos", "_v"))
+    for k in range(levels):
+        at = at.select("*", F.concat("_parent_id", F.array(F.col("_pos") + 1)).alias("_id"))
+        out.append(at.select(*keys, "_id", "_parent_id", "_pos", *[F.col(f"_v.f{i}").alias(f"f{i}") for i in range(n_fields)]))
+        if k + 1 < levels:
+            at = at.select(*keys, F.col("_id").alias("_parent_id"), F.posexplode("_v.kids").alias("_pos", "_v"))
+    return out
+
 
+def node_rows(docs: DataFrame, key: list[str], fields: dict[str, T.DataType], kids: str, levels: int, keep: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+    """The child tables of all levels as one: ``key``, ``ord`` (depth-first from 1 in its
+    document), ``parent_ord`` (0 at the first level), ``path`` (ordinals) and ``fields``; one whose
+    name is taken becomes ``name_2``. ``keep`` materialises the typed pieces, which each level
+    reads. The order stands over one document, no larger than a row of the input was; a node
+    finds its parent's number by the key that it carries. Without nodes there are no rows."""
+    taken = {k.lower() for k in key} | {"path", "ord", "parent_ord"}
+    names = [_free(f, taken) for f in fields]
+    if not levels:
+        own = [T.StructField("path", T.ArrayType(T.IntegerType())), T.StructField("ord", T.IntegerType()), T.StructField("parent_ord", T.IntegerType())]
+        return docs.sparkSession.createDataFrame([], T.StructType([docs.schema[k] for k in key] + own + [T.StructField(n, t) for n, t in zip(names, fields.values())]))
+    tables = child_tables(keep(typed(docs, key, kids, fields, levels)), key, len(fields), levels)
+    n = functools.reduce(DataFrame.unionByName, tables)
+    n = n.withColumn("ord", F.row_number().over(Window.partitionBy(*key).orderBy("_id")))
+    up = n.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(key)], F.col("_id").alias("_up"), F.col("ord").alias("_o"))
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
+    n = n.join(up, [*on, F.col("_parent_id") == F.col("_up")], "left")
+    return n.select(*[F.col(f"`{k}`") for k in key], F.col("_id").alias("path"), "ord", F.coalesce("_o", F.lit(0)).alias("parent_ord"), *[F.col(f"f{i}").alias(n_) for i, n_ in enumerate(names)])

@@ -1,7 +1,8 @@
 """References to records that do not exist, with partial keys and validity in time.
 
 A reference is several columns; some may be null. References are grouped by their
-null mask, and each mask is matched on its non-null columns alone:
+null mask; each mask is anti-joined with the targets on its non-null columns alone,
+as the declared semantics ask:
 
 * ``simple``  - a reference with any null is no reference (and never an orphan);
 * ``full``    - all null is no reference; some null is an orphan (``partial``);
@@ -14,110 +15,90 @@ after the reference), ``deleted`` (none comes after, none stands), ``partial``.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A key with more rows (of different starts) than this is judged by running counts in place
+#: of the anti-join, in runs of so many microseconds.
+FEW, RUN = 64, 3600 * 10**6
 
-#: Seconds of a run: a key's rows are put in order within runs, not all at once.
-RUN = 30 * 86400
-
-
-def presence(targets: DataFrame, key: list[str], since: str, until: str) -> DataFrame:
-    """Per key the disjoint spans in which some row stands (``_spans``) and the last
-    ``since`` (``_last``). Rows of one key and start are merged before the shuffle;
-    overlapping rows melt into one span, so repeats and reloads of a hot key leave one.
-    The order is taken within runs of ``RUN`` seconds, each of which hands the latest end
-    and the number of its spans to the next, so that no key has to stand in one task.
-    A null ``since`` means from ever; rows with ``until`` not after ``since`` stand at
-    no time but count as existing. Keys must not be null."""
-    ever, never = F.lit("0001-01-01 00:00:00").cast("timestamp"), F.lit("9999-12-31 00:00:00").cast("timestamp")
-    t = targets.select(*key, F.coalesce(since, ever).alias("_a"), F.coalesce(until, never).alias("_b"))
-    started = F.max(F.when(F.col("_a") > ever, F.col("_a")))
-
-    # most keys have one row: it is their span, and only the other keys are put in order
-    g = t.groupBy(*key).agg(F.count("*").alias("_n"), F.min("_a").alias("_a"), F.max("_b").alias("_b"), started.alias("_last"))
-    single = g.where("_n = 1").select(*key, F.array(F.struct("_a", "_b")).alias("_spans"), "_last")
-    t = t.join(g.where("_n > 1").select(*key), key, "left_semi")
-
-    t = t.groupBy(*key, "_a").agg(F.max("_b").alias("_b")).withColumn("_run", F.floor(F.unix_timestamp("_a") / RUN))
-    runs = Window.partitionBy(*key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    inner = Window.partitionBy(*key, "_run").orderBy("_a")
-    upto, before = inner.rowsBetween(Window.unboundedPreceding, 0), inner.rowsBetween(Window.unboundedPreceding, -1)
-
-    ends = t.groupBy(*key, "_run").agg(F.max("_b").alias("_e")).withColumn("_c", F.max("_e").over(runs)).drop("_e")
-    t = t.join(ends, [*key, "_run"])
-    t = t.withColumn("_m", F.greatest(F.max("_b").over(before), F.col("_c"))).withColumn("_n", F.when(F.col("_m") >= F.col("_a"), 0).otherwise(1)).drop("_c", "_m")
-    begun = t.groupBy(*key, "_run").agg(F.sum("_n").alias("_k")).withColumn("_o", F.coalesce(F.sum("_k").over(runs), F.lit(0))).drop("_k")
-    t = t.join(begun, [*key, "_run"]).withColumn("_i", F.sum("_n").over(upto) + F.col("_o"))
-
-    t = t.groupBy(*key, "_i").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), started.alias("_l"))
-    several = t.groupBy(*key).agg(F.collect_list(F.struct("_a", "_b")).alias("_spans"), F.max("_l").alias("_last"))
-    return single.unionByName(several)
-
-
-def orphans(
-    refs: DataFrame,
-    targets: DataFrame,
-    on: dict[str, str],
-    at: str,
-    since: str,
-    until: str,
-    match: str = "simple",
-) -> DataFrame:
+
+def masks(names: list[str], match: str) -> Iterator[tuple[list[str], list[str], str]]:
+    """Per null mask its non-null and null columns and what the semantics make of it: ``match``
+    (anti-join), ``orphan`` or ``none`` (no reference)."""
+    for gone in product([False, True], repeat=len(names)):
+        held, null = [c for c, g in zip(names, gone) if not g], [c for c, g in zip(names, gone) if g]
+        if not null:
+            yield held, null, "match"
+        elif not held or match == "simple":
+            yield held, null, "none"
+        else:
+            yield held, null, "orphan" if match == "full" else "match"
+
+
+def orphans(refs: DataFrame, targets: DataFrame, on: dict[str, str], at: str, since: str, until: str, match: str = "simple") -> DataFrame:
     """``refs`` that no target satisfies at time ``at``, with the column ``reason``.
 
-    ``on`` maps reference columns to target columns. A null ``at`` is later than all.
-    Repeated references stay repeated; an empty target table makes all of them
-    ``missing``. Columns of ``targets`` other than those named play no part, so
-    clashing names do no harm. ``refs`` must not hold columns that begin with ``_``.
+    ``on`` maps reference columns to target columns. A null ``at`` is later than all; a null
+    ``since`` means from ever; a target whose ``until`` is not after ``since`` stands at no
+    time but counts as existing. Repeated references stay repeated; an empty target table
+    makes all of them ``missing``. Columns of ``targets`` other than those named play no
+    part, so clashing names do no harm. ``refs`` must not hold columns that begin with ``_``.
     """
     if match not in ("simple", "full", "partial"):
         raise ValueError(f"match {match!r}")
-    names = list(on)
-    null = [F.col(f"`{c}`").isNull() for c in names]
-    all_null = _all(null)
-    if match == "simple":
-        masks = [tuple([False] * len(names))]
-    elif match == "full":
-        masks = [tuple([False] * len(names))]
-    else:
-        masks = [m for m in product([False, True], repeat=len(names)) if not all(m)]
-
-    out: DataFrame | None = None
-    for mask in masks:
-        held = [c for c, gone in zip(names, mask) if not gone]
-        part = refs.where(_all([n if gone else ~n for n, gone in zip(null, mask)]))
-        keys = [f"_k{i}" for i in range(len(held))]
-        t = targets.where(_all([F.col(f"`{on[c]}`").isNotNull() for c in held]))
-        t = t.select(*[F.col(f"`{on[c]}`").alias(k) for c, k in zip(held, keys)], F.col(f"`{since}`").alias("_since"), F.col(f"`{until}`").alias("_until"))
-        p = presence(t, keys, "_since", "_until")
-        joined = part.join(p, [F.col(f"`{c}`") == F.col(k) for c, k in zip(held, keys)], "left")
-        when = F.coalesce(F.col(f"`{at}`"), F.lit("9999-12-30 00:00:00").cast("timestamp"))
-        stands = F.exists("_spans", lambda s: (s["_a"] <= when) & (when < s["_b"]))
-        reason = F.when(F.col("_spans").isNull(), "missing").when(F.col("_last") > when, "late").otherwise("deleted")
-        got = joined.where(F.col("_spans").isNull() | ~stands).withColumn("reason", reason).drop("_spans", "_last", *keys)
-        out = got if out is None else out.unionByName(got)
-    assert out is not None
-    if match == "full":
-        some = refs.where(_any(null) & ~all_null).withColumn("reason", F.lit("partial"))
-        out = out.unionByName(some)
-    return out
-
-
-def _all(terms: list[Column]) -> Column:
-    out = F.lit(True)
-    for t in terms:
-        out = out & t
-    return out
-
-
-def _any(terms: list[Column]) -> Column:
-    out = F.lit(False)
-    for t in terms:
-        out = out | t
-    return out
+    out: list[DataFrame] = []
+    for held, null, way in masks(list(on), match):
+        part = refs.where(functools.reduce(Column.__and__, [*[F.col(f"`{c}`").isNull() for c in null], *[F.col(f"`{c}`").isNotNull() for c in held]]))
+        if way == "match":
+            out.append(_unmatched(part, targets, {c: on[c] for c in held}, at, since, until))
+        elif way == "orphan":
+            out.append(part.withColumn("reason", F.lit("partial")))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+def _unmatched(part: DataFrame, targets: DataFrame, on: dict[str, str], at: str, since: str, until: str) -> DataFrame:
+    """The references of one mask without a standing target on the columns ``on``."""
+    ever, never, end = (F.lit(x).cast("timestamp") for x in ("0001-01-01 00:00:00", "9999-12-31 00:00:00", "9999-12-30 00:00:00"))
+    keys, names = [f"_k{i}" for i in range(len(on))], part.columns
+    t = targets.where(functools.reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in on.values()]))
+    t = t.select(*[F.col(f"`{c}`").alias(k) for k, c in zip(keys, on.values())], F.coalesce(F.col(f"`{since}`"), ever).alias("_a"), F.coalesce(F.col(f"`{until}`"), never).alias("_b"))
+    # repeats and reloads of a hot key melt on the map side
+    rows = t.groupBy(*keys, "_a").agg(F.max("_b").alias("_b"))
+    per = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.when(F.col("_a") > ever, F.col("_a"))).alias("_last"))
+
+    when = F.coalesce(F.col(f"`{at}`").cast("timestamp"), end).alias("_at")
+    r = part.select("*", *[F.col(f"`{c}`").alias(k) for k, c in zip(keys, on)], when).join(per, keys, "left")
+    spans = rows.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "_a", "_b")
+    meet = [F.col(k) == F.col(f"_t{i}") for i, k in enumerate(keys)]
+    few = r.where(F.coalesce("_n", F.lit(0)) <= FEW).join(spans, [*meet, F.col("_a") <= F.col("_at"), F.col("_at") < F.col("_b")], "left_anti")
+
+    many = r.where(F.col("_n") > FEW)
+    gaps = _at_gaps(many.select(*keys, "_at"), rows.join(per.where(F.col("_n") > FEW).select(*keys), keys, "left_semi"), keys)
+    got = few.unionByName(many.join(gaps, [*keys, "_at"], "left_semi").select(few.columns))
+    reason = F.when(F.col("_n").isNull(), "missing").when(F.col("_last") > F.col("_at"), "late").otherwise("deleted")
+    return got.select(*[F.col(f"`{c}`") for c in names if c != "reason"], reason.alias("reason"))
+
+
+def _at_gaps(asked: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct (``keys``, ``_at``) at which no row stands: starts less ends so far is zero.
+    The count is taken within runs of time, each of which hands its sum to the next, so that no
+    key has to stand in one task."""
+    stands = rows.where(F.col("_a") < F.col("_b"))
+    turn = lambda c, d: stands.select(*keys, F.unix_micros(c).alias("_t"), F.lit(d).alias("_d"))
+    turns = turn("_a", 1).unionAll(turn("_b", -1)).groupBy(*keys, "_t").agg(F.sum("_d").alias("_d"))
+    asks = asked.distinct().select(*keys, F.unix_micros("_at").alias("_t"), F.lit(0).cast("long").alias("_d"), "_at")
+    e = turns.withColumn("_at", F.lit(None).cast("timestamp")).unionByName(asks).withColumn("_run", F.floor(F.col("_t") / RUN))
+    before = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    base = e.groupBy(*keys, "_run").agg(F.sum("_d").alias("_s")).withColumn("_base", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
+    # at one time starts and ends come before what is asked
+    inner = Window.partitionBy(*keys, "_run").orderBy("_t", F.col("_at").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("_in", F.sum("_d").over(inner)).where(F.col("_at").isNotNull()).join(base, [*keys, "_run"])
+    return e.where(F.col("_in") + F.col("_base") == 0).select(*keys, "_at")
 
 
 def rates(found: DataFrame, refs: DataFrame, by: list[str]) -> DataFrame:

@@ -1,21 +1,22 @@
 """What changed between full snapshots of a table.
 
 ``SnapshotIndex`` keeps, for the last snapshot, a bucketed table of key and hash
-of the compared values. A new snapshot is shuffled once by key into the same
-buckets and probes the index, which is read in place; old values are fetched from
-the old snapshot for changed keys only; then the new snapshot's index takes the
-old one's place.
+of the compared values, by name in the shared folder. A new snapshot's keys and hashes
+are put into the same buckets and probe the index, which is read in place; old values are
+fetched from the old snapshot for changed keys only; then the new snapshot's index takes
+the old one's place.
 """
 
 from __future__ import annotations
 
-import itertools
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from foliant.session import shared_dir
+from foliant.session import shared_dir, written
 
 KIND = "change_kind"
 
@@ -42,100 +43,154 @@ def keyed(df: DataFrame, key: list[str], compared: list[str], latest: str | None
 
 
 class SnapshotIndex:
-    """The index of the last snapshot; ``apply`` brings the next one.
+    """The index of the last snapshot, kept under ``name`` in the shared folder (or
+    ``folder``); ``apply`` brings the next one, also in a later session.
 
     Null key parts are equal to each other. A first snapshot reports every key as
     added unless it comes through ``load``; an empty snapshot removes every key.
+    A delivery that fails leaves the index as it was: the new one is put in the old one's
+    place by a rename, after what changed has been written.
     """
 
-    def __init__(self, spark: SparkSession, key: list[str], compared: list[str], latest: str | None = None, buckets: int | None = None):
+    #: Keys of a bucket, roughly.
+    BUCKET = 250_000
+
+    def __init__(self, spark: SparkSession, name: str, key: list[str], compared: list[str], latest: str | None = None, folder: str | None = None):
         self.spark, self.key, self.compared, self.latest = spark, key, compared, latest
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.held: DataFrame | None = None
-
-    def _write(self, frame: DataFrame, period: str | None = None) -> DataFrame:
-        name = f"snapshot_index_{uuid.uuid4().hex}"
-        path = f"{shared_dir(self.spark)}/{name}"
-        # by key within as many partitions as buckets: one file per bucket
-        w = frame.repartition(self.buckets, *self.key).write.format("parquet").option("path", path)
-        # within a bucket by period, so that a period's rows are row groups of their own
-        w.bucketBy(self.buckets, *self.key).sortBy(*(["_p"] if period else []), *self.key).saveAsTable(name)
+        self.path = f"{folder or shared_dir(spark)}/index-{name}"
+
+    # --- files ---
+    def _fs(self):
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+    def versions(self) -> list[tuple[int, int]]:
+        """(number, buckets) of the versions in place, the last one last."""
+        fs, path = self._fs()
+        if not fs.exists(path(self.path)):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(path(self.path))]
+        return sorted(tuple(map(int, n[1:].split("-"))) for n in names if re.fullmatch(r"v\d+-\d+", n))
+
+    def _table(self, path: str, buckets: int, frame: DataFrame | None = None) -> DataFrame:
+        """The bucketed table at ``path``, written from ``frame`` first if that is given. The
+        frame knows its files and buckets, so the catalogue needs no entry."""
+        name = f"foliant_index_{uuid.uuid4().hex}"
+        if frame is not None:
+            # by key within as many partitions as buckets: one file per bucket
+            w = frame.repartition(buckets, *self.key).write.format("parquet").option("path", path)
+            w.bucketBy(buckets, *self.key).sortBy(*self.key).saveAsTable(name)
+        else:
+            by = ", ".join(f"`{k}`" for k in self.key)
+            cols = ", ".join(f"`{k}` STRING" for k in [*self.key, "_h"])
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'")
         out = self.spark.table(name)
-        # the frame knows its files and buckets: the catalogue needs no entry, and the files stay
         self.spark.sql(f"DROP TABLE {name}")
         return out
 
-    def load(self, snapshot: DataFrame) -> None:
-        """Take ``snapshot`` as the last one, without a report."""
-        self.held = self._write(self._keyed(snapshot))
+    def held(self) -> DataFrame | None:
+        """Key and hash of the last snapshot."""
+        v = self.versions()
+        return self._table(f"{self.path}/v{v[-1][0]}-{v[-1][1]}", v[-1][1]) if v else None
 
-    def _keyed(self, snapshot: DataFrame, period: str | None = None) -> DataFrame:
-        # null parts must meet: they are held as a marked string beside the value
-        at = [F.col(f"`{period}`").cast("string").alias("_p")] if period else []
-        return keyed(snapshot.select(*at, *self._parts(), *self._values(snapshot)), ["_p", *self.key] if period else self.key, [f"_c{i}" for i in range(len(self.compared))], "_t" if self.latest else None)
+    def drop(self) -> None:
+        fs, path = self._fs()
+        fs.delete(path(self.path), True)
 
-    def _parts(self) -> list[Column]:
-        return [F.coalesce(F.concat(F.lit("="), F.col(f"`{k}`").cast("string")), F.lit("-")).alias(k) for k in self.key]
+    # --- deliveries ---
+    def _keyed(self, snapshot: DataFrame) -> DataFrame:
+        # null parts must meet: they are held as a marked string beside the value
+        parts = [F.coalesce(F.concat(F.lit("="), F.col(f"`{k}`").cast("string")), F.lit("-")).alias(k) for k in self.key]
+        kept = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(self.compared)] + ([F.col(f"`{self.latest}`").alias("_t")] if self.latest else [])
+        return keyed(snapshot.select(*parts, *kept), self.key, [f"_c{i}" for i in range(len(self.compared))], "_t" if self.latest else None)
+
+    def _next(self, snapshot: DataFrame) -> tuple[DataFrame, str, int]:
+        """The new snapshot's index, written beside the one in place. The number of buckets
+        follows the number of keys, and stays as it is while that is about right."""
+        old = self.versions()
+        rows = (self.held() if old else snapshot).count()
+        buckets = max(1, -(-rows // self.BUCKET))
+        if old and old[-1][1] / 4 <= buckets <= old[-1][1] * 2:
+            buckets = old[-1][1]
+        path = f"{self.path}/next-{uuid.uuid4().hex}"
+        return self._table(path, buckets, self._keyed(snapshot)), path, buckets
+
+    def _swap(self, path: str, buckets: int) -> None:
+        fs, hadoop = self._fs()
+        old = self.versions()
+        if not fs.rename(hadoop(path), hadoop(f"{self.path}/v{(old[-1][0] if old else 0) + 1}-{buckets}")):
+            raise OSError(f"{path} was not put in place")
+        for n, b in old:
+            fs.delete(hadoop(f"{self.path}/v{n}-{b}"), True)
 
-    def _values(self, snapshot: DataFrame) -> list[Column]:
-        kept = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(self.compared)]
-        return kept + ([F.col(f"`{self.latest}`").alias("_t")] if self.latest else [])
+    def load(self, snapshot: DataFrame) -> None:
+        """Take ``snapshot`` as the last one, without a report."""
+        _, path, buckets = self._next(snapshot)
+        self._swap(path, buckets)
 
-    def apply(self, snapshot: DataFrame) -> DataFrame:
+    def apply(self, snapshot: DataFrame, before: DataFrame | None = None) -> DataFrame:
         """Rows of ``key`` and ``change_kind`` (added, removed, changed) against the
-        last snapshot; the index then holds ``snapshot``."""
-        fresh = self._write(self._keyed(snapshot))
-        out = self._probe(fresh)
-        self.held = fresh
+        last snapshot; the index then holds ``snapshot``. With ``before``, the last snapshot
+        itself, also structs ``old`` and ``new`` of the compared values, fetched for the keys
+        in the report alone. The report is a table of its own in the shared folder."""
+        fresh, path, buckets = self._next(snapshot)
+        out = written(self.probe(self.held(), fresh))
+        if before is not None:
+            out = written(with_values(out, before, snapshot, self.key, self.compared, self.latest))
+        self._swap(path, buckets)
         return out
 
-    def _probe(self, fresh: DataFrame) -> DataFrame:
+    def probe(self, held: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        plain = [F.when(F.col(k) != "-", F.expr(f"substring(`{k}`, 2)")).alias(k) for k in self.key]
         new = fresh.withColumnRenamed("_h", "_new")
-        if self.held is None:
-            return new.select(*self._plain(), F.lit("added").alias(KIND))
-        old = self.held.withColumnRenamed("_h", "_was")
+        if held is None:
+            return new.select(*plain, F.lit("added").alias(KIND))
         kind = F.when(F.col("_was").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed")
-        met = old.join(new, self.key, "full_outer").where(~F.col("_was").eqNullSafe(F.col("_new")))
-        return met.select(*self._plain(), kind.alias(KIND))
-
-    def _plain(self) -> list[Column]:
-        return [F.when(F.col(k) != "-", F.expr(f"substring(`{k}`, 2)")).alias(k) for k in self.key]
+        # both lie in the same buckets: no shuffle
+        met = held.withColumnRenamed("_h", "_was").join(new, self.key, "full_outer").where(~F.col("_was").eqNullSafe(F.col("_new")))
+        return met.select(*plain, kind.alias(KIND))
 
 
-def with_values(changes: DataFrame, old: DataFrame, new: DataFrame, key: list[str], compared: list[str]) -> DataFrame:
+def with_values(changes: DataFrame, old: DataFrame, new: DataFrame, key: list[str], compared: list[str], latest: str | None = None) -> DataFrame:
     """``changes`` with structs ``old`` and ``new`` of the compared values, fetched for
-    the changed keys only. Keys are compared as strings; of repeats the greatest counts."""
-
-    def side(frame: DataFrame, name: str) -> DataFrame:
-        cols = [F.col(f"`{k}`").cast("string").alias(k) for k in key] + [F.struct(*compared).alias(name)]
-        cut = frame.select(*cols).alias("a").join(changes.select(*key).alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key], "left_semi")
-        return cut.groupBy(*key).agg(F.max(name).alias(name))
-
+    the changed keys only. Keys are compared as strings; of repeats the one that ``keyed``
+    takes counts."""
     out = changes
     for frame, name in ((old, "old"), (new, "new")):
-        s = side(frame, name).select(*[F.col(k).alias(f"_k_{k}") for k in key], name)
-        out = out.join(s, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key], "left").drop(*[f"_k_{k}" for k in key])
+        h = row_hash(compared)
+        order = F.struct(F.col(f"`{latest}`"), h) if latest else F.struct(h)
+        cols = [F.col(f"`{k}`").cast("string").alias(f"_k{i}") for i, k in enumerate(key)]
+        s = frame.select(*cols, F.struct(*[F.col(f"`{c}`") for c in compared]).alias("_v"), order.alias("_o"))
+        meet = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
+        s = s.join(changes.select(*key), meet, "left_semi").groupBy(*[f"_k{i}" for i in range(len(key))]).agg(F.max_by("_v", "_o").alias(name))
+        out = out.join(s, meet, "left").drop(*[f"_k{i}" for i in range(len(key))])
     return out
 
 
-def changes_over(df: DataFrame, period: str, key: list[str], compared: list[str], latest: str | None = None) -> DataFrame:
-    """``period``, ``key`` and ``change_kind`` for every period but the first, each
-    against the one just before.
+def changes_over(df: DataFrame, period: str, key: list[str], compared: list[str], latest: str | None = None, values: bool = False) -> DataFrame:
+    """``period``, ``key`` and ``change_kind`` (with ``values`` also ``old`` and ``new``) for every
+    period but the first, each against the one just before: the snapshots are delivered in
+    turn to one index, which is dropped at the end.
 
-    The indexes of all periods are built in one pass (one scan, one shuffle) as stretches
-    of one bucketed table; each then probes the next, bucket by bucket, without a shuffle.
     The periods (one per delivery) are the only rows that reach the driver. Rows without a
     period are left out.
     """
-    index = SnapshotIndex(df.sparkSession, key, compared, latest)
-    all_ = index._write(index._keyed(df.where(F.col(period).isNotNull()), period), period)
-    periods = [r[0] for r in all_.select("_p").distinct().orderBy("_p").collect()]
-    back = df.schema[period].dataType
+    index = SnapshotIndex(df.sparkSession, uuid.uuid4().hex, key, compared, latest)
+    periods = [r[0] for r in df.where(F.col(period).isNotNull()).select(period).distinct().orderBy(period).collect()]
     out: DataFrame | None = None
-    for before, now in itertools.pairwise(periods):
-        index.held = all_.where(F.col("_p") == F.lit(before)).drop("_p")
-        got = index._probe(all_.where(F.col("_p") == F.lit(now)).drop("_p")).select(F.lit(now).cast(back).alias(period), *key, KIND)
-        out = got if out is None else out.unionByName(got)
+    last: DataFrame | None = None
+    for p in periods:
+        snapshot = df.where(F.col(period) == F.lit(p))
+        if last is None:
+            index.load(snapshot)
+        else:
+            got = index.apply(snapshot, last if values else None)
+            got = got.select(F.lit(p).cast(df.schema[period].dataType).alias(period), *got.columns)
+            out = got if out is None else out.unionByName(got)
+        last = snapshot
+    index.drop()
     if out is None:
-        return df.select(period, *[F.col(k).cast("string").alias(k) for k in key], F.lit("").alias(KIND)).where(F.lit(False))
+        own = F.lit(None).cast(T.StructType([df.schema[c] for c in compared]))
+        return df.select(period, *[F.col(k).cast("string").alias(k) for k in key], F.lit("").alias(KIND), *[own.alias(c) for c in ("old", "new") if values]).where(F.lit(False))
     return out

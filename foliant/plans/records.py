@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,39 +13,37 @@ from foliant.session import table, written
 
 #: How a tree's levels are named, and the keys under which a tree may be wrapped.
 LEVELS, WRAPPERS = ("divisions", "children"), ("tree", "doc_tree", "document", "data", "payload")
+#: Fields that are columns whether or not a tree has them. The texts among them stay texts
+#: (of another value its JSON); the others have the type that is inferred.
+P2_TEXTS = ("type", "id", "cite", "page_label", "kind", "number", "title", "text", "plain", "caption", "term", "definition", "key", "source", "abbreviation", "meaning")
+P2_OTHERS = {
+    "page": T.LongType(), "level": T.LongType(), "depth": T.LongType(), "grid": T.BooleanType(), "proponent": T.BooleanType(),
+    "columns": T.ArrayType(T.StringType()), "rows": T.ArrayType(T.ArrayType(T.StringType())),
+}
 
 
-def p2_trees(spark: SparkSession, sf: str) -> DataFrame:
-    # unpacked once: the depth, the fields and the nodes all come from what is written
-    return written(nested.latest_readable(table(spark, sf, "doc_trees"), "pub_id", "received_at", "tree", LEVELS, WRAPPERS))
-
-
-def p2_nodes(trees: DataFrame, fields: dict[str, str | T.DataType]) -> DataFrame:
-    deep = trees.agg(F.max("_deep")).first()[0] or 1
-    flat = nested.flatten_recursive(trees, "_first", ["pub_id"], fields, "children", deep)
-    return nested.numbered(flat, ["pub_id"], deep)
+def p2_trees(spark: SparkSession, sf: str) -> tuple[DataFrame, nested.Shape]:
+    """The trees, brought into one shape and written once, and their merged schema."""
+    trees = written(nested.latest_readable(table(spark, sf, "doc_trees"), "pub_id", "received_at", "tree", LEVELS, WRAPPERS))
+    return trees, nested.shape(trees, LEVELS[1])
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    n = p2_nodes(p2_trees(spark, sf), {"type": "string"})
-    return n.select("pub_id", F.col("ord").cast("int").alias("ord"), F.col("parent_ord").cast("int").alias("parent_ord"), F.col("type").alias("node_type"))
-
-
-#: Fields that are columns whether or not a tree has them. The texts among them stay texts
-#: (of another value its JSON); the others have the type that is inferred.
-P2_TEXTS = ("type", "id", "cite", "page_label", "kind", "number", "title", "text", "plain", "caption", "term", "definition", "key", "source", "abbreviation", "meaning")
-P2_OTHERS = {"page": "bigint", "level": "bigint", "depth": "bigint", "grid": "boolean", "proponent": "boolean", "columns": "array<string>", "rows": "array<array<string>>"}
+    trees, merged = p2_trees(spark, sf)
+    n = nested.node_rows(trees, ["pub_id"], {"type": T.StringType()}, LEVELS[1], merged.levels, written)
+    return n.select("pub_id", "ord", "parent_ord", F.col("type").alias("node_type"))
 
 
 def p2_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The related tables of the trees: ``nodes``, and one per array in a node. Their
     fields are those of the schema merged over all nodes of all trees."""
-    trees = p2_trees(spark, sf)
-    seen = nested.merged_fields(trees, "_first", LEVELS[1])
-    fields = dict.fromkeys(P2_TEXTS, "string") | P2_OTHERS
-    n = p2_nodes(trees, fields | {f: nested.held_type(t) for f, t in seen.items() if f not in fields or f in P2_OTHERS and not isinstance(t, T.NullType)})
+    trees, merged = p2_trees(spark, sf)
+    fields = dict.fromkeys(P2_TEXTS, T.StringType()) | P2_OTHERS
+    fields |= {f: nested.held_type(t) for f, t in merged.fields.items() if f not in fields or f in P2_OTHERS and not isinstance(t, T.NullType)}
+    n = nested.node_rows(trees, ["pub_id"], fields, LEVELS[1], merged.levels, written)
     path = F.array_join(F.col("path").cast("array<string>"), ".").alias("path")
-    return nested.relate(n.select("pub_id", "ord", "parent_ord", path, *[F.col(f"`{c}`") for c in n.columns if c not in ("pub_id", "path", "ord", "parent_ord")]), ["pub_id", "ord"], "nodes")
+    own = [F.col(f"`{c}`") for c in n.columns if c not in ("pub_id", "path", "ord", "parent_ord")]
+    return nested.relate(n.select("pub_id", "ord", "parent_ord", path, *own), ["pub_id", "ord"], "nodes")
 
 
 def p2_node_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,57 +72,65 @@ P5 = {
 }
 
 
+def p5_changes(spark: SparkSession, sf: str, values: bool = False) -> list[tuple[str, DataFrame]]:
+    """Per table its changes, snapshot by snapshot through an index."""
+    return [(name, snapshots.changes_over(table(spark, sf, name), "snapshot_on", key, compared, latest, values)) for name, (key, compared, latest) in P5.items()]
+
+
+def p5_cols(name: str) -> list[Column]:
+    # a null key part stays apart from an empty one and from a missing one
+    key = F.concat_ws("/", *[F.coalesce(k, F.lit("\\N")) for k in P5[name][0]]) if len(P5[name][0]) > 1 else F.col(P5[name][0][0])
+    return [F.lit(name).alias("src"), F.date_format("snapshot_on", "yyyy-MM-dd").alias("snapshot_on"), key.alias("record_key")]
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    out: DataFrame | None = None
-    for name, (key, compared, latest) in P5.items():
-        got = snapshots.changes_over(table(spark, sf, name), "snapshot_on", key, compared, latest)
-        got = got.select(
-            F.lit(name).alias("src"),
-            F.date_format("snapshot_on", "yyyy-MM-dd").alias("snapshot_on"),
-            F.concat_ws("/", *key).alias("record_key"),
-            snapshots.KIND,
-        )
-        out = got if out is None else out.unionByName(got)
-    assert out is not None
-    return out
+    return functools.reduce(DataFrame.unionByName, [got.select(*p5_cols(name), snapshots.KIND) for name, got in p5_changes(spark, sf)])
+
 
+def p5_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Each compared value that differs, before and after, of the changed records."""
+    out: list[DataFrame] = []
+    for name, got in p5_changes(spark, sf, values=True):
+        each = [F.struct(F.lit(c).alias("column_name"), F.col(f"old.{c}").cast("string").alias("old_value"), F.col(f"new.{c}").cast("string").alias("new_value")) for c in P5[name][1]]
+        got = got.where(F.col(snapshots.KIND) == "changed").select(*p5_cols(name), F.inline(F.array(*each)))
+        out.append(got.where(~snapshots.folded("old_value").eqNullSafe(snapshots.folded("new_value"))))
+    return functools.reduce(DataFrame.unionByName, out)
 
-def p6_refs(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame, DataFrame, tuple[str, str, str]]]:
-    """Each referring table with its target: refs have pub_id, ref_key, target, key, recorded_at."""
-    nodes, claims = table(spark, sf, "nodes"), table(spark, sf, "claims")
+
+def p6_refs(spark: SparkSession, sf: str) -> DataFrame:
+    """All references in one table: ref_table, pub_id, ref_key, target, key, recorded_at. The
+    key parts may be null: what that means is the operator's to say."""
 
     def refs(name: str, key: str, target: str) -> DataFrame:
-        d = table(spark, sf, name).where(F.col(target).isNotNull())
-        return d.select("pub_id", F.col(key).cast("string").alias("ref_key"), F.col(target).alias("target"), F.regexp_replace(target, r"^[ \t]+|[ \t]+$", "").alias("key"), "recorded_at").distinct()
+        bare = F.regexp_replace(target, r"^[ \t]+|[ \t]+$", "").alias("key")
+        return table(spark, sf, name).select(F.lit(name).alias("ref_table"), "pub_id", F.col(key).cast("string").alias("ref_key"), F.col(target).alias("target"), bare, "recorded_at")
+
+    return refs("claim_cites", "claim_id", "node_id").unionAll(refs("slides", "slide_id", "source_table")).unionAll(refs("review_findings", "finding_no", "claim"))
+
 
-    return [
-        ("claim_cites", refs("claim_cites", "claim_id", "node_id"), nodes, ("id", "loaded_at", "dropped_at")),
-        ("slides", refs("slides", "slide_id", "source_table"), nodes.where(F.col("type") == "table"), ("id", "loaded_at", "dropped_at")),
-        ("review_findings", refs("review_findings", "finding_no", "claim"), claims, ("claim_id", "made_at", "withdrawn_at")),
-    ]
+def p6_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """What each table's references may name, and when it is there."""
+    n = table(spark, sf, "nodes").select("pub_id", F.col("id").alias("key"), "type", F.col("loaded_at").alias("since"), F.col("dropped_at").alias("until"))
+    # one scan: a table node is the target of two kinds of references
+    named = F.explode(F.when(F.col("type") == "table", F.array(F.lit("claim_cites"), F.lit("slides"))).otherwise(F.array(F.lit("claim_cites"))))
+    n = n.select(named.alias("ref_table"), "pub_id", "key", "since", "until")
+    c = table(spark, sf, "claims").select(F.lit("review_findings").alias("ref_table"), "pub_id", F.col("claim_id").alias("key"), F.col("made_at").alias("since"), F.col("withdrawn_at").alias("until"))
+    return n.unionByName(c)
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    out: DataFrame | None = None
-    for name, refs, targets, (tid, since, until) in p6_refs(spark, sf):
-        got = orphans.orphans(refs, targets, {"pub_id": "pub_id", "key": tid}, "recorded_at", since, until)
-        got = got.select(F.lit(name).alias("ref_table"), F.date_format("recorded_at", "yyyy-MM").alias("ref_month"), "pub_id", "ref_key", "target", "reason")
-        out = got if out is None else out.unionByName(got)
-    assert out is not None
-    return out.distinct()
+    key = ("ref_table", "pub_id", "key")
+    got = orphans.orphans(p6_refs(spark, sf), p6_targets(spark, sf), dict(zip(key, key)), "recorded_at", "since", "until", "simple")
+    return got.select("ref_table", F.date_format("recorded_at", "yyyy-MM").alias("ref_month"), "pub_id", "ref_key", "target", "reason").distinct()
 
 
 def p6_report(spark: SparkSession, sf: str) -> DataFrame:
     """References and orphans per table and month."""
-    all_refs: DataFrame | None = None
-    for name, refs, _, _ in p6_refs(spark, sf):
-        r = refs.select(F.lit(name).alias("ref_table"), F.date_format("recorded_at", "yyyy-MM").alias("ref_month"))
-        all_refs = r if all_refs is None else all_refs.unionByName(r)
-    assert all_refs is not None
-    return orphans.rates(p6_found(spark, sf).drop("reason"), all_refs, ["ref_table", "ref_month"])
+    refs = p6_refs(spark, sf).where("target is not null").distinct().select("ref_table", F.date_format("recorded_at", "yyyy-MM").alias("ref_month"))
+    return orphans.rates(p6_found(spark, sf).drop("reason"), refs, ["ref_table", "ref_month"])
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_node_table, p2_node_arrays, p5_found, p6_found, p6_report)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_node_table, p2_node_arrays, p5_found, p5_values, p6_found, p6_report)}
 
 _FOLD = "nullif(trim(regexp_replace(lower(cast({0} as varchar)), '\\s+', ' ', 'g')), '')"
 
@@ -147,6 +155,19 @@ def _p5_sql(name: str) -> str:
       where a.{key[0]} is null or b.{key[0]} is null or not ({same}))"""
 
 
+def _p5_values_sql(name: str) -> str:
+    key, compared, latest = P5[name]
+    ks = ", ".join(key)
+    hashed = " || chr(31) || ".join(f"coalesce('=' || {_FOLD.format(c)}, '-')" for c in compared)
+    rows = f"(select *, row_number() over (partition by snapshot_on, {ks} order by {latest + ' desc nulls last, ' if latest else ''}md5({hashed}) desc) as rn from {name})"
+    each = " union all ".join(
+        f"select '{name}' as src, strftime(b.snapshot_on, '%Y-%m-%d') as snapshot_on, {' || chr(47) || '.join(f'b.{k}' for k in key)} as record_key, '{c}' as column_name, cast(a.{c} as varchar) as old_value, cast(b.{c} as varchar) as new_value "
+        f"from s a join s b on {' and '.join(f'a.{k} = b.{k}' for k in key)} and a.snapshot_on = (select max(snapshot_on) from s x where x.snapshot_on < b.snapshot_on) where {_FOLD.format('a.' + c)} is distinct from {_FOLD.format('b.' + c)}"
+        for c in compared
+    )
+    return f"select * from (with s as (select * from {rows} where rn = 1) {each})"
+
+
 def _p6_sql(name: str, key: str, target: str, ttable: str, tid: str, since: str, until: str, cond: str = "true") -> str:
     return f"""
     select '{name}' as ref_table, strftime(r.recorded_at at time zone 'UTC', '%Y-%m') as ref_month, r.pub_id, r.ref_key, r.target,
@@ -164,6 +185,7 @@ _P6 = " union ".join([
 
 SQL = {
     "p5_found": _p5_sql("publications") + " union all " + _p5_sql("para_snapshots"),
+    "p5_values": _p5_values_sql("publications") + " union all " + _p5_values_sql("para_snapshots"),
     "p6_found": _P6,
     "p6_report": f"""
     select r.ref_table, r.ref_month, r."references", coalesce(o.orphans, 0) as orphans from (

@@ -1,7 +1,7 @@
 import json
 import random
 
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.operators import nested
 
@@ -33,8 +33,7 @@ def rows_of(doc):
 def flat(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     t = nested.latest_readable(df, "pub_id", "received_at", "tree", LISTS, WRAP)
-    deep = t.agg(F.max("_deep")).first()[0] or 1
-    n = nested.numbered(nested.flatten_recursive(t, "_first", ["pub_id"], {"type": "string"}, "children", deep), ["pub_id"], deep)
+    n = nested.node_rows(t, ["pub_id"], {"type": T.StringType()}, "children", nested.shape(t, "children").levels)
     return sorted((r.pub_id, r.ord, r.parent_ord, r.type) for r in n.collect())
 
 
@@ -131,3 +130,52 @@ def test_node_table_without_trees(spark, tmp_path):
 
     spark.createDataFrame([("p", "1", "bad")], SCHEMA).write.parquet(f"{tmp_path}/doc_trees.parquet")
     assert records.p2_node_table(spark, str(tmp_path)).collect() == [] == records.p2_node_arrays(spark, str(tmp_path)).collect()
+
+
+def test_trees_of_any_depth(spark):
+    deep = 4_000
+    text = '{"divisions": [' + '{"type": "x", "children": [' * deep + "]}" * deep + ', {"type": "last"}]}'
+    got = flat(spark, [("p", "1", text), ("q", "1", json.dumps({"divisions": [{"type": "a", "x": 1}]}))])
+    assert len(got) == deep + 2
+    assert got[:2] == [("p", 1, 0, "x"), ("p", 2, 1, "x")] and got[deep - 1 : deep + 1] == [("p", deep, deep - 1, "x"), ("p", deep + 1, 0, "last")]
+    wrapped = json.dumps({"divisions": [{"type": "w"}]})
+    for i in range(12):
+        wrapped = json.dumps({"tree": json.loads(wrapped)} if i % 2 else [json.loads(wrapped)])
+    assert flat(spark, [("p", "1", wrapped)]) == [("p", 1, 0, "w")]
+    far = '{"divisions": [{"type": "t", "x": ' + "[" * 900 + "]" * 900 + "}]}"
+    assert flat(spark, [("p", "1", far)]) == [("p", 1, 0, "t")]
+
+
+def test_loads_without_recursion():
+    rng = random.Random(2)
+
+    def value(d):
+        k = rng.randint(0, 6 if d else 3)
+        if k == 4:
+            return {f"k{i}": value(d - 1) for i in range(rng.randint(0, 3))}
+        return [value(d - 1) for _ in range(rng.randint(0, 3))] if k > 4 else [None, True, -1.5e3, 'a "b" \\ \n,:{}'][k]
+
+    class Deep:  # the recursive reader always gives up
+        loads = staticmethod(lambda t: real(t) if t[:1] not in "[{" else (_ for _ in ()).throw(RecursionError))
+        dumps = staticmethod(json.dumps)
+
+    real, held = json.loads, nested.json
+    nested.json = Deep
+    try:
+        for _ in range(300):
+            v = [value(4)]
+            text = json.dumps(v, indent=rng.choice([None, 1]))
+            assert nested.loads(text) == v
+            cut = text[: rng.randint(1, len(text) - 1)]
+            bad = cut + rng.choice(["", ",", "]", "}", ":", "1", '"'])
+            try:
+                want = real(bad)
+            except ValueError:
+                want = None
+            try:
+                got = nested.loads(bad)
+            except ValueError:
+                got = None
+            assert got == want, bad
+    finally:
+        nested.json = held

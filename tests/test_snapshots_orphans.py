@@ -50,16 +50,39 @@ def test_changes_of_empty_and_single(spark):
 def test_index_bucketed_probe_and_values(spark):
     a = spark.createDataFrame([("x", "1"), ("y", "2"), ("z", "3")], "k string, v string")
     b = spark.createDataFrame([("x", "1"), ("y", "5"), ("w", "6")], "k string, v string")
-    ix = snapshots.SnapshotIndex(spark, ["k"], ["v"], buckets=4)
-    assert {(r.k, r.change_kind) for r in ix.apply(a).collect()} == {("x", "added"), ("y", "added"), ("z", "added")}
-    ch = ix.apply(b)
-    assert {(r.k, r.change_kind) for r in ch.collect()} == {("y", "changed"), ("z", "removed"), ("w", "added")}
-    vals = {r.k: (r.old and r.old.v, r.new and r.new.v) for r in snapshots.with_values(ch, a, b, ["k"], ["v"]).collect()}
-    assert vals == {"y": ("2", "5"), "z": ("3", None), "w": (None, "6")}
-    assert ix.apply(b.limit(0)).count() == 3
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("snapshot_index")]
-    plan = ch._jdf.queryExecution().executedPlan().toString()
+    make = lambda: snapshots.SnapshotIndex(spark, "probe", ["k"], ["v"])
+    make().drop()
+    assert {(r.k, r.change_kind) for r in make().apply(a).collect()} == {("x", "added"), ("y", "added"), ("z", "added")}
+    # another delivery, which knows the index by its name only
+    held, fresh = make().held(), make()._next(b)[0]
+    plan = make().probe(held, fresh)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan  # both sides lie in the same buckets
+    ch = make().apply(b, before=a)
+    assert {(r.k, r.change_kind) for r in ch.collect()} == {("y", "changed"), ("z", "removed"), ("w", "added")}
+    assert {r.k: (r.old and r.old.v, r.new and r.new.v) for r in ch.collect()} == {"y": ("2", "5"), "z": ("3", None), "w": (None, "6")}
+    assert make().versions() == [(2, 1)]  # the old one is gone
+    assert make().apply(b.limit(0)).count() == 3
+    assert ch.count() == 3  # a report outlives the index that it came from
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("foliant_index")]
+    make().drop()
+    assert make().held() is None
+
+
+def test_index_survives_a_failed_delivery(spark):
+    from pyspark.sql import functions as F
+
+    a = spark.createDataFrame([("x", "1")], "k string, v string")
+    ix = snapshots.SnapshotIndex(spark, "failing", ["k"], ["v"])
+    ix.drop()
+    ix.load(a)
+    bad = a.withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    try:
+        ix.apply(bad)
+        raise AssertionError("no error")
+    except Exception as e:  # noqa: BLE001
+        assert "broken" in str(e)
+    assert ix.apply(a).count() == 0
+    ix.drop()
 
 
 def brute(refs, targets, match):
@@ -91,6 +114,11 @@ def test_orphans_equal_brute_force(spark):
     for match in ("simple", "full", "partial"):
         got = orphans.orphans(r, t, {"a": "a", "b": "b"}, "at", "since", "until", match)
         assert sorted(((x.a, x.b, x["at"], x.reason) for x in got.collect()), key=repr) == brute(refs, targets, match), match
+        # hot keys: judged by running counts
+        orphans.FEW, few = 0, orphans.FEW
+        got = orphans.orphans(r, t, {"a": "a", "b": "b"}, "at", "since", "until", match)
+        orphans.FEW = few
+        assert sorted(((x.a, x.b, x["at"], x.reason) for x in got.collect()), key=repr) == brute(refs, targets, match), match
     none = orphans.orphans(r, t.limit(0), {"a": "a", "b": "b"}, "at", "since", "until")
     assert {x.reason for x in none.collect()} == {"missing"}
     assert orphans.orphans(r.limit(0), t, {"a": "a", "b": "b"}, "at", "since", "until").count() == 0
