@@ -29,16 +29,25 @@ def _renamed(small: DataFrame, key: list[str], *cols: str) -> DataFrame:
     return small.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], F.col("_run").alias("_r"), *cols)
 
 
-def last_before(df: DataFrame, key: list[str], ord_: str, value: Column, name: str, here: bool = False, size: int = SIZE) -> DataFrame:
-    """``df`` with ``name``: the last non-null ``value`` of the key's earlier rows (with
-    ``here`` the row's own counts too); null where there is none."""
-    d = _cut(df.withColumn("_v", value), ord_, size)
-    tails = d.groupBy(*key, "_run").agg(F.max_by(F.when(F.col("_v").isNotNull(), F.struct(F.col("_v").alias("v"))), F.when(F.col("_v").isNotNull(), F.col(ord_))).alias("_t"))
+def last_of(df: DataFrame, key: list[str], ord_: str, values: dict[str, Column], here: bool = False, size: int = SIZE) -> DataFrame:
+    """``df`` with a column per name: the last non-null value of the key's earlier rows (with
+    ``here`` the row's own counts too); null where there is none. One pass for all of them."""
+    names = list(values)
+    d = _cut(df.select("*", *[v.alias(f"_v{i}") for i, v in enumerate(values.values())]), ord_, size)
+    held = [F.when(F.col(f"_v{i}").isNotNull(), F.struct(F.col(f"_v{i}").alias("v"))) for i in range(len(names))]
+    tails = d.groupBy(*key, "_run").agg(*[F.max_by(h, F.when(h.isNotNull(), F.col(ord_))).alias(f"_t{i}") for i, h in enumerate(held)])
     w = Window.partitionBy(*key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    carried = _renamed(tails.withColumn("_c", F.last("_t", ignorenulls=True).over(w)), key, "_c")
+    tails = tails.select(*key, "_run", *[F.last(f"_t{i}", ignorenulls=True).over(w).alias(f"_c{i}") for i in range(len(names))])
     inner = Window.partitionBy(*key, "_run").orderBy(ord_).rowsBetween(Window.unboundedPreceding, 0 if here else -1)
-    d = _back(d.withColumn("_i", F.last("_v", ignorenulls=True).over(inner)), carried, key)
-    return d.withColumn(name, F.coalesce("_i", F.col("_c.v"))).drop("_v", "_run", "_i", "_c")
+    d = d.select("*", *[F.last(f"_v{i}", ignorenulls=True).over(inner).alias(f"_i{i}") for i in range(len(names))])
+    d = _back(d, _renamed(tails, key, *[f"_c{i}" for i in range(len(names))]), key)
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in values]
+    return d.select(*keep, *[F.coalesce(f"_i{i}", F.col(f"_c{i}.v")).alias(n) for i, n in enumerate(names)])
+
+
+def last_before(df: DataFrame, key: list[str], ord_: str, value: Column, name: str, here: bool = False, size: int = SIZE) -> DataFrame:
+    """``last_of`` one value."""
+    return last_of(df, key, ord_, {name: value}, here, size)
 
 
 def running_sum(df: DataFrame, key: list[str], ord_: str, value: Column, name: str, size: int = SIZE) -> DataFrame:

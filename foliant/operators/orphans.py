@@ -62,26 +62,31 @@ def orphans(refs: DataFrame, targets: DataFrame, on: dict[str, str], at: str, si
 
 
 def _unmatched(part: DataFrame, targets: DataFrame, on: dict[str, str], at: str, since: str, until: str) -> DataFrame:
-    """The references of one mask without a standing target on the columns ``on``."""
+    """The references of one mask without a standing target on the columns ``on``. Most keys
+    have one row, which an aggregate tells with its span; what these leave is anti-joined with
+    the rows of the others."""
     ever, never, end = (F.lit(x).cast("timestamp") for x in ("0001-01-01 00:00:00", "9999-12-31 00:00:00", "9999-12-30 00:00:00"))
-    keys, names = [f"_k{i}" for i in range(len(on))], part.columns
+    keys, names = [f"_k{i}" for i in range(len(on))], [c for c in part.columns if c != "reason"]
     t = targets.where(functools.reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in on.values()]))
     t = t.select(*[F.col(f"`{c}`").alias(k) for k, c in zip(keys, on.values())], F.coalesce(F.col(f"`{since}`"), ever).alias("_a"), F.coalesce(F.col(f"`{until}`"), never).alias("_b"))
-    # repeats and reloads of a hot key melt on the map side
-    rows = t.groupBy(*keys, "_a").agg(F.max("_b").alias("_b"))
-    per = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.when(F.col("_a") > ever, F.col("_a"))).alias("_last"))
-
-    when = F.coalesce(F.col(f"`{at}`").cast("timestamp"), end).alias("_at")
-    r = part.select("*", *[F.col(f"`{c}`").alias(k) for k, c in zip(keys, on)], when).join(per, keys, "left")
-    spans = rows.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "_a", "_b")
-    meet = [F.col(k) == F.col(f"_t{i}") for i, k in enumerate(keys)]
-    few = r.where(F.coalesce("_n", F.lit(0)) <= FEW).join(spans, [*meet, F.col("_a") <= F.col("_at"), F.col("_at") < F.col("_b")], "left_anti")
-
-    many = r.where(F.col("_n") > FEW)
-    gaps = _at_gaps(many.select(*keys, "_at"), rows.join(per.where(F.col("_n") > FEW).select(*keys), keys, "left_semi"), keys)
-    got = few.unionByName(many.join(gaps, [*keys, "_at"], "left_semi").select(few.columns))
-    reason = F.when(F.col("_n").isNull(), "missing").when(F.col("_last") > F.col("_at"), "late").otherwise("deleted")
-    return got.select(*[F.col(f"`{c}`") for c in names if c != "reason"], reason.alias("reason"))
+    per = t.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.max(F.when(F.col("_a") > ever, F.col("_a"))).alias("_last"))
+
+    r = part.select(*[F.col(f"`{c}`") for c in names])
+    when = F.coalesce(F.col(f"`{at}`").cast("timestamp"), end)
+    meet = lambda: [F.col(f"`{c}`") == F.col(k) for c, k in zip(on, keys)]
+    stands = (F.col("_a") <= when) & (when < F.col("_b"))
+    left = r.join(per.where("_n = 1").select(*keys, "_a", "_b"), [*meet(), stands], "left_anti")
+    left = left.join(per.select(*keys, "_n", "_last"), meet(), "left").drop(*keys)
+
+    # repeats and reloads melt on the map side
+    rows = t.join(per.where("_n > 1").select(*keys), keys, "left_semi").groupBy(*keys, "_a").agg(F.max("_b").alias("_b"))
+    few = left.where(F.coalesce("_n", F.lit(0)) <= FEW).join(rows, [*meet(), stands, F.col("_n") > 1], "left_anti")
+    many = left.where(F.col("_n") > FEW)
+    asked = many.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(on, keys)], when.alias("_at"))
+    gaps = _at_gaps(asked, rows.join(per.where(F.col("_n") > FEW).select(*keys), keys, "left_semi"), keys)
+    got = few.unionByName(many.join(gaps, [*meet(), when == F.col("_at")], "left_semi"))
+    reason = F.when(F.col("_n").isNull(), "missing").when(F.col("_last") > when, "late").otherwise("deleted")
+    return got.select(*[F.col(f"`{c}`") for c in names], reason.alias("reason"))
 
 
 def _at_gaps(asked: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -164,8 +164,8 @@ def tbl_merge_continued(spark: SparkSession, sf: str) -> DataFrame:
 
 def tbl_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Tables put in order: see ``foliant.operators.tables.clean``."""
-    t = nodes(spark, sf, "rows", types=("table",)).where("rows is not null")
-    return t.select("pub_id", "id", tb.cleaned(F.col("rows")).alias("c")).select("pub_id", "id", F.size("c.rows").alias("n_rows"), F.array_join(F.flatten("c.rows"), "|", "").alias("cells"), F.array_join("c.notes", "|").alias("notes"))
+    t = tb.cleaned(nodes(spark, sf, "rows", types=("table",)).where("rows is not null"), "rows", "c")
+    return t.select("pub_id", "id", F.size("c.rows").alias("n_rows"), F.array_join(F.flatten("c.rows"), "|", "").alias("cells"), F.array_join("c.notes", "|").alias("notes"))
 
 
 def tbl_legend_source(spark: SparkSession, sf: str) -> DataFrame:

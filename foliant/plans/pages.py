@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliant.functions import rx, text as tx
 from foliant.operators import ordered, tables as tb
@@ -16,46 +14,48 @@ from foliant.plans.intake import _LATEST, latest
 from foliant.plans.structure import md_render
 
 
-def _blocks(df: DataFrame, place: bool, back: int | None = None) -> DataFrame:
-    """Blocks of each page's Markdown (pub_id, page, md, heads), a page being one row."""
-    schema = T.StructType([
-        T.StructField("pub_id", T.StringType()), T.StructField("page", T.IntegerType()), T.StructField("seq", T.IntegerType()), T.StructField("kind", T.StringType()),
-        T.StructField("text", T.StringType()), T.StructField("depth", T.IntegerType()), T.StructField("n_rows", T.IntegerType()), T.StructField("tier", T.StringType()),
-    ])
-    names = schema.names
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for pub, page, md, heads in zip(b["pub_id"], b["page"], b["md"], b["heads"]):
-                got = tb.page_blocks(md or "", 0 if page is None or page != page else int(page))
-                if place:
-                    got, _ = tb.place_headings(got, [(h["tier"], h["text"]) for h in (heads if heads is not None else [])])
-                if back:
-                    got = tb.drop_near_repeats(got, back)
-                out += [{"pub_id": pub, "page": x["page"], "seq": i, "kind": x["kind"], "text": x["text"], "depth": x["depth"], "n_rows": len(x["rows"]) if x["rows"] else 0, "tier": x.get("tier")} for i, x in enumerate(got)]
-            yield pd.DataFrame(out, columns=names, dtype=object)
-
-    return df.select("pub_id", "page", "md", "heads").mapInPandas(run, schema)
+PAGE = ["pub_id", "page"]
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    heads = nodes(spark, sf, "ord", "page", "type", "title", types=("division", "section", "heading"))
+    """Each page's Markdown with its real headings (tier, label, text) in order."""
+    heads = nodes(spark, sf, "ord", "page", "type", "title", "kind", "number", types=("division", "section", "heading"))
     tier = F.when(F.col("type") == "division", "T1").when(F.col("type") == "section", "T2").otherwise("T3")
-    h = heads.groupBy("pub_id", "page").agg(F.array_sort(F.collect_list(F.struct("ord", tier.alias("tier"), F.col("title").alias("text")))).alias("heads"))
-    return md_render(spark, sf).join(h, ["pub_id", "page"], "left")
+    label = F.when(F.col("kind").isin("chapter", "appendix"), F.concat_ws(" ", F.initcap("kind"), "number"))
+    h = heads.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("ord", tier.alias("tier"), label.alias("label"), F.col("title").alias("text")))).alias("hs"))
+    h = h.select(*PAGE, F.transform("hs", lambda x: F.struct(x["tier"].alias("tier"), x["label"].alias("label"), F.coalesce(x["text"], F.lit("")).alias("text"))).alias("heads"))
+    return md_render(spark, sf).join(h, PAGE, "left")
+
+
+def _blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return tb.page_blocks(_pages(spark, sf).where("page is not null"), PAGE, "md")
 
 
 def blk_parse_page(spark: SparkSession, sf: str) -> DataFrame:
-    return _blocks(_pages(spark, sf), place=False)
+    """Blocks of each page's Markdown."""
+    return _blocks(spark, sf).select(*PAGE, "seq", "kind", "text", "depth", F.coalesce(F.size("rows"), F.lit(0)).alias("n_rows"))
 
 
 def blk_resolve_headings(spark: SparkSession, sf: str) -> DataFrame:
-    return _blocks(_pages(spark, sf), place=True).groupBy("pub_id", "kind").agg(F.count("*").alias("n"))
+    """The real headings of each page and the blocks that hold them; ``from_seq`` is null where
+    one found no place. A label on a line of its own is folded into its heading."""
+    heads = _pages(spark, sf).select(*PAGE, "heads").where("heads is not null")
+    labels = F.transform("heads", lambda h: tb.bare(F.coalesce(h["label"], F.lit("")))).alias("labels")
+    b = tb.gathered(_blocks(spark, sf), PAGE).join(heads.select(*PAGE, "heads", labels), PAGE)
+    is_label = lambda x: x["kind"].isin("mdheading", "bold", "para") & (tb.bare(x["text"]) != "") & F.array_contains("labels", tb.bare(x["text"]))
+    b = b.withColumn("bs", F.filter("bs", lambda x: ~is_label(x)))
+    b = b.withColumn("x", tb.placed(F.col("bs"), F.col("heads")))
+    found = F.transform("x.at", lambda a: F.struct(a["h"].alias("h"), F.get(F.col("bs"), a["from"])["seq"].alias("from_seq"), a["n"].alias("blocks"), a["row"].alias("is_row")))
+    lost = F.transform("x.lost", lambda h: F.struct(h.alias("h"), F.lit(None).cast("int").alias("from_seq"), F.lit(None).cast("int").alias("blocks"), F.lit(None).cast("boolean").alias("is_row")))
+    d = b.select(*PAGE, "heads", F.inline(F.concat(found, lost)))
+    h = F.get("heads", F.col("h"))
+    return d.select(*PAGE, "h", h["tier"].alias("tier"), F.concat_ws(": ", h["label"], h["text"]).alias("text"), "from_seq", "blocks", "is_row")
 
 
 def tbl_dedupe_notes(spark: SparkSession, sf: str) -> DataFrame:
-    return _blocks(_pages(spark, sf), place=False, back=3).groupBy("pub_id").agg(F.count("*").alias("blocks"))
+    """Blocks of each page, and those left without near repeats."""
+    b = tb.gathered(_blocks(spark, sf), PAGE)
+    return b.select(*PAGE, F.size("bs").alias("blocks"), F.size(tb.without_repeats(F.col("bs"))).alias("kept"))
 
 
 def _bare(c: F.Column) -> F.Column:
@@ -73,6 +73,12 @@ def tbl_overflow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tbl_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Every table after all repairs: see ``foliant.operators.tables.repaired``."""
+    t = nodes(spark, sf, "rows", types=("table",)).where("rows is not null").select("pub_id", "id", tb.repaired(F.col("rows")).alias("r"))
+    return t.select("pub_id", "id", F.size("r.rows").alias("n_rows"), F.array_join(F.flatten("r.rows"), "|", "").alias("cells"), "r.legend", "r.fixes")
+
+
+def tbl_row_islands(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of each table after rows without a first cell have joined the row above (islands
     by a running sum), with emphasis that stands word by word made one run."""
     t = nodes(spark, sf, "rows", types=("table",)).select("pub_id", "id", F.posexplode("rows").alias("i", "r"))
@@ -83,7 +89,7 @@ def tbl_repair(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("pub_id", "id", "g", F.size("cs").alias("parts"), F.array_join(F.transform("cs", lambda x: x["c"]), "<br>").alias("row"))
 
 
-def tbl_ungarble(spark: SparkSession, sf: str) -> DataFrame:
+def tbl_garbled_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Table rows of four words and more of which 15 % and more are no words of their
     publication: the rows that need a look at the page."""
     t = nodes(spark, sf, "rows", types=("table",)).select("pub_id", "id", F.posexplode("rows").alias("i", "r"))
@@ -93,19 +99,20 @@ def tbl_ungarble(spark: SparkSession, sf: str) -> DataFrame:
     return g.where("words >= 4 and unknown >= 0.15 * words")
 
 
-def idx_role_segment(spark: SparkSession, sf: str) -> DataFrame:
-    """Headings written without spaces split into words of their publication."""
-    h = nodes(spark, sf, "title", types=("heading",)).select("pub_id", tx.squash(F.col("title")).alias("key")).distinct()
-    words = nodes(spark, sf, "title", types=("heading",)).select("pub_id", F.explode(tx.found(F.lower("title"), "([a-z]+)")).alias("word"))
-    # of the vocabulary only the words that headings can hold travel
-    v = ix.idx_role_vocab(spark, sf).join(words.distinct(), ["pub_id", "word"], "left_semi").unionByName(words.groupBy("pub_id", "word").agg(F.count("*").alias("n"))).groupBy("pub_id", "word").agg(F.sum("n").cast("int").alias("n"))
-    v = v.groupBy("pub_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("vocab"))
+def tbl_ungarble(spark: SparkSession, sf: str) -> DataFrame:
+    """The garbled rows made anew from successive lines of their page or the two after it with
+    exactly the same letters; ``rebuilt`` is null where there are none."""
+    t = nodes(spark, sf, "page", "rows", types=("table",)).select("pub_id", "id", "page", F.posexplode("rows").alias("i", "r"))
+    bad = t.join(tbl_garbled_rows(spark, sf).select("pub_id", "id", "i"), ["pub_id", "id", "i"]).select("pub_id", "id", "i", F.array_join("r", " ", "").alias("row"), F.explode(F.sequence(F.col("page"), F.col("page") + 2)).alias("page"))
+    lines = md_render(spark, sf).select("pub_id", "page", F.filter(F.split("md", "\n"), lambda x: F.trim(x) != "").alias("ls"))
+    near = bad.join(lines, ["pub_id", "page"], "left").groupBy("pub_id", "id", "i", "row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page", "ls"))), lambda x: F.coalesce(x["ls"], tb.none(tb.TEXTS)))).alias("ls"))
+    return near.select("pub_id", "id", "i", "row", tb.ungarbled(F.col("row"), F.col("ls")).alias("rebuilt"))
 
-    @F.pandas_udf(T.StringType())
-    def cut(k: pd.Series, vocab: pd.Series) -> pd.Series:
-        return pd.Series([tb.segment(a, dict(b)) if b is not None else None for a, b in zip(k, vocab)], dtype=object)
 
-    return h.join(v, "pub_id").select("pub_id", "key", cut("key", "vocab").alias("words"))
+def idx_role_segment(spark: SparkSession, sf: str) -> DataFrame:
+    """Headings written without spaces split into words of their publication."""
+    h = nodes(spark, sf, "title", types=("heading",)).select("pub_id", tx.squash(F.col("title")).alias("key")).where("key <> ''").distinct()
+    return tb.segmented(h, ix.idx_role_vocab(spark, sf), ["pub_id"])
 
 
 #: Containers whose headings name roles, and the least level of such a heading.
@@ -236,7 +243,7 @@ def rnd_tree_layout(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select("pub_id", "id", "depth", "x")
 
 
-QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_ungarble, idx_role_segment, idx_role_sources, chk_acronym_entry, chk_key_term, pkt_terms, spec_schema, chk_pub_match, qa_neutralize, qa_deck, rep_html, bat_table, rnd_tree_layout)}
+QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, chk_acronym_entry, chk_key_term, pkt_terms, spec_schema, chk_pub_match, qa_neutralize, qa_deck, rep_html, bat_table, rnd_tree_layout)}
 
 _BARE = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]+', '', 'g')"
 _ESC = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -253,10 +260,10 @@ SQL = {
     "chk_key_term": f"""select t.pub_id, t.term, count(n.id) as n from (select distinct pub_id, lower(term) as term from {nodes_sql('term', ('term',))}) t left join {nodes_sql('plain', TEXTS, 'plain is not null')} n on n.pub_id = t.pub_id and contains(lower(n.plain), t.term) group by all""",
     "tbl_overflow": f"""select pub_id, id, after_id, coalesce(len(list_filter(rows[len(rows)], lambda c: length({_BARE('c')}) >= 40 and starts_with({_BARE('after')}, {_BARE('c')}))) > 0, false) as overflow from (
       select *, lead(plain) over (partition by pub_id order by ord) as after, lead(id) over (partition by pub_id order by ord) as after_id from {nodes_sql('ord, type, plain, rows')}) where type = 'table' and len(rows) > 0 and after is not null""",
-    "tbl_repair": f"""select pub_id, id, cast(g as bigint) as g, cast(count(*) as int) as parts, string_agg(array_to_string(list_transform(r, lambda c: regexp_replace(coalesce(c, ''), '(\\w)_ _(\\w)', '\\1 \\2', 'g')), ' | '), '<br>' order by i) as row from (
+    "tbl_row_islands": f"""select pub_id, id, cast(g as bigint) as g, cast(count(*) as int) as parts, string_agg(array_to_string(list_transform(r, lambda c: regexp_replace(coalesce(c, ''), '(\\w)_ _(\\w)', '\\1 \\2', 'g')), ' | '), '<br>' order by i) as row from (
       select *, sum(case when coalesce(r[1], '') <> '' then 1 when i = 0 then 1 else 0 end) over (partition by pub_id, id order by i) as g from (
         select pub_id, id, generate_subscripts(rows, 1) - 1 as i, unnest(rows) as r from {nodes_sql('rows', ('table',))})) group by pub_id, id, g""",
-    "tbl_ungarble": f"""select w.pub_id, w.id, w.i, count(*) as words, count(*) filter (v.word is null) as unknown from (
+    "tbl_garbled_rows": f"""select w.pub_id, w.id, w.i, count(*) as words, count(*) filter (v.word is null) as unknown from (
       select pub_id, id, i, unnest(regexp_extract_all(lower(array_to_string(r, ' ')), '[a-z]+')) as word from (select pub_id, id, generate_subscripts(rows, 1) - 1 as i, unnest(rows) as r from {nodes_sql('rows', ('table',))})) w
       left join ({ix.ROLE_VOCAB_SQL}) v on v.pub_id = w.pub_id and v.word = w.word group by w.pub_id, w.id, w.i having count(*) >= 4 and count(*) filter (v.word is null) >= 0.15 * count(*)""",
     "pkt_terms": f"select d.pub_id, d.node_id, d.term, n.division_id from ({ix.INLINE_SQL}) d join {nodes_sql('division_id', TEXTS)} n on n.pub_id = d.pub_id and n.id = d.node_id",

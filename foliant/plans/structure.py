@@ -168,18 +168,26 @@ def md_render(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("pub_id", "page", F.concat_ws("\n\n", mark, F.array_join(F.transform("bs", lambda x: x["md"]), "\n\n")).alias("md"))
 
 
-def division_md(spark: SparkSession, sf: str) -> DataFrame:
-    """Markdown of each division as one text (what its file would hold)."""
+def _marked() -> F.Column:
+    """A node's block after the marker of its page."""
+    return F.concat_ws("\n\n", F.concat(F.lit("<!-- page "), "page", F.when(F.col("page_label").isNotNull(), F.concat(F.lit(" ("), "page_label", F.lit(")"))).otherwise(""), F.lit(" -->")), "md")
+
+
+def pkt_fulltext(spark: SparkSession, sf: str) -> DataFrame:
+    """Markdown of each division in parts: one for each run of ``ordered.SIZE`` nodes, so that
+    no division stands in one row; in order they are its file."""
     b = block_md(spark, sf).where("md is not null")
-    marked = F.concat_ws("\n\n", F.concat(F.lit("<!-- page "), "page", F.when(F.col("page_label").isNotNull(), F.concat(F.lit(" ("), "page_label", F.lit(")"))).otherwise(""), F.lit(" -->")), "md")
-    got = b.groupBy("pub_id", "division_id").agg(F.array_sort(F.collect_list(F.struct("ord", marked.alias("m")))).alias("bs"))
-    return got.select("pub_id", "division_id", F.array_join(F.transform("bs", lambda x: x["m"]), "\n\n").alias("md"))
+    run = F.floor(F.col("ord") / ordered.SIZE).alias("part")
+    got = b.groupBy("pub_id", "division_id", run).agg(F.array_sort(F.collect_list(F.struct("ord", _marked().alias("m")))).alias("bs"))
+    return got.select("pub_id", "division_id", "part", F.array_join(F.transform("bs", lambda x: x["m"]), "\n\n").alias("md"))
 
 
 def md_parse(spark: SparkSession, sf: str) -> DataFrame:
-    """Nodes read back from each division's Markdown."""
-    d = markdown.parse_rows(division_md(spark, sf).withColumnRenamed("division_id", "part"), ["pub_id", "part"], "md")
-    return d.select("pub_id", "part", "ord", "id", "parent_id", "type", "cite", "page", "page_label", "number", "title", "depth", "plain")
+    """Nodes read back from the Markdown of all publications."""
+    room = 1 << 20
+    b = block_md(spark, sf).where("md is not null").select("pub_id", "ord", F.posexplode(F.split(_marked(), "\n\n+")).alias("i", "block"))
+    d = markdown.parse_blocks(b.select("pub_id", (F.col("ord") * room + F.col("i")).alias("at"), "block"), ["pub_id"], "at", "block", ordered.SIZE * room)
+    return d.select("pub_id", "ord", "id", "parent_id", "type", "cite", "page", "page_label", "number", "title", "depth", "plain")
 
 
 def md_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,11 +212,12 @@ def md_block_kinds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def md_page_asof(spark: SparkSession, sf: str) -> DataFrame:
-    """The page in force at each node: the last one named at or before it (label and page as
-    one value, so that a page without a label resets it)."""
-    n = nodes(spark, sf, "ord", "page", "page_label")
-    # every fifth node is taken to print its page; the others take the last one printed
-    n = ordered.last_before(n, ["pub_id"], "ord", F.when(F.col("ord") % 5 == 0, F.struct("page", "page_label")), "at", here=True)
+    """The page in force at each node: the last marker at or before it (page and label as one
+    value, so that a page without a label resets it). A marker stands wherever the page differs
+    from that of the node before."""
+    n = ordered.neighbour(nodes(spark, sf, "ord", "page", "page_label"), ["pub_id"], "ord", ["page", "page_label"], "up")
+    here = F.struct("page", "page_label")
+    n = ordered.last_before(n, ["pub_id"], "ord", F.when(F.col("up").isNull() | ~F.col("up").eqNullSafe(here), here), "at", here=True)
     return n.select("pub_id", "id", F.col("at.page").alias("page"), F.col("at.page_label").alias("page_label"))
 
 
@@ -228,7 +237,7 @@ def md_table_cells(spark: SparkSession, sf: str) -> DataFrame:
     return b.where("row_no > 0").select("pub_id", "id", F.posexplode(F.split(inner, r"(?<!\\)\|")).alias("col_no", "c"), F.col("row_no").alias("row_no")).select("pub_id", "id", "row_no", "col_no", F.trim(F.regexp_replace("c", r"\\\|", "|")).alias("cell"))
 
 
-QUERIES = {f.__name__: f for f in (walk, walk_recursive, text_nodes, section_title, node_text, node_words, units, descend, subtree_ids, drop_covered, uid, containment, md_render, md_parse, md_counts, md_blocks, md_block_kinds, md_page_asof, md_terms, md_table_cells)}
+QUERIES = {f.__name__: f for f in (walk, walk_recursive, text_nodes, section_title, node_text, node_words, units, descend, subtree_ids, drop_covered, uid, containment, md_render, pkt_fulltext, md_parse, md_counts, md_blocks, md_block_kinds, md_page_asof, md_terms, md_table_cells)}
 
 _EACH = f"(select pub_id, id, ord, type, unnest(list_append(path, id)) as anc, own as t from (select *, trim({_OWN_SQL}) as own from {nodes_sql(_OWN_COLS)}))"
 _CITED = f"(select distinct pub_id, {tx.bare_sql('node_id')} as id from claim_cites where node_id is not null)"
@@ -251,8 +260,8 @@ SQL = {
       select *, case type when 'acronym' then 'acr-' || {tx.slug_sql('abbreviation')} else 'term-' || {tx.slug_sql('term')} end as base from {nodes_sql('ord, type, abbreviation, term', ('acronym', 'term'))}))""",
     "containment": f"""select parent_type, type, n, case when parent_type in {_IN(CONTAINERS)} then type <> 'division' when parent_type = 'paragraph' then type in ('list_item', 'text') when parent_type = 'list_item' then type = 'list_item' else false end as allowed
       from (select p.type as parent_type, n.type, count(*) as n from {nodes_sql('type, parent_id')} n join {nodes_sql('type')} p on p.pub_id = n.pub_id and p.id = n.parent_id group by all)""",
-    "md_page_asof": f"""select n.pub_id, n.id, last_value(case when n.ord % 5 = 0 then n.page end ignore nulls) over w as page,
-      (last_value(case when n.ord % 5 = 0 then struct_pack(l := n.page_label) end ignore nulls) over w).l as page_label from {nodes_sql('ord, page, page_label')} n window w as (partition by n.pub_id order by n.ord rows between unbounded preceding and current row)""",
+    # the markers carry each node's own page, and nothing else
+    "md_page_asof": f"select pub_id, id, page, page_label from {nodes_sql('page, page_label')}",
     "md_terms": f"select pub_id, id, term, definition, source, proponent from {nodes_sql('term, definition, source, proponent', ('term',))}",
     "md_table_cells": f"""select pub_id, id, row_no, generate_subscripts(cells, 1) - 1 as col_no, trim(coalesce(unnest(cells), '')) as cell from (select pub_id, id, generate_subscripts(rows, 1) as row_no, unnest(rows) as cells from {nodes_sql('rows', ('table',))})""",
 }
