@@ -141,13 +141,21 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(p8_mixture(spark, sf), table(spark, sf, "mix_targets"))
 
 
+def p9_model(spark: SparkSession, sf: str) -> abuse.Model:
+    """Fitted to ``content_labels``: at most ``abuse.MAX_JUDGED`` documents on whose kinds their
+    raters agree, the same ones wherever the rows lie."""
+    kinds = F.array_sort(F.collect_set("label"))
+    judged = table(spark, sf, "content_labels").where("doc_id is not null and label is not null").groupBy("doc_id").agg(kinds.alias("kinds"))
+    judged = judged.where(~F.array_contains("kinds", "none") | (F.size("kinds") == 1)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(abuse.MAX_JUDGED)
+    docs = table(spark, sf, "documents").select("doc_id", "text").where("text is not null")
+    rows = docs.join(F.broadcast(judged), "doc_id").orderBy("doc_id", "text").collect()
+    return abuse.fit([(r.text, frozenset(k for k in r.kinds if k in abuse.KINDS)) for r in rows])
+
+
 def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's scores."""
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    labels = table(spark, sf, "content_labels").groupBy("doc_id").agg(F.max(F.col("label") != "none").alias("bad")).where(~F.col("bad"))
-    sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(abuse.MAX_JUDGED).select("doc_id")
-    plain = abuse.plain_words(docs.join(F.broadcast(sample), "doc_id", "left_semi"), "text")
-    return abuse.scored(docs, "text", plain).drop("text")
+    return abuse.scored(docs, "text", p9_model(spark, sf)).drop("text")
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
