@@ -251,6 +251,20 @@ _SCRIPT = re.compile(f"[{_UNSPACED}]")
 _STRETCH = re.compile(f"[{_UNSPACED}]+")
 
 
+# what parts tokens in plain text: every sign but those that may stand in one
+_PARTS = str.maketrans({chr(i): " " for i in range(128) if not chr(i).isalnum() and chr(i) not in "@$!*'_"})
+_ONE = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def _distinct(low: str) -> set[str]:
+    """The different tokens of a folded text, as ``_TOKEN`` finds them."""
+    if not low.isascii():
+        return set(_TOKEN.findall(low))
+    raw = set(low.translate(_PARTS).split())
+    odd = {t for t in raw if not t.isalnum()}
+    return raw - odd | {t for x in odd for t in _TOKEN.findall(x)} if odd else raw
+
+
 class Scorer:
     """Scores texts; keeps what it has learnt of tokens (up to ``KEPT``)."""
 
@@ -277,6 +291,8 @@ class Scorer:
         # a window may only have a term where it has the term's rarest word
         self.anchors = frozenset(min(t, key=lambda w: (rare.get(w, 0), -len(w), w)) for t in spaced)
         self.seen: dict[str, tuple[str, int] | None] = {}
+        # tokens that are no anchor
+        self.cold: set[str] = set()
 
     def word(self, token: str) -> tuple[str, int] | None:
         """The lexicon's word that the token is or nearly is."""
@@ -368,10 +384,10 @@ class Scorer:
         mass, context = f
         return {k: 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.odds(k, mass[k], context))))) if mass[k] else 0.0 for k in KINDS}
 
-    def anchored(self, tokens: Iterable[str]) -> bool:
+    def anchored(self, tokens: set[str]) -> bool:
         """Whether one of the tokens is, or nearly is, a term's rarest word."""
-        word, anchors = self.word, self.anchors
-        for t in tokens:
+        word, anchors, cold = self.word, self.anchors, self.cold
+        for t in tokens - cold:
             hit = word(t)
             if hit is not None and hit[0] in anchors:
                 return True
@@ -379,6 +395,9 @@ class Scorer:
                 hit = word(re.split("['’]", t)[-1])
                 if hit is not None and hit[0] in anchors or any(p in anchors for p in re.split("['’]", t)[:-1]):
                     return True
+            if len(cold) > self.KEPT:
+                cold.clear()
+            cold.add(t)
         return False
 
     def readable(self, text: str) -> str | None:
@@ -388,8 +407,8 @@ class Scorer:
         if marked and _PARTED.search(text):
             text, marked = scan(text)[1], False
         low = fold(text)
-        raw = set(_TOKEN.findall(low))
-        spelt = sum([len(t) == 1 for t in raw]) > 2 and _SPELT.search(text) is not None
+        raw = _distinct(low)
+        spelt = len(raw & _ONE if low.isascii() else [t for t in raw if len(t) == 1]) > 2 and _SPELT.search(text) is not None
         other = not low.isascii() and _SCRIPT.search(low) is not None
         if not (spelt or other or self.anchored(raw)):
             return None
@@ -402,7 +421,7 @@ class Scorer:
         top = dict.fromkeys(KINDS, 0.0)
         for part in _sentences(plain) if plain else ():
             low = fold(part)
-            if not (self.anchored(_TOKEN.findall(low)) or not low.isascii() and _SCRIPT.search(low)):
+            if not (self.anchored(_distinct(low)) or not low.isascii() and _SCRIPT.search(low)):
                 continue
             for k, x in self.window(part).items():
                 top[k] = max(top[k], x)
@@ -498,17 +517,23 @@ def fit(judged: list[tuple[str, frozenset[str]]], lexicon: dict[str, dict[str, f
         return base
     s = Scorer(base)
     names = _names([ws for ws, _ in docs])
-    grams = [{g for w in ws for g in _grams([t for t, _, _ in s.tokens(fold(w))], names)} for ws, _ in docs]
-    common = Counter(g for i in free for g in grams[i])
-    often = Counter(t for i in free for t in {t for w in docs[i][0] for t, _, _ in s.tokens(fold(w))})
+    words = [[[h[0] if (h := s.word(t)) else t for t in _TOKEN.findall(fold(w))] for w in ws] for ws, _ in docs]
+    often = Counter(t for i in free for t in set().union(*words[i]))
+    grams = [{g for w in words[i] for g in _grams(w, names)} if kinds else set() for i, (_, kinds) in enumerate(docs)]
+    told = Counter(g for gs in grams for g in gs)
+    # one of ordinary words alone tells nothing
+    may = {g for g, c in told.items() if c >= SEEN and min(often[w] for w in g) <= RARE * len(free)}
+    begin = {g[0] for g in may}
+    common: Counter[tuple[str, ...]] = Counter()
+    for i in free:
+        runs = (tuple(w[j : j + n]) for w in words[i] for j, t in enumerate(w) if t in begin for n in range(1, LONGEST + 1))
+        common.update(set(runs) & may)
 
     learned: dict[str, dict[tuple[str, ...], float]] = {}
     for k in KINDS:
         mine = [i for i, (_, kinds) in enumerate(docs) if k in kinds]
-        n = Counter(g for i in mine for g in grams[i])
-        # one of ordinary words alone tells nothing
-        n = {g: c for g, c in n.items() if c >= SEEN and min(often[w] for w in g) <= RARE * len(free)}
-        sure = {g: c for g, c in n.items() if c >= PURE * common[g] and g not in base.terms[k] and _llr(c, common[g], len(mine), len(free)) >= SURE}
+        n = Counter(g for i in mine for g in grams[i] & may)
+        sure = {g: c for g, c in n.items() if c >= SEEN and c >= PURE * common[g] and g not in base.terms[k] and _llr(c, common[g], len(mine), len(free)) >= SURE}
         # of those that say the same the shortest stays
         own = {g for g in sure if not any(h in sure and sure[h] <= sure[g] * 1.2 for h in _grams(list(g)) if len(h) < len(g))}
         learned[k] = {g: min(0.9, 0.15 * math.log((sure[g] + 0.5) * len(free) / (common[g] + 0.5) / len(mine))) for g in own}

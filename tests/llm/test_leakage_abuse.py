@@ -38,6 +38,49 @@ def test_longest_near_brute_force():
         assert want - 2 <= got <= want + 1, (got, want)
 
 
+def test_passages_equal_brute_force():
+    """What is judged is what trying all stretches finds, for texts of few words, which
+    repeat by chance too."""
+    rng = random.Random(8)
+    hits = 0
+    for n in range(400):
+        ws = [f"w{i}" for i in range(rng.choice([3, 6, 40]))]
+        a = [rng.choice(ws) for _ in range(rng.randint(6, 16))]
+        b = list(a[rng.randint(0, 3) :])
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randint(0, 1)] = [rng.choice(ws)] * rng.randint(0, 1)
+        b = [rng.choice(ws) for _ in range(3)] + b + [rng.choice(ws) for _ in range(3)]
+        most = brute(a, b)
+        for need in (5, 8, 10, 13):
+            assert L.repeats(a, b, need) == (most >= need), (a, b, need, most)
+            assert L.longest(a, b) < need or most >= need
+            hits += most >= need
+    assert hits > 100
+
+
+def test_leaks_equal_brute_force():
+    """The whole way, filter and all, for items of every length with changes at random."""
+    rng = random.Random(9)
+    memo = L.Hashes()
+    found = 0
+    for _ in range(250):
+        n = rng.choice([1, 2, 3, 5, 7, 9, 12, 14, 15, 16, 22])
+        a = [f"w{rng.randint(0, 60)}" for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            b[rng.randrange(len(b))] = "x"
+        doc = [f"d{rng.randint(0, 60)}" for _ in range(5)] + b + [f"d{rng.randint(0, 60)}" for _ in range(5)]
+        ix = L.build([("i", " ".join(a))])
+        want = [0] if brute(a, doc) >= min(n, L.LEAST) else []
+        assert L.leaks(doc, ix, memo) == want, (a, doc)
+        found += bool(want)
+    assert 60 < found < 200
+    ix = L.build([("i", "Stop now"), ("j", "Halt"), ("k", "one two three four five six seven eight")])
+    assert L.leaks(L.tokens("They say: stop, now! Then halt."), ix, memo) == [0, 1] or L.leaks(L.tokens("They say: stop, now! Then halt."), ix, memo) == [1, 0]
+    assert L.leaks(L.tokens("one two three four X six seven eight"), ix, memo) == [2]
+
+
 def test_every_long_passage_is_found():
     """Any 15 words with two changes at any two places leave what the filter needs."""
     rng = random.Random(3)
@@ -49,7 +92,7 @@ def test_every_long_passage_is_found():
             part = item[10:25]
             part[i] = part[j] = "changed"
             doc = [f"d{rng.randint(0, 99)}" for _ in range(20)] + part + [f"d{rng.randint(0, 99)}" for _ in range(20)]
-            assert L.leaks(doc, ix, memo) == ([0] if L.longest(item, doc) >= 15 else [])
+            assert L.leaks(doc, ix, memo) == ([0] if L.repeats(item, doc, 15) else [])
     assert L.leaks(item[:14], ix, memo) == [] and L.leaks(item[:15], ix, memo) == [0] and L.leaks([], ix, memo) == []
 
 
@@ -168,6 +211,13 @@ def test_fit_learns_terms_and_bears_slips():
         assert A.Scorer(A.fit(none)).text("You are an idiot and a moron.")[0] >= A.CASE
 
 
+def test_distinct_tokens_are_those_of_the_pattern():
+    rng = random.Random(4)
+    for _ in range(3000):
+        t = "".join(rng.choice("ab1 @$!*'_-.,:\n\t()") for _ in range(rng.randint(0, 14)))
+        assert A._distinct(t) == set(A._TOKEN.findall(t)), t
+
+
 def test_names_are_never_learned():
     rows = [(f"The boxes stand. {'Zorvanni are vermin.' if i % 3 == 0 else 'A map hangs here.'}", frozenset({"hate"} if i % 3 == 0 else ())) for i in range(90)]
     assert not any("zorvanni" in g for g in A.fit(rows).learned["hate"])
@@ -184,7 +234,7 @@ def test_only_windows_without_a_term_are_passed_over():
             t = " ".join(rng.choice(words) for _ in range(5))
             f = s.features(t)
             seen += f is not None
-            assert f is None or s.anchored(A._TOKEN.findall(A.fold(t))) or A._SCRIPT.search(t), t
+            assert f is None or s.anchored(A._distinct(A.fold(t))) or A._SCRIPT.search(t), t
             assert (max(s.text(t)) > 0) == (f is not None and max(s.window(t).values()) >= 0.0005) or f is not None, t
         assert seen > 500
     for t in ["you <b>i</b>diot, you id<i>iot</i>", "a waste of <i>skin</i>, you m*o*r*o*n", "Vous l'idiot et d'imbécile"]:
