@@ -4,7 +4,9 @@ Texts become words (letter case, punctuation, white space and markup gone). Winn
 keeps, of every ``WINDOW`` successive hashes of ``GRAM`` words, the least; two texts
 that share ``GRAM + WINDOW - 1`` running words therefore share a kept hash. A passage
 of 15 words with at most one in six changed leaves at least two such hits near one
-diagonal; every such diagonal is extended by alignment and judged exactly.
+diagonal; every such diagonal is extended by alignment and judged exactly. Where items
+of fewer words are held, every hash of a text counts, and those of one or two words are
+looked up as they are.
 
 The items are a bounded table that every task holds: if it is larger than
 ``MAX_HASHES`` hashes, it is held in blocks, one pass over the corpus each. The corpus
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,8 +63,8 @@ class Hashes(dict):
         return h
 
 
-def winnow(ws: list[str], memo: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes kept by winnowing (the right-most least of each window)."""
+def grams(ws: list[str], memo: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of every run of ``GRAM`` words."""
     n = len(ws) - GRAM + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -73,6 +76,15 @@ def winnow(ws: list[str], memo: Hashes) -> tuple[np.ndarray, np.ndarray]:
         g ^= g >> np.uint64(31)
         g *= np.uint64(0xBF58476D1CE4E5B9)
         g ^= g >> np.uint64(32)
+    return np.arange(n), g
+
+
+def winnow(ws: list[str], memo: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes kept by winnowing (the right-most least of each window)."""
+    _, g = grams(ws, memo)
+    n = len(g)
+    if n == 0:
+        return np.empty(0, np.int64), g
     if n < WINDOW:
         return np.array([int(np.argmin(g))]), g[[int(np.argmin(g))]]
     keep = np.zeros(n, bool)
@@ -91,21 +103,29 @@ class Index:
     place: np.ndarray
     vocabulary: frozenset[str]
     least: int
+    #: Items under ``LEAST`` words are in it, so that every hash of a text counts; and those
+    #: under ``GRAM`` words, by their words.
+    short: bool
+    tiny: dict[tuple[str, ...], list[int]]
 
 
 def build(items: list[tuple[str, str]]) -> Index:
     memo = Hashes()
     texts = [tokens(t) for _, t in items]
     hs, it, pl = [], [], []
+    tiny: dict[tuple[str, ...], list[int]] = defaultdict(list)
     for k, ws in enumerate(texts):
-        at, h = winnow(ws, memo)
+        if 0 < len(ws) < GRAM:
+            tiny[tuple(ws)].append(k)
+        # a short item's runs between changes may be of one hash
+        at, h = winnow(ws, memo) if len(ws) >= LEAST else grams(ws, memo)
         hs.append(h)
         it.append(np.full(len(h), k))
         pl.append(at)
     h = np.concatenate(hs) if hs else np.empty(0, np.uint64)
     order = np.argsort(h, kind="stable")
     cat = lambda x: np.concatenate(x)[order] if x else np.empty(0, np.int64)
-    return Index([i for i, _ in items], texts, h[order], cat(it), cat(pl), frozenset(w for ws in texts for w in ws), min(map(_least_words, filter(None, texts)), default=0))
+    return Index([i for i, _ in items], texts, h[order], cat(it), cat(pl), frozenset(w for ws in texts for w in ws), min(map(_least_words, filter(None, texts)), default=0), any(len(ws) < LEAST for ws in texts), dict(tiny))
 
 
 def _least_words(ws: list[str]) -> int:
@@ -118,29 +138,25 @@ def _least_words(ws: list[str]) -> int:
 
 
 def longest(a: list[str], b: list[str]) -> int:
-    """Words of ``a`` in the longest passage that ``b`` repeats in order with at most one
-    change in ``PER_EDIT`` words (a replaced, added, dropped or misspelt word is one).
+    """Words of ``a`` in a long passage that ``b`` repeats in order with at most one change in
+    ``PER_EDIT`` words (a replaced, added, dropped or misspelt word is one).
 
-    A least-cost alignment lets ``b``'s ends go free; along its path a match counts 1, a
-    change ``1 - PER_EDIT``, and the longest stretch with a sum of 0 or more that begins and ends
-    with a match is taken."""
+    A least-cost alignment lets ``b``'s ends go free; along its path a word counts 1, a
+    change ``-PER_EDIT``, and the longest stretch with a sum of 0 or more that begins and ends
+    with a match is taken. What it finds is there; another path may hold more (``repeats``)."""
     n, m = len(a), len(b)
-    cost = [[0] * (m + 1)]
+    differ, steps_ = _differ(a, b), np.arange(m + 1)
+    cost = np.zeros((n + 1, m + 1), np.int64)
     for i in range(1, n + 1):
-        prev, w = cost[-1], a[i - 1]
-        row = [i]
-        last = i
-        for j in range(1, m + 1):
-            up, diag = prev[j] + 1, prev[j - 1] + (b[j - 1] != w)
-            last = min(last + 1, up, diag)
-            row.append(last)
-        cost.append(row)
-    j = min(range(m + 1), key=lambda k: cost[n][k])
+        row = cost[i - 1] + 1
+        row[1:] = np.minimum(row[1:], cost[i - 1, :-1] + differ[i - 1])
+        cost[i] = np.minimum.accumulate(row - steps_) + steps_
+    j = int(cost[n].argmin())
     i, steps = n, []
     while i > 0:
         here = cost[i][j]
-        if j and here == cost[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
-            steps.append((1, a[i - 1] == b[j - 1]))
+        if j and here == cost[i - 1][j - 1] + differ[i - 1][j - 1]:
+            steps.append((1, not differ[i - 1][j - 1]))
             i, j = i - 1, j - 1
         elif here == cost[i - 1][j] + 1:
             steps.append((1, False))
@@ -156,7 +172,7 @@ def longest(a: list[str], b: list[str]) -> int:
     for of_a, same in steps:
         if same and (not seen or s < seen[-1][0]):
             seen.append((s, w))
-        s += 1 if same else 1 - PER_EDIT
+        s += of_a if same else of_a - PER_EDIT
         w += of_a
         if not same:
             continue
@@ -173,12 +189,41 @@ def longest(a: list[str], b: list[str]) -> int:
     return best
 
 
-def covered(a: list[str], b: list[str]) -> int:
-    """Words of ``a`` that lie in a run of ``GRAM`` and more which ``b`` holds too."""
+def _differ(a: list[str], b: list[str]) -> np.ndarray:
     code: dict[str, int] = {}
     x = np.fromiter((code.setdefault(w, len(code)) for w in a), np.int64, len(a))
     y = np.fromiter((code.get(w, -1) for w in b), np.int64, len(b))
-    e = x[:, None] == y[None, :]
+    return x[:, None] != y[None, :]
+
+
+def repeats(a: list[str], b: list[str], need: int) -> bool:
+    """Whether ``b`` repeats at least ``need`` running words of ``a`` with at most one change in
+    ``PER_EDIT``, the first and the last of them unchanged: the least cost of every stretch of
+    ``a`` anywhere in ``b``."""
+    n, m = len(a), len(b)
+    differ, places = _differ(a, b), np.arange(m + 1)
+    never = n + m
+    # least changes of the stretch from each word on, by its end in b; its first word is a match
+    cost = np.full((n, m + 1), never, np.int64)
+    cost[:, 1:][~differ] = 0
+    for t in range(1, n + 1):
+        k = n - t + 1
+        if t > 1:
+            before, new = cost[:k], differ[t - 1 : t - 1 + k]
+            match = np.where(new, never, before[:, :-1])
+            row = before + 1
+            row[:, 1:] = np.minimum(row[:, 1:], before[:, :-1] + new)
+        else:
+            match, row = cost[:, 1:], cost
+        cost = np.minimum.accumulate(row - places, axis=1) + places
+        if t >= need and int(match.min()) * PER_EDIT <= t:
+            return True
+    return False
+
+
+def covered(a: list[str], b: list[str]) -> int:
+    """Words of ``a`` that lie in a run of ``GRAM`` and more which ``b`` holds too."""
+    e = ~_differ(a, b)
     n, m = e.shape
     if n < GRAM or m < GRAM:
         return 0
@@ -194,9 +239,9 @@ def covered(a: list[str], b: list[str]) -> int:
 
 def leaks(ws: list[str], ix: Index, memo: Hashes) -> list[int]:
     """Numbers of the items that the words repeat wholly or in a long enough passage."""
-    if not len(ix.hashes) or len(ix.vocabulary.intersection(ws)) < ix.least:
+    if not (len(ix.hashes) or ix.tiny) or len(ix.vocabulary.intersection(ws)) < ix.least:
         return []
-    at, h = winnow(ws, memo)
+    at, h = grams(ws, memo) if ix.short else winnow(ws, memo)
     lo = np.searchsorted(ix.hashes, h, "left")
     hi = np.searchsorted(ix.hashes, h, "right")
     near: dict[int, list[int]] = defaultdict(list)
@@ -204,6 +249,10 @@ def leaks(ws: list[str], ix: Index, memo: Hashes) -> list[int]:
         for e in range(lo[k], hi[k]):
             near[int(ix.item[e])].append(int(at[k]) - int(ix.place[e]))
     out = []
+    if ix.tiny:
+        for n in {len(t) for t in ix.tiny}:
+            for t in {tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)} & ix.tiny.keys():
+                out += ix.tiny[t]
     for item, diagonals in near.items():
         a = ix.texts[item]
         n = len(a)
@@ -220,7 +269,7 @@ def leaks(ws: list[str], ix: Index, memo: Hashes) -> list[int]:
                 j += 1
             if j - i >= (2 if n >= LEAST else 1):
                 part = ws[max(0, d - drift) : d + n + 2 * drift]
-                if covered(a, part) >= rest and longest(a, part) >= need:
+                if covered(a, part) >= rest and (longest(a, part) >= need or repeats(a, part, need)):
                     out.append(item)
                     break
             while i < len(diagonals) and diagonals[i] <= d + drift:
@@ -232,19 +281,23 @@ def leaked(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: s
     """Distinct (``doc_id``, ``item_id``): the document repeats the whole item or at least
     ``LEAST`` running words of it. Null texts give nothing; repeated rows count once."""
     spark = docs.sparkSession
-    rows = [(r[0], r[1]) for r in items.select(item_id, item_text).where(F.col(item_text).isNotNull()).distinct().orderBy(item_id, item_text).toLocalIterator()]
-    blocks: list[list[tuple[str, str]]] = [[]]
-    size = 0
-    for r in rows:
-        n = len(r[1]) // 4 + 1
-        if size + n > MAX_HASHES and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append(r)
-        size += n
+
+    def blocks() -> Iterator[list[tuple[str, str]]]:
+        """Items as they come to the driver, a block at a time; one empty block without any."""
+        block: list[tuple[str, str]] = []
+        size = 0
+        for r in items.select(item_id, item_text).where(F.col(item_text).isNotNull()).distinct().orderBy(item_id, item_text).toLocalIterator():
+            n = len(r[1]) // 4 + 1
+            if size + n > MAX_HASHES and block:
+                yield block
+                block, size = [], 0
+            block.append((r[0], r[1]))
+            size += n
+        yield block
+
     schema = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField(item_id, items.schema[item_id].dataType)])
     out: DataFrame | None = None
-    for block in blocks:
+    for block in blocks():
         held = spark.sparkContext.broadcast(build(block))
 
         def find(batches, held=held):

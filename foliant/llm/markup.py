@@ -57,7 +57,7 @@ _TICK = re.compile(r"(?<![`\\])(`{1,2})(?!`)(?=\S)([^`\n]+(?:\n(?!\n)[^`\n]+)?)(
 _TEX_MATH = re.compile(
     r"\\begin\{(equation|align|gather|multline|eqnarray|displaymath|math|flalign|alignat)(\*?)\}.*?(?:\\end\{\1\2\}|\Z)"
     r"|\$\$(?!\$).+?\$\$|\\\[.+?\\\]|\\\(.+?\\\)"
-    r"|(?<![\\$\w])\$(?![\s$])(?:\\\$|[^$\n]){1,300}?(?<![\s\\])\$(?![\w$])",
+    r"|(?<![\\$\w])\$(?![\s$])(?:\\\$|[^$\n])+?(?<![\s\\])\$(?![\w$])",
     re.S,
 )
 _TEX_TABLE = re.compile(r"\\begin\{(tabular[*xy]?|longtable|array|table\*?)\}.*?(?:\\end\{\1\}|\Z)", re.S)
@@ -261,10 +261,9 @@ def scan(text: str | None, formulas: bool = True) -> tuple[set[tuple[str, str]],
         t = _TEX_HEAD.sub(note("latex", "heading", lambda m: f"\x03{m.group(1)}\x04"), t)
         t = _TEX_ITEM.sub(note("latex", "list_item", lambda m: "- " if m.group().startswith("\\item") else ""), t)
         t = _TEX_CELL.sub(note("latex", "table", ""), t)
-        for _ in range(3):
+        n = 1
+        while n:  # from the inside out
             t, n = _TEX_OTHER.subn(note("latex", "other", _tex_body), t)
-            if not n:
-                break
     if "{|" in t:
         t = _W_TABLE.sub(note("wiki", "table", lambda m: _wiki_rows(m.group())), t)
     if "{{" in t:
@@ -293,10 +292,9 @@ def scan(text: str | None, formulas: bool = True) -> tuple[set[tuple[str, str]],
     if "*" in t or "_" in t or "~" in t:
         if "__" in t:
             t = _W_WORD.sub(note("wiki", "other", ""), t)
-        for _ in range(3):
+        n = 1
+        while n:  # from the outside in
             t, n = _M_EMPH.subn(note("markdown", "other", lambda m: m.group(2) or m.group(4) or m.group(6)), t)
-            if not n:
-                break
 
     def back(m: re.Match) -> str:
         kind, body = hold[int(m.group(1))]
@@ -442,8 +440,8 @@ def content_lines(page: str, sigma: float = 1.0) -> list[bool]:
     """For each line whether it belongs to the page's content: characters of text per
     tag, smoothed over neighbouring lines, split by two-means into a high and a low
     cluster. Of the low one only links and boilerplate go: short headings, items, rows,
-    code and formulas, dense of tags as they are, are content (``_spare_lines``). A page
-    whose lines all read alike is kept whole."""
+    code and formulas, dense of tags as they are, are content (``_spare_lines``), and so is
+    every line where all lines read alike."""
     lines = page.split("\n")
     ratio = []
     for x in lines:
@@ -461,8 +459,6 @@ def content_lines(page: str, sigma: float = 1.0) -> list[bool]:
                 den += w
         smooth.append(num / den)
     lo, hi = min(smooth), max(smooth)
-    if hi - lo < 20:
-        return [True] * n
     for _ in range(20):
         cut = (lo + hi) / 2
         a = [v for v in smooth if v < cut]
@@ -473,11 +469,7 @@ def content_lines(page: str, sigma: float = 1.0) -> list[bool]:
         if (la, lb) == (lo, hi):
             break
         lo, hi = la, lb
-    # the low cluster is dropped only where its lines are next to bare of text
-    keep = [v >= (lo + hi) / 2 or r >= 10 for v, r in zip(smooth, ratio)]
-    if all(k or not x.strip() for k, x in zip(keep, lines)):
-        return [True] * n
-    return [k or not s for k, s in zip(keep, _spare_lines(page))]
+    return [v >= (lo + hi) / 2 or not s for v, s in zip(smooth, _spare_lines(page))]
 
 
 def clean(text: str | None, page: bool = True) -> str:
@@ -485,7 +477,7 @@ def clean(text: str | None, page: bool = True) -> str:
     is part of a page's content already (``page`` false) is kept whole."""
     if not text:
         return ""
-    if page and "<" in text and len(_ANY_TAG.findall(text)) >= 4:
+    if page and "<" in text and _ANY_TAG.search(text):
         keep = content_lines(text)
         if not all(keep):
             text = "\n".join(x for x, k in zip(text.split("\n"), keep) if k)

@@ -129,21 +129,21 @@ def tiers(shares: dict[str, float]) -> dict[str, int]:
 
 
 def fit(shares: dict[str, float], graded: list[tuple[float, list[str]]]) -> Formula:
-    """The formula from (grade, texts whose mean grade it is). Tiers add to 1, which
-    stands for the constant. Without graded texts: familiar words at share 0.1 and the
-    weights of the classic formula for new texts."""
+    """The formula from (grade, texts whose mean grade it is). Tiers add to 1, which stands for
+    the constant. The regression starts from the classic formula for new texts, with words at
+    share 0.1 and more as the familiar ones, and moves from it as far as the graded texts bear."""
     tier = tiers(shares)
-    if len(graded) < 10:
-        at = int(np.searchsorted(CUTS, 0.1))
-        w = np.r_[[15.79 + 3.6365] * (at + 1), [0.0] * (len(CUTS) - at), 0.0496]
-        w[:-1] += 0.5
-    else:
+    at = int(np.searchsorted(CUTS, 0.1))
+    start = np.r_[[15.79 + 3.6365] * (at + 1), [0.0] * (len(CUTS) - at), 0.0496]
+    start[:-1] += 0.5
+    w = start
+    if graded:
         x = np.array([np.mean([features(t, tier) for t in ts], axis=0) for _, ts in graded])
-        y = np.array([g for g, _ in graded])
+        y = np.array([g for g, _ in graded]) - x @ start
         fold = np.arange(len(y)) % 5
 
         def solve(x_, y_, lam):
-            return np.linalg.solve(x_.T @ x_ + lam * len(x_) * np.eye(x_.shape[1]), x_.T @ y_)
+            return np.linalg.solve(x_.T @ x_ + lam * max(1, len(x_)) * np.eye(x_.shape[1]), x_.T @ y_)
 
         def error(x_, lam):
             return sum(np.abs(x_[fold == k] @ solve(x_[fold != k], y[fold != k], lam) - y[fold == k]).sum() for k in range(5))
@@ -151,8 +151,8 @@ def fit(shares: dict[str, float], graded: list[tuple[float, list[str]]]) -> Form
         # few graded texts bear few lists: neighbouring tiers may share a weight
         shared = [np.r_[np.arange(len(CUTS) + 1) // g, [len(CUTS) // g + 1]] for g in (1, 2, 4, 8, 16)]
         merges = [np.eye(m.max() + 1)[m] for m in shared]
-        _, i, lam = min((error(x @ m, lam), i, lam) for i, m in enumerate(merges) for lam in (1e-6, 1e-5, 1e-4, 1e-3, 1e-2))
-        w = merges[i] @ solve(x @ merges[i], y, lam)
+        _, i, lam = min((error(x @ m, lam), i, lam) for i, m in enumerate(merges) for lam in (1e-6, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1))
+        w = start + merges[i] @ solve(x @ merges[i], y, lam)
     return Formula({k: float(w[t]) for k, t in tier.items()}, float(w[0]), float(w[-1]))
 
 

@@ -91,7 +91,8 @@ _LEAD = re.compile(r"[\"'“„«»‹「『(\[{¿¡*_~`]|<[^<>\n]{1,60}>|\\[a-z
 _ITEM = re.compile(r"(?:[-*+•–#>]+|\\item\b|\d{1,3}[.)]|[a-z][.)])\s")
 #: Weight of an unpaired span, of a word's and a mark's evidence, and of length.
 UNPAIRED, LENGTH = 4.0, 0.3
-#: A quotation longer than this is taken for stray marks.
+#: Signs of a quotation at which it ties its sentences half as much: the longer it is, the more
+#: likely are its marks stray ones.
 QUOTED = 1000
 
 
@@ -181,16 +182,15 @@ def _block(text: str, a: int, b: int, cands: list[tuple[int, int, float]], out:
         out += (a, b)
         return
     quotes = [m.start() for m in _QUOTE.finditer(text, a, b)]
-    toggles: list[int] = []
+    toggles: list[tuple[int, float]] = []  # place of each mark, and how much what follows is tied
     if quotes:
         want, since = "", 0
         for p in quotes:
             ch = text[p]
             if want and ch in want:
-                if p - since <= QUOTED:
-                    toggles += (since, p)
+                toggles += ((since, UNPAIRED / (1.0 + ((p - since) / QUOTED) ** 2)), (p, 0.0))
                 want = ""
-            elif ch in _PAIR and (not want or p - since > QUOTED):
+            elif ch in _PAIR and not want:
                 want, since = _PAIR[ch], p
     else:
         # without quotations only the length ties the spans together, and it never
@@ -204,11 +204,12 @@ def _block(text: str, a: int, b: int, cands: list[tuple[int, int, float]], out:
             out += (at, b)
             return
     pts = [(a, a, 0.0), *((e, nx, s) for e, nx, s in cands if s > -2.0 or quotes), (b, b, 0.0)]
-    pair, k = [], 0
+    pair, k, tie = [], 0, 0.0
     for e, _, _ in pts:
-        while k < len(toggles) and toggles[k] < e:
+        while k < len(toggles) and toggles[k][0] < e:
+            tie = toggles[k][1]
             k += 1
-        pair.append(k & 1)
+        pair.append(tie)
     mean = 25.0 if text[a] > "⹿" else 80.0
     n = len(pts)
     best, back, base = [0.0] * n, [0] * n, 0
@@ -218,8 +219,7 @@ def _block(text: str, a: int, b: int, cands: list[tuple[int, int, float]], out:
         for i in range(base, j):
             size = e - pts[i][1]
             s = best[i] - LENGTH * abs(math.log((size + 10.0) / mean))
-            if pj or pair[i]:
-                s -= UNPAIRED
+            s -= max(pj, pair[i])
             if s > top:
                 top, arg = s, i
         best[j], back[j] = top + score, arg
