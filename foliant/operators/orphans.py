@@ -22,6 +22,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliant.session import written
+
 #: A key with more rows (of different starts) than this is judged by running counts in place
 #: of the anti-join, in runs of so many microseconds.
 FEW, RUN = 64, 3600 * 10**6
@@ -69,14 +71,15 @@ def _unmatched(part: DataFrame, targets: DataFrame, on: dict[str, str], at: str,
     keys, names = [f"_k{i}" for i in range(len(on))], [c for c in part.columns if c != "reason"]
     t = targets.where(functools.reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in on.values()]))
     t = t.select(*[F.col(f"`{c}`").alias(k) for k, c in zip(keys, on.values())], F.coalesce(F.col(f"`{since}`"), ever).alias("_a"), F.coalesce(F.col(f"`{until}`"), never).alias("_b"))
-    per = t.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.max(F.when(F.col("_a") > ever, F.col("_a"))).alias("_last"))
+    # four things are told of it, so it is written once: a row per key
+    per = written(t.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.max(F.when(F.col("_a") > ever, F.col("_a"))).alias("_last")))
 
     r = part.select(*[F.col(f"`{c}`") for c in names])
     when = F.coalesce(F.col(f"`{at}`").cast("timestamp"), end)
     meet = lambda: [F.col(f"`{c}`") == F.col(k) for c, k in zip(on, keys)]
     stands = (F.col("_a") <= when) & (when < F.col("_b"))
     left = r.join(per.where("_n = 1").select(*keys, "_a", "_b"), [*meet(), stands], "left_anti")
-    left = left.join(per.select(*keys, "_n", "_last"), meet(), "left").drop(*keys)
+    left = written(left.join(per.select(*keys, "_n", "_last"), meet(), "left").drop(*keys))
 
     # repeats and reloads melt on the map side
     rows = t.join(per.where("_n > 1").select(*keys), keys, "left_semi").groupBy(*keys, "_a").agg(F.max("_b").alias("_b"))
