@@ -24,7 +24,15 @@ REFERENCE = r"(?i)\b(?:chapter|appendix|section|table|figure|para(?:graph)?)\s+[
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve".split()
 VISUAL = ("process_flow", "cycle", "roles", "timeline", "do_dont", "table", "big_numbers", "comparison", "decision_tree", "key_terms", "key_idea", "at_a_glance")
 STRUCTURAL = ("title", "divider", "acronyms", "closing")
-DATE = r"\b(\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4})\b"
+FORM = r"(?i)\b(?:(?:DA|DD|SF)\s+Form|DA\s+Pam|FM|AR|ATP|ADP|TC|TM|JP)\s+\d[\w-]*(?:\.\d+)?"
+MONTH = r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+# months in capitals; "May", also a directive word, only with a day or a year
+DATE = (
+    rf"\b(?:\d{{1,2}}\s+)?{MONTH}\b\.?(?:\s+\d{{1,2}}(?!\d))?(?:,?\s+\d{{4}})?|\b(?:\d{{1,2}}\s+)?May(?:\s+\d{{1,2}},?\s+\d{{4}}|\s+\d{{4}}|\s+\d{{1,2}}\b)"
+    r"|\b\d{1,2}\s+May\b|\b\d{1,2}/\d{1,2}/\d{2,4}\b|\b(?:19|20)\d{2}\b"
+)
+#: For engines without look-around: the same but for a day with letters right behind it.
+DATE_SQL = DATE.replace(r"(?!\d)", r"\b")
 _IN = lambda ts: "(" + ", ".join(f"'{t}'" for t in ts) + ")"
 
 
@@ -73,17 +81,19 @@ def _num_sql(c: str) -> str:
 
 
 def claim_sources(spark: SparkSession, sf: str) -> DataFrame:
-    """Claims with the text that they cite (cited nodes and all below), in document order."""
-    t = own_text(spark, sf).where("t <> ''").select("pub_id", F.explode(F.concat("path", F.array("id"))).alias("node_id"), "ord", "t")
-    c = cites(spark, sf).join(t, ["pub_id", "node_id"]).select("pub_id", "claim_id", "ord", "t").distinct()
-    src = c.groupBy("pub_id", "claim_id").agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("ts"))
+    """Claims that cite a node that there is, with the text of what they cite and all below, in
+    document order. Ids meet first, and each cited node's text travels once."""
+    below = nodes(spark, sf, "path").select("pub_id", F.col("id").alias("under"), F.explode(F.concat("path", F.array("id"))).alias("node_id"))
+    ids = cites(spark, sf).join(below, ["pub_id", "node_id"]).select("pub_id", "claim_id", F.col("under").alias("id")).distinct()
+    t = own_text(spark, sf).select("pub_id", "id", "ord", "t")
+    src = ids.join(t, ["pub_id", "id"]).groupBy("pub_id", "claim_id").agg(F.array_sort(F.collect_list(F.when(F.col("t") != "", F.struct("ord", "t")))).alias("ts"))
     src = src.select("pub_id", "claim_id", F.array_join(F.transform("ts", lambda x: x["t"]), " ").alias("source"))
-    return claims(spark, sf).join(src, ["pub_id", "claim_id"], "left").withColumn("source", F.coalesce("source", F.lit("")))
+    return claims(spark, sf).join(src, ["pub_id", "claim_id"])
 
 
-_SOURCES = f"""(select c.*, coalesce(s.source, '') as source from {_CLAIMS} c left join (
-    select pub_id, claim_id, string_agg(t, ' ' order by ord, t) as source from (
-      select distinct c.pub_id, c.claim_id, n.ord, n.t from {_CITES} c join (select pub_id, ord, unnest(list_append(path, id)) as anc, own as t from (select *, trim({_OWN_SQL}) as own from {nodes_sql(_OWN_COLS)}) where own <> '') n
+_SOURCES = f"""(select c.*, s.source from {_CLAIMS} c join (
+    select pub_id, claim_id, coalesce(string_agg(t, ' ' order by ord, t) filter (t <> ''), '') as source from (
+      select distinct c.pub_id, c.claim_id, n.ord, n.t from {_CITES} c join (select pub_id, ord, unnest(list_append(path, id)) as anc, coalesce(own, '') as t from (select *, trim({_OWN_SQL}) as own from {nodes_sql(_OWN_COLS)})) n
         on n.pub_id = c.pub_id and n.anc = c.node_id) group by all) s on s.pub_id = c.pub_id and s.claim_id = c.claim_id)"""
 
 
@@ -107,8 +117,10 @@ def chk_unknown_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chk_container_cite(spark: SparkSession, sf: str) -> DataFrame:
+    """Cites of whole containers; those of dividers are as they should be."""
     n = nodes(spark, sf, "type", types=CONTAINERS).select("pub_id", F.col("id").alias("node_id"), "type")
-    return cites(spark, sf).join(n, ["pub_id", "node_id"])
+    c = claims(spark, sf).where("pattern <> 'divider'").select("pub_id", "claim_id").distinct()
+    return cites(spark, sf).join(n, ["pub_id", "node_id"]).join(c, ["pub_id", "claim_id"], "left_semi")
 
 
 def chk_title_directive(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,9 +136,11 @@ def chk_directive_in_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chk_added_directive(spark: SparkSession, sf: str) -> DataFrame:
-    """Directive words of a claim that its source lacks: strict ones are errors."""
+    """Directive words of a claim, its own directive apart, that its source lacks: strict ones
+    are errors."""
     c = claim_sources(spark, sf).where("text is not null")
-    d = c.select("pub_id", "claim_id", F.explode(F.array_except(directive_words(F.col("text")), directive_words(F.col("source")))).alias("word")).distinct()
+    added = F.array_except(directive_words(F.col("text")), directive_words(F.col("source")))
+    d = c.select("pub_id", "claim_id", F.explode(F.filter(added, lambda w: ~w.eqNullSafe(F.col("directive")))).alias("word")).distinct()
     return d.withColumn("level", F.when(F.col("word").isin(*STRICT), "error").otherwise("warning"))
 
 
@@ -136,31 +150,80 @@ def chk_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chk_callout(spark: SparkSession, sf: str) -> DataFrame:
-    """Claims on a slide with a callout whose cited nodes aren't under its label: neither
-    begin with it nor follow, through text nodes alone, a node that is the label."""
+    """Claims on a slide with a callout of whose cited nodes none is under its label: none begins
+    with it, text of what is below included, nor follows, through text nodes alone, a node that
+    is the label."""
     label = F.upper(F.trim("plain"))
-    n = nodes(spark, sf, "ord", "type", "plain")
-    # islands of text nodes: the label node opens one and any other node that isn't text ends it
-    is_label = F.coalesce(label.isin("CAUTION", "WARNING", "DANGER", "NOTE"), F.lit(False))
+    n = nodes(spark, sf, "ord", "type", "plain", "path")
+    s = slides(spark, sf).where("callout is not null").select("pub_id", "slide_id", F.upper("callout").alias("label")).distinct()
+    labels = s.select("pub_id", F.col("label").alias("l")).distinct().groupBy("pub_id").agg(F.collect_set("l").alias("labels"))
+    # islands of text nodes: a label opens one, and any other node that isn't text ends it
+    n = n.join(labels, "pub_id")
+    is_label = F.coalesce(F.array_contains("labels", label), F.lit(False))
     event = F.when(is_label, label).when((F.col("type") != "text") | F.coalesce(F.trim("plain") == "", F.lit(True)), F.lit(""))
-    n = last_before(n, ["pub_id"], "ord", event, "under").select("pub_id", F.col("id").alias("node_id"), label.alias("own"), F.coalesce("under", F.lit("")).alias("under"))
-    s = slides(spark, sf).where("callout is not null").select("pub_id", "slide_id", F.upper("callout").alias("label"))
+    at = last_before(n, ["pub_id"], "ord", event, "under").select("pub_id", F.col("id").alias("node_id"), F.coalesce("under", F.lit("")).alias("under"))
+    # a subtree's text begins with that of the first node in it that has one
+    own = own_text(spark, sf).where("t <> ''").join(labels.select("pub_id"), "pub_id", "left_semi")
+    first = own.select("pub_id", F.explode(F.concat("path", F.array("id"))).alias("node_id"), "ord", F.upper(F.substring("t", 1, 200)).alias("t")).groupBy("pub_id", "node_id").agg(F.min_by("t", "ord").alias("begins"))
     c = claims(spark, sf).where(~F.col("in_notes")).select("pub_id", "slide_id", "claim_id").distinct().join(s, ["pub_id", "slide_id"])
-    j = c.join(cites(spark, sf), ["pub_id", "claim_id"], "left").join(n, ["pub_id", "node_id"], "left")
-    ok = F.coalesce(F.col("own").startswith(F.col("label")) | (F.col("under") == F.col("label")), F.lit(False))
-    g = j.groupBy("pub_id", "slide_id", "claim_id", "label").agg(F.max(ok).alias("ok"))
-    return g.where(~F.col("ok")).drop("ok")
+    j = c.join(cites(spark, sf), ["pub_id", "claim_id"], "left").join(at, ["pub_id", "node_id"], "left").join(first, ["pub_id", "node_id"], "left")
+    ok = F.coalesce(F.startswith(F.col("begins"), F.col("label")), F.lit(False)) | F.coalesce(F.col("under") == F.col("label"), F.lit(False))
+    return j.groupBy("pub_id", "slide_id", "claim_id", "label").agg(F.max(ok).alias("ok")).where(~F.col("ok")).drop("ok")
+
+
+ACRONYM_ENTRY = r"^\s*([A-Z][A-Za-z0-9/&-]*)\s*(?:[–:-]+|\s)\s*(\S.*)$"
+
+
+def slide_words(spark: SparkSession, sf: str) -> DataFrame:
+    """(pub_id, slide_id, slide_ord, said): everything that slides say but for those of acronyms:
+    titles and claims."""
+    s = slides(spark, sf).where("pattern <> 'acronyms'").groupBy("pub_id", "slide_id").agg(F.min("slide_ord").alias("slide_ord"), F.array_join(F.array_sort(F.collect_set("title")), " ").alias("title"))
+    t = s.select("pub_id", "slide_id", F.col("title").alias("said")).unionByName(claims(spark, sf).where("pattern <> 'acronyms' and text is not null").select("pub_id", "slide_id", F.col("text").alias("said")))
+    return t.distinct().join(s.drop("title"), ["pub_id", "slide_id"])
+
+
+def acronym_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """The entries of acronym slides: abbreviation and meaning are the parts of a claim, or stand
+    in its text one after the other."""
+    c = claims(spark, sf).where("pattern = 'acronyms'")
+    two = F.size("parts") >= 2
+    abbr = F.trim(F.when(two, F.get("parts", F.lit(0))).otherwise(F.regexp_extract("text", ACRONYM_ENTRY, 1)))
+    meaning = F.trim(F.when(two, F.get("parts", F.lit(1))).otherwise(F.regexp_extract("text", ACRONYM_ENTRY, 2)))
+    return c.select("pub_id", "slide_id", "claim_id", abbr.alias("abbreviation"), meaning.alias("meaning")).where("abbreviation <> ''").distinct()
+
+
+def _used(t: F.Column) -> F.Column:
+    """Tokens of a text that may be acronyms; one before a number is part of a designation."""
+    return F.array_distinct(F.split(F.regexp_replace(t, r"([A-Za-z0-9_-]+)\s+\d", " "), r"[^A-Za-z0-9_-]+"))
 
 
 def chk_acronym_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    """Glossary acronyms that a deck uses (as tokens, not before a number) and the first
-    slide that does."""
+    """Glossary acronyms that a deck uses (as tokens, not before a number), the first slide that
+    does, and whether the acronyms slide lists them."""
     a = nodes(spark, sf, "abbreviation", types=("acronym",)).where("length(abbreviation) >= 2").select("pub_id", F.col("abbreviation").alias("token")).distinct()
-    t = F.regexp_replace("text", r"([A-Za-z0-9_-]+)\s+\d", " ")
-    c = claims(spark, sf).where("pattern <> 'acronyms' and text is not null").select("pub_id", "slide_id", F.explode(F.array_distinct(F.split(t, r"[^A-Za-z0-9_-]+"))).alias("token"))
-    s = slides(spark, sf).select("pub_id", "slide_id", "slide_ord").distinct()
-    u = c.join(a, ["pub_id", "token"], "left_semi").join(s, ["pub_id", "slide_id"])
-    return u.groupBy("pub_id", "token").agg(F.min_by("slide_id", F.struct("slide_ord", "slide_id")).alias("first_slide"), F.countDistinct("slide_id").alias("slides"))
+    u = slide_words(spark, sf).select("pub_id", "slide_id", "slide_ord", F.explode(_used(F.col("said"))).alias("token")).join(a, ["pub_id", "token"], "left_semi")
+    g = u.groupBy("pub_id", "token").agg(F.min_by("slide_id", F.struct("slide_ord", "slide_id")).alias("first_slide"), F.countDistinct("slide_id").alias("slides"))
+    listed = acronym_entries(spark, sf).select("pub_id", F.col("abbreviation").alias("token")).distinct().withColumn("l", F.lit(True))
+    return g.join(listed, ["pub_id", "token"], "left").select("pub_id", "token", "first_slide", "slides", F.coalesce("l", F.lit(False)).alias("listed"))
+
+
+def chk_acronym_entry(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries of acronym slides that the glossary lacks (error) or spells out otherwise, letter
+    case apart (warning); claims without a known cite are passed over."""
+    a = nodes(spark, sf, "abbreviation", "meaning", types=("acronym",)).groupBy("pub_id", "abbreviation").agg(F.collect_set(F.lower(F.trim("meaning"))).alias("known"))
+    e = acronym_entries(spark, sf).join(claim_sources(spark, sf).select("pub_id", "claim_id").distinct(), ["pub_id", "claim_id"], "left_semi").join(a, ["pub_id", "abbreviation"], "left")
+    level = F.when(F.col("known").isNull(), "error").when(~F.array_contains("known", F.lower("meaning")), "warning")
+    return e.select("pub_id", "claim_id", "abbreviation", "meaning", level.alias("level")).where("level is not null")
+
+
+def chk_key_term(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms of key term slides that neither the glossary nor the cited text holds. The term is a
+    claim's first part, or stands before a dash in its text."""
+    c = claim_sources(spark, sf).where("pattern = 'key_terms'")
+    term = F.lower(F.trim(F.when(F.size("parts") >= 2, F.get("parts", F.lit(0))).otherwise(F.regexp_extract("text", r"^([^–—:]+?)\s*[–—:]", 1))))
+    t = c.select("pub_id", "claim_id", "source", term.alias("term")).where("term <> ''")
+    g = nodes(spark, sf, "term", types=("term",)).select("pub_id", F.lower("term").alias("term")).distinct()
+    return t.join(g, ["pub_id", "term"], "left_anti").where(~F.contains(F.lower("source"), F.col("term"))).select("pub_id", "claim_id", "term").distinct()
 
 
 def chk_deck_shape(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,13 +261,14 @@ def review_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- QA ---------------------------------------------------------------------------------
 def qa_forms_dates(spark: SparkSession, sf: str) -> DataFrame:
-    """Publication numbers and dates that a claim states and its source doesn't; numbers
-    are taken out before dates are read."""
+    """Numbers of forms and publications, and dates, that a claim states and its source doesn't;
+    the former are taken out before dates are read."""
     c = claim_sources(spark, sf).where("text is not null")
 
     def marks(col: F.Column) -> F.Column:
-        forms = F.transform(tx.found(col, rx.EXTERNAL, 0), lambda m: F.upper(F.regexp_replace(m, r"\s+", " ")))
-        return F.array_distinct(F.concat(forms, tx.found(F.regexp_replace(col, rx.EXTERNAL, " "), DATE)))
+        forms = F.transform(tx.found(col, FORM, 0), lambda m: F.trim(F.regexp_replace(F.upper(m), r"\s+", " ")))
+        dates = F.transform(tx.found(F.regexp_replace(col, FORM, " "), DATE, 0), lambda m: F.lower(F.trim(F.regexp_replace(m, r"[\s.,]+", " "))))
+        return F.array_distinct(F.concat(forms, dates))
 
     return c.select("pub_id", "claim_id", F.explode(F.array_except(marks(F.col("text")), marks(F.col("source")))).alias("mark")).distinct()
 
@@ -242,15 +306,19 @@ def qa_deck_readability(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def qa_acronym_first_use(spark: SparkSession, sf: str) -> DataFrame:
-    """Acronyms whose meaning doesn't stand on a slide up to their first use."""
+    """Acronyms whose meaning doesn't stand on a slide up to their first use. Meanings meet the
+    slides on their first word and are looked for in what meets, so that no acronym is held
+    against all slides of its deck."""
     first = chk_acronym_coverage(spark, sf).select("pub_id", "token", "first_slide")
-    s = slides(spark, sf).groupBy("pub_id", "slide_id").agg(F.min("slide_ord").alias("at"))
-    f = first.join(s.withColumnRenamed("slide_id", "first_slide"), ["pub_id", "first_slide"])
-    a = nodes(spark, sf, "abbreviation", "meaning", types=("acronym",)).select("pub_id", F.col("abbreviation").alias("token"), F.lower("meaning").alias("meaning")).distinct()
+    at = slides(spark, sf).groupBy("pub_id", "slide_id").agg(F.min("slide_ord").alias("at"))
+    f = first.join(at.withColumnRenamed("slide_id", "first_slide"), ["pub_id", "first_slide"])
+    a = nodes(spark, sf, "abbreviation", "meaning", types=("acronym",)).select("pub_id", F.col("abbreviation").alias("token"), F.lower(F.trim("meaning")).alias("meaning")).where("meaning <> ''").distinct()
     f = f.join(a, ["pub_id", "token"])
-    c = claims(spark, sf).where("text is not null").select("pub_id", "slide_id", F.lower("text").alias("text")).join(s.withColumnRenamed("at", "here"), ["pub_id", "slide_id"])
-    told = f.alias("f").join(c.alias("c"), (F.col("f.pub_id") == F.col("c.pub_id")) & (F.col("here") <= F.col("at")) & F.contains(F.col("text"), F.col("meaning")), "left_semi")
-    return f.join(told.select("pub_id", "token", "meaning"), ["pub_id", "token", "meaning"], "left_anti").select("pub_id", "token", "first_slide")
+    word = lambda c: F.regexp_extract(c, r"([\p{L}\p{N}]+)", 1)
+    said = slide_words(spark, sf).select("pub_id", F.col("slide_ord").alias("here"), F.lower("said").alias("said"))
+    said = said.select("*", F.explode(F.array_distinct(F.split("said", r"[^\p{L}\p{N}]+"))).alias("w"))
+    told = f.withColumn("w", word(F.col("meaning"))).join(said, ["pub_id", "w"]).where((F.col("here") <= F.col("at")) & F.contains("said", F.col("meaning")))
+    return f.join(told.select("pub_id", "token", "meaning").distinct(), ["pub_id", "token", "meaning"], "left_anti").select("pub_id", "token", "first_slide").distinct()
 
 
 def qa_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,31 +332,46 @@ def qa_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return g.withColumn("share", F.round(F.col("cited") / F.col("total"), 3)).withColumn("low", (F.col("total") >= 5) & (F.col("cited") < 0.1 * F.col("total")))
 
 
+CHECKS = ("citation", "verbatim", "directive", "readability", "acronym", "coverage")
+
+
 def findings(spark: SparkSession, sf: str) -> DataFrame:
-    """All findings in one table: (check, level, where_id, message, ord)."""
+    """All findings in one table: (pub_id, ord, check, level, where_id, message); ``ord`` is the
+    place of the rule that found it."""
+    c, lit = F.col, F.lit
+    shape = qa_deck_readability(spark, sf).where(~c("passes"))
     parts = [
-        (chk_unknown_nodes(spark, sf), "cites", "error", "where_id", F.concat(F.col("what"), F.lit(" "), F.col("node_id"), F.lit(" unknown"))),
-        (chk_added_directive(spark, sf), "directives", None, "claim_id", F.concat(F.col("word"), F.lit(" is not in the source"))),
-        (chk_numbers(spark, sf), "numbers", "error", "claim_id", F.concat(F.col("number"), F.lit(" is not in the source"))),
-        (qa_uncited(spark, sf), "cites", "error", "where_id", F.concat(F.col("what"), F.lit(" without a cite"))),
-        (chk_callout(spark, sf), "callouts", "error", "claim_id", F.concat(F.lit("not under "), F.col("label"))),
+        (chk_title_directive(spark, sf), "directive", "error", "slide_id", F.concat(lit("title says "), c("word"))),
+        (chk_unknown_nodes(spark, sf), "citation", "error", "where_id", F.concat(c("what"), lit(" "), c("node_id"), lit(" unknown"))),
+        (chk_container_cite(spark, sf), "citation", "warning", "claim_id", F.concat(lit("cites a whole "), c("type"), lit(" "), c("node_id"))),
+        (chk_directive_in_source(spark, sf), "directive", "error", "claim_id", F.concat(lit("directive "), c("directive"), lit(" is not in the source"))),
+        (chk_added_directive(spark, sf), "directive", None, "claim_id", F.concat(c("word"), lit(" is not in the source"))),
+        (chk_numbers(spark, sf), "verbatim", "warning", "claim_id", F.concat(lit("number "), c("number"), lit(" is not in the source"))),
+        (chk_acronym_coverage(spark, sf).where(~c("listed")), "acronym", "warning", "first_slide", F.concat(c("token"), lit(" is not on the acronyms slide"))),
+        (chk_callout(spark, sf), "citation", "error", "claim_id", F.concat(lit("not under "), c("label"))),
+        (qa_forms_dates(spark, sf), "verbatim", "error", "claim_id", F.concat(c("mark"), lit(" is not in the source"))),
+        (qa_uncited(spark, sf), "citation", "error", "where_id", F.concat(c("what"), lit(" without a cite"))),
+        (qa_readability(spark, sf).where("too_hard"), "readability", "warning", "slide_id", F.concat(lit("grade "), c("grade").cast("string"))),
+        (shape, "readability", "warning", "pub_id", F.concat(c("readable").cast("string"), lit(" of "), c("slides").cast("string"), lit(" slides are readable"))),
+        (qa_acronym_first_use(spark, sf), "acronym", "warning", "first_slide", F.concat(c("token"), lit(" is used before it is spelled out"))),
+        (qa_coverage(spark, sf).where("low and division_id is not null"), "coverage", "warning", "division_id", F.concat(c("cited").cast("string"), lit(" of "), c("total").cast("string"), lit(" mandatory statements cited"))),
     ]
     out: DataFrame | None = None
-    for df, check, level, at, message in parts:
-        got = df.select("pub_id", F.lit(check).alias("check"), (F.lit(level) if level else F.col("level")).alias("level"), F.col(at).alias("where_id"), message.alias("message"))
+    for i, (df, check, level, at, message) in enumerate(parts):
+        got = df.select("pub_id", lit(i).alias("ord"), lit(check).alias("check"), (lit(level) if level else c("level")).alias("level"), c(at).alias("where_id"), message.alias("message"))
         out = got if out is None else out.unionByName(got)
     assert out is not None
     return out
 
 
 def qa_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """The first finding of each (check, where, message); an error comes before a warning."""
-    return findings(spark, sf).groupBy("pub_id", "check", "where_id", "message").agg(F.min("level").alias("level"))
+    """The first finding of each (check, where, message)."""
+    return findings(spark, sf).groupBy("pub_id", "check", "where_id", "message").agg(F.min_by("level", "ord").alias("level"))
 
 
 def qa_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Errors and warnings of each check, zero where there are none."""
-    checks = spark.createDataFrame([(c,) for c in ("cites", "directives", "numbers", "callouts", "readability", "coverage")], "check string")
+    checks = spark.createDataFrame([(c,) for c in CHECKS], "check string")
     g = qa_dedupe(spark, sf).groupBy("check").agg(F.count_if(F.col("level") == "error").alias("errors"), F.count_if(F.col("level") == "warning").alias("warnings"))
     return F.broadcast(checks).join(g, "check", "left").fillna(0, ["errors", "warnings"])
 
@@ -348,38 +431,47 @@ def claim_words(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("pub_id", "claim_id", tx.joined(F.array_sort(directive_words(F.col("text")))).alias("words"), tx.joined(F.array_sort(numbers(F.col("text")))).alias("numbers"))
 
 
-QUERIES = {f.__name__: f for f in (cited_ids, chk_unknown_nodes, chk_container_cite, chk_title_directive, chk_directive_in_source, chk_added_directive, chk_numbers, chk_callout, chk_acronym_coverage, chk_deck_shape, chk_chapter_order, chk_chapters_without_slides, review_lines, qa_forms_dates, qa_uncited, qa_readability, qa_deck_readability, qa_acronym_first_use, qa_coverage, qa_dedupe, qa_summary, rev_check, rev_unreviewed, rev_packet, rep_title_runs, spec_tree_check, claim_words)}
+QUERIES = {f.__name__: f for f in (cited_ids, chk_unknown_nodes, chk_container_cite, chk_title_directive, chk_directive_in_source, chk_added_directive, chk_numbers, chk_callout, chk_acronym_coverage, chk_acronym_entry, chk_key_term, chk_deck_shape, chk_chapter_order, chk_chapters_without_slides, review_lines, qa_forms_dates, qa_uncited, qa_readability, qa_deck_readability, qa_acronym_first_use, qa_coverage, qa_dedupe, qa_summary, rev_check, rev_unreviewed, rev_packet, rep_title_runs, spec_tree_check, claim_words)}
 
 _UNKNOWN = f"""
   select distinct c.pub_id, c.claim_id as where_id, 'cite' as what, c.node_id from {_CITES} c where not exists (select 1 from nodes n where n.pub_id = c.pub_id and n.id = c.node_id)
   union select s.pub_id, s.slide_id, 'source_table', s.source_table from {_SLIDES} s where s.source_table is not null and not exists (select 1 from nodes n where n.type = 'table' and n.pub_id = s.pub_id and n.id = s.source_table)
   union select s.pub_id, s.slide_id, 'chapter', s.chapter from {_SLIDES} s where s.chapter is not null and not exists (select 1 from nodes n where n.type = 'division' and n.pub_id = s.pub_id and n.id = s.chapter)"""
 _ADDED = f"""select distinct pub_id, claim_id, word, case when word in {_IN(STRICT)} then 'error' else 'warning' end as level from (
-    select pub_id, claim_id, source, unnest({_dw_sql("text")}) as word from {_SOURCES} where text is not null) where not list_contains({_dw_sql("source")}, word)"""
+    select pub_id, claim_id, source, directive, unnest({_dw_sql("text")}) as word from {_SOURCES} where text is not null) where word is distinct from directive and not list_contains({_dw_sql("source")}, word)"""
 _NUMBERS = f"select distinct pub_id, claim_id, number from (select pub_id, claim_id, source, unnest({_num_sql('text')}) as number from {_SOURCES} where text is not null) where not list_contains({_num_sql('source')}, number)"
 _CALLOUT = f"""
-  with n as (select *, coalesce(last_value(ev ignore nulls) over (partition by pub_id order by ord rows between unbounded preceding and 1 preceding), '') as under from (
-      select pub_id, id, ord, upper(trim(plain)) as own, case when upper(trim(plain)) in ('CAUTION', 'WARNING', 'DANGER', 'NOTE') then upper(trim(plain)) when type <> 'text' or coalesce(trim(plain) = '', true) then '' end as ev from {nodes_sql("ord, type, plain")}))
+  with l as (select distinct pub_id, upper(callout) as label from {_SLIDES} where callout is not null),
+  n as (select *, coalesce(last_value(ev ignore nulls) over (partition by pub_id order by ord rows between unbounded preceding and 1 preceding), '') as under from (
+      select pub_id, id, ord, case when exists (select 1 from l where l.pub_id = x.pub_id and l.label = upper(trim(plain))) then upper(trim(plain)) when type <> 'text' or coalesce(trim(plain) = '', true) then '' end as ev from {nodes_sql("ord, type, plain")} x)),
+  f as (select pub_id, anc as id, arg_min(t, ord) as begins from (select pub_id, ord, unnest(list_append(path, id)) as anc, upper(substr(own, 1, 200)) as t from (select *, trim({_OWN_SQL}) as own from {nodes_sql(_OWN_COLS)}) where own <> '') group by all)
   select c.pub_id, c.slide_id, c.claim_id, c.label from (select distinct c.pub_id, c.slide_id, c.claim_id, upper(s.callout) as label from {_CLAIMS} c join {_SLIDES} s on s.pub_id = c.pub_id and s.slide_id = c.slide_id where not c.in_notes and s.callout is not null) c
-  where not exists (select 1 from {_CITES} x join n on n.pub_id = x.pub_id and n.id = x.node_id where x.pub_id = c.pub_id and x.claim_id = c.claim_id and (starts_with(n.own, c.label) or n.under = c.label))"""
+  where not exists (select 1 from {_CITES} x join n on n.pub_id = x.pub_id and n.id = x.node_id left join f on f.pub_id = n.pub_id and f.id = n.id
+    where x.pub_id = c.pub_id and x.claim_id = c.claim_id and (coalesce(starts_with(f.begins, c.label), false) or n.under = c.label))"""
 _UNCITED = f"""
   select distinct s.pub_id, s.slide_id as where_id, 'slide' as what from {_SLIDES} s where s.pattern not in {_IN(STRUCTURAL)} and not exists (select 1 from claims c where c.pub_id = s.pub_id and c.slide_id = s.slide_id)
   union all select distinct c.pub_id, c.claim_id, 'claim' from claims c where not exists (select 1 from {_CITES} x where x.pub_id = c.pub_id and x.claim_id = c.claim_id)"""
-_TOKENS = r"regexp_split_to_array(regexp_replace(text, '([A-Za-z0-9_-]+)\s+\d', ' ', 'g'), '[^A-Za-z0-9_-]+')"
-_ACRONYM_USE = f"""select u.pub_id, u.token, arg_min(u.slide_id, (s.slide_ord, u.slide_id)) as first_slide, count(distinct u.slide_id) as slides
-  from (select distinct pub_id, slide_id, unnest({_TOKENS}) as token from {_CLAIMS} where pattern <> 'acronyms' and text is not null) u
-  join (select distinct pub_id, slide_id, slide_ord from {_SLIDES}) s on s.pub_id = u.pub_id and s.slide_id = u.slide_id
+_TOKENS = r"regexp_split_to_array(regexp_replace(said, '([A-Za-z0-9_-]+)\s+\d', ' ', 'g'), '[^A-Za-z0-9_-]+')"
+_WORDS = f"""(select distinct t.pub_id, t.slide_id, t.said, s.slide_ord from (
+    select pub_id, slide_id, string_agg(distinct title, ' ' order by title) as said from {_SLIDES} where pattern <> 'acronyms' group by all
+    union all select pub_id, slide_id, text from {_CLAIMS} where pattern <> 'acronyms' and text is not null) t
+  join (select pub_id, slide_id, min(slide_ord) as slide_ord from {_SLIDES} where pattern <> 'acronyms' group by all) s on s.pub_id = t.pub_id and s.slide_id = t.slide_id where t.said is not null)"""
+_ENTRIES = f"""(select distinct pub_id, claim_id, trim(case when len(parts) >= 2 then parts[1] else regexp_extract(text, {rx.sql(ACRONYM_ENTRY)}, 1) end) as abbreviation,
+    trim(case when len(parts) >= 2 then parts[2] else regexp_extract(text, {rx.sql(ACRONYM_ENTRY)}, 2) end) as meaning from {_CLAIMS} where pattern = 'acronyms')"""
+_ACRONYM_USE = f"""select u.pub_id, u.token, arg_min(u.slide_id, (u.slide_ord, u.slide_id)) as first_slide, count(distinct u.slide_id) as slides,
+    bool_or(exists (select 1 from {_ENTRIES} e where e.pub_id = u.pub_id and e.abbreviation = u.token)) as listed
+  from (select distinct pub_id, slide_id, slide_ord, unnest({_TOKENS}) as token from {_WORDS}) u
   where exists (select 1 from nodes a where a.type = 'acronym' and length(a.abbreviation) >= 2 and a.pub_id = u.pub_id and a.abbreviation = u.token) group by u.pub_id, u.token"""
-_DEDUPE = f"""select pub_id, "check", where_id, message, min(level) as level from (
-    select pub_id, 'cites' as "check", 'error' as level, where_id, what || ' ' || node_id || ' unknown' as message from ({_UNKNOWN})
-    union all select pub_id, 'directives', level, claim_id, word || ' is not in the source' from ({_ADDED})
-    union all select pub_id, 'numbers', 'error', claim_id, number || ' is not in the source' from ({_NUMBERS})
-    union all select pub_id, 'cites', 'error', where_id, what || ' without a cite' from ({_UNCITED})
-    union all select pub_id, 'callouts', 'error', claim_id, 'not under ' || label from ({_CALLOUT})) group by all"""
-
-
+_FIRST_USE = f"""select distinct f.pub_id, f.token, f.first_slide from ({_ACRONYM_USE}) f join (select pub_id, slide_id, min(slide_ord) as at_ord from {_SLIDES} group by all) s on s.pub_id = f.pub_id and s.slide_id = f.first_slide
+    join (select distinct pub_id, abbreviation, lower(trim(meaning)) as meaning from nodes where type = 'acronym' and trim(meaning) <> '') a on a.pub_id = f.pub_id and a.abbreviation = f.token
+    where not exists (select 1 from {_WORDS} w where w.pub_id = f.pub_id and w.slide_ord <= s.at_ord and contains(lower(w.said), a.meaning))"""
+_TITLE = f"select distinct pub_id, slide_id, word from (select pub_id, slide_id, unnest({_dw_sql('title')}) as word from {_SLIDES}) where word in {_IN(STRICT)}"
+_CONTAINER = f"select distinct c.pub_id, c.node_id, c.claim_id, n.type from {_CITES} c join {nodes_sql('type', CONTAINERS)} n on n.pub_id = c.pub_id and n.id = c.node_id where exists (select 1 from claims d where d.pub_id = c.pub_id and d.claim_id = c.claim_id and d.pattern <> 'divider')"
+_IN_SOURCE = f"select distinct pub_id, claim_id, directive from {_SOURCES} where directive is not null and not list_contains({_dw_sql('source')}, lower(directive))"
 def _marks_sql(c: str) -> str:
-    return f"list_distinct(list_concat(list_transform(regexp_extract_all({c}, {rx.sql(rx.EXTERNAL)}), lambda m: upper(regexp_replace(m, '\\s+', ' ', 'g'))), regexp_extract_all(regexp_replace({c}, {rx.sql(rx.EXTERNAL)}, ' ', 'g'), {rx.sql(DATE)}, 1)))"
+    forms = f"list_transform(regexp_extract_all({c}, {rx.sql(FORM)}), lambda m: trim(regexp_replace(upper(m), '\\s+', ' ', 'g')))"
+    dates = f"list_transform(regexp_extract_all(regexp_replace({c}, {rx.sql(FORM)}, ' ', 'g'), {rx.sql(DATE_SQL)}), lambda m: lower(trim(regexp_replace(m, '[\\s.,]+', ' ', 'g'))))"
+    return f"list_distinct(list_concat({forms}, {dates}))"
 
 
 _SYL = "list_transform(ws, lambda w: greatest(1, len(regexp_extract_all(w, '[aeiouy]+')) - case when len(regexp_extract_all(w, '[aeiouy]+')) > 1 and regexp_matches(w, '[^l]e$') then 1 else 0 end))"
@@ -390,17 +482,46 @@ _READ = f"""select pub_id, slide_id, floor(sum(g) / count(*)) / 10000 as grade,
           select pub_id, slide_id, claim_id, generate_subscripts(parts, 1) as part_no, unnest(parts) as part from {_CLAIMS} where not in_notes and pattern not in ('title', 'acronyms', 'closing')) where part is not null) where len(ws) >= 8)) group by pub_id, slide_id"""
 _COVER = f"""select d.pub_id, n.division_id, exists (select 1 from {_CITES} c where c.pub_id = d.pub_id and (c.node_id = d.node_id or list_contains(n.path, c.node_id))) as c
     from ({ix.DIRECTIVES_SQL}) d join {nodes_sql("division_id, path", TEXTS)} n on n.pub_id = d.pub_id and n.id = d.node_id where d.strength = 'mandatory' and not d.possibly_historical"""
+_FORMS = f"select distinct pub_id, claim_id, mark from (select pub_id, claim_id, source, unnest({_marks_sql('text')}) as mark from {_SOURCES} where text is not null) where not list_contains({_marks_sql('source')}, mark)"
+_DECK_READ = f"select pub_id, count(*) as slides, count(*) filter (not too_hard) as readable, count(*) filter (not too_hard) >= 0.9 * count(*) as passes from ({_READ}) group by pub_id"
+_COVERAGE = f"""select pub_id, division_id, count(*) as total, count(*) filter (c) as cited, round(count(*) filter (c) / count(*), 3) as share, count(*) >= 5 and count(*) filter (c) < 0.1 * count(*) as low
+      from ({_COVER}) group by rollup (pub_id, division_id) having pub_id is not null"""
+_FINDINGS = " union all ".join(
+    f"""select pub_id, {i} as ord, '{check}' as "check", {level} as level, {at} as where_id, {message} as message from ({sql}) where {cond}"""
+    for i, (sql, check, level, at, message, cond) in enumerate([
+        (_TITLE, "directive", "'error'", "slide_id", "'title says ' || word", "true"),
+        (_UNKNOWN, "citation", "'error'", "where_id", "what || ' ' || node_id || ' unknown'", "true"),
+        (_CONTAINER, "citation", "'warning'", "claim_id", "'cites a whole ' || type || ' ' || node_id", "true"),
+        (_IN_SOURCE, "directive", "'error'", "claim_id", "'directive ' || directive || ' is not in the source'", "true"),
+        (_ADDED, "directive", "level", "claim_id", "word || ' is not in the source'", "true"),
+        (_NUMBERS, "verbatim", "'warning'", "claim_id", "'number ' || number || ' is not in the source'", "true"),
+        (_ACRONYM_USE, "acronym", "'warning'", "first_slide", "token || ' is not on the acronyms slide'", "not listed"),
+        (_CALLOUT, "citation", "'error'", "claim_id", "'not under ' || label", "true"),
+        (_FORMS, "verbatim", "'error'", "claim_id", "mark || ' is not in the source'", "true"),
+        (_UNCITED, "citation", "'error'", "where_id", "what || ' without a cite'", "true"),
+        (_READ, "readability", "'warning'", "slide_id", "'grade ' || cast(grade as varchar)", "too_hard"),
+        (_DECK_READ, "readability", "'warning'", "pub_id", "readable || ' of ' || slides || ' slides are readable'", "not passes"),
+        (_FIRST_USE, "acronym", "'warning'", "first_slide", "token || ' is used before it is spelled out'", "true"),
+        (_COVERAGE, "coverage", "'warning'", "division_id", "cited || ' of ' || total || ' mandatory statements cited'", "low and division_id is not null"),
+    ])
+)
+_DEDUPE = f"""select pub_id, "check", where_id, message, arg_min(level, ord) as level from ({_FINDINGS}) group by all"""
 _FIXED = ("title", "at_a_glance", "takeaways", "whats_new", "key_terms", "acronyms", "closing")
 SQL = {
     "cited_ids": f"select pub_id, node_id as id from {_CITES} union select pub_id, source_table from {_SLIDES} where source_table is not null",
     "chk_unknown_nodes": _UNKNOWN,
-    "chk_container_cite": f"select c.pub_id, c.node_id, c.claim_id, n.type from {_CITES} c join {nodes_sql('type', CONTAINERS)} n on n.pub_id = c.pub_id and n.id = c.node_id",
-    "chk_title_directive": f"select distinct pub_id, slide_id, word from (select pub_id, slide_id, unnest({_dw_sql('title')}) as word from {_SLIDES}) where word in {_IN(STRICT)}",
-    "chk_directive_in_source": f"select distinct pub_id, claim_id, directive from {_SOURCES} where directive is not null and not list_contains({_dw_sql('source')}, lower(directive))",
+    "chk_container_cite": _CONTAINER,
+    "chk_title_directive": _TITLE,
+    "chk_directive_in_source": _IN_SOURCE,
     "chk_added_directive": _ADDED,
     "chk_numbers": _NUMBERS,
     "chk_callout": _CALLOUT,
     "chk_acronym_coverage": _ACRONYM_USE,
+    "chk_acronym_entry": f"""select e.pub_id, e.claim_id, e.abbreviation, e.meaning, case when a.known is null then 'error' else 'warning' end as level from {_ENTRIES} e
+      left join (select pub_id, abbreviation, list(distinct lower(trim(meaning))) as known from nodes where type = 'acronym' group by all) a on a.pub_id = e.pub_id and a.abbreviation = e.abbreviation
+      where e.abbreviation <> '' and (a.known is null or not list_contains(a.known, lower(e.meaning))) and exists (select 1 from {_SOURCES} s where s.pub_id = e.pub_id and s.claim_id = e.claim_id)""",
+    "chk_key_term": f"""select distinct pub_id, claim_id, term from (select pub_id, claim_id, source, lower(trim(case when len(parts) >= 2 then parts[1] else regexp_extract(text, '^([^–—:]+?)\\s*[–—:]', 1) end)) as term from {_SOURCES} where pattern = 'key_terms') k
+      where term <> '' and not contains(lower(source), term) and not exists (select 1 from nodes t where t.type = 'term' and t.pub_id = k.pub_id and lower(t.term) = k.term)""",
     "chk_deck_shape": f"""select pub_id, slides, content, visual, case when content > 0 then round(visual / content, 4) else 0 end as visual_share, second,
       concat_ws(',', {", ".join(f"case when n_{p} > 1 then '{p}' end" for p in _FIXED)}) as repeated from (
       select pub_id, count(distinct slide_id) as slides, count(*) filter (pattern not in {_IN(STRUCTURAL)}) as content, count(*) filter (pattern not in {_IN(STRUCTURAL)} and pattern in {_IN(VISUAL)}) as visual,
@@ -409,17 +530,14 @@ SQL = {
       from (select distinct pub_id, slide_ord, slide_id, chapter from {_SLIDES}) s join {nodes_sql('ord', ('division',))} d on d.pub_id = s.pub_id and d.id = s.chapter) where ord < seen""",
     "chk_chapters_without_slides": f"select d.pub_id, d.id, d.title from {nodes_sql('kind, title', ('division',), 'kind = $$chapter$$')} d where exists (select 1 from slides s where s.pub_id = d.pub_id) and not exists (select 1 from slides s where s.pub_id = d.pub_id and s.chapter = d.id)",
     "review_lines": f"select distinct pub_id, slide_id, claim_id, text, substr(source, 1, 500) as source from {_SOURCES}",
-    "qa_forms_dates": f"select distinct pub_id, claim_id, mark from (select pub_id, claim_id, source, unnest({_marks_sql('text')}) as mark from {_SOURCES} where text is not null) where not list_contains({_marks_sql('source')}, mark)",
+    "qa_forms_dates": _FORMS,
     "qa_uncited": _UNCITED,
     "qa_readability": _READ,
-    "qa_deck_readability": f"select pub_id, count(*) as slides, count(*) filter (not too_hard) as readable, count(*) filter (not too_hard) >= 0.9 * count(*) as passes from ({_READ}) group by pub_id",
-    "qa_acronym_first_use": f"""select f.pub_id, f.token, f.first_slide from ({_ACRONYM_USE}) f join (select pub_id, slide_id, min(slide_ord) as at_ord from {_SLIDES} group by all) s on s.pub_id = f.pub_id and s.slide_id = f.first_slide
-      join (select distinct pub_id, abbreviation, lower(meaning) as meaning from nodes where type = 'acronym') a on a.pub_id = f.pub_id and a.abbreviation = f.token
-      where not exists (select 1 from {_CLAIMS} c join (select pub_id, slide_id, min(slide_ord) as at_ord from {_SLIDES} group by all) t on t.pub_id = c.pub_id and t.slide_id = c.slide_id where c.pub_id = f.pub_id and t.at_ord <= s.at_ord and contains(lower(c.text), a.meaning))""",
-    "qa_coverage": f"""select pub_id, division_id, count(*) as total, count(*) filter (c) as cited, round(count(*) filter (c) / count(*), 3) as share, count(*) >= 5 and count(*) filter (c) < 0.1 * count(*) as low
-      from ({_COVER}) group by rollup (pub_id, division_id) having pub_id is not null""",
+    "qa_deck_readability": _DECK_READ,
+    "qa_acronym_first_use": _FIRST_USE,
+    "qa_coverage": _COVERAGE,
     "qa_dedupe": _DEDUPE,
-    "qa_summary": f"""select c."check", coalesce(g.errors, 0) as errors, coalesce(g.warnings, 0) as warnings from (select unnest(['cites', 'directives', 'numbers', 'callouts', 'readability', 'coverage']) as "check") c
+    "qa_summary": f"""select c."check", coalesce(g.errors, 0) as errors, coalesce(g.warnings, 0) as warnings from (select unnest({list(CHECKS)}) as "check") c
       left join (select "check", count(*) filter (level = 'error') as errors, count(*) filter (level = 'warning') as warnings from ({_DEDUPE}) group by all) g on g."check" = c."check" """,
     "rev_check": f"""select verdict, status, count(*) as findings, count(*) filter (claim is not null and not known) as unknown, count(*) filter (status = 'open' and verdict in ('major', 'critical')) as blocking from (
       select *, exists (select 1 from claims c where c.pub_id = f.pub_id and c.claim_id = {tx.bare_sql("f.claim")}) as known from (select distinct * from review_findings) f) group by verdict, status""",

@@ -115,47 +115,9 @@ def idx_role_segment(spark: SparkSession, sf: str) -> DataFrame:
     return tb.segmented(h, ix.idx_role_vocab(spark, sf), ["pub_id"])
 
 
-#: Containers whose headings name roles, and the least level of such a heading.
-ROLE_BOX, ROLE_LEVEL = r"(?i)PERSONNEL|ELEMENT|COMMAND POSTS?|DUTIES", 3
-
-
-def heading_roles(spark: SparkSession, sf: str) -> DataFrame:
-    """Headings below a heading that holds roles: (pub_id, key, title, cite); of one squashed
-    title the last counts, and those that begin with 'Other' name none."""
-    h = nodes(spark, sf, "ord", "path", "title", "level", "cite", types=("heading",))
-    box = h.where(F.col("title").rlike(ROLE_BOX)).select("pub_id", F.col("id").alias("anc"))
-    under = h.select("pub_id", "id", F.explode("path").alias("anc")).join(box, ["pub_id", "anc"], "left_semi").select("pub_id", "id").distinct()
-    d = h.where((F.col("level") >= ROLE_LEVEL) & ~F.upper("title").startswith("OTHER ")).join(under, ["pub_id", "id"], "left_semi").withColumn("key", tx.squash(F.col("title"))).where("key <> ''")
-    return d.groupBy("pub_id", "key").agg(F.max_by(F.struct("title", "cite"), "ord").alias("m")).select("pub_id", "key", "m.title", "m.cite")
-
-
 def idx_role_sources(spark: SparkSession, sf: str) -> DataFrame:
-    """Roles from acronyms and from headings in one table: where both name a role the
-    acronym gives name and abbreviation and the heading the place."""
-    a = ix.acronym_roles(spark, sf).select("pub_id", "key", "name", "abbreviation", F.col("defined_at").alias("a_cite"))
-    h = heading_roles(spark, sf).select("pub_id", "key", F.lower("title").alias("title"), F.col("cite").alias("h_cite"))
-    j = a.join(h, ["pub_id", "key"], "full_outer")
-    source = F.when(F.col("title").isNull(), "acronym").when(F.col("name").isNull(), "heading").otherwise("heading+acronym")
-    return j.select("pub_id", "key", F.coalesce("name", "title").alias("name"), "abbreviation", source.alias("source"), F.coalesce("h_cite", "a_cite").alias("defined_at"))
-
-
-def chk_acronym_entry(spark: SparkSession, sf: str) -> DataFrame:
-    """Acronyms that two publications spell out differently (letter case apart), and those
-    that one publication lists twice with different meanings."""
-    a = nodes(spark, sf, "abbreviation", "meaning", types=("acronym",)).select("pub_id", "abbreviation", F.lower(F.trim("meaning")).alias("meaning")).distinct()
-    w = a.groupBy("abbreviation").agg(F.countDistinct("meaning").alias("meanings"), F.countDistinct("pub_id").alias("publications"), F.min("meaning").alias("first"))
-    return w.where("meanings > 1")
-
-
-def chk_key_term(spark: SparkSession, sf: str) -> DataFrame:
-    """Glossary terms and in how many text nodes of their publication they stand. A
-    publication's terms travel as one array beside its nodes; no pair is kept that doesn't match."""
-    t = nodes(spark, sf, "term", types=("term",)).select("pub_id", F.lower("term").alias("term")).distinct()
-    ts = t.groupBy("pub_id").agg(F.collect_list("term").alias("ts"))
-    n = nodes(spark, sf, "plain", types=TEXTS).where("plain is not null").join(ts, "pub_id")
-    low = F.lower("plain")
-    hit = n.select("pub_id", F.explode(F.filter("ts", lambda x: F.contains(low, x))).alias("term")).groupBy("pub_id", "term").agg(F.count("*").alias("n"))
-    return t.join(hit, ["pub_id", "term"], "left").fillna(0, ["n"])
+    """How many roles of each publication come from where."""
+    return ix.roles(spark, sf).groupBy("pub_id", "source").agg(F.count("*").alias("n"))
 
 
 def pkt_terms(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,21 +205,14 @@ def rnd_tree_layout(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select("pub_id", "id", "depth", "x")
 
 
-QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, chk_acronym_entry, chk_key_term, pkt_terms, spec_schema, chk_pub_match, qa_neutralize, qa_deck, rep_html, bat_table, rnd_tree_layout)}
+QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, spec_schema, chk_pub_match, qa_neutralize, qa_deck, rep_html, bat_table, rnd_tree_layout)}
 
 _BARE = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]+', '', 'g')"
 _ESC = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 _FOLD = lambda c: f"regexp_replace(translate(lower({c}), '“”‘’', '\"\"'''''), '\\s+', ' ', 'g')"
 _ST = "(" + ", ".join(f"'{p}'" for p in STRUCTURAL) + ")"
-_HEAD_ROLES = f"""(select pub_id, key, title, cite from (select *, row_number() over (partition by pub_id, key order by ord desc) as k from (
-    select *, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') as key from {nodes_sql("ord, path, title, level, cite", ("heading",))} h where level >= {ROLE_LEVEL} and not starts_with(upper(title), 'OTHER ')
-      and exists (select 1 from nodes b where b.type = 'heading' and b.pub_id = h.pub_id and list_contains(h.path, b.id) and regexp_matches(b.title, {rx.sql(ROLE_BOX)}))) where key <> '') where k = 1)"""
 SQL = {
-    "idx_role_sources": f"""select coalesce(a.pub_id, h.pub_id) as pub_id, coalesce(a.key, h.key) as key, coalesce(a.name, lower(h.title)) as name, a.abbreviation,
-      case when h.key is null then 'acronym' when a.key is null then 'heading' else 'heading+acronym' end as source, coalesce(h.cite, a.defined_at) as defined_at
-      from ({ix.ROLES_SQL}) a full join {_HEAD_ROLES} h on h.pub_id = a.pub_id and h.key = a.key""",
-    "chk_acronym_entry": f"select abbreviation, count(distinct meaning) as meanings, count(distinct pub_id) as publications, min(meaning) as first from (select distinct pub_id, abbreviation, lower(trim(meaning)) as meaning from {nodes_sql('abbreviation, meaning', ('acronym',))}) group by abbreviation having count(distinct meaning) > 1",
-    "chk_key_term": f"""select t.pub_id, t.term, count(n.id) as n from (select distinct pub_id, lower(term) as term from {nodes_sql('term', ('term',))}) t left join {nodes_sql('plain', TEXTS, 'plain is not null')} n on n.pub_id = t.pub_id and contains(lower(n.plain), t.term) group by all""",
+    "idx_role_sources": f"select pub_id, source, count(*) as n from ({ix.ROLES_SQL}) group by all",
     "tbl_overflow": f"""select pub_id, id, after_id, coalesce(len(list_filter(rows[len(rows)], lambda c: length({_BARE('c')}) >= 40 and starts_with({_BARE('after')}, {_BARE('c')}))) > 0, false) as overflow from (
       select *, lead(plain) over (partition by pub_id order by ord) as after, lead(id) over (partition by pub_id order by ord) as after_id from {nodes_sql('ord, type, plain, rows')}) where type = 'table' and len(rows) > 0 and after is not null""",
     "tbl_row_islands": f"""select pub_id, id, cast(g as bigint) as g, cast(count(*) as int) as parts, string_agg(array_to_string(list_transform(r, lambda c: regexp_replace(coalesce(c, ''), '(\\w)_ _(\\w)', '\\1 \\2', 'g')), ' | '), '<br>' order by i) as row from (

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
 from foliant.operators import markdown, ordered
-from foliant.plans.index import TEXTS, nodes, nodes_sql
+from foliant.plans.index import CONTAINERS, TEXTS, nodes, nodes_sql, sections
 from foliant.session import table
 
-CONTAINERS = ("division", "section", "heading")
 _IN = lambda ts: "(" + ", ".join(f"'{t}'" for t in ts) + ")"
 
 
@@ -37,9 +36,7 @@ def text_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 def section_title(spark: SparkSession, sf: str) -> DataFrame:
     """Title of the nearest ancestor that has one."""
-    up = nodes(spark, sf, "path", types=TEXTS).select("pub_id", "id", F.posexplode("path").alias("pos", "up"))
-    titled = nodes(spark, sf, "title", types=CONTAINERS).where("title <> ''").select("pub_id", F.col("id").alias("up"), "title")
-    return up.join(titled, ["pub_id", "up"]).groupBy("pub_id", "id").agg(F.max_by("title", "pos").alias("section"))
+    return sections(spark, sf).withColumnRenamed("node_id", "id")
 
 
 def _own(prefix: str = "") -> F.Column:

@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 TEXTS = [
     "The MSP must report NLT H-6. He will not move within 10 days. See ATP 3-09.50, Volume 2 and table 1-1, paragraph 1-2, section II, section A.",
     "Deliver it no later than two hours before dawn. It shall not stop, i.e. never. Gen. Oak may wait at D-day.",
-    "May 1944 was cold. The NET is down and NET 5 hours is too long. Every crew should eat, e.g. at noon. Refer to FM 3-09 and figures 1-1 and 1-2.",
+    "May 1944 was cold. The medical supply planner should rest; the crew shall wait. The NET is down and NET 5 hours is too long. Every crew should eat, e.g. at noon. Refer to FM 3-09 and figures 1-1 and 1-2.",
     "CAUTION", "Fire sup-\nport and fire\nsupport are one. fire support fire support. supports fires. The two types of step 1 then repeat the loop in a continuous cycle, first and next.",
     "", "No. 5 stands. J. K. Low said \"Stop.\" Then he left (see chapter 2). Whether it rains or not, unless told, whereas others differ.", None,
 ]
@@ -29,7 +29,7 @@ def tables(tmp_path_factory):
     lit = lambda v: "null" if v is None else "'" + v.replace("'", "''") + "'"
     pick = lambda ts, k: "case " + " ".join(f"when {k} % {len(ts) + 2} = {i} then {lit(t)}" for i, t in enumerate(ts))
     change = {
-        "nodes": f"select * replace ({pick(TEXTS, 'ord')} else plain end as plain, case when ord % 7 = 1 then 'The _water point_ is a place. A _tow chain_ means a chain.' else text end as text, case when abbreviation is not null and ord % 2 = 0 then 'MSP' else abbreviation end as abbreviation, case when meaning is not null and ord % 2 = 0 then 'medical section post' else meaning end as meaning) from s",
+        "nodes": f"select * replace ({pick(TEXTS, 'ord')} else plain end as plain, case when ord % 7 = 1 then 'The _water point_ is a place. A _tow chain_ means a chain.' else text end as text, case when abbreviation is not null and ord % 2 = 0 then 'MSP' else abbreviation end as abbreviation, case when meaning is not null and ord % 2 = 0 then 'medical supply planner' else meaning end as meaning, case when type = 'heading' and level = 2 then 'FIRE SUPPORT PERSONNEL' when type = 'heading' and level >= 4 and ord % 2 = 0 then 'MEDICALSUPPLYPLANNER' when type = 'heading' and level >= 4 then 'TOWSUPPORT CREW' else title end as title) from s",
         "claims": f"select * replace (case when pub_id || claim_id = (select min(pub_id || claim_id) from s) then 'Plan firesupport.' else {pick(CLAIMS, "length(coalesce(text, ''))")} else text end end as text) from s",
         "slides": "select * replace (case when slide_ord % 3 = 0 then 'You must not wait (1 of 2)' when slide_ord % 3 = 1 then 'You must not wait (2 of 2)' else title end as title) from s",
     }
@@ -41,7 +41,7 @@ def tables(tmp_path_factory):
     return d, c
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(entry.oracle_sql()) if n.startswith(("idx_", "pkt_", "cls_", "chk_", "qa_", "rev_", "wrd_", "rep_", "section", "node_", "blk_", "tbl_", "claim_", "spec_"))])
+@pytest.mark.parametrize("name", [n for n in sorted(entry.oracle_sql()) if n.startswith(("idx_", "pkt_", "cls_", "chk_", "qa_", "rev_", "wrd_", "rep_", "bud_", "section", "node_", "blk_", "tbl_", "claim_", "spec_"))])
 def test_equal(spark, tables, name):
     d, c = tables
     df = entry.queries()[name](spark, d)
@@ -66,6 +66,9 @@ def test_known_rows(spark, tables):
     ext = {(r.target, r.see) for r in q["idx_crossrefs_ext"](spark, d).collect()}
     assert ("ATP 3-09.50, Volume 2", True) in ext and ("FM 3-09", True) in ext
     inner = {r.target for r in q["idx_crossrefs_int"](spark, d).collect()}
+    roles = {(r.name, r.abbreviation, r.source, r.mention_count > 0) for r in q["idx_roles"](spark, d).collect()}
+    assert ("medical supply planner", "MSP", "acronym", True) in roles
+    assert {r.verb for r in q["idx_role_duties"](spark, d).collect()} == {"must", "should"}
     assert {"table 1-1", "paragraph 1-2", "section A", "figure 1-1", "chapter 2"} <= inner and "section II" not in inner
     terms = {(r.term, r.definition) for r in q["idx_inline_defs"](spark, d).collect()}
     assert ("water point", "water point is a place.") in terms and ("tow chain", "tow chain means a chain.") in terms
