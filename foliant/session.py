@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,7 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not ctx.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        named = "file://" + tempfile.mkdtemp(prefix="foliant-")
+        local = tempfile.mkdtemp(prefix="foliant-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        named = "file://" + local
     ctx.setCheckpointDir(named)
     return ctx._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -45,10 +49,25 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage: written as parquet to the shared folder and read back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What this process has written to the shared folder.
+_WRITTEN: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Remove the tables that ``written`` left, once no result reads them any more; how many."""
+    jvm, n = spark._jvm, len(_WRITTEN)
+    for path in _WRITTEN:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _WRITTEN.clear()
+    return n
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
