@@ -27,12 +27,13 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _LINES_SQL = "(" + LINES.format(s="varchar") + ")"
-# a line's tier by font and size; italics and other weights have none
+# A line's tier by font and size; italics and other weights have none.
 TIER = """case when font not like '%Bold%' or font like '%Italic%' then null
-  when font like 'Arial%' and size >= 15.5 then 'T1'
-  when font like 'Arial%' and size >= 11.5 and size < 12.5 then case when {label} then 'LBL' when upper(text) like 'SECTION %' then 'T2' else 'T2+' end
+  when (font like 'Arial%' or font like 'Helvetica%') and size >= 15.5 then 'T1'
+  when (font like 'Arial%' or font like 'Helvetica%') and size >= 11.5 and size < 12.5 then case when {label} then 'LBL' when upper(text) like 'SECTION %' then 'T2' else 'T2+' end
   when font like 'Times%' and size >= 13.5 and size < 14.5 then 'T3' when font like 'Times%' and size >= 11.5 and size < 12.5 then 'T4'
   when font like 'Times%' and size >= 10.5 and size < 11.5 then 'T5' end"""
+# Forms of labels and of zones.
 LABEL, PAGE_LABEL = r"^(Chapter \d+|Appendix [A-Z])$", r"^(?:[A-Z]|\d+|Glossary|References|Index|Source Notes)-\d+$|^[ivxlc]+$"
 
 
@@ -55,21 +56,41 @@ def lay_page_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lay_wrap_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Headings with their wrapped lines: a line of the same tier at most 1.6 sizes below
-    the line before continues it (islands over ``lag``)."""
-    t = _tiers(spark, sf).where((F.col("y") >= HEADER_Y) & F.col("tier").isNotNull() & ~F.col("tier").isin("LBL", "T2+"))
+    """Headings with their wrapped lines and, of a title, the label line before it. A line of the
+    same tier (for section headings also their own kind of second lines) at most 1.6 sizes below
+    the line before continues it (islands over ``lag``); second lines that continue nothing are
+    dropped first. A label counts until the next heading begins."""
+    t = _tiers(spark, sf).where((F.col("y") >= HEADER_Y) & (F.col("y") <= FOOTER_Y) & F.col("tier").isNotNull())
     w = Window.partitionBy("page").orderBy("y", "line_no")
-    gap = F.col("y") - F.lag("y").over(w)
-    same = (F.lag("tier").over(w) == F.col("tier")) & (gap > 0) & (gap <= 1.6 * F.col("size"))
-    t = t.withColumn("new", F.when(same, 0).otherwise(1)).withColumn("no", F.sum("new").over(w))
-    g = t.groupBy("page", "no", "tier").agg(F.array_sort(F.collect_list(F.struct("y", "line_no", "text"))).alias("ls"))
-    return g.select("page", "no", "tier", F.array_join(F.transform("ls", lambda x: x["text"]), " ").alias("text"))
-
-
-_WRAP = f"""select page, cast(no as bigint) as no, tier, string_agg(text, ' ' order by y, line_no) as text from (
-    select *, sum(new) over (partition by page order by y, line_no) as no from (
-      select *, case when lag(tier) over w = tier and y - lag(y) over w > 0 and y - lag(y) over w <= 1.6 * size then 0 else 1 end as new
-      from {_TIERS_SQL} where y >= {HEADER_Y} and tier is not null and tier not in ('LBL', 'T2+') window w as (partition by page order by y, line_no))) group by page, no, tier"""
+    cls, gap = F.regexp_replace("tier", r"\+$", ""), F.col("y") - F.lag("y").over(w)
+    follows = (F.lag("cls").over(w) == F.col("cls")) & (gap > 0) & (gap <= 1.6 * F.col("size"))
+    h = t.where("tier <> 'LBL'").withColumn("cls", cls)
+    # an island of second lines without a first one continues nothing
+    h = h.withColumn("new", F.when(F.coalesce(follows & (F.col("cls") == "T2") & (F.col("tier") == "T2+"), F.lit(False)), 0).otherwise(1)).withColumn("isle", F.sum("new").over(w))
+    first = F.first("tier").over(Window.partitionBy("page", "isle").orderBy("y", "line_no"))
+    h = h.withColumn("first", first).where("first <> 'T2+'").drop("new", "isle", "first")
+    h = h.withColumn("new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
+    # labels stand among the headings again
+    u = h.unionByName(t.where("tier = 'LBL'").withColumn("cls", F.lit("LBL")).withColumn("new", F.lit(0)))
+    upto = w.rowsBetween(Window.unboundedPreceding, -1)
+    at = F.struct("y", "line_no")
+    u = u.withColumn("lbl", F.max(F.when(F.col("cls") == "LBL", F.struct("y", "line_no", "text"))).over(upto)).withColumn("head", F.max(F.when(F.col("new") == 1, at)).over(upto))
+    label = F.when((F.col("tier") == "T1") & (F.col("new") == 1) & (F.col("head").isNull() | (F.struct("lbl.y", "lbl.line_no") > F.col("head"))), F.col("lbl.text"))
+    u = u.withColumn("label", label).withColumn("no", F.sum("new").over(w)).where("cls <> 'LBL'")
+    g = u.groupBy("page", "no").agg(F.array_sort(F.collect_list(F.struct("y", "line_no", "text"))).alias("ls"), F.max("cls").alias("tier"), F.max("label").alias("label"))
+    return g.select("page", "no", "tier", "label", F.array_join(F.transform("ls", lambda x: x["text"]), " ").alias("text"))
+
+
+_WRAP = f"""with t as (select * from {_TIERS_SQL} where y >= {HEADER_Y} and y <= {FOOTER_Y} and tier is not null),
+    a as (select *, regexp_replace(tier, '\\+$', '') as cls from t where tier <> 'LBL'),
+    a2 as (select *, lag(cls) over w as up_cls, y - lag(y) over w as gap from a window w as (partition by page order by y, line_no)),
+    b as (select page, line_no, y, text, tier, cls, size, sum(case when tier = 'T2+' and up_cls = 'T2' and gap > 0 and gap <= 1.6 * size then 0 else 1 end) over (partition by page order by y, line_no) as isle from a2),
+    c as (select * from (select *, first_value(tier) over (partition by page, isle order by y, line_no) as first_tier from b) where first_tier <> 'T2+'),
+    d as (select page, line_no, y, text, tier, cls, case when lag(cls) over w = cls and y - lag(y) over w > 0 and y - lag(y) over w <= 1.6 * size then 0 else 1 end as new from c window w as (partition by page order by y, line_no)),
+    e as (select *, sum(new) over (partition by page order by y, line_no) as no from d),
+    g as (select page, no, max(cls) as tier, string_agg(text, ' ' order by y, line_no) as text, min((y, line_no)) as pos from e group by page, no),
+    f as (select *, lag(pos) over (partition by page order by no) as before from g)
+    select page, cast(no as bigint) as no, tier, text, case when tier = 'T1' then (select arg_max(l.text, (l.y, l.line_no)) from t l where l.tier = 'LBL' and l.page = f.page and (l.y, l.line_no) < f.pos and (f.before is null or (l.y, l.line_no) > f.before)) end as label from f"""
 
 
 def lay_drop_runin(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,28 +112,41 @@ def blk_levels(spark: SparkSession, sf: str) -> DataFrame:
     return h.join(used, ["pub_id", "division_id", "level"]).select("pub_id", "id", (F.col("rank") + 1).alias("level"))
 
 
+ZONE_DROP, ZONE_KEEP, ZONE_STOP = r"(?i)^(Contents|Figures|Tables)$", r"(?i)^(Preface|Introduction|Chapter \d+|Appendix [A-Z]|Source Notes|Glossary|References)", r"(?i)^Index$"
+
+
 def blk_zones(spark: SparkSession, sf: str) -> DataFrame:
-    """Nodes up to the glossary, each with the division title in force (zone)."""
-    n = nodes(spark, sf, "ord", "type", "title", "division_id", "kind")
-    stop = n.where("type = 'division' and kind = 'glossary'").groupBy("pub_id").agg(F.min("ord").alias("stop"))
-    zone = n.where("type = 'division'").select("pub_id", F.col("id").alias("division_id"), F.col("title").alias("zone"))
-    return n.join(stop, "pub_id", "left").where("stop is null or ord < stop").join(zone, ["pub_id", "division_id"], "left").select("pub_id", "id", "zone")
+    """Nodes up to the index, each with the zone in force: the name of the last title that opens
+    one. Lists of contents close it, other titles leave it; what stands in none is dropped."""
+    n = nodes(spark, sf, "ord", "type", "title", "kind", "number")
+    t = F.when(F.col("kind").isin("chapter", "appendix"), F.concat(F.initcap("kind"), F.lit(" "), F.coalesce("number", F.lit("")), F.lit(": "), F.coalesce("title", F.lit("")))).otherwise(F.col("title"))
+    title = F.when(F.col("type") == "division", t)
+    event = F.when(title.rlike(ZONE_DROP), F.lit("")).when(title.rlike(ZONE_KEEP), F.regexp_extract(title, "^([^:]*)", 1))
+    stop = n.where(F.col("type") == "division").where(F.col("title").rlike(ZONE_STOP)).groupBy("pub_id").agg(F.min("ord").alias("stop"))
+    n = ordered.last_before(n, ["pub_id"], "ord", event, "zone", here=True).join(stop, "pub_id", "left")
+    return n.where("(stop is null or ord < stop) and zone <> ''").select("pub_id", "id", "zone")
+
+
+# How a cut text ends and how the rest begins; words that end no text.
+OPEN, CONTINUES, FRESH = r"[A-Za-z0-9,–-]$", r"^[a-z0-9(\"“]", r"^\**([A-Z]|\d+)-\d+\.\**\s"
+CONNECTORS = "a an the and or nor but of to in on for with by as at from that which is are be will must may its their".split()
 
 
 def blk_join_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Text that a page break cut: a text node that ends open (a connector, hyphen, comma or
-    bare word) and the next on a later page that begins in lower case or with a digit."""
-    n = nodes(spark, sf, "ord", "page", "plain", types=("paragraph", "text")).where("plain <> ''")
-    t = F.trim("plain")
-    n = ordered.neighbour(n.withColumn("t", t), ["pub_id"], "ord", ["t", "page"], "a")
-    joined = (F.col("page") > F.col("a.page")) & F.col("a.t").rlike(OPEN) & t.rlike(CONTINUES)
+    """Texts that a page break cut: one that ends open (a connector, hyphen, comma or bare word)
+    and the next text on a later page, tables and figures between them passed over, that
+    continues it: it begins in lower case, with a digit or an opening mark, or the end before
+    leaves no other reading."""
+    n = nodes(spark, sf, "ord", "page", "plain", "type", "number", types=("paragraph", "list_item", "text")).where("trim(plain) <> ''")
+    n = ordered.neighbour(n.withColumn("t", F.trim("plain")), ["pub_id"], "ord", ["t", "page", "type"], "a")
+    end, word = F.col("a.t"), F.lower(F.regexp_extract("a.t", r"(\S+)$", 1))
+    strong = end.rlike("[-,]$") | word.isin(*CONNECTORS) | (end.rlike("[a-z]$") & ((F.col("a.type") != "list_item") | (F.size(F.split(end, r"\s+")) >= 8)))
+    fresh = F.col("number").isNotNull() & (F.col("type") == "paragraph") | F.col("t").rlike(FRESH)
+    joined = (F.col("page") > F.col("a.page")) & (F.col("type") != "list_item") & end.rlike(OPEN) & ~fresh & (F.col("t").rlike(CONTINUES) | strong)
     n = ordered.running_sum(n, ["pub_id"], "ord", F.when(joined, 0).otherwise(1), "no")
     return n.groupBy("pub_id", "no").agg(F.count("*").alias("parts"), F.min("ord").alias("ord"), F.sum(F.length("plain")).alias("chars"))
 
 
-OPEN, CONTINUES = r"[A-Za-z0-9,–-]$", r"^[a-z0-9(\"“]"
-
-
 # --- tables ------------------------------------------------------------------------------
 def _tokens(c: F.Column) -> F.Column:
     return F.filter(F.transform(F.split(F.lower(c), r"[\s/|]+|<br>"), lambda w: F.regexp_replace(w, "[^a-z0-9]", "")), lambda w: w != "")
@@ -155,11 +189,18 @@ def tbl_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tbl_merge_continued(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of all parts of a table under one caption number, in order, less a repeated header."""
-    t = nodes(spark, sf, "ord", "number", "columns", "rows", types=("table",)).where("number is not null")
-    g = t.groupBy("pub_id", "number").agg(F.array_sort(F.collect_list(F.struct("ord", "columns", "rows"))).alias("ps"))
-    rows = F.flatten(F.transform("ps", lambda p: F.filter(F.coalesce(p["rows"], F.array().cast("array<array<string>>")), lambda r: ~r.eqNullSafe(F.get(F.col("ps"), F.lit(0))["columns"]))))
-    return g.select("pub_id", "number", F.size("ps").alias("parts"), F.size(rows).alias("n_rows"), F.md5(F.array_join(F.flatten(rows), "|", "")).alias("digest"))
+    """Tables with their continued parts: a table whose caption says "(continued)" belongs to the
+    one right before it with its number, unless a heading stands between. Rows in order, less a
+    header that the first part has too."""
+    n = nodes(spark, sf, "ord", "type", "number", "caption", "columns", "rows", types=("table", "division", "section", "heading"))
+    n = ordered.neighbour(n, ["pub_id"], "ord", ["type", "number"], "up")
+    goes_on = (F.col("type") == "table") & F.contains("caption", F.lit("(continued)")) & (F.col("up.type") == "table") & (F.col("up.number") == F.col("number"))
+    n = ordered.running_sum(n, ["pub_id"], "ord", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1), "isle").where("type = 'table'")
+    g = n.groupBy("pub_id", "isle").agg(F.array_sort(F.collect_list(F.struct("ord", "id", "columns", "rows"))).alias("ps"))
+    head = F.transform(F.get("ps", F.lit(0))["columns"], lambda c: tb.bare(F.coalesce(c, F.lit(""))))
+    same = lambda r, i: (i > 0) & F.transform(r, lambda c: tb.bare(F.coalesce(c, F.lit("")))).eqNullSafe(head)
+    rows = F.flatten(F.transform("ps", lambda p, i: F.filter(F.coalesce(p["rows"], F.array().cast("array<array<string>>")), lambda r: ~same(r, i))))
+    return g.select("pub_id", F.get("ps", F.lit(0))["id"].alias("id"), F.size("ps").alias("parts"), F.size(rows).alias("n_rows"), F.md5(F.array_join(F.flatten(rows), "|", "")).alias("digest"))
 
 
 def tbl_clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,6 +268,7 @@ def conv_report(spark: SparkSession, sf: str) -> DataFrame:
     return n.groupBy("pub_id").agg(F.count_if(c == "heading").alias("headings"), F.count_if((c == "table") & F.col("grid")).alias("tables"), F.count_if(c == "paragraph").alias("paragraphs"), F.max("page").alias("pages"))
 
 
+_BARE = lambda c: f"regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9]+', '', 'g')"
 QUERIES = {f.__name__: f for f in (lay_tier, lay_page_label, lay_wrap_merge, lay_drop_runin, meta_title, blk_levels, blk_zones, blk_join_pages, tbl_score, tbl_rebuild_select, tbl_grid, tbl_merge_continued, tbl_clean, tbl_legend_source, wrd_joined_fixes, wrd_apply, gls_format, conv_report)}
 _D = "(select distinct pub_id, node_id, sentence, md5(sentence) as k from directives)"
 SQL = {
@@ -236,11 +278,15 @@ SQL = {
     "lay_drop_runin": f"select tier, count(*) as n, cast(sum(length(text)) as bigint) as chars from ({_WRAP}) where tier in ('T1', 'T2') or (length(text) <= 150 and not ends_with(text, '.')) group by tier",
     "meta_title": f"select page, arg_min(text, (y, line_no)) as title from {_TIERS_SQL} where tier = 'T1' and not regexp_matches(text, '(?i)^([A-Z]{{2,4}} \\d|Contents$|Figures$|Tables$)|DISTRIBUTION') group by page",
     "blk_levels": f"select pub_id, id, 1 + dense_rank() over (partition by pub_id, division_id order by level) as level from {nodes_sql('division_id, level', ('heading',))}",
-    "blk_zones": f"""select n.pub_id, n.id, d.title as zone from {nodes_sql('ord, division_id')} n left join {nodes_sql('title', ('division',))} d on d.pub_id = n.pub_id and d.id = n.division_id
-      where n.ord < coalesce((select min(ord) from nodes s where s.pub_id = n.pub_id and s.type = 'division' and s.kind = 'glossary'), 9223372036854775807)""",
+    "blk_zones": f"""select n.pub_id, n.id, n.zone from (select *, last_value(ev ignore nulls) over (partition by pub_id order by ord rows between unbounded preceding and current row) as zone from (
+        select *, case when regexp_matches(t, {rx.sql(ZONE_DROP)}) then '' when regexp_matches(t, {rx.sql(ZONE_KEEP)}) then split_part(t, ':', 1) end as ev from (
+          select pub_id, id, ord, case when type = 'division' then case when kind in ('chapter', 'appendix') then upper(kind[1]) || kind[2:] || ' ' || coalesce(number, '') || ': ' || coalesce(title, '') else title end end as t from {nodes_sql('ord, type, title, kind, number')}))) n
+      where n.zone <> '' and n.ord < coalesce((select min(ord) from nodes s where s.pub_id = n.pub_id and s.type = 'division' and regexp_matches(s.title, {rx.sql(ZONE_STOP)})), 9223372036854775807)""",
     "blk_join_pages": f"""select pub_id, cast(no as bigint) as no, count(*) as parts, min(ord) as ord, cast(sum(length(plain)) as bigint) as chars from (select *, sum(new) over (partition by pub_id order by ord) as no from (
-      select *, case when page > lag(page) over w and regexp_matches(lag(trim(plain)) over w, {rx.sql(OPEN)}) and regexp_matches(trim(plain), {rx.sql(CONTINUES)}) then 0 else 1 end as new
-      from {nodes_sql("ord, page, plain", ("paragraph", "text"), "plain <> ''")} window w as (partition by pub_id order by ord))) group by pub_id, no""",
+      select *, case when page > lag(page) over w and type <> 'list_item' and regexp_matches(lag(t) over w, {rx.sql(OPEN)}) and not (number is not null and type = 'paragraph' or regexp_matches(t, {rx.sql(FRESH)}))
+        and (regexp_matches(t, {rx.sql(CONTINUES)}) or regexp_matches(lag(t) over w, '[-,]$') or lower(regexp_extract(lag(t) over w, '(\\S+)$', 1)) in ({", ".join(f"'{c}'" for c in CONNECTORS)})
+          or regexp_matches(lag(t) over w, '[a-z]$') and (lag(type) over w <> 'list_item' or len(regexp_split_to_array(lag(t) over w, '\\s+')) >= 8)) then 0 else 1 end as new
+      from (select *, trim(plain) as t from {nodes_sql("ord, page, plain, type, number", ("paragraph", "list_item", "text"), "trim(plain) <> ''")}) window w as (partition by pub_id order by ord))) group by pub_id, no""",
     "tbl_score": f"""with j as (select d.pub_id, d.node_id, d.k, d.sentence, n.plain from {_D} d join {nodes_sql('plain', TEXTS)} n on n.pub_id = d.pub_id and n.id = d.node_id),
       g as (select pub_id, node_id, k, t, count(*) as g from (select pub_id, node_id, k, unnest({_tokens_sql('sentence')}) as t from j) group by all),
       p as (select pub_id, node_id, k, t, count(*) as p from (select pub_id, node_id, k, unnest({_tokens_sql('plain')}) as t from j) group by all),
@@ -251,8 +297,12 @@ SQL = {
       select pub_id, id, cand, sim, sim >= 0.4 as accepted from (select *, row_number() over (partition by pub_id, id order by sim desc, cand desc) as k from j) where k = 1""",
     "tbl_grid": f"""select page, band, count(*) as n, min(line_no) as first from (select l.page, l.line_no,
       (select min(k) from (select unnest(generate_series(0, 20)) as k) b where l.y between 50 + 40 * b.k - 1 and 50 + 40 * (b.k + 1) + 1) as band from {_LINES_SQL} l where l.y between 49 and 690) group by page, band""",
-    "tbl_merge_continued": f"""select pub_id, number, count(*) as parts, cast(sum(len(rs)) as int) as n_rows, md5(array_to_string(list_transform(flatten(flatten(list(rs order by ord))), lambda x: coalesce(x, '')), '|')) as digest from (
-      select t.*, list_filter(coalesce(rows, []), lambda r: r is distinct from first_columns) as rs from (select *, first_value(columns) over (partition by pub_id, number order by ord) as first_columns from {nodes_sql('ord, number, columns, rows', ('table',), 'number is not null')}) t) group by pub_id, number""",
+    "tbl_merge_continued": f"""with n as (select * from {nodes_sql("ord, type, number, caption, columns, rows", ("table", "division", "section", "heading"))}),
+      u as (select *, lag(type) over w as up_type, lag(number) over w as up_number from n window w as (partition by pub_id order by ord)),
+      i as (select *, sum(case when type = 'table' and contains(caption, '(continued)') and up_type = 'table' and up_number = number then 0 else 1 end) over (partition by pub_id order by ord) as isle from u),
+      p as (select *, row_number() over w as part, list_transform(first_value(columns) over w, lambda c: {_BARE('c')}) as head from i where type = 'table' window w as (partition by pub_id, isle order by ord)),
+      r as (select *, list_filter(coalesce(rows, []), lambda r: part = 1 or list_transform(r, lambda c: {_BARE('c')}) is distinct from head) as rs from p)
+      select pub_id, arg_min(id, ord) as id, cast(count(*) as int) as parts, cast(sum(len(rs)) as int) as n_rows, md5(array_to_string(list_transform(flatten(flatten(list(rs order by ord))), lambda x: coalesce(x, '')), '|')) as digest from r group by pub_id, isle""",
     "tbl_legend_source": f"select pub_id, id, array_to_string(list_sort(list_distinct(regexp_extract_all(key, '\\b([A-Z][A-Z0-9/]+)\\s*[–-]\\s*[a-zA-Z]', 1))), ',') as abbreviations from {nodes_sql('key', ('table',), 'key is not null')}",
     "wrd_joined_fixes": f"""with words as (select w, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as w from claims) group by w),
       whole as (select distinct unnest(regexp_extract_all(lower(plain), '[a-z]+')) as w from {nodes_sql('plain', TEXTS)}),

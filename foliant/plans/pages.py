@@ -63,13 +63,15 @@ def _bare(c: F.Column) -> F.Column:
 
 
 def tbl_overflow(spark: SparkSession, sf: str) -> DataFrame:
-    """Tables and the text right after them: whether it takes up a cell of the last row
-    (from 40 letters on)."""
+    """Tables and the text right after them: the cell of the last row (from 40 letters on) that
+    it takes up and repeats, and what the cell holds then; the text itself is dropped."""
     n = nodes(spark, sf, "ord", "type", "plain", "rows")
     n = ordered.neighbour(n, ["pub_id"], "ord", ["plain", "id"], "next", after=True).withColumn("after", F.col("next.plain")).withColumn("after_id", F.col("next.id")).where("type = 'table' and size(rows) > 0 and after is not null")
-    last = F.element_at("rows", -1)
-    hit = F.exists(last, lambda c: (F.length(_bare(c)) >= 40) & F.startswith(_bare(F.col("after")), _bare(c)))
-    return n.select("pub_id", "id", "after_id", F.coalesce(hit, F.lit(False)).alias("overflow"))
+    last, text = F.element_at("rows", -1), _bare(F.col("after"))
+    fits = lambda c: (F.length(_bare(c)) >= 40) & F.startswith(text, F.substr(_bare(c), F.lit(1), F.greatest(F.lit(40), F.length(_bare(c)) - 10)))
+    hit = F.array_position(F.transform(last, lambda c: F.coalesce(fits(c), F.lit(False))), F.lit(True))
+    cell = F.get(last, (hit - 1).cast("int"))
+    return n.select("pub_id", "id", "after_id", F.when(hit > 0, hit - 1).cast("int").alias("cell_no"), F.when(hit > 0, F.when(F.length(text) >= F.length(_bare(cell)), F.col("after")).otherwise(cell)).alias("cell"))
 
 
 def tbl_repair(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,8 +215,9 @@ _FOLD = lambda c: f"regexp_replace(translate(lower({c}), '“”‘’', '\"\"''
 _ST = "(" + ", ".join(f"'{p}'" for p in STRUCTURAL) + ")"
 SQL = {
     "idx_role_sources": f"select pub_id, source, count(*) as n from ({ix.ROLES_SQL}) group by all",
-    "tbl_overflow": f"""select pub_id, id, after_id, coalesce(len(list_filter(rows[len(rows)], lambda c: length({_BARE('c')}) >= 40 and starts_with({_BARE('after')}, {_BARE('c')}))) > 0, false) as overflow from (
-      select *, lead(plain) over (partition by pub_id order by ord) as after, lead(id) over (partition by pub_id order by ord) as after_id from {nodes_sql('ord, type, plain, rows')}) where type = 'table' and len(rows) > 0 and after is not null""",
+    "tbl_overflow": f"""select pub_id, id, after_id, cast(case when hit > 0 then hit - 1 end as int) as cell_no, case when hit > 0 then case when length({_BARE('after')}) >= length({_BARE('lst[hit]')}) then after else lst[hit] end end as cell from (
+      select *, rows[len(rows)] as lst, coalesce(list_position(list_transform(rows[len(rows)], lambda c: coalesce(length({_BARE('c')}) >= 40 and starts_with({_BARE('after')}, substr({_BARE('c')}, 1, greatest(40, length({_BARE('c')}) - 10))), false)), true), 0) as hit from (
+        select *, lead(plain) over (partition by pub_id order by ord) as after, lead(id) over (partition by pub_id order by ord) as after_id from {nodes_sql('ord, type, plain, rows')}) where type = 'table' and len(rows) > 0 and after is not null)""",
     "tbl_row_islands": f"""select pub_id, id, cast(g as bigint) as g, cast(count(*) as int) as parts, string_agg(array_to_string(list_transform(r, lambda c: regexp_replace(coalesce(c, ''), '(\\w)_ _(\\w)', '\\1 \\2', 'g')), ' | '), '<br>' order by i) as row from (
       select *, sum(case when coalesce(r[1], '') <> '' then 1 when i = 0 then 1 else 0 end) over (partition by pub_id, id order by i) as g from (
         select pub_id, id, generate_subscripts(rows, 1) - 1 as i, unnest(rows) as r from {nodes_sql('rows', ('table',))})) group by pub_id, id, g""",

@@ -166,3 +166,41 @@ def test_acronyms_and_terms_of_a_deck(spark, deck):
 def test_findings_and_their_counts(spark, deck):
     got = rows(spark, deck, "qa_summary", "check", "errors", "warnings")
     assert dict((c, (e, w)) for c, e, w in got) == {"citation": (5, 1), "directive": (3, 0), "verbatim": (2, 2), "readability": (0, 0), "acronym": (0, 1), "coverage": (0, 0)}
+
+
+def test_continued_tables_zones_and_page_breaks(spark, tmp_path):
+    b = Book().add("cover", "division", kind="preface", title="Cover").add("c0", "text", "cover", plain="Out.")
+    b.add("ch-1", "division", kind="chapter", number="1", title="Fires").add("p1", "paragraph", "ch-1", number="1-1", plain="The crew moves to the", page=5)
+    b.add("t1", "table", "ch-1", number="1-1", caption="Table 1-1. Cap", columns=["A b", "C"], rows=[["1", "2"]], page=5).add("t2", "table", "ch-1", number="1-1", caption="Table 1-1. Cap (continued)", columns=["x"], rows=[["a B", "c"], ["3", "4"]], page=6)
+    b.add("x1", "text", "ch-1", plain="Bridge at dawn.", page=6).add("p2", "paragraph", "ch-1", number="1-2", plain="It ends here.", page=6).add("x2", "text", "ch-1", plain="and yet it goes on.", page=7)
+    heading(b, "h1", "ch-1", "Next", 2)
+    b.add("t3", "table", "h1", number="1-1", caption="Table 1-1. Cap (continued)", columns=["x"], rows=[["5", "6"]])
+    long = "The quick grey crews carry the long cable drums over the hill and down"
+    b.add("t4", "table", "h1", number="1-2", caption="Table 1-2. Two", columns=["x"], rows=[["a", long]]).add("x3", "text", "h1", plain=long + " to the river.")
+    b.add("toc", "division", kind="preface", title="Figures").add("c1", "text", "toc", plain="List.").add("other", "division", kind="preface", title="Odd").add("app-a", "division", kind="appendix", number="A", title="Forms").add("index", "division", kind="preface", title="Index").add("c2", "text", "index", plain="Word, 3")
+    d = tables(spark, tmp_path, b.rows)
+    assert rows(spark, d, "tbl_merge_continued", "id", "parts", "n_rows") == [("t1", 2, 2), ("t3", 1, 1), ("t4", 1, 1)]
+    zones = dict(rows(spark, d, "blk_zones", "id", "zone"))
+    assert zones["p1"] == "Chapter 1" and zones["app-a"] == "Appendix A" and not {"c0", "c1", "other", "index", "c2"} & set(zones)
+    # the connector takes the capital over the tables; a full stop takes nothing
+    assert [r for r in rows(spark, d, "blk_join_pages", "ord", "parts") if r[1] > 1] == [(3, 2)]
+    assert [r for r in rows(spark, d, "tbl_overflow", "id", "cell_no", "cell") if r[1] is not None] == [("t4", 1, long + " to the river.")]
+
+
+def test_headings_of_a_page(spark, tmp_path):
+    from foliant.plans import convert
+
+    line = lambda page, n, y, font, size, text: (page, n, float(y), font, float(size), text)
+    got = [
+        line(1, 1, 100, "Arial-Bold", 12, "Chapter 2"), line(1, 2, 120, "Helvetica-Bold", 16, "Long"), line(1, 3, 140, "Arial-Bold", 16, "Title"), line(1, 4, 200, "Arial-Bold", 12, "SECTION I – WIDE"), line(1, 5, 214, "Arial-Bold", 12, "ROADS"),
+        line(1, 6, 300, "Arial-Bold", 12, "orphan"), line(1, 7, 310, "Arial-Bold", 12, "orphan too"), line(1, 8, 400, "Times-Bold", 14, "Third"), line(1, 9, 405, "Arial-Bold", 12, "stray"), line(1, 10, 412, "Times-Bold", 14, "level"),
+        line(1, 11, 500, "Times-BoldItalic", 14, "no"), line(1, 12, 20, "Arial-Bold", 16, "running head"), line(1, 13, 740, "Arial-Bold", 16, "footer"), line(2, 1, 100, "Arial-Bold", 12, "Appendix B"), line(2, 2, 130, "Times-Bold", 12, "Fourth"), line(2, 3, 160, "Arial-Bold", 16, "Unlabelled"),
+    ]
+    df = spark.createDataFrame(got, "page long, line_no long, y double, font string, size double, text string")
+    held, convert.lines = convert.lines, lambda spark, sf: df
+    try:
+        assert rows(spark, "", "lay_wrap_merge", "page", "tier", "label", "text") == [
+            (1, "T1", "Chapter 2", "Long Title"), (1, "T2", None, "SECTION I – WIDE ROADS"), (1, "T3", None, "Third level"), (2, "T1", None, "Unlabelled"), (2, "T4", None, "Fourth")
+        ]
+    finally:
+        convert.lines = held
