@@ -6,6 +6,8 @@ stands below them, is put together per claim only (its few cites), never per pub
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -103,6 +105,37 @@ def cited_ids(spark: SparkSession, sf: str) -> DataFrame:
     return cited(spark, sf).unionByName(s).distinct()
 
 
+# By pattern the fewest and most statements of a slide and the longest part of one.
+BUDGETS = {
+    "title": (0, 0, 120), "at_a_glance": (2, 6, 160), "takeaways": (3, 5, 160), "whats_new": (2, 6, 160), "divider": (0, 1, 160), "key_idea": (1, 4, 160), "process_flow": (3, 7, 140), "cycle": (3, 6, 140), "roles": (2, 18, 160), "timeline": (3, 7, 140),
+    "checklist": (3, 7, 160), "do_dont": (2, 8, 160), "table": (1, 6, 80), "big_numbers": (2, 5, 160), "comparison": (2, 12, 160), "decision_tree": (3, 9, 90), "key_terms": (2, 6, 200), "acronyms": (1, 30, 80), "closing": (0, 5, 160),
+}
+DIRECTIVES = ("will", "will not", "must", "must not", "shall", "may", "may not", "should", "should not")
+NODE_ID, SLIDE_ID, TITLE_MOST, NOTES_MOST = r"^[A-Za-z0-9][\w.\-]*$", r"^s\d{2,3}$", 70, 5
+_BUDGETS = "(values " + ", ".join(f"('{p}', {a}, {b}, {c})" for p, (a, b, c) in BUDGETS.items()) + ") as b(pattern, least, most, longest)"
+
+
+def spec_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Slides and statements that break the deck's schema, by rule: forms of ids, lengths, known
+    patterns and directives, and each pattern's own budgets of statements and letters."""
+    bad = lambda df, key, rule, cond: df.where(cond).select("pub_id", F.col(key).alias("where_id"), F.lit(rule).alias("rule"))
+    b = spark.createDataFrame([(p, *v) for p, v in BUDGETS.items()], "pattern string, least int, most int, longest int")
+    s = slides(spark, sf).join(F.broadcast(b), "pattern", "left")
+    c = claims(spark, sf)
+    n = c.groupBy("pub_id", "slide_id").agg(F.countDistinct(F.when(~F.col("in_notes"), F.col("claim_id"))).alias("n"), F.countDistinct(F.when(F.col("in_notes"), F.col("claim_id"))).alias("notes"))
+    s = s.join(n, ["pub_id", "slide_id"], "left").fillna(0, ["n", "notes"])
+    each = c.where(~F.col("in_notes")).join(F.broadcast(b), "pattern").select("pub_id", "claim_id", "longest", F.explode("parts").alias("part"))
+    k = table(spark, sf, "claim_cites").where("node_id is not null").select("pub_id", "claim_id", tx.bare(F.col("node_id")).alias("node_id"))
+    parts = [
+        bad(s, "slide_id", "slide id", ~F.col("slide_id").rlike(SLIDE_ID)), bad(s, "slide_id", "title", F.col("title").isNull() | ~F.length("title").between(1, TITLE_MOST)), bad(s, "slide_id", "pattern", F.col("least").isNull()),
+        bad(s, "slide_id", "chapter", ~F.col("chapter").rlike(NODE_ID)), bad(s, "slide_id", "callout", F.col("callout").isNotNull() & (F.col("pattern").isin(*STRUCTURAL) | ~F.lower("callout").isin("caution", "warning"))),
+        bad(s, "slide_id", "statements", ~F.col("n").between(F.col("least"), F.col("most"))), bad(s, "slide_id", "talking points", F.col("notes") > NOTES_MOST),
+        bad(each, "claim_id", "length", ~F.length("part").between(1, F.col("longest"))), bad(c, "claim_id", "text", F.coalesce(F.length("text"), F.lit(0)) == 0), bad(c, "claim_id", "directive", ~F.col("directive").isin(*DIRECTIVES)),
+        bad(c, "claim_id", "directive not in the text", F.col("directive").isNotNull() & ~F.coalesce(F.contains(F.lower("text"), F.lower("directive")), F.lit(False))), bad(k, "claim_id", "cite", ~F.col("node_id").rlike(NODE_ID)),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts).distinct()
+
+
 def chk_unknown_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """Cites, source tables and chapters that name no node of the right type."""
     n = nodes(spark, sf, "type")
@@ -287,15 +320,51 @@ def syllables(word: F.Column) -> F.Column:
     return F.greatest(F.lit(1), n - F.when((n > 1) & word.rlike("[^l]e$"), 1).otherwise(0))
 
 
+def neutralized(spark: SparkSession, sf: str, df: DataFrame, text: str, to: str) -> DataFrame:
+    """``df`` (pub_id, ``text``) with ``to``: glossary terms and meanings (in any case) and then
+    abbreviations (as they are) as the word "term", whole words only, the longest first. Texts and
+    phrases meet on the phrase's first word, and each text is read with the phrases that stand in
+    it alone, so no pattern is made of a whole glossary."""
+    g = nodes(spark, sf, "type", "term", "meaning", "abbreviation", types=("term", "acronym"))
+    p = g.select("pub_id", F.inline(F.array(F.struct(F.trim("term").alias("p"), F.lit(False).alias("exact")), F.struct(F.trim("meaning").alias("p"), F.lit(False).alias("exact")), F.struct(F.trim("abbreviation").alias("p"), F.lit(True).alias("exact"))))).where("p <> ''").distinct()
+    words = lambda c: F.array_distinct(F.split(F.lower(c), r"[^\p{L}\p{N}]+"))
+    # a phrase without a letter or digit meets every text of its publication that holds it
+    p = p.withColumn("w", F.lower(F.regexp_extract("p", r"([\p{L}\p{N}]+)", 1)))
+    t = df.select("pub_id", F.col(text).alias("t")).where("t is not null").distinct().withColumn("h", F.xxhash64("t"))
+    each = t.select("pub_id", "h", "t", F.explode(F.array_union(words(F.col("t")), F.array(F.lit("")))).alias("w"))
+    met = each.join(p, ["pub_id", "w"]).where(F.when(F.col("exact"), F.contains("t", F.col("p"))).otherwise(F.contains(F.lower("t"), F.lower("p"))))
+    quoted = F.concat(F.lit(r"\Q"), F.replace("p", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    rule = lambda on: F.array_join(F.transform(F.array_sort(F.collect_set(F.when(on, F.struct((-F.length("p")).alias("k"), quoted.alias("q"))))), lambda x: x["q"]), "|")
+    g = met.groupBy("pub_id", "h", "t").agg(rule(~F.col("exact")).alias("ph"), rule(F.col("exact")).alias("ab"))
+    whole = lambda c, flags: F.concat(F.lit(flags + r"(?<![\w-])(?:"), c, F.lit(r")(?![\w-])"))
+    once = F.when(F.col("ph") != "", F.regexp_replace("t", whole(F.col("ph"), "(?i)"), F.lit("term"))).otherwise(F.col("t"))
+    g = g.withColumn("once", once)
+    g = g.select(F.col("pub_id").alias("np"), F.col("t").alias("nt"), F.when(F.col("ab") != "", F.regexp_replace("once", whole(F.col("ab"), ""), F.lit("term"))).otherwise(F.col("once")).alias("n"))
+    return df.join(g, [F.col("pub_id") == F.col("np"), F.col(text) == F.col("nt")], "left").withColumn(to, F.coalesce("n", F.col(text))).drop("np", "nt", "n")
+
+
+def qa_neutralize(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements with the glossary's terms, meanings and abbreviations as "term"."""
+    c = claims(spark, sf).where("text is not null").select("pub_id", "claim_id", F.col("text").alias("said")).distinct()
+    return neutralized(spark, sf, c, "said", "text").drop("said")
+
+
+def _grade(text: F.Column) -> F.Column:
+    """Flesch-Kincaid grade in whole ten-thousandths, so that a mean doesn't hang on the order."""
+    ws = tx.found(F.lower(text), "([a-z']+)")
+    n, s = F.size(ws), F.greatest(F.lit(1), F.size(tx.sentences(text)))
+    y = F.aggregate(F.transform(ws, syllables), F.lit(0), lambda a, x: a + x)
+    return F.round((0.39 * n / s + 11.8 * y / n - 15.59) * 10000).cast("long")
+
+
 def qa_readability(spark: SparkSession, sf: str) -> DataFrame:
-    """Flesch-Kincaid grade of each slide: mean over its parts of eight words and more."""
+    """Grade of each slide: the mean over its parts of eight words and more, glossary words made
+    neutral; ``raw_grade`` with them as they are."""
     p = claims(spark, sf).where(~F.col("in_notes") & ~F.col("pattern").isin("title", "acronyms", "closing")).select("pub_id", "slide_id", "claim_id", F.posexplode("parts").alias("part_no", "part")).where("part is not null").distinct()
-    ws = tx.found(F.lower("part"), "([a-z']+)")
-    p = p.withColumn("ws", ws).where(F.size("ws") >= 8).withColumn("n", F.size("ws")).withColumn("s", F.greatest(F.lit(1), F.size(tx.sentences(F.col("part")))))
-    p = p.withColumn("y", F.aggregate(F.transform("ws", syllables), F.lit(0), lambda a, x: a + x))
-    grade = 0.39 * F.col("n") / F.col("s") + 11.8 * F.col("y") / F.col("n") - 15.59
-    # whole ten-thousandths, so that the mean doesn't hang on the order of the sum
-    g = p.withColumn("g", F.round(grade * 10000).cast("long")).groupBy("pub_id", "slide_id").agg((F.floor(F.sum("g") / F.count("*")) / 10000).alias("grade"), F.count("*").alias("statements"), F.count_if(F.col("g") > 120000).alias("hard"))
+    p = p.where(F.regexp_count("part", F.lit("[A-Za-z']+")) >= 8)
+    p = neutralized(spark, sf, p, "part", "neutral").withColumn("g", _grade(F.col("neutral"))).withColumn("r", _grade(F.col("part")))
+    mean = lambda c: F.floor(F.sum(c) / F.count("*")) / 10000
+    g = p.groupBy("pub_id", "slide_id").agg(mean("g").alias("grade"), mean("r").alias("raw_grade"), F.count("*").alias("statements"), F.count_if(F.col("g") > 120000).alias("hard"))
     return g.withColumn("too_hard", F.col("grade") > 9.0)
 
 
@@ -431,7 +500,7 @@ def claim_words(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("pub_id", "claim_id", tx.joined(F.array_sort(directive_words(F.col("text")))).alias("words"), tx.joined(F.array_sort(numbers(F.col("text")))).alias("numbers"))
 
 
-QUERIES = {f.__name__: f for f in (cited_ids, chk_unknown_nodes, chk_container_cite, chk_title_directive, chk_directive_in_source, chk_added_directive, chk_numbers, chk_callout, chk_acronym_coverage, chk_acronym_entry, chk_key_term, chk_deck_shape, chk_chapter_order, chk_chapters_without_slides, review_lines, qa_forms_dates, qa_uncited, qa_readability, qa_deck_readability, qa_acronym_first_use, qa_coverage, qa_dedupe, qa_summary, rev_check, rev_unreviewed, rev_packet, rep_title_runs, spec_tree_check, claim_words)}
+QUERIES = {f.__name__: f for f in (spec_schema, cited_ids, chk_unknown_nodes, chk_container_cite, chk_title_directive, chk_directive_in_source, chk_added_directive, chk_numbers, chk_callout, chk_acronym_coverage, chk_acronym_entry, chk_key_term, chk_deck_shape, chk_chapter_order, chk_chapters_without_slides, review_lines, qa_forms_dates, qa_uncited, qa_neutralize, qa_readability, qa_deck_readability, qa_acronym_first_use, qa_coverage, qa_dedupe, qa_summary, rev_check, rev_unreviewed, rev_packet, rep_title_runs, spec_tree_check, claim_words)}
 
 _UNKNOWN = f"""
   select distinct c.pub_id, c.claim_id as where_id, 'cite' as what, c.node_id from {_CITES} c where not exists (select 1 from nodes n where n.pub_id = c.pub_id and n.id = c.node_id)
@@ -474,12 +543,31 @@ def _marks_sql(c: str) -> str:
     return f"list_distinct(list_concat({forms}, {dates}))"
 
 
-_SYL = "list_transform(ws, lambda w: greatest(1, len(regexp_extract_all(w, '[aeiouy]+')) - case when len(regexp_extract_all(w, '[aeiouy]+')) > 1 and regexp_matches(w, '[^l]e$') then 1 else 0 end))"
-_READ = f"""select pub_id, slide_id, floor(sum(g) / count(*)) / 10000 as grade, count(*) as statements, count(*) filter (g > 120000) as hard, floor(sum(g) / count(*)) / 10000 > 9.0 as too_hard from (
-    select *, cast(round((0.39 * n / s + 11.8 * y / n - 15.59) * 10000) as bigint) as g from (
-      select pub_id, slide_id, cast(len(ws) as double) as n, greatest(1, len({tx.sentences_sql("part")})) as s, cast(list_sum({_SYL}) as double) as y from (
-        select distinct pub_id, slide_id, claim_id, part_no, part, regexp_extract_all(lower(part), '[a-z'']+') as ws from (
-          select pub_id, slide_id, claim_id, generate_subscripts(parts, 1) as part_no, unnest(parts) as part from {_CLAIMS} where not in_notes and pattern not in ('title', 'acronyms', 'closing')) where part is not null) where len(ws) >= 8)) group by pub_id, slide_id"""
+_QUOTE = "regexp_replace(p, '([\\\\.\\[\\]{}()*+?^$|])', '\\\\\\1', 'g')"
+_GLOSSARY = f"""(select pub_id, string_agg(q, '|' order by -length(p), q) filter (not exact) as ph, string_agg(q, '|' order by -length(p), q) filter (exact) as ab from (
+    select distinct pub_id, p, exact, {_QUOTE} as q from (select pub_id, unnest([struct_pack(p := trim(term), exact := false), struct_pack(p := trim(meaning), exact := false), struct_pack(p := trim(abbreviation), exact := true)], recursive := true)
+      from {nodes_sql('term, meaning, abbreviation', ('term', 'acronym'))}) where p <> '') group by pub_id)"""
+
+
+def _neutral_sql(t: str) -> str:
+    # neighbours share the sign between them, which the match takes: two passes
+    for col, flags in (("ph", "(?i)"), ("ab", "")):
+        for _ in range(2):
+            t = f"case when {col} is null then {t} else regexp_replace({t}, '{flags}(^|[^\\w-])(?:' || {col} || ')([^\\w-]|$)', '\\1term\\2', 'g') end"
+    return t
+
+
+def _grade_sql(t: str) -> str:
+    ws = f"regexp_extract_all(lower({t}), '[a-z'']+')"
+    syl = f"list_sum(list_transform({ws}, lambda w: greatest(1, len(regexp_extract_all(w, '[aeiouy]+')) - case when len(regexp_extract_all(w, '[aeiouy]+')) > 1 and regexp_matches(w, '[^l]e$') then 1 else 0 end)))"
+    return f"cast(round((0.39 * len({ws}) / greatest(1, len({tx.sentences_sql(t)})) + 11.8 * cast({syl} as double) / len({ws}) - 15.59) * 10000) as bigint)"
+
+
+_READ = f"""select pub_id, slide_id, floor(sum(g) / count(*)) / 10000 as grade, floor(sum(r) / count(*)) / 10000 as raw_grade, count(*) as statements, count(*) filter (g > 120000) as hard, floor(sum(g) / count(*)) / 10000 > 9.0 as too_hard from (
+    select pub_id, slide_id, {_grade_sql('neutral')} as g, {_grade_sql('part')} as r from (
+      select p.*, {_neutral_sql('part')} as neutral from (select distinct pub_id, slide_id, claim_id, part_no, part from (
+          select pub_id, slide_id, claim_id, generate_subscripts(parts, 1) as part_no, unnest(parts) as part from {_CLAIMS} where not in_notes and pattern not in ('title', 'acronyms', 'closing')) where part is not null and len(regexp_extract_all(part, '[A-Za-z'']+')) >= 8) p
+      left join {_GLOSSARY} g on g.pub_id = p.pub_id)) group by pub_id, slide_id"""
 _COVER = f"""select d.pub_id, n.division_id, exists (select 1 from {_CITES} c where c.pub_id = d.pub_id and (c.node_id = d.node_id or list_contains(n.path, c.node_id))) as c
     from ({ix.DIRECTIVES_SQL}) d join {nodes_sql("division_id, path", TEXTS)} n on n.pub_id = d.pub_id and n.id = d.node_id where d.strength = 'mandatory' and not d.possibly_historical"""
 _FORMS = f"select distinct pub_id, claim_id, mark from (select pub_id, claim_id, source, unnest({_marks_sql('text')}) as mark from {_SOURCES} where text is not null) where not list_contains({_marks_sql('source')}, mark)"
@@ -508,6 +596,16 @@ _FINDINGS = " union all ".join(
 _DEDUPE = f"""select pub_id, "check", where_id, message, arg_min(level, ord) as level from ({_FINDINGS}) group by all"""
 _FIXED = ("title", "at_a_glance", "takeaways", "whats_new", "key_terms", "acronyms", "closing")
 SQL = {
+    "spec_schema": f"""with s as (select s.*, b.least, b.most, coalesce(n.n, 0) as n, coalesce(n.notes, 0) as notes from {_SLIDES} s left join {_BUDGETS} on b.pattern = s.pattern
+        left join (select pub_id, slide_id, count(distinct claim_id) filter (not in_notes) as n, count(distinct claim_id) filter (in_notes) as notes from claims group by all) n on n.pub_id = s.pub_id and n.slide_id = s.slide_id)
+      select pub_id, slide_id as where_id, 'slide id' as rule from s where not regexp_matches(slide_id, {rx.sql(SLIDE_ID)}) union select pub_id, slide_id, 'title' from s where title is null or length(title) not between 1 and {TITLE_MOST}
+      union select pub_id, slide_id, 'pattern' from s where least is null union select pub_id, slide_id, 'chapter' from s where not regexp_matches(chapter, {rx.sql(NODE_ID)})
+      union select pub_id, slide_id, 'callout' from s where callout is not null and (pattern in {_IN(STRUCTURAL)} or lower(callout) not in ('caution', 'warning'))
+      union select pub_id, slide_id, 'statements' from s where n not between least and most union select pub_id, slide_id, 'talking points' from s where notes > {NOTES_MOST}
+      union select pub_id, claim_id, 'length' from (select c.pub_id, c.claim_id, b.longest, unnest(c.parts) as part from {_CLAIMS} c join {_BUDGETS} on b.pattern = c.pattern where not c.in_notes) where length(part) not between 1 and longest
+      union select pub_id, claim_id, 'text' from {_CLAIMS} where coalesce(length(text), 0) = 0 union select pub_id, claim_id, 'directive' from {_CLAIMS} where directive not in {_IN(DIRECTIVES)}
+      union select pub_id, claim_id, 'directive not in the text' from {_CLAIMS} where directive is not null and not coalesce(contains(lower(text), lower(directive)), false)
+      union select pub_id, claim_id, 'cite' from {_CITES} where not regexp_matches(node_id, {rx.sql(NODE_ID)})""",
     "cited_ids": f"select pub_id, node_id as id from {_CITES} union select pub_id, source_table from {_SLIDES} where source_table is not null",
     "chk_unknown_nodes": _UNKNOWN,
     "chk_container_cite": _CONTAINER,
@@ -532,6 +630,7 @@ SQL = {
     "review_lines": f"select distinct pub_id, slide_id, claim_id, text, substr(source, 1, 500) as source from {_SOURCES}",
     "qa_forms_dates": _FORMS,
     "qa_uncited": _UNCITED,
+    "qa_neutralize": f"select c.pub_id, c.claim_id, {_neutral_sql('c.text')} as text from (select distinct pub_id, claim_id, text from {_CLAIMS} where text is not null) c left join {_GLOSSARY} g on g.pub_id = c.pub_id",
     "qa_readability": _READ,
     "qa_deck_readability": _DECK_READ,
     "qa_acronym_first_use": _FIRST_USE,

@@ -129,41 +129,12 @@ def pkt_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- decks ---------------------------------------------------------------------------------
-def spec_schema(spark: SparkSession, sf: str) -> DataFrame:
-    """Slides and claims that break the deck's schema, by rule."""
-    s = slides(spark, sf)
-    rules = [
-        (s, "slide_id", "slide id", ~F.col("slide_id").rlike(r"^s\d{2}$")), (s, "slide_id", "title", F.col("title").isNull() | ~F.length("title").between(1, 120)),
-        (s, "slide_id", "callout on a structural slide", F.col("callout").isNotNull() & F.col("pattern").isin(*STRUCTURAL)), (s, "slide_id", "table without a source", (F.col("pattern") == "table") & F.col("source_table").isNull()),
-        (s, "slide_id", "no chapter", F.col("chapter").isNull()),
-    ]
-    c = claims(spark, sf)
-    rules += [(c, "claim_id", "text", F.col("text").isNull() | (F.length("text") > 400)), (c, "claim_id", "directive not in the text", F.col("directive").isNotNull() & ~F.coalesce(F.contains(F.lower("text"), F.lower("directive")), F.lit(False)))]
-    out: DataFrame | None = None
-    for df, key, rule, bad in rules:
-        got = df.where(bad).select("pub_id", F.col(key).alias("where_id"), F.lit(rule).alias("rule"))
-        out = got if out is None else out.unionByName(got)
-    assert out is not None
-    return out.distinct()
-
-
 def chk_pub_match(spark: SparkSession, sf: str) -> DataFrame:
     """Decks whose publication has no record that passed."""
     ok = latest(spark, sf).where("gate.status = 'pass'").select("pub_id")
     return slides(spark, sf).select("pub_id").distinct().join(ok, "pub_id", "left_anti")
 
 
-def qa_neutralize(spark: SparkSession, sf: str) -> DataFrame:
-    """Statements with the glossary's terms, meanings and abbreviations as 'term', the
-    longest first: one pattern per publication, made of its glossary."""
-    g = nodes(spark, sf, "type", "term", "meaning", "abbreviation", types=("term", "acronym"))
-    p = g.select("pub_id", F.explode(F.array("term", "meaning", "abbreviation")).alias("p")).where("p is not null and p rlike '^[A-Za-z0-9 /-]+$'").distinct()
-    rx_ = p.groupBy("pub_id").agg(F.array_sort(F.collect_list(F.struct((-F.length("p")).alias("k"), "p"))).alias("ps"))
-    rx_ = rx_.select("pub_id", F.concat(F.lit(r"(?i)\b("), F.array_join(F.transform("ps", lambda x: x["p"]), "|"), F.lit(r")\b")).alias("rx"))
-    c = claims(spark, sf).where("text is not null").select("pub_id", "claim_id", "text").distinct().join(rx_, "pub_id", "left")
-    return c.select("pub_id", "claim_id", F.regexp_replace("text", F.coalesce("rx", F.lit("^$")), F.lit("term")).alias("text"))
-
-
 def qa_deck(spark: SparkSession, sf: str) -> DataFrame:
     """Parts of claims that the claim's own text doesn't show, quotes and blanks folded."""
     fold = lambda c: F.regexp_replace(F.translate(F.lower(c), "“”‘’", "\"\"''"), r"\s+", " ")
@@ -207,7 +178,7 @@ def rnd_tree_layout(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select("pub_id", "id", "depth", "x")
 
 
-QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, spec_schema, chk_pub_match, qa_neutralize, qa_deck, rep_html, bat_table, rnd_tree_layout)}
+QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, chk_pub_match, qa_deck, rep_html, bat_table, rnd_tree_layout)}
 
 _BARE = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]+', '', 'g')"
 _ESC = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -225,17 +196,7 @@ SQL = {
       select pub_id, id, i, unnest(regexp_extract_all(lower(array_to_string(r, ' ')), '[a-z]+')) as word from (select pub_id, id, generate_subscripts(rows, 1) - 1 as i, unnest(rows) as r from {nodes_sql('rows', ('table',))})) w
       left join ({ix.ROLE_VOCAB_SQL}) v on v.pub_id = w.pub_id and v.word = w.word group by w.pub_id, w.id, w.i having count(*) >= 4 and count(*) filter (v.word is null) >= 0.15 * count(*)""",
     "pkt_terms": f"select d.pub_id, d.node_id, d.term, n.division_id from ({ix.INLINE_SQL}) d join {nodes_sql('division_id', TEXTS)} n on n.pub_id = d.pub_id and n.id = d.node_id",
-    "spec_schema": f"""select pub_id, slide_id as where_id, 'slide id' as rule from {_SLIDES} where not regexp_matches(slide_id, '^s\\d{{2}}$')
-      union select pub_id, slide_id, 'title' from {_SLIDES} where title is null or length(title) not between 1 and 120
-      union select pub_id, slide_id, 'callout on a structural slide' from {_SLIDES} where callout is not null and pattern in {_ST}
-      union select pub_id, slide_id, 'table without a source' from {_SLIDES} where pattern = 'table' and source_table is null
-      union select pub_id, slide_id, 'no chapter' from {_SLIDES} where chapter is null
-      union select pub_id, claim_id, 'text' from {_CLAIMS} where text is null or length(text) > 400
-      union select pub_id, claim_id, 'directive not in the text' from {_CLAIMS} where directive is not null and not coalesce(contains(lower(text), lower(directive)), false)""",
     "chk_pub_match": f"select distinct pub_id from slides s where not exists (select 1 from {_LATEST} p where p.pub_id = s.pub_id and p.gate.status = 'pass')",
-    "qa_neutralize": f"""with p as (select distinct pub_id, p from (select pub_id, unnest([term, meaning, abbreviation]) as p from {nodes_sql('term, meaning, abbreviation', ('term', 'acronym'))}) where regexp_matches(p, '^[A-Za-z0-9 /-]+$')),
-      r as (select pub_id, '(?i)\\b(' || string_agg(p, '|' order by -length(p), p) || ')\\b' as rx from p group by pub_id)
-      select c.pub_id, c.claim_id, regexp_replace(c.text, coalesce(r.rx, '^$'), 'term', 'g') as text from (select distinct pub_id, claim_id, text from {_CLAIMS} where text is not null) c left join r on r.pub_id = c.pub_id""",
     "qa_deck": f"select pub_id, count(*) as parts, count(*) filter (contains({_FOLD('text')}, {_FOLD('part')})) as shown from (select pub_id, claim_id, text, unnest(parts) as part from {_CLAIMS} where text is not null) where part is not null group by pub_id",
     "rep_html": f"""select s.pub_id, s.slide_id, '<section><h2>' || {_ESC('s.title')} || '</h2><ul>' || c.items || '</ul></section>' as html from (select distinct pub_id, slide_id, title from {_SLIDES}) s
       join (select pub_id, slide_id, string_agg('<li>' || {_ESC('text')} || '</li>', '' order by claim_id, text) as items from (select distinct pub_id, slide_id, claim_id, text from {_CLAIMS} where text is not null) group by all) c on c.pub_id = s.pub_id and c.slide_id = s.slide_id""",
