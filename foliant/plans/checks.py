@@ -272,6 +272,46 @@ def chk_deck_shape(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("pub_id", "slides", "content", "visual", F.when(F.col("content") > 0, F.round(F.col("visual") / F.col("content"), 4)).otherwise(0.0).alias("visual_share"), "second", repeated.alias("repeated"))
 
 
+def chk_deck_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules of a deck's shape that it breaks: its size, its share of visual slides, the places of
+    the fixed slides, and fixed slides that repeat."""
+    s = slides(spark, sf).select("pub_id", "slide_ord", "slide_id", "pattern").distinct()
+    g = s.groupBy("pub_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("slide_ord", "slide_id", "pattern"))), lambda x: x["pattern"]).alias("ps"))
+    ps, n = F.col("ps"), F.size("ps")
+    content = F.filter(ps, lambda p: ~p.isin(*STRUCTURAL))
+    visual = F.size(F.filter(content, lambda p: p.isin(*VISUAL)))
+    at = lambda p: F.array_position(ps, p)
+    times = lambda p: F.size(F.filter(ps, lambda x: x == p))
+    rules = [
+        ("size", ~n.between(25, 40)), ("visual share", visual < 0.6 * F.greatest(F.lit(1), F.size(content))), ("at_a_glance second", (n > 1) & (F.get(ps, F.lit(1)) != "at_a_glance")),
+        ("takeaways third or fourth", ~F.array_contains(F.slice(ps, F.lit(3), F.lit(2)), "takeaways")), ("acronyms before closing", (n > 2) & (F.get(ps, n - 2) != "acronyms")),
+        ("key_terms before acronyms", (at("key_terms") > 0) & (at("key_terms") != n - 2)), ("front slides before the chapters", at("divider") > 5),
+        *[(f"one {p}", times(p) > 1) for p in FIXED_SLIDES],
+    ]
+    broken = F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]), lambda r: r.isNotNull())
+    return g.select("pub_id", F.explode(broken).alias("rule"))
+
+
+FIXED_SLIDES = ("title", "at_a_glance", "takeaways", "whats_new", "key_terms", "acronyms", "closing")
+
+
+def chk_dividers(spark: SparkSession, sf: str) -> DataFrame:
+    """Dividers without a division, second ones of a chapter, those out of document order; and
+    content slides of another chapter than the divider before them."""
+    d = nodes(spark, sf, "ord", "kind", types=("division",)).select("pub_id", F.col("id").alias("chapter"), F.col("ord").alias("d_ord"), "kind")
+    s = slides(spark, sf).select("pub_id", "slide_ord", "slide_id", "pattern", "chapter").distinct().join(d, ["pub_id", "chapter"], "left")
+    w = Window.partitionBy("pub_id").orderBy("slide_ord", "slide_id").rowsBetween(Window.unboundedPreceding, -1)
+    good = F.when((F.col("pattern") == "divider") & F.col("d_ord").isNotNull(), F.struct("chapter", "d_ord"))
+    s = s.withColumn("now", F.last(good, ignorenulls=True).over(w))
+    k = F.row_number().over(Window.partitionBy("pub_id", "pattern", "chapter").orderBy("slide_ord", "slide_id"))
+    div = F.col("pattern") == "divider"
+    rule = (
+        F.when(div & F.col("d_ord").isNull(), "no division").when(div & (k > 1), "second divider").when(div & (F.col("d_ord") < F.col("now.d_ord")), "out of order")
+        .when(~div & F.col("d_ord").isNotNull() & ~F.col("pattern").isin(*STRUCTURAL) & ~F.col("chapter").eqNullSafe(F.col("now.chapter")) & ((F.col("kind") == "chapter") | F.col("now").isNull()), "under another divider")
+    )
+    return s.select("pub_id", "slide_id", rule.alias("rule")).where("rule is not null")
+
+
 def chk_chapter_order(spark: SparkSession, sf: str) -> DataFrame:
     """Slides whose chapter comes before that of an earlier slide in document order."""
     d = nodes(spark, sf, "ord", types=("division",)).select("pub_id", F.col("id").alias("chapter"), "ord")
@@ -463,6 +503,13 @@ def rev_unreviewed(spark: SparkSession, sf: str) -> DataFrame:
     return j.select("pub_id", "claim_id", F.when(F.col("a").isNull(), "unknown").otherwise("unreviewed").alias("state"))
 
 
+def rev_unexplained(spark: SparkSession, sf: str) -> DataFrame:
+    """Claims with a verdict below pass that no open or accepted finding explains."""
+    f = table(spark, sf, "review_findings").where("claim is not null").select("pub_id", tx.bare(F.col("claim")).alias("claim_id"), "verdict", "status")
+    g = f.groupBy("pub_id", "claim_id").agg(F.max(F.col("verdict") != "pass").alias("below"), F.max(F.col("status").isin("open", "accepted")).alias("told"))
+    return g.where("below and not coalesce(told, false)").select("pub_id", "claim_id")
+
+
 def rev_packet(spark: SparkSession, sf: str) -> DataFrame:
     """For each claim the requirements in the subtrees that it cites: the first eight, and
     how many there are."""
@@ -500,7 +547,7 @@ def claim_words(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("pub_id", "claim_id", tx.joined(F.array_sort(directive_words(F.col("text")))).alias("words"), tx.joined(F.array_sort(numbers(F.col("text")))).alias("numbers"))
 
 
-QUERIES = {f.__name__: f for f in (spec_schema, cited_ids, chk_unknown_nodes, chk_container_cite, chk_title_directive, chk_directive_in_source, chk_added_directive, chk_numbers, chk_callout, chk_acronym_coverage, chk_acronym_entry, chk_key_term, chk_deck_shape, chk_chapter_order, chk_chapters_without_slides, review_lines, qa_forms_dates, qa_uncited, qa_neutralize, qa_readability, qa_deck_readability, qa_acronym_first_use, qa_coverage, qa_dedupe, qa_summary, rev_check, rev_unreviewed, rev_packet, rep_title_runs, spec_tree_check, claim_words)}
+QUERIES = {f.__name__: f for f in (spec_schema, cited_ids, chk_unknown_nodes, chk_container_cite, chk_title_directive, chk_directive_in_source, chk_added_directive, chk_numbers, chk_callout, chk_acronym_coverage, chk_acronym_entry, chk_key_term, chk_deck_shape, chk_deck_rules, chk_dividers, chk_chapter_order, chk_chapters_without_slides, review_lines, qa_forms_dates, qa_uncited, qa_neutralize, qa_readability, qa_deck_readability, qa_acronym_first_use, qa_coverage, qa_dedupe, qa_summary, rev_check, rev_unreviewed, rev_unexplained, rev_packet, rep_title_runs, spec_tree_check, claim_words)}
 
 _UNKNOWN = f"""
   select distinct c.pub_id, c.claim_id as where_id, 'cite' as what, c.node_id from {_CITES} c where not exists (select 1 from nodes n where n.pub_id = c.pub_id and n.id = c.node_id)
@@ -624,6 +671,17 @@ SQL = {
       concat_ws(',', {", ".join(f"case when n_{p} > 1 then '{p}' end" for p in _FIXED)}) as repeated from (
       select pub_id, count(distinct slide_id) as slides, count(*) filter (pattern not in {_IN(STRUCTURAL)}) as content, count(*) filter (pattern not in {_IN(STRUCTURAL)} and pattern in {_IN(VISUAL)}) as visual,
         max(pattern) filter (slide_ord = 2) as second, {", ".join(f"count(*) filter (pattern = '{p}') as n_{p}" for p in _FIXED)} from (select distinct pub_id, slide_ord, slide_id, pattern from {_SLIDES}) group by pub_id)""",
+    "chk_deck_rules": f"""with g as (select pub_id, list(pattern order by slide_ord, slide_id) as ps from (select distinct pub_id, slide_ord, slide_id, pattern from {_SLIDES}) group by pub_id),
+      h as (select *, len(ps) as n, list_filter(ps, lambda p: p not in {_IN(STRUCTURAL)}) as content from g)
+      select pub_id, rule from (select pub_id, unnest([case when n not between 25 and 40 then 'size' end, case when len(list_filter(content, lambda p: p in {_IN(VISUAL)})) < 0.6 * greatest(1, len(content)) then 'visual share' end,
+        case when n > 1 and ps[2] <> 'at_a_glance' then 'at_a_glance second' end, case when not list_contains(ps[3:4], 'takeaways') then 'takeaways third or fourth' end, case when n > 2 and ps[n - 1] <> 'acronyms' then 'acronyms before closing' end,
+        case when list_position(ps, 'key_terms') <> n - 2 then 'key_terms before acronyms' end, case when list_position(ps, 'divider') > 5 then 'front slides before the chapters' end,
+        {", ".join(f"case when len(list_filter(ps, lambda p: p = '{p}')) > 1 then 'one {p}' end" for p in FIXED_SLIDES)}]) as rule from h) where rule is not null""",
+    "chk_dividers": f"""with s as (select s.*, d.ord as d_ord, d.kind from (select distinct pub_id, slide_ord, slide_id, pattern, chapter from {_SLIDES}) s left join {nodes_sql('ord, kind', ('division',))} d on d.pub_id = s.pub_id and d.id = s.chapter),
+      w as (select *, last_value(case when pattern = 'divider' and d_ord is not null then chapter end ignore nulls) over v as now_chapter, last_value(case when pattern = 'divider' then d_ord end ignore nulls) over v as now_ord,
+          row_number() over (partition by pub_id, pattern, chapter order by slide_ord, slide_id) as k from s window v as (partition by pub_id order by slide_ord, slide_id rows between unbounded preceding and 1 preceding))
+      select pub_id, slide_id, rule from (select *, case when pattern = 'divider' and d_ord is null then 'no division' when pattern = 'divider' and k > 1 then 'second divider' when pattern = 'divider' and d_ord < now_ord then 'out of order'
+        when pattern <> 'divider' and d_ord is not null and pattern not in {_IN(STRUCTURAL)} and chapter is distinct from now_chapter and (kind = 'chapter' or now_chapter is null) then 'under another divider' end as rule from w) where rule is not null""",
     "chk_chapter_order": f"""select pub_id, slide_id, chapter from (select s.*, d.ord, max(d.ord) over (partition by s.pub_id order by s.slide_ord, s.slide_id rows between unbounded preceding and 1 preceding) as seen
       from (select distinct pub_id, slide_ord, slide_id, chapter from {_SLIDES}) s join {nodes_sql('ord', ('division',))} d on d.pub_id = s.pub_id and d.id = s.chapter) where ord < seen""",
     "chk_chapters_without_slides": f"select d.pub_id, d.id, d.title from {nodes_sql('kind, title', ('division',), 'kind = $$chapter$$')} d where exists (select 1 from slides s where s.pub_id = d.pub_id) and not exists (select 1 from slides s where s.pub_id = d.pub_id and s.chapter = d.id)",
@@ -642,6 +700,7 @@ SQL = {
       select *, exists (select 1 from claims c where c.pub_id = f.pub_id and c.claim_id = {tx.bare_sql("f.claim")}) as known from (select distinct * from review_findings) f) group by verdict, status""",
     "rev_unreviewed": f"""select coalesce(c.pub_id, f.pub_id) as pub_id, coalesce(c.claim_id, f.claim_id) as claim_id, case when c.claim_id is null then 'unknown' else 'unreviewed' end as state
       from (select distinct pub_id, claim_id from claims) c full join (select distinct pub_id, {tx.bare_sql("claim")} as claim_id from review_findings where claim is not null) f on f.pub_id = c.pub_id and f.claim_id = c.claim_id where c.claim_id is null or f.claim_id is null""",
+    "rev_unexplained": f"select pub_id, claim_id from (select pub_id, {tx.bare_sql('claim')} as claim_id, bool_or(verdict <> 'pass') as below, coalesce(bool_or(status in ('open', 'accepted')), false) as told from review_findings where claim is not null group by all) where below and not told",
     "rev_packet": f"""select pub_id, claim_id, rank, id, sentence from (select *, row_number() over (partition by pub_id, claim_id order by ord, sentence_no) as rank from (
       select distinct c.pub_id, c.claim_id, n.id, n.ord, d.sentence_no, d.sentence from {_CITES} c join (select pub_id, id, ord, unnest(list_append(path, id)) as anc from {nodes_sql("ord, path", TEXTS)}) n on n.pub_id = c.pub_id and n.anc = c.node_id
       join ({ix.DIRECTIVES_SQL}) d on d.pub_id = n.pub_id and d.node_id = n.id and d.strength <> 'permissive')) where rank <= 8""",

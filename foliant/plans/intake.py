@@ -128,6 +128,17 @@ def _keyed(spark: SparkSession, sf: str) -> DataFrame:
 _KEYED = "(select * from (select *, row_number() over (partition by snapshot_on, pub_id order by fetched_at desc nulls last, sha256 desc nulls last) as k from publications) where k = 1)"
 
 
+# Fixed value: how a publication names its proponent.
+PROPONENT = r"The proponent of (?:this publication|[A-Z]{2,4} [\d.-]+) is ([^.]+)\."
+
+
+def meta_proponent(spark: SparkSession, sf: str) -> DataFrame:
+    """The proponent that each publication's own text names first, white space squeezed."""
+    found = F.regexp_extract("plain", PROPONENT, 1)
+    n = table(spark, sf, "nodes").where(F.col("plain").rlike(PROPONENT)).select("pub_id", "ord", F.trim(F.regexp_replace(found, r"\s+", " ")).alias("p"))
+    return n.groupBy("pub_id").agg(F.min_by("p", F.struct("ord", "p")).alias("proponent"))
+
+
 def bat_fetch_decision(spark: SparkSession, sf: str) -> DataFrame:
     """What to do with each publication of a snapshot, given the record before: skip the
     same file if it passed, fetch a new one, report what has no source."""
@@ -164,7 +175,7 @@ def upd_check(spark: SparkSession, sf: str) -> DataFrame:
     return j.select("pub_id", state.alias("state"))
 
 
-QUERIES = {f.__name__: f for f in (gate_distribution, meta_pub_date, meta_supersedes, meta_norm_pub_id, src_pub_list, guard_gate, guard_tree_current, bat_fetch_decision, bat_counts, bat_incremental, upd_check)}
+QUERIES = {f.__name__: f for f in (gate_distribution, meta_pub_date, meta_supersedes, meta_norm_pub_id, src_pub_list, guard_gate, guard_tree_current, meta_proponent, bat_fetch_decision, bat_counts, bat_incremental, upd_check)}
 
 _h = lambda p, g=0: f"nullif(regexp_extract(text, {rx.sql(p)}, {g}), '')"
 _DECIDE = """select snapshot_on, pub_id, case when source_url is null and sha256 is null then 'no input' when lag(sha256) over w = sha256 and lag(gate.status) over w = 'pass' then 'skipped (same file)' else 'done' end as step
@@ -184,6 +195,7 @@ SQL = {
     "guard_tree_current": f"""select t.pub_id, t.tree_sha, case when p.pub_id is null then 'unknown' when p.sha256 = t.tree_sha then 'current' else 'stale' end as state from (
       select distinct json_extract_string(tree, '$.pub.pub_id') as pub_id, json_extract_string(tree, '$.pub.source_sha256') as tree_sha from (select tree from doc_trees where json_valid(tree))) t
       left join {_LATEST} p on p.pub_id = t.pub_id where t.pub_id is not null""",
+    "meta_proponent": f"select pub_id, arg_min(p, (ord, p)) as proponent from (select pub_id, ord, trim(regexp_replace(regexp_extract(plain, {rx.sql(PROPONENT)}, 1), '\\s+', ' ', 'g')) as p from nodes where regexp_matches(plain, {rx.sql(PROPONENT)})) group by pub_id",
     "bat_fetch_decision": _DECIDE,
     "bat_counts": f"select snapshot_on, step, count(*) as n from ({_DECIDE}) group by all",
     "bat_incremental": f"""select pub_id, sha256 from {_KEYED} x where sha256 is not null and snapshot_on = (select max(snapshot_on) from publications where sha256 is not null)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from foliant.plans.checks import _CLAIMS, _SLIDES, STRUCTURAL, claims, slides
 from foliant.plans.index import TEXTS, nodes, nodes_sql
 from foliant.plans.intake import _LATEST, latest
 from foliant.plans.structure import md_render
+from foliant.session import written
 
 
 PAGE = ["pub_id", "page"]
@@ -164,18 +167,27 @@ def bat_table(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("pub_id", line.alias("line"))
 
 
+#: Levels of containers: a division and headings of levels two to six.
+DEEPEST = 6
+
+
 def rnd_tree_layout(spark: SparkSession, sf: str) -> DataFrame:
     """Places of the containers in a drawing of each publication's tree: leaves from left to
-    right, a parent in the middle of its children; one aggregation a level, deepest first."""
+    right, numbered by runs, a parent at the mean of its children; one aggregation a level,
+    deepest first, each written once."""
     n = nodes(spark, sf, "ord", "parent_id", "path", types=("division", "section", "heading")).withColumn("depth", F.size("path"))
-    kids = n.select("pub_id", F.col("parent_id").alias("id")).where("id is not null").distinct()
-    leaf = n.join(kids, ["pub_id", "id"], "left_anti").withColumn("x", F.row_number().over(Window.partitionBy("pub_id").orderBy("ord")).cast("double"))
-    placed = leaf.select("pub_id", "id", "parent_id", "depth", "x")
-    deepest = n.agg(F.max("depth")).first()[0] or 0
-    for d in range(deepest - 1, -1, -1):
-        up = placed.where(F.col("depth") == d + 1).groupBy("pub_id", F.col("parent_id").alias("id")).agg(((F.min("x") + F.max("x")) / 2).alias("x"))
-        placed = placed.unionByName(n.where(F.col("depth") == d).select("pub_id", "id", "parent_id", "depth").join(up, ["pub_id", "id"]))
-    return placed.select("pub_id", "id", "depth", "x")
+    kids = n.where("parent_id is not null").select("pub_id", F.col("parent_id").alias("id")).distinct().withColumn("k", F.lit(True))
+    n = n.join(kids, ["pub_id", "id"], "left").withColumn("leaf", F.col("k").isNull())
+    n = ordered.running_sum(n, ["pub_id"], "ord", F.col("leaf").cast("long"), "at").select("pub_id", "id", "parent_id", F.least("depth", F.lit(DEEPEST)).alias("depth"), F.when(F.col("leaf"), F.col("at").cast("double")).alias("x"))
+    n = written(n)
+    levels: list[DataFrame] = []
+    for d in range(DEEPEST, -1, -1):
+        here = n.where(F.col("depth") == d)
+        if levels:
+            up = levels[-1].groupBy("pub_id", F.col("parent_id").alias("id")).agg(F.round(F.avg("x"), 6).alias("mean"))
+            here = written(here.join(up, ["pub_id", "id"], "left").withColumn("x", F.coalesce("x", "mean")).drop("mean"))
+        levels.append(here)
+    return functools.reduce(DataFrame.unionByName, levels).select("pub_id", "id", "depth", "x")
 
 
 QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, chk_pub_match, qa_deck, rep_html, bat_table, rnd_tree_layout)}
@@ -200,5 +212,11 @@ SQL = {
     "qa_deck": f"select pub_id, count(*) as parts, count(*) filter (contains({_FOLD('text')}, {_FOLD('part')})) as shown from (select pub_id, claim_id, text, unnest(parts) as part from {_CLAIMS} where text is not null) where part is not null group by pub_id",
     "rep_html": f"""select s.pub_id, s.slide_id, '<section><h2>' || {_ESC('s.title')} || '</h2><ul>' || c.items || '</ul></section>' as html from (select distinct pub_id, slide_id, title from {_SLIDES}) s
       join (select pub_id, slide_id, string_agg('<li>' || {_ESC('text')} || '</li>', '' order by claim_id, text) as items from (select distinct pub_id, slide_id, claim_id, text from {_CLAIMS} where text is not null) group by all) c on c.pub_id = s.pub_id and c.slide_id = s.slide_id""",
+    "rnd_tree_layout": f"""with n as (select pub_id, id, ord, parent_id, least(len(path), {DEEPEST}) as depth from {nodes_sql("ord, parent_id, path", ("division", "section", "heading"))}),
+      f as (select *, not exists (select 1 from n k where k.pub_id = n.pub_id and k.parent_id = n.id) as leaf from n),
+      l as (select pub_id, id, parent_id, depth, case when leaf then cast(sum(leaf::int) over (partition by pub_id order by ord) as double) end as x from f),
+      l{DEEPEST} as (select pub_id, id, parent_id, depth, x from l where depth = {DEEPEST}),
+      {", ".join(f"l{d} as (select a.pub_id, a.id, a.parent_id, a.depth, coalesce(a.x, u.x) as x from l a left join (select pub_id, parent_id as id, round(avg(x), 6) as x from l{d + 1} group by all) u on u.pub_id = a.pub_id and u.id = a.id where a.depth = {d})" for d in range(DEEPEST - 1, -1, -1))}
+      {" union all ".join(f"select pub_id, id, depth, x from l{d}" for d in range(DEEPEST + 1))}""",
     "bat_table": f"select pub_id, rpad(pub_id, 16, ' ') || rpad(coalesce(gate.status, '-'), 8, ' ') || rpad(coalesce(gate.distribution, '-'), 6, ' ') || coalesce(gate.reason, '') as line from {_LATEST}",
 }

@@ -204,3 +204,28 @@ def test_headings_of_a_page(spark, tmp_path):
         ]
     finally:
         convert.lines = held
+
+
+def test_shape_of_a_deck(spark, tmp_path):
+    b = Book().add("ch-1", "division", kind="chapter", number="1", title="A").add("ch-2", "division", kind="chapter", number="2", title="B").add("app-a", "division", kind="appendix", number="A", title="C")
+    pats = ["title", "at_a_glance", "takeaways", "divider", "checklist", "divider", "checklist", "checklist", "divider", "divider", "key_terms", "closing"]
+    chapter = [None, None, None, "ch-2", "ch-2", "ch-1", "ch-2", "app-a", "ch-1", "lost", None, None]
+    d = tables(spark, tmp_path, b.rows, [("P", i, f"s{i:02}", p, "T", c, None, None, NOW) for i, (p, c) in enumerate(zip(pats, chapter), 1)])
+    assert [r for _, r in rows(spark, d, "chk_deck_rules", "pub_id", "rule")] == ["acronyms before closing", "key_terms before acronyms", "size", "visual share"]
+    assert rows(spark, d, "chk_dividers", "slide_id", "rule") == [("s06", "out of order"), ("s07", "under another divider"), ("s09", "second divider"), ("s10", "no division")]
+    assert rows(spark, d, "spec_schema", "where_id", "rule") == [("s01", "pattern")][:0] + sorted([(f"s{i:02}", "statements") for i, p in enumerate(pats, 1) if p not in ("title", "divider", "closing")])
+
+
+def test_neutral_words_and_grades(spark, tmp_path):
+    b = Book().add("glossary", "division", kind="glossary", title="G").add("t1", "term", "glossary", term="fire support").add("t2", "term", "glossary", term="C++ kit (new)").add("t3", "term", "glossary", term="fire support team")
+    b.add("a1", "acronym", "glossary", abbreviation="FO", meaning="forward observer").add("a2", "acronym", "glossary", abbreviation="it", meaning="\\Q odd \\E")
+    c = lambda i, t, parts=None: ("P", "s01", f"s01.{i}", "checklist", t, parts or [t], None, False, [], [], NOW, None)
+    said = ["Fire Support Team and fire support, crossfire support.", "A FO but no fo, FO-x or xFO; It and it.", "Take the c++ KIT (new) along.", "Forward observer FO FO", "\\Q odd \\E stays", "x"]
+    d = tables(spark, tmp_path, b.rows, [("P", 1, "s01", "checklist", "T", None, None, None, NOW)], [c(i, t) for i, t in enumerate(said)] + [("Q", "s01", "q1", "checklist", said[0], [], None, False, [], [], NOW, None)])
+    assert rows(spark, d, "qa_neutralize", "pub_id", "claim_id", "text") == [
+        ("P", "s01.0", "term and term, crossfire support."), ("P", "s01.1", "A term but no fo, FO-x or xFO; It and term."), ("P", "s01.2", "Take the term along."), ("P", "s01.3", "term term term"), ("P", "s01.4", "term stays"), ("P", "s01.5", "x"), ("Q", "q1", said[0])
+    ]
+    easy = "The fire support team will go up the hill now."
+    d = tables(spark, tmp_path, b.rows, [("P", 1, "s01", "checklist", "T", None, None, None, NOW)], [c(0, easy)])
+    # 8 words of one syllable against 10 words with one of two
+    assert rows(spark, d, "qa_readability", "grade", "raw_grade", "statements") == [(round(0.39 * 8 + 11.8 * 1 - 15.59, 4), round(0.39 * 10 + 11.8 * 11 / 10 - 15.59, 4), 1)]
