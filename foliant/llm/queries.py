@@ -104,10 +104,15 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """How demanding each source's English documents are: documents and words by band."""
+    """How demanding the texts of each source (clean English documents) and of each deck
+    (statements, by publication) are: texts and words by band."""
+    formula = p4_formula(spark, sf)
     docs = table(spark, sf, "documents").where((F.col("stage") == "clean") & F.col("text").isNotNull())
-    g = reading.graded(docs.select("source", "text"), "text", p4_formula(spark, sf), 40, only_english=True).where(F.col("grade").isNotNull())
-    return g.groupBy("source", reading.band(F.col("grade")).alias("band")).agg(F.count("*").alias("documents"), F.sum("words").alias("words"))
+    docs = docs.select(F.lit("documents").alias("src"), F.col("source").alias("of"), "text")
+    said = table(spark, sf, "claims").where(~F.col("in_notes") & F.col("text").isNotNull()).select("pub_id", "claim_id", "text").distinct()
+    said = said.select(F.lit("claims").alias("src"), F.col("pub_id").alias("of"), "text")
+    g = reading.graded(docs, "text", formula, 40, only_english=True).unionByName(reading.graded(said, "text", formula, 8)).where(F.col("grade").isNotNull())
+    return g.groupBy("src", "of", reading.band(F.col("grade")).alias("band")).agg(F.count("*").alias("texts"), F.sum("words").alias("words"))
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
