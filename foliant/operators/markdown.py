@@ -191,7 +191,7 @@ def _emitted(d: DataFrame, key: list[str], size: int) -> DataFrame:
     empty = F.array().cast("array<struct<type:string,cells:array<string>>>")
     d = d.withColumn("out", F.concat(F.coalesce(stray, empty), F.coalesce(own, empty))).where(F.size("out") > 0)
     n = F.size(F.filter("out", lambda x: x["type"] != "legend"))
-    d = ordered.running_sum(d, key, "at", n, "upto", size=size)
+    d = ordered.running_sum(written(d), key, "at", n, "upto", size=size)
     d = d.withColumn("columns", F.when(is_("table"), cells(F.get(grid, F.lit(0))))).withColumn("rows", F.when(is_("table"), body))
     d = d.withColumn("first", F.col("upto") - n).withColumn("table_at", F.when(took, F.col("event.at"))).drop("type", "upto")
     return d.select("*", F.posexplode("out").alias("sub", "node")).select("*", "node.type", "node.cells").withColumn("ord", F.col("first") + F.col("sub")).drop("out", "node", "first", "sub", "event", "legend", "abbr")
@@ -231,9 +231,9 @@ def parse_blocks(df: DataFrame, key: list[str], at: str, block: str, size: int =
     a table that ends its key is dropped; text before the first division stands in one of its
     own. Columns of ``df`` other than those named play no part."""
     keys = [F.col(f"`{k}`") for k in key]
-    d = _classified(df, key, at, block)
-    d = _headed(d, key, size * 4)
-    d = _placed(_titled(d, key), key, size * 4)
+    # each pass by runs reads its rows twice: they are written before it
+    d = _headed(written(_classified(df, key, at, block)), key, size * 4)
+    d = _placed(written(_titled(d, key)), key, size * 4)
     # several things below are told of these rows: they are written once
     d = written(_emitted(d, key, size * 4).withColumn("list_at", F.coalesce("list_at", F.lit(-1))))
 
