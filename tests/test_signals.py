@@ -19,7 +19,7 @@ TEXTS = [
     "CAUTION", "Fire sup-\nport and fire\nsupport are one. fire support fire support. supports fires. The two types of step 1 then repeat the loop in a continuous cycle, first and next.",
     "", "No. 5 stands. J. K. Low said \"Stop.\" Then he left (see chapter 2). Whether it rains or not, unless told, whereas others differ.", None,
 ]
-CLAIMS = ["The MSP will use the plan of 3 March 2020 and FM 3-09, one of 1,200 copies; the fire support.", "Crews must carry 5 tow chains by chapter 2, not 7.", "fire support fire support support fire", "You should go to table 9-9. shall it be?"]
+CLAIMS = ["The MSP will use the plan of 3 March 2020 and FM 3-09, one of 1,200 copies; the fire support.", "Crews must carry 5 tow chains by chapter 2, not 7.", "fire support fire support support fire", "You should go to table 9-9. shall it be?", "MSP – medical thing", "ZZP: zed post", "Lost word – gone"]
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,7 @@ def tables(tmp_path_factory):
     pick = lambda ts, k: "case " + " ".join(f"when {k} % {len(ts) + 2} = {i} then {lit(t)}" for i, t in enumerate(ts))
     change = {
         "nodes": f"select * replace ({pick(TEXTS, 'ord')} else plain end as plain, case when ord % 7 = 1 then 'The _water point_ is a place. A _tow chain_ means a chain.' else text end as text, case when abbreviation is not null and ord % 2 = 0 then 'MSP' else abbreviation end as abbreviation, case when meaning is not null and ord % 2 = 0 then 'medical supply planner' else meaning end as meaning, case when type = 'heading' and level = 2 then 'FIRE SUPPORT PERSONNEL' when type = 'heading' and level >= 4 and ord % 2 = 0 then 'MEDICALSUPPLYPLANNER' when type = 'heading' and level >= 4 then 'TOWSUPPORT CREW' else title end as title) from s",
-        "claims": f"select * replace (case when pub_id || claim_id = (select min(pub_id || claim_id) from s) then 'Plan firesupport.' else {pick(CLAIMS, "length(coalesce(text, ''))")} else text end end as text) from s",
+        "claims": f"select * replace (case when pub_id || claim_id = (select min(pub_id || claim_id) from s) then 'Plan firesupport.' else {pick(CLAIMS, "length(coalesce(text, ''))")} else text end end as text, case when length(coalesce(text, '')) % 9 in (4, 5) then 'acronyms' when length(coalesce(text, '')) % 9 = 6 then 'key_terms' else pattern end as pattern) from s",
         "slides": "select * replace (case when slide_ord % 3 = 0 then 'You must not wait (1 of 2)' when slide_ord % 3 = 1 then 'You must not wait (2 of 2)' else title end as title) from s",
     }
     for f in sorted(os.listdir(SF)):
@@ -51,7 +51,7 @@ def test_equal(spark, tables, name):
     have = [x[0] for x in rel.description]
     assert got == sorted((tuple(plain(r[have.index(x)]) for x in cols) for r in rel.fetchall()), key=repr)
     if name not in ("tbl_overflow", "chk_pub_match", "chk_chapters_without_slides", "chk_acronym_entry"):
-        assert got or name in ("tbl_rebuild_select", "tbl_garbled_rows", "chk_container_cite", "tbl_legend_source", "qa_uncited", "qa_acronym_first_use")
+        assert got or name in ("tbl_rebuild_select", "tbl_garbled_rows", "chk_container_cite", "rev_unexplained", "tbl_legend_source", "qa_uncited", "qa_acronym_first_use")
 
 
 def test_known_rows(spark, tables):
