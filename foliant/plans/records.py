@@ -183,7 +183,32 @@ _P6 = " union ".join([
     _p6_sql("review_findings", "finding_no", "claim", "claims", "claim_id", "made_at", "withdrawn_at"),
 ])
 
+def _kids_sql(c: str) -> str:
+    """The objects among the children as given, as JSON[]."""
+    v = f"case when json_type({c}) = 'VARCHAR' then case when json_valid({c} ->> '$') then cast({c} ->> '$' as json) end else {c} end"
+    return f"list_filter(case json_type({v}) when 'OBJECT' then [{v}] when 'ARRAY' then from_json({v}, '[\"JSON\"]') else [] end, lambda e: json_type(e) = 'OBJECT')"
+
+
+# layer by layer out of its wrapping, then level by level down the tree
+_P2 = """
+with recursive u as (
+    select pub_id, received_at, cast(tree as json) as j, 0 as step from doc_trees where json_valid(tree)
+    union all
+    select pub_id, received_at, case json_type(j) when 'VARCHAR' then cast(j ->> '$' as json) when 'ARRAY' then j -> 0 else coalesce(j -> 'tree', j -> 'doc_tree', j -> 'document', j -> 'data', j -> 'payload') end, step + 1 from u
+    where json_type(j) = 'VARCHAR' and json_valid(j ->> '$') or json_type(j) = 'ARRAY' and json_array_length(j) = 1 and json_type(j -> 0) = 'OBJECT'
+      or json_type(j) = 'OBJECT' and not json_exists(j, '$.divisions') and (json_exists(j, '$.tree') or json_exists(j, '$.doc_tree') or json_exists(j, '$.document') or json_exists(j, '$.data') or json_exists(j, '$.payload'))),
+  d as (select pub_id, received_at, j -> 'divisions' as top from u where json_type(j) = 'OBJECT' and json_exists(j, '$.divisions')),
+  r as (select pub_id, arg_max(top, received_at) as top from d where json_type(top) <> 'VARCHAR' or trim(top ->> '$') = '' or json_valid(top ->> '$') group by pub_id),
+  n as (
+    select pub_id, [i] as path, x from (select pub_id, unnest(xs) as x, generate_subscripts(xs, 1) as i from (select pub_id, __TOP__ as xs from r))
+    union all
+    select pub_id, list_append(path, i), y from (select pub_id, path, unnest(xs) as y, generate_subscripts(xs, 1) as i from (select pub_id, path, __KIDS__ as xs from n)))
+  , o as (select pub_id, path, row_number() over (partition by pub_id order by path) as ord, x ->> 'type' as node_type from n)
+select o.pub_id, cast(o.ord as int) as ord, cast(coalesce(p.ord, 0) as int) as parent_ord, o.node_type from o left join o p on p.pub_id = o.pub_id and p.path = o.path[:len(o.path) - 1]
+""".replace("__TOP__", _kids_sql("top")).replace("__KIDS__", _kids_sql("(x -> 'children')"))
+
 SQL = {
+    "p2_found": _P2,
     "p5_found": _p5_sql("publications") + " union all " + _p5_sql("para_snapshots"),
     "p5_values": _p5_values_sql("publications") + " union all " + _p5_values_sql("para_snapshots"),
     "p6_found": _P6,
