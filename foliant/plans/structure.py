@@ -187,6 +187,15 @@ def md_parse(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("pub_id", "ord", "id", "parent_id", "type", "cite", "page", "page_label", "number", "title", "depth", "plain")
 
 
+NUMBERED = ("division", "paragraph", "table", "figure", "term", "acronym")
+
+
+def md_numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """What has a number or name of its own comes back from the Markdown under its old id."""
+    d = md_parse(spark, sf).where(F.col("type").isin(*NUMBERED))
+    return d.select("pub_id", "type", F.lower("id").alias("id"), "number")
+
+
 def md_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Nodes read back by type; each node that was written comes back once."""
     return md_parse(spark, sf).groupBy("type").agg(F.count("*").alias("n"))
@@ -234,7 +243,7 @@ def md_table_cells(spark: SparkSession, sf: str) -> DataFrame:
     return b.where("row_no > 0").select("pub_id", "id", F.posexplode(F.split(inner, r"(?<!\\)\|")).alias("col_no", "c"), F.col("row_no").alias("row_no")).select("pub_id", "id", "row_no", "col_no", F.trim(F.regexp_replace("c", r"\\\|", "|")).alias("cell"))
 
 
-QUERIES = {f.__name__: f for f in (walk, walk_recursive, text_nodes, section_title, node_text, node_words, units, descend, subtree_ids, drop_covered, uid, containment, md_render, pkt_fulltext, md_parse, md_counts, md_blocks, md_block_kinds, md_page_asof, md_terms, md_table_cells)}
+QUERIES = {f.__name__: f for f in (walk, walk_recursive, text_nodes, section_title, node_text, node_words, units, descend, subtree_ids, drop_covered, uid, containment, md_render, pkt_fulltext, md_parse, md_numbered, md_counts, md_blocks, md_block_kinds, md_page_asof, md_terms, md_table_cells)}
 
 _EACH = f"(select pub_id, id, ord, type, unnest(list_append(path, id)) as anc, own as t from (select *, trim({_OWN_SQL}) as own from {nodes_sql(_OWN_COLS)}))"
 _CITED = f"(select distinct pub_id, {tx.bare_sql('node_id')} as id from claim_cites where node_id is not null)"
@@ -257,6 +266,8 @@ SQL = {
       select *, case type when 'acronym' then 'acr-' || {tx.slug_sql('abbreviation')} else 'term-' || {tx.slug_sql('term')} end as base from {nodes_sql('ord, type, abbreviation, term', ('acronym', 'term'))}))""",
     "containment": f"""select parent_type, type, n, case when parent_type in {_IN(CONTAINERS)} then type <> 'division' when parent_type = 'paragraph' then type in ('list_item', 'text') when parent_type = 'list_item' then type = 'list_item' else false end as allowed
       from (select p.type as parent_type, n.type, count(*) as n from {nodes_sql('type, parent_id')} n join {nodes_sql('type')} p on p.pub_id = n.pub_id and p.id = n.parent_id group by all)""",
+    # there and back: the nodes that the Markdown was made of
+    "md_numbered": f"select pub_id, type, lower(id) as id, number from {nodes_sql('type, number', NUMBERED)}",
     # the markers carry each node's own page, and nothing else
     "md_page_asof": f"select pub_id, id, page, page_label from {nodes_sql('page, page_label')}",
     "md_terms": f"select pub_id, id, term, definition, source, proponent from {nodes_sql('term, definition, source, proponent', ('term',))}",
