@@ -98,7 +98,7 @@ def latest(spark: SparkSession, sf: str) -> DataFrame:
     """Each publication's last record."""
     p = table(spark, sf, "publications")
     s = F.struct("snapshot_on", "fetched_at", "sha256")
-    return p.groupBy("pub_id").agg(F.max_by(F.struct("sha256", "pub_date", "supersedes", "gate", "fetched_at"), s).alias("m")).select("pub_id", "m.*")
+    return p.groupBy("pub_id").agg(F.max_by(F.struct("sha256", "pub_date", "supersedes", "gate", "fetched_at", "source_url"), s).alias("m")).select("pub_id", "m.*")
 
 
 _LATEST = "(select * from (select *, row_number() over (partition by pub_id order by snapshot_on desc, fetched_at desc nulls last, sha256 desc nulls last) as k from publications) where k = 1)"

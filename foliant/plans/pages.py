@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from foliant.functions import rx, text as tx
 from foliant.operators import ordered, tables as tb
 from foliant.plans import index as ix
-from foliant.plans.checks import _CLAIMS, _SLIDES, STRUCTURAL, claims, slides
+from foliant.plans.checks import _CLAIMS, _SLIDES, SQL as CHECKS_SQL, chk_unknown_nodes, claims, slides, spec_schema
 from foliant.plans.index import TEXTS, nodes, nodes_sql
-from foliant.plans.intake import _LATEST, latest
+from foliant.plans.intake import _LATEST, SQL as INTAKE_SQL, guard_tree_current, latest
 from foliant.plans.structure import md_render
 from foliant.session import written
 
@@ -160,6 +160,24 @@ def rep_html(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("pub_id", "slide_id", F.concat(F.lit("<section><h2>"), _esc(F.col("title")), F.lit("</h2><ul>"), items, F.lit("</ul></section>")).alias("html"))
 
 
+def bat_process(spark: SparkSession, sf: str) -> DataFrame:
+    """How far each publication gets through the stages, and what stops it: fetch, gate, convert,
+    index, plan, check. Each is a row of its own, so that none's failure stops another."""
+    p = latest(spark, sf).select("pub_id", "sha256", "gate", "source_url")
+    trees = guard_tree_current(spark, sf).groupBy("pub_id").agg(F.max(F.col("state") == "current").alias("current"))
+    held = nodes(spark, sf).select("pub_id").distinct().withColumn("indexed", F.lit(True))
+    spec = slides(spark, sf).select("pub_id").distinct().withColumn("planned", F.lit(True))
+    errors = spec_schema(spark, sf).select("pub_id").unionAll(chk_unknown_nodes(spark, sf).select("pub_id")).groupBy("pub_id").agg(F.count("*").alias("errors"))
+    j = p.join(trees, "pub_id", "left").join(held, "pub_id", "left").join(spec, "pub_id", "left").join(errors, "pub_id", "left")
+    c, step = F.col, lambda stage, status: F.struct(F.lit(stage).alias("stage"), F.lit(status).alias("status"))
+    at = (
+        F.when(c("source_url").isNull() & c("sha256").isNull(), step("fetch", "no_input")).when(~c("gate.status").eqNullSafe("pass"), step("gate", "rejected"))
+        .when(c("current").isNull() & c("indexed").isNull(), step("convert", "failed: no document tree")).when(c("indexed").isNull() & ~c("current"), step("convert", "failed: tree of another file"))
+        .when(c("indexed").isNull(), step("index", "failed: no indexes")).when(c("planned").isNull(), step("plan", "needs_planning")).when(c("errors") > 0, step("check", "failed: errors")).otherwise(step("check", "done"))
+    )
+    return j.select("pub_id", at.alias("at"), F.coalesce("errors", F.lit(0)).alias("errors")).select("pub_id", "at.stage", "at.status", "errors")
+
+
 def bat_table(spark: SparkSession, sf: str) -> DataFrame:
     """The last records as lines of an aligned table."""
     d = latest(spark, sf)
@@ -190,12 +208,11 @@ def rnd_tree_layout(spark: SparkSession, sf: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, levels).select("pub_id", "id", "depth", "x")
 
 
-QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, chk_pub_match, qa_deck, rep_html, bat_table, rnd_tree_layout)}
+QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, chk_pub_match, qa_deck, rep_html, bat_process, bat_table, rnd_tree_layout)}
 
 _BARE = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]+', '', 'g')"
 _ESC = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 _FOLD = lambda c: f"regexp_replace(translate(lower({c}), '“”‘’', '\"\"'''''), '\\s+', ' ', 'g')"
-_ST = "(" + ", ".join(f"'{p}'" for p in STRUCTURAL) + ")"
 SQL = {
     "idx_role_sources": f"select pub_id, source, count(*) as n from ({ix.ROLES_SQL}) group by all",
     "tbl_overflow": f"""select pub_id, id, after_id, cast(case when hit > 0 then hit - 1 end as int) as cell_no, case when hit > 0 then case when length({_BARE('after')}) >= length({_BARE('lst[hit]')}) then after else lst[hit] end end as cell from (
@@ -218,5 +235,11 @@ SQL = {
       l{DEEPEST} as (select pub_id, id, parent_id, depth, x from l where depth = {DEEPEST}),
       {", ".join(f"l{d} as (select a.pub_id, a.id, a.parent_id, a.depth, coalesce(a.x, u.x) as x from l a left join (select pub_id, parent_id as id, round(avg(x), 6) as x from l{d + 1} group by all) u on u.pub_id = a.pub_id and u.id = a.id where a.depth = {d})" for d in range(DEEPEST - 1, -1, -1))}
       {" union all ".join(f"select pub_id, id, depth, x from l{d}" for d in range(DEEPEST + 1))}""",
+    "bat_process": f"""select p.pub_id, case when p.source_url is null and p.sha256 is null then 'fetch' when p.gate.status is distinct from 'pass' then 'gate' when not coalesce(t.current, false) and not n.there then 'convert' when not n.there then 'index' when not s.there then 'plan' else 'check' end as stage,
+      case when p.source_url is null and p.sha256 is null then 'no_input' when p.gate.status is distinct from 'pass' then 'rejected' when t.current is null and not n.there then 'failed: no document tree' when not n.there and not t.current then 'failed: tree of another file'
+        when not n.there then 'failed: no indexes' when not s.there then 'needs_planning' when coalesce(e.errors, 0) > 0 then 'failed: errors' else 'done' end as status, coalesce(e.errors, 0) as errors
+      from {_LATEST} p left join (select pub_id, bool_or(state = 'current') as current from ({INTAKE_SQL["guard_tree_current"]}) group by pub_id) t on t.pub_id = p.pub_id
+      cross join lateral (select exists (select 1 from nodes x where x.pub_id = p.pub_id) as there) n cross join lateral (select exists (select 1 from slides x where x.pub_id = p.pub_id) as there) s
+      left join (select pub_id, count(*) as errors from (select pub_id from ({CHECKS_SQL["spec_schema"]}) union all select pub_id from ({CHECKS_SQL["chk_unknown_nodes"]})) group by pub_id) e on e.pub_id = p.pub_id""",
     "bat_table": f"select pub_id, rpad(pub_id, 16, ' ') || rpad(coalesce(gate.status, '-'), 8, ' ') || rpad(coalesce(gate.distribution, '-'), 6, ' ') || coalesce(gate.reason, '') as line from {_LATEST}",
 }
