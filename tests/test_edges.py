@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["p2_found", "p2_node_table", "p5_found", "p6_found", "p6_report"]
+NAMES = ["p2_found", "p2_node_table", "p5_found", "p5_values", "p6_found", "p6_report"]
 EXTRA = ["_h", "_v", "reason", "change_kind", "ord", "_first", "_deep", "key", "spans"]
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
