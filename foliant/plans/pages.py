@@ -11,6 +11,7 @@ from foliant.functions import rx, text as tx
 from foliant.operators import ordered, tables as tb
 from foliant.plans import index as ix
 from foliant.plans.checks import _CLAIMS, _SLIDES, SQL as CHECKS_SQL, chk_unknown_nodes, claims, slides, spec_schema
+from foliant.plans.convert import blk_join_pages, blk_zones, tbl_merge_continued
 from foliant.plans.index import TEXTS, nodes, nodes_sql
 from foliant.plans.intake import _LATEST, SQL as INTAKE_SQL, guard_tree_current, latest
 from foliant.plans.structure import md_render
@@ -160,6 +161,22 @@ def rep_html(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("pub_id", "slide_id", F.concat(F.lit("<section><h2>"), _esc(F.col("title")), F.lit("</h2><ul>"), items, F.lit("</ul></section>")).alias("html"))
 
 
+def conv_passes(spark: SparkSession, sf: str) -> DataFrame:
+    """The passes of a conversion in their order, and how often each did its work in each
+    publication: (pub_id, pass_no, counter, n). What a pass never did has no row."""
+    heads, garbled = blk_resolve_headings(spark, sf), tbl_ungarble(spark, sf)
+    once = F.lit(1)
+    passes = [
+        ("pages_converted", md_render(spark, sf), once), ("headings", heads.where("from_seq is not null"), once), ("headings_unplaced", heads.where("from_seq is null"), once),
+        ("zoned_nodes", blk_zones(spark, sf), once), ("table_overflow_absorbed", tbl_overflow(spark, sf).where("cell_no is not null"), once),
+        ("continued_tables_merged", tbl_merge_continued(spark, sf), F.col("parts") - 1), ("page_break_joins", blk_join_pages(spark, sf), F.col("parts") - 1),
+        ("table_rows_rebuilt", garbled.where("rebuilt is not null"), once), ("table_rows_scrambled", garbled.where("rebuilt is null"), once), ("table_rows_repaired", tbl_repair(spark, sf), F.col("fixes")),
+        ("glossary_terms", nodes(spark, sf, types=("term",)), once), ("tables", nodes(spark, sf, types=("table",)), once), ("numbered_paragraphs", nodes(spark, sf, types=("paragraph",)), once),
+    ]
+    got = [df.groupBy("pub_id").agg(F.sum(n).alias("n")).select("pub_id", F.lit(i).alias("pass_no"), F.lit(name).alias("counter"), "n") for i, (name, df, n) in enumerate(passes, 1)]
+    return functools.reduce(DataFrame.unionByName, got).where("n > 0")
+
+
 def bat_process(spark: SparkSession, sf: str) -> DataFrame:
     """How far each publication gets through the stages, and what stops it: fetch, gate, convert,
     index, plan, check. Each is a row of its own, so that none's failure stops another."""
@@ -208,7 +225,7 @@ def rnd_tree_layout(spark: SparkSession, sf: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, levels).select("pub_id", "id", "depth", "x")
 
 
-QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, chk_pub_match, qa_deck, rep_html, bat_process, bat_table, rnd_tree_layout)}
+QUERIES = {f.__name__: f for f in (blk_parse_page, blk_resolve_headings, tbl_dedupe_notes, tbl_overflow, tbl_repair, tbl_row_islands, tbl_garbled_rows, tbl_ungarble, idx_role_segment, idx_role_sources, pkt_terms, chk_pub_match, qa_deck, rep_html, conv_passes, bat_process, bat_table, rnd_tree_layout)}
 
 _BARE = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]+', '', 'g')"
 _ESC = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"

@@ -229,3 +229,12 @@ def test_neutral_words_and_grades(spark, tmp_path):
     d = tables(spark, tmp_path, b.rows, [("P", 1, "s01", "checklist", "T", None, None, None, NOW)], [c(0, easy)])
     # 8 words of one syllable against 10 words with one of two
     assert rows(spark, d, "qa_readability", "grade", "raw_grade", "statements") == [(round(0.39 * 8 + 11.8 * 1 - 15.59, 4), round(0.39 * 10 + 11.8 * 11 / 10 - 15.59, 4), 1)]
+
+
+def test_passes_of_a_conversion(spark, tmp_path):
+    b = Book().add("ch-1", "division", kind="chapter", number="1", title="Fires", level=1, page=1).add("p1", "paragraph", "ch-1", number="1-1", plain="The crew moves to the", page=1)
+    b.add("t1", "table", "ch-1", number="1-1", caption="Table 1-1. Cap", columns=["A", "C"], rows=[["1", "2"], ["a", "b"], ["", "more"]], grid=True, page=1).add("x2", "text", "ch-1", plain="bridge at dawn.", page=2)
+    heading(b, "h1", "ch-1", "Next Step", 2)
+    d = tables(spark, tmp_path, [tuple(2 if i == 8 and r[0] == "P" and r[2] == "h1" else v for i, v in enumerate(r)) for r in b.rows])
+    got = dict(rows(spark, d, "conv_passes", "counter", "n"))
+    assert got == {"pages_converted": 2, "headings": 2, "zoned_nodes": 5, "page_break_joins": 1, "table_rows_repaired": 2, "tables": 1, "numbered_paragraphs": 1}
