@@ -27,9 +27,15 @@ def merged_schema(df: DataFrame, col: str) -> T.DataType:
     """The schema that covers every JSON string of ``col`` (unreadable ones are
     left out). Partial schemas are merged on the executors; one type comes back.
     A null-only or empty column gives ``VOID``."""
-    one = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()[0]
+    return _merged(df, col)[0]
+
+
+def _merged(df: DataFrame, col: str) -> tuple[T.DataType, int]:
+    """``merged_schema`` and how many strings were left out."""
+    p = df.where(F.col(col).isNotNull()).select(F.try_parse_json(F.col(col)).alias("p"))
+    one, lost = p.agg(F.schema_of_variant_agg("p"), F.count_if(F.col("p").isNull())).first()
     ddl = (one or "VOID").replace("OBJECT<", "STRUCT<")
-    return T._parse_datatype_string(ddl) if ddl not in ("VOID", "VARIANT") else T.NullType()
+    return T._parse_datatype_string(ddl) if ddl not in ("VOID", "VARIANT") else T.NullType(), lost
 
 
 def held_type(t: T.DataType) -> T.DataType:
@@ -263,7 +269,10 @@ class Shape:
 
 def shape(docs: DataFrame, kids: str) -> Shape:
     """The merged schema over all pieces of all documents, its levels laid over one another."""
-    at = merged_schema(docs.select(F.explode("_pieces.body").alias("b")), "b")
+    # levels and fields are inferred from every piece: one that can't be read must not be passed over
+    at, lost = _merged(docs.select(F.explode("_pieces.body").alias("b")), "b")
+    if lost:
+        raise ValueError(f"{lost} pieces of documents are too large to be read")
     fields: T.DataType = T.NullType()
     n = 0
     while isinstance(at, T.ArrayType) and isinstance(at.elementType, T.StructType):
@@ -276,14 +285,17 @@ def shape(docs: DataFrame, kids: str) -> Shape:
 
 def typed(docs: DataFrame, key: list[str], kids: str, fields: dict[str, T.DataType], levels: int) -> DataFrame:
     """``key``, ``prefix`` and ``v``: each piece as nested arrays of structs, read once with the
-    merged schema. Fields go by place (f0, f1, ..), as names may differ by letter case only."""
+    merged schema. Fields go by place (f0, f1, ..), as names may differ by letter case only. A
+    piece that is too large to be read (128 MB, or a single text of tens of millions of signs) is
+    an error, never a loss."""
     named, placed = None, None
     for _ in range(levels):
         own = [T.StructField(f, t) for f, t in fields.items()] + ([T.StructField(kids, named)] if named else [])
         at = [T.StructField(f"f{i}", t) for i, t in enumerate(fields.values())] + ([T.StructField("kids", placed)] if placed else [])
         named, placed = T.ArrayType(T.StructType(own)), T.ArrayType(T.StructType(at))
     each = docs.select(*[F.col(f"`{k}`") for k in key], F.inline("_pieces"))
-    return each.select(*[F.col(f"`{k}`") for k in key], "prefix", F.from_json("body", named).cast(placed).alias("v"))
+    lost = F.raise_error(F.lit("a piece of a document is too large to be read")).cast(placed)
+    return each.select(*[F.col(f"`{k}`") for k in key], "prefix", F.coalesce(F.from_json("body", named).cast(placed), lost).alias("v"))
 
 
 def child_tables(pieces_: DataFrame, key: list[str], n_fields: int, levels: int) -> list[DataFrame]:
