@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import rx, text as tx
 from foliant.operators import tables
-from foliant.session import table
+from foliant.session import table, written
 
 TEXTS = ("paragraph", "list_item", "text")
 
@@ -304,21 +304,32 @@ ROLES_SQL = f"""
     on h.pub_id = a.pub_id and h.key = a.key"""
 
 
+#: Most words that are broadcast to pass over others.
+BROADCAST_WORDS = 100_000
+
+
 def role_mentions(spark: SparkSession, sf: str) -> DataFrame:
     """Text nodes with each role that they name: the name in any case, from the begin of a word
     on, or the abbreviation as a token. Nodes and roles meet on a name's first word or the
     abbreviation (an equi-join, of which no key holds more than the uses of one word in one
-    publication), and the rest of the name is looked for in what meets."""
+    publication) by their ids alone, and the rest of the name is looked for in what meets. Words
+    that no role of any publication begins with are passed over before, unless those with which
+    one does are too many for a broadcast."""
     r = roles(spark, sf).select("pub_id", "key", "name", "abbreviation")
-    by_name = r.select("*", F.lower(F.regexp_extract("name", r"([\p{L}\p{N}]+)", 1)).alias("w"), F.lit(True).alias("named"))
-    by_abbr = r.where("abbreviation is not null").select("*", F.col("abbreviation").alias("w"), F.lit(False).alias("named"))
-    seeds = by_name.unionByName(by_abbr)
-    n = nodes(spark, sf, "ord", "cite", "plain", types=TEXTS).where(F.col("plain").isNotNull())
-    tokens = F.array_distinct(F.concat(F.split(F.lower("plain"), r"[^\p{L}\p{N}]+"), F.split("plain", "[^A-Za-z0-9-]+")))
-    each = n.select("pub_id", F.col("id").alias("node_id"), "ord", "cite", "plain", F.explode(tokens).alias("w"))
-    hit = each.join(seeds, ["pub_id", "w"]).where(F.when(F.col("named"), F.contains(F.lower("plain"), F.lower("name"))).otherwise(F.array_contains(F.split("plain", "[^A-Za-z0-9-]+"), F.col("abbreviation"))))
-    g = hit.groupBy("pub_id", "node_id", "ord", "cite", "plain", "key", "name", "abbreviation").agg(F.max("named").alias("by_name"), F.max(~F.col("named")).alias("by_abbreviation"))
-    return g
+    # both in one pass, so that the plan of the roles stands in the query once
+    by_name = F.struct(F.lower(F.regexp_extract("name", r"([\p{L}\p{N}]+)", 1)).alias("w"), F.lit(True).alias("named"))
+    seeds = r.select("*", F.inline(F.array(by_name, F.struct(F.col("abbreviation").alias("w"), F.lit(False).alias("named"))))).where("w is not null")
+    seeds = written(seeds)
+    n = nodes(spark, sf, "ord", "cite", "plain", types=TEXTS).where(F.col("plain").isNotNull()).withColumnRenamed("id", "node_id")
+    low, own = F.split(F.lower("plain"), r"[^\p{L}\p{N}]+"), F.split("plain", "[^A-Za-z0-9-]+")
+    each = n.select("pub_id", "node_id", F.explode(F.array_distinct(F.concat(low, own))).alias("w"))
+    begins = seeds.select("w").distinct()
+    if begins.count() <= BROADCAST_WORDS:
+        each = each.join(F.broadcast(begins), "w", "left_semi")
+    met = each.join(seeds, ["pub_id", "w"]).distinct()
+    hit = met.join(n, ["pub_id", "node_id"])
+    hit = hit.where(F.when(F.col("named"), F.contains(F.lower("plain"), F.lower("name")) & F.array_contains(F.array_union(low, own), F.col("w"))).otherwise(F.array_contains(own, F.col("abbreviation"))))
+    return hit.groupBy("pub_id", "node_id", "ord", "cite", "plain", "key", "name", "abbreviation").agg(F.max("named").alias("by_name"), F.max(~F.col("named")).alias("by_abbreviation"))
 
 
 def idx_roles(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,10 +354,11 @@ IDX_ROLES_SQL = f"""
   select r.pub_id, r.name, r.abbreviation, r.kind, r.source, r.defined_at, cast(coalesce(a.mention_count, 0) as bigint) as mention_count, coalesce(a.cites, '') as cites from ({ROLES_SQL}) r left join a on a.pub_id = r.pub_id and a.key = r.key"""
 
 
-def role_duties(spark: SparkSession, sf: str) -> DataFrame:
+def role_duties(spark: SparkSession, sf: str, mentions: DataFrame | None = None) -> DataFrame:
     """Sentences in which a directive begins at most 60 signs after the role is named;
-    a role's first 100 in document order."""
-    m = role_mentions(spark, sf).select("pub_id", "node_id", "ord", "cite", "key", "name", "abbreviation", F.posexplode(tx.sentences(F.col("plain"))).alias("sentence_no", "sentence"))
+    a role's first 100 in document order. ``mentions``: those of ``role_mentions``, where they
+    are at hand."""
+    m = (role_mentions(spark, sf) if mentions is None else mentions).select("pub_id", "node_id", "ord", "cite", "key", "name", "abbreviation", F.posexplode(tx.sentences(F.col("plain"))).alias("sentence_no", "sentence"))
     by_name = F.instr(F.lower("sentence"), F.lower("name"))
     by_abbr = F.coalesce(F.instr(F.concat(F.lit(" "), F.regexp_replace("sentence", "[^A-Za-z0-9-]", " "), F.lit(" ")), F.concat(F.lit(" "), "abbreviation", F.lit(" "))), F.lit(0))
     last = F.when(by_name > 0, by_name + F.length("name") - 1).when(by_abbr > 0, by_abbr + F.length("abbreviation") - 1)

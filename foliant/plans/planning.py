@@ -11,6 +11,7 @@ from foliant.functions import rx, text as tx
 from foliant.plans import index as ix
 from foliant.plans.index import TEXTS, nodes, nodes_sql
 from foliant.plans.structure import CONTAINERS, SQL as STRUCTURE_SQL, descend, node_words
+from foliant.session import written
 
 # Title rules (pattern, words, points) and counted words.
 TITLE_RULES = [
@@ -41,26 +42,29 @@ _K = ("deadline", "duration", "time_reference")
 _NAMES = [f"dir_{s}" for s in _S] + [f"time_{k}" for k in _K] + ["definition", "duty"]
 
 
-def cls_node_signals(spark: SparkSession, sf: str) -> DataFrame:
+def cls_node_signals(spark: SparkSession, sf: str, mentions: DataFrame | None = None) -> DataFrame:
     """Counts of each signal per node: directives by strength, times by kind, definitions, duties."""
     parts = [
         ix.directives(spark, sf).select("pub_id", "node_id", F.concat(F.lit("dir_"), "strength").alias("signal")),
         ix.deadlines(spark, sf).select("pub_id", "node_id", F.concat(F.lit("time_"), "kind").alias("signal")),
         ix.idx_inline_defs(spark, sf).select("pub_id", "node_id", F.lit("definition").alias("signal")),
-        ix.role_duties(spark, sf).select("pub_id", "node_id", F.lit("duty").alias("signal")),
+        ix.role_duties(spark, sf, mentions).select("pub_id", "node_id", F.lit("duty").alias("signal")),
     ]
     u = functools.reduce(DataFrame.unionByName, parts)
     return u.groupBy("pub_id", "node_id").agg(*[F.count_if(F.col("signal") == s).alias(s) for s in _NAMES])
 
 
 def unit_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Every unit's counts, summed over its nodes (no unit's text is put together)."""
+    """Every unit's counts, summed over its nodes (no unit's text is put together). Mentions,
+    units and signals are written first: the driver never holds the plans of all in one."""
+    mentions = written(ix.role_mentions(spark, sf))
+    at = written(descend(spark, sf))
+    sig = written(cls_node_signals(spark, sf, mentions)).withColumnRenamed("node_id", "id")
     t = F.coalesce("plain", "caption", F.lit(""))
     counts = {"words": F.size(F.filter(F.split(t, r"\s+"), lambda x: x != ""))} | {k: F.size(tx.found(t, p)) for k, p in COUNTED.items()}
     flags = {"is_grid": F.col("grid") & (F.size("rows") > 0), "is_safe": t.rlike(SAFETY), "is_duty": t.rlike(DUTY_WORD), "is_action": t.rlike(ACTION), "is_lead": (F.col("type") == "paragraph") & F.rtrim(t).endswith(":")}
     n = nodes(spark, sf, "type", "depth", "parent_id", derived=counts | flags, where=~F.col("type").isin(*CONTAINERS))
-    sig = cls_node_signals(spark, sf).withColumnRenamed("node_id", "id")
-    j = n.join(descend(spark, sf), ["pub_id", "id"]).join(sig, ["pub_id", "id"], "left")
+    j = n.join(at, ["pub_id", "id"]).join(sig, ["pub_id", "id"], "left")
     # paragraphs that have something below them
     up = nodes(spark, sf, "parent_id", "type").where(~F.col("type").isin(*CONTAINERS)).select("pub_id", F.col("parent_id").alias("id")).distinct().withColumn("has_kids", F.lit(True))
     j = j.join(up, ["pub_id", "id"], "left")
@@ -73,8 +77,8 @@ def unit_counts(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if((c("type") == "text") & c("is_safe")).alias("n_safe"),
     )
     # names and abbreviations of three letters and more count apart
-    m = ix.role_mentions(spark, sf).select("pub_id", F.col("node_id").alias("id"), F.explode(F.array(F.when(c("by_name") & (F.length("name") >= 3), F.lower("name")), F.when(c("by_abbreviation") & (F.length("abbreviation") >= 3), c("abbreviation")))).alias("who")).where("who is not null")
-    named = m.join(descend(spark, sf), ["pub_id", "id"]).groupBy("pub_id", "unit").agg(F.countDistinct("who").alias("n_named"))
+    m = mentions.select("pub_id", F.col("node_id").alias("id"), F.explode(F.array(F.when(c("by_name") & (F.length("name") >= 3), F.lower("name")), F.when(c("by_abbreviation") & (F.length("abbreviation") >= 3), c("abbreviation")))).alias("who")).where("who is not null")
+    named = m.join(at, ["pub_id", "id"]).groupBy("pub_id", "unit").agg(F.countDistinct("who").alias("n_named"))
     return g.join(named, ["pub_id", "unit"], "left").fillna(0, ["n_named"])
 
 
@@ -113,7 +117,7 @@ def cls_hints(spark: SparkSession, sf: str) -> DataFrame:
     """The four best patterns of each unit: points of the rules that hold, summed; ties go to
     the pattern whose rule came first; a unit without points falls back."""
     box = nodes(spark, sf, "type", "kind", "title", types=CONTAINERS).select("pub_id", F.col("id").alias("unit"), F.col("type").alias("unit_type"), "kind", F.coalesce("title", F.lit("")).alias("title"))
-    u = unit_counts(spark, sf).join(box, ["pub_id", "unit"])
+    u = written(unit_counts(spark, sf)).join(box, ["pub_id", "unit"])
     seq = 0
     rules = []
     for pattern, rule, pts in TITLE_RULES:
@@ -123,8 +127,8 @@ def cls_hints(spark: SparkSession, sf: str) -> DataFrame:
         seq += 1
         rules.append(F.when(F.expr(cond), F.struct(F.lit(pattern).alias("pattern"), F.expr(pts).cast("double").alias("pts"), F.lit(seq).alias("seq"))))
     hit = F.filter(F.array(*rules), lambda x: x.isNotNull())
-    fall = F.array(F.struct(F.when(F.col("words") < 300, "key_idea").otherwise("checklist").alias("pattern"), F.lit(0.5).alias("pts"), F.lit(99).alias("seq")))
-    rows = u.select("pub_id", "unit", "words", F.explode(F.when(F.size(hit) > 0, hit).otherwise(fall)).alias("r"))
+    fall = F.struct(F.when(F.col("words") < 300, "key_idea").otherwise("checklist").alias("pattern"), F.lit(0.5).alias("pts"), F.lit(99).alias("seq"))
+    rows = u.select("pub_id", "unit", "words", F.explode_outer(hit).alias("r")).withColumn("r", F.coalesce("r", fall))
     g = rows.groupBy("pub_id", "unit", "words", "r.pattern").agg(F.sum(F.round(F.col("r.pts") * 100).cast("long")).alias("points"), F.min("r.seq").alias("seq"))
     k = F.row_number().over(Window.partitionBy("pub_id", "unit").orderBy(F.desc("points"), "seq"))
     return g.withColumn("rank", k).where("rank <= 4").select("pub_id", "unit", "words", "pattern", "points", "rank")
