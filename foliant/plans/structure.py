@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
 from foliant.operators import markdown, ordered
 from foliant.plans.index import CONTAINERS, TEXTS, nodes, nodes_sql, sections
-from foliant.session import table
+from foliant.session import table, written
 
 _IN = lambda ts: "(" + ", ".join(f"'{t}'" for t in ts) + ")"
 
@@ -18,16 +20,28 @@ def walk(spark: SparkSession, sf: str) -> DataFrame:
     return nodes(spark, sf, "ord", "type", "path").select("pub_id", "ord", "id", "type", F.size("path").alias("depth"), F.array_join("path", "/").alias("ancestors"))
 
 
+#: From this level on the links are looked over for a circle below a root.
+DEEP = 100
+
+
 def walk_recursive(spark: SparkSession, sf: str) -> DataFrame:
     """Depth and root of each node from the parent links alone: one join a level, the
-    frontier being the only side that moves."""
-    n = nodes(spark, sf, "parent_id")
-    n.createOrReplaceTempView("foliant_links")
-    return spark.sql("""
-        WITH RECURSIVE t(pub_id, id, root, depth) AS (
-          SELECT pub_id, id, id, 0 FROM foliant_links WHERE parent_id IS NULL
-          UNION ALL SELECT n.pub_id, n.id, t.root, t.depth + 1 FROM foliant_links n JOIN t ON n.pub_id = t.pub_id AND n.parent_id = t.id)
-        SELECT * FROM t""")
+    frontier being the only side that moves. Levels are written one by one, so neither their
+    number nor that of the rows is limited."""
+    n = written(nodes(spark, sf, "parent_id"))
+    roots = n.where("parent_id is null").select("pub_id", "id", F.col("id").alias("root"), F.lit(0).alias("depth"))
+    links = n.where("parent_id is not null").select("pub_id", "id", F.col("parent_id").alias("up"))
+    levels = [written(roots)]
+    most: int | None = None
+    while not levels[-1].isEmpty():
+        if len(levels) > DEEP:
+            # no way down that passes no link twice is longer than a publication has links
+            most = most or links.groupBy("pub_id").count().agg(F.max("count")).first()[0] or 0
+            if len(levels) > most + 1:
+                raise ValueError("parent links run in a circle below a root")
+        last = levels[-1].select("pub_id", F.col("id").alias("up"), "root", "depth")
+        levels.append(written(links.join(last, ["pub_id", "up"]).select("pub_id", "id", "root", (F.col("depth") + 1).alias("depth"))))
+    return functools.reduce(DataFrame.unionByName, levels[:-1] or levels)
 
 
 def text_nodes(spark: SparkSession, sf: str) -> DataFrame:
