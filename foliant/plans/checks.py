@@ -16,7 +16,7 @@ from foliant.operators.ordered import last_before
 from foliant.plans import index as ix
 from foliant.plans.index import TEXTS, nodes, nodes_sql
 from foliant.plans.structure import CONTAINERS, SQL as STRUCTURE_SQL, _OWN_COLS, _OWN_SQL, cited, own_text
-from foliant.session import table
+from foliant.session import table, written
 
 # Directive words of a deck; those that are errors when added; number words.
 DECK_DIRECTIVE = r"\b(will\s+not|must\s+not|may\s+not|should\s+not|shall|will|must|may|should)\b"
@@ -418,7 +418,7 @@ def qa_acronym_first_use(spark: SparkSession, sf: str) -> DataFrame:
     """Acronyms whose meaning doesn't stand on a slide up to their first use. Meanings meet the
     slides on their first word and are looked for in what meets, so that no acronym is held
     against all slides of its deck."""
-    first = chk_acronym_coverage(spark, sf).select("pub_id", "token", "first_slide")
+    first = written(chk_acronym_coverage(spark, sf).select("pub_id", "token", "first_slide"))
     at = slides(spark, sf).groupBy("pub_id", "slide_id").agg(F.min("slide_ord").alias("at"))
     f = first.join(at.withColumnRenamed("slide_id", "first_slide"), ["pub_id", "first_slide"])
     a = nodes(spark, sf, "abbreviation", "meaning", types=("acronym",)).select("pub_id", F.col("abbreviation").alias("token"), F.lower(F.trim("meaning")).alias("meaning")).where("meaning <> ''").distinct()
@@ -467,7 +467,7 @@ def findings(spark: SparkSession, sf: str) -> DataFrame:
     ]
     out: DataFrame | None = None
     for i, (df, check, level, at, message) in enumerate(parts):
-        got = df.select("pub_id", lit(i).alias("ord"), lit(check).alias("check"), (lit(level) if level else c("level")).alias("level"), c(at).alias("where_id"), message.alias("message"))
+        got = (df.select("pub_id", lit(i).alias("ord"), lit(check).alias("check"), (lit(level) if level else c("level")).alias("level"), c(at).alias("where_id"), message.alias("message")))
         out = got if out is None else out.unionByName(got)
     assert out is not None
     return out
