@@ -446,7 +446,8 @@ CHECKS = ("citation", "verbatim", "directive", "readability", "acronym", "covera
 
 def findings(spark: SparkSession, sf: str) -> DataFrame:
     """All findings in one table: (pub_id, ord, check, level, where_id, message); ``ord`` is the
-    place of the rule that found it."""
+    place of the rule that found it. Each check's rows are written by themselves, so that the
+    driver holds the plan of one check at a time."""
     c, lit = F.col, F.lit
     shape = qa_deck_readability(spark, sf).where(~c("passes"))
     parts = [
@@ -467,7 +468,7 @@ def findings(spark: SparkSession, sf: str) -> DataFrame:
     ]
     out: DataFrame | None = None
     for i, (df, check, level, at, message) in enumerate(parts):
-        got = (df.select("pub_id", lit(i).alias("ord"), lit(check).alias("check"), (lit(level) if level else c("level")).alias("level"), c(at).alias("where_id"), message.alias("message")))
+        got = written(df.select("pub_id", lit(i).alias("ord"), lit(check).alias("check"), (lit(level) if level else c("level")).alias("level"), c(at).alias("where_id"), message.alias("message")))
         out = got if out is None else out.unionByName(got)
     assert out is not None
     return out
