@@ -164,7 +164,9 @@ def rep_html(spark: SparkSession, sf: str) -> DataFrame:
 def conv_passes(spark: SparkSession, sf: str) -> DataFrame:
     """The passes of a conversion in their order, and how often each did its work in each
     publication: (pub_id, pass_no, counter, n). What a pass never did has no row."""
-    heads, garbled = blk_resolve_headings(spark, sf), tbl_ungarble(spark, sf)
+    # placed and rebuilt once, though two passes each count them
+    heads = written(blk_resolve_headings(spark, sf).select("pub_id", "from_seq"))
+    garbled = written(tbl_ungarble(spark, sf).select("pub_id", "rebuilt"))
     once = F.lit(1)
     passes = [
         ("pages_converted", md_render(spark, sf), once), ("headings", heads.where("from_seq is not null"), once), ("headings_unplaced", heads.where("from_seq is null"), once),
