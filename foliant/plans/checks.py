@@ -418,11 +418,11 @@ def qa_acronym_first_use(spark: SparkSession, sf: str) -> DataFrame:
     """Acronyms whose meaning doesn't stand on a slide up to their first use. Meanings meet the
     slides on their first word and are looked for in what meets, so that no acronym is held
     against all slides of its deck."""
-    first = written(chk_acronym_coverage(spark, sf).select("pub_id", "token", "first_slide"))
+    first = chk_acronym_coverage(spark, sf).select("pub_id", "token", "first_slide")
     at = slides(spark, sf).groupBy("pub_id", "slide_id").agg(F.min("slide_ord").alias("at"))
     f = first.join(at.withColumnRenamed("slide_id", "first_slide"), ["pub_id", "first_slide"])
     a = nodes(spark, sf, "abbreviation", "meaning", types=("acronym",)).select("pub_id", F.col("abbreviation").alias("token"), F.lower(F.trim("meaning")).alias("meaning")).where("meaning <> ''").distinct()
-    f = f.join(a, ["pub_id", "token"])
+    f = written(f.join(a, ["pub_id", "token"]))
     word = lambda c: F.regexp_extract(c, r"([\p{L}\p{N}]+)", 1)
     said = slide_words(spark, sf).select("pub_id", F.col("slide_ord").alias("here"), F.lower("said").alias("said"))
     said = said.select("*", F.explode(F.array_distinct(F.split("said", r"[^\p{L}\p{N}]+"))).alias("w"))
