@@ -45,12 +45,21 @@ def shared_dir(spark: SparkSession) -> str:
     return ctx._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage: written as parquet to the shared folder and read back."""
+    """``df`` cut from its lineage: written as parquet to the shared folder and read back. Its
+    shuffle files go as soon as it is written, not when the driver happens to collect garbage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
-    df.write.parquet(path)
+    held = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if held is None else spark.conf.set(CLEANUP, held)
     return spark.read.schema(df.schema).parquet(path)
 
 
