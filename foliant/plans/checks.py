@@ -549,7 +549,8 @@ def spec_tree_check(spark: SparkSession, sf: str) -> DataFrame:
     from foliant.plans.structure import walk_recursive
 
     n = nodes(spark, sf, "parent_id")
-    p = n.select("pub_id", F.col("id").alias("parent_id")).withColumn("p", F.lit(1))
+    # a parent with two places counts twice, one with two parents of its own once, as in SQL
+    p = nodes(spark, sf, "ord").select("pub_id", F.col("id").alias("parent_id")).withColumn("p", F.lit(1))
     r = walk_recursive(spark, sf).select("pub_id", "id").withColumn("r", F.lit(1))
     j = n.join(p, ["pub_id", "parent_id"], "left").join(r, ["pub_id", "id"], "left")
     return j.groupBy("pub_id").agg(F.count("*").alias("nodes"), F.count_if(F.col("parent_id").isNotNull() & F.col("p").isNull()).alias("lost"), F.count_if(F.col("r").isNull()).alias("unreached"))
